@@ -100,3 +100,81 @@ def quake_latest_per_user(spark, sf_dir):
     from lakeforge.operators import latest_per_key
 
     return latest_per_key(ev, ["user_id"], ["ts"], ["event_id"])
+
+
+# ----------------------------------------------------------------- healthcare
+HEALTH_TODAY = __import__("datetime").date(2025, 6, 30)
+
+
+def _health_bronze(spark, sf_dir):
+    from lakeforge.plans import health
+
+    names = ("customer", "supplier", "nation", "orders", "lineitem")
+    return health.bronze_from_driver({n: read_table(spark, sf_dir, n) for n in names})
+
+
+@register("health_patients")
+def health_patients(spark, sf_dir):
+    """patients projection (name split, dob cast, age)."""
+    from lakeforge.plans import health
+
+    return health.patients_transform(_health_bronze(spark, sf_dir)["patients"], HEALTH_TODAY)
+
+
+def _health_visits(spark, sf_dir):
+    from lakeforge.plans import health
+
+    b = _health_bronze(spark, sf_dir)
+    return health.visits_transform(b["visits"], b["patients"], b["doctors"], b["hospitals"])
+
+
+def _health_treatments(spark, sf_dir):
+    from lakeforge.plans import health
+
+    b = _health_bronze(spark, sf_dir)
+    return health.treatments_transform(b["treatments"], b["visits"], b["patients"], b["doctors"], b["hospitals"])
+
+
+@register("health_visits")
+def health_visits(spark, sf_dir):
+    """Visit ⋈ patient ⋈ doctor ⋈ hospital."""
+    return _health_visits(spark, sf_dir)
+
+
+@register("health_treatments")
+def health_treatments(spark, sf_dir):
+    """Treatment ⋈ visit ⋈ patient ⋈ doctor ⋈ hospital."""
+    return _health_treatments(spark, sf_dir)
+
+
+@register("health_city_access")
+def health_city_access(spark, sf_dir):
+    """J3 + A3: LEFT JOIN, two distinct counts per city."""
+    from lakeforge.plans import health
+
+    pt = health.patients_transform(_health_bronze(spark, sf_dir)["patients"], HEALTH_TODAY)
+    return health.city_access(pt, _health_visits(spark, sf_dir))
+
+
+@register("health_hospital_performance")
+def health_hospital_performance(spark, sf_dir):
+    """A4: hospital performance."""
+    from lakeforge.plans import health
+
+    return health.hospital_performance(_health_treatments(spark, sf_dir))
+
+
+@register("health_visit_summary")
+def health_visit_summary(spark, sf_dir):
+    """A5: patient visit summary."""
+    from lakeforge.plans import health
+
+    return health.visit_summary(_health_visits(spark, sf_dir))
+
+
+@register("health_patient_value")
+def health_patient_value(spark, sf_dir):
+    """Patient value."""
+    from lakeforge.plans import health
+
+    return health.patient_value(_health_treatments(spark, sf_dir))

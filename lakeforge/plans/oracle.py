@@ -71,3 +71,106 @@ ORACLE["quake_latest_per_user"] = """
 SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """
+
+# ----------------------------------------------------------------- healthcare
+HEALTH_BRONZE = """
+patients AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS patient_id, replace(c_name, '#', ' ') AS name,
+         CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
+         strftime(DATE '1940-01-01' + CAST((c_custkey * 37) % 25000 AS INTEGER), '%Y-%m-%d') AS dob,
+         'City ' || CAST(c_nationkey AS VARCHAR) AS city
+  FROM customer),
+doctors AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS doctor_id, replace(s_name, '#', ' ') AS name,
+         CASE WHEN s_suppkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
+         CASE s_nationkey % 4 WHEN 0 THEN 'Cardiology' WHEN 1 THEN 'Oncology'
+                              WHEN 2 THEN 'Pediatrics' ELSE 'Neurology' END AS specialization,
+         CAST(s_nationkey AS VARCHAR) AS hospital_id,
+         'City ' || CAST(s_nationkey AS VARCHAR) AS city
+  FROM supplier),
+hospitals AS (
+  SELECT 'Hospital ' || n_name AS hospital_name, CAST(n_nationkey AS VARCHAR) AS hospital_id,
+         'City ' || CAST(n_nationkey AS VARCHAR) AS city
+  FROM nation),
+visits AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS visit_id, CAST(o_custkey AS VARCHAR) AS patient_id,
+         CAST(o_custkey % 25 AS VARCHAR) AS hospital_id, strftime(o_orderdate, '%Y-%m-%d') AS visit_date,
+         o_orderpriority AS department, CAST(o_orderkey % 100 AS VARCHAR) AS doctor_id
+  FROM orders),
+treatments AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS treatment_id,
+         CAST(l_orderkey AS VARCHAR) AS visit_id,
+         CASE WHEN l_linestatus = 'O' THEN 'Therapy' ELSE 'Surgery' END AS treatment_type,
+         CASE l_returnflag WHEN 'R' THEN 'Successful' WHEN 'A' THEN 'Failed' ELSE 'Ongoing' END AS outcome,
+         CAST(l_extendedprice AS VARCHAR) AS cost
+  FROM lineitem)"""
+
+HEALTH_PT = """
+SELECT patient_id, split_part(name, ' ', 1) AS patient_first_name, split_part(name, ' ', 2) AS patient_last_name,
+       gender AS patient_gender, CAST(dob AS DATE) AS patient_dob,
+       CAST(year(DATE '2025-06-30') - year(CAST(dob AS DATE)) AS INTEGER) AS patient_age, city AS patient_city
+FROM patients"""
+
+HEALTH_VT = """
+SELECT V.visit_id AS patient_visit_id, CAST(V.visit_date AS DATE) AS patient_visit_date, V.patient_id,
+       split_part(P.name, ' ', 1) AS patient_first_name, split_part(P.name, ' ', 2) AS patient_last_name,
+       V.doctor_id, split_part(D.name, ' ', 1) AS doctor_first_name, split_part(D.name, ' ', 2) AS doctor_last_name,
+       D.specialization AS doctor_specialization, V.hospital_id, H.hospital_name,
+       V.department AS hospital_department, H.city AS hospital_city
+FROM visits V
+JOIN patients P ON V.patient_id = P.patient_id
+JOIN doctors D ON V.doctor_id = D.doctor_id
+JOIN hospitals H ON V.hospital_id = H.hospital_id"""
+
+HEALTH_TT = """
+SELECT T.treatment_id AS patient_treatment_id, T.visit_id AS patient_visit_id,
+       CAST(V.visit_date AS DATE) AS patient_visit_date, T.treatment_type, T.outcome AS treatment_outcome,
+       T.cost AS treatment_cost, V.patient_id,
+       split_part(P.name, ' ', 1) AS patient_first_name, split_part(P.name, ' ', 2) AS patient_last_name,
+       V.doctor_id, split_part(D.name, ' ', 1) AS doctor_first_name, split_part(D.name, ' ', 2) AS doctor_last_name,
+       D.specialization AS doctor_specialization, V.hospital_id, H.hospital_name, H.city AS hospital_city
+FROM treatments T
+JOIN visits V ON T.visit_id = V.visit_id
+JOIN patients P ON V.patient_id = P.patient_id
+JOIN doctors D ON V.doctor_id = D.doctor_id
+JOIN hospitals H ON V.hospital_id = H.hospital_id"""
+
+
+def money_avg(col: str) -> str:
+    """Exact half-up average to cents: integer arithmetic on summed cents."""
+    cents = f"CAST(SUM(CAST({col} AS DECIMAL(18,2))) * 100 AS HUGEINT)"
+    n = f"COUNT({col})"
+    return f"CAST(({cents} * 2 + {n}) // (2 * {n}) AS DOUBLE) / 100.0"
+
+
+def _health(body: str) -> str:
+    return f"WITH {HEALTH_BRONZE},\npt AS ({HEALTH_PT}),\nvt AS ({HEALTH_VT}),\ntt AS ({HEALTH_TT})\n{body}"
+
+
+ORACLE["health_patients"] = _health("SELECT * FROM pt")
+ORACLE["health_visits"] = _health("SELECT * FROM vt")
+ORACLE["health_treatments"] = _health("SELECT * FROM tt")
+ORACLE["health_city_access"] = _health("""
+SELECT TP.patient_city, COUNT(DISTINCT TP.patient_id) AS total_patients,
+       COUNT(DISTINCT TV.hospital_id) AS total_hospitals
+FROM pt TP LEFT JOIN vt TV ON TP.patient_id = TV.patient_id
+GROUP BY TP.patient_city""")
+ORACLE["health_hospital_performance"] = _health(f"""
+SELECT hospital_id, hospital_name, hospital_city,
+       COUNT(DISTINCT patient_visit_id) AS total_visits, COUNT(*) AS total_treatments,
+       {money_avg("treatment_cost")} AS avg_treatment_cost,
+       ROUND(100.0 * SUM(CASE WHEN treatment_outcome = 'Successful' THEN 1 ELSE 0 END) / COUNT(*), 2) AS success_rate
+FROM tt GROUP BY hospital_id, hospital_name, hospital_city""")
+ORACLE["health_visit_summary"] = _health("""
+SELECT patient_id, patient_first_name, patient_last_name,
+       MIN(patient_visit_date) AS first_visit_date, MAX(patient_visit_date) AS last_visit_date,
+       COUNT(DISTINCT patient_visit_id) AS total_visits,
+       ROUND(DATEDIFF('day', MIN(patient_visit_date), MAX(patient_visit_date))
+             / NULLIF(COUNT(DISTINCT patient_visit_id) - 1, 0), 1) AS avg_days_between_visits
+FROM vt GROUP BY patient_id, patient_first_name, patient_last_name""")
+ORACLE["health_patient_value"] = _health(f"""
+SELECT patient_id, patient_first_name, patient_last_name,
+       COUNT(DISTINCT patient_visit_id) AS total_visits, COUNT(*) AS total_treatments,
+       CAST(ROUND(SUM(CAST(treatment_cost AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_spent,
+       {money_avg("treatment_cost")} AS avg_cost_per_treatment
+FROM tt GROUP BY patient_id, patient_first_name, patient_last_name""")

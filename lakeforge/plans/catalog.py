@@ -178,3 +178,145 @@ def health_patient_value(spark, sf_dir):
     from lakeforge.plans import health
 
     return health.patient_value(_health_treatments(spark, sf_dir))
+
+
+# --------------------------------------------------------------------- retail
+RETAIL_NOW1 = "2024-03-01 00:00:00"
+RETAIL_NOW2 = "2024-03-02 00:00:00"
+
+
+def _retail(spark, sf_dir):
+    """Bronze, silver and the two-run fact history of the retail model."""
+    from lakeforge.plans import retail
+
+    _prep(spark)
+    b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
+    d = retail.stage_dept(b["department"], RETAIL_NOW1)
+    st = retail.stage_store(b["stores"], RETAIL_NOW1)
+    s = retail.stg_fact(b["fact"], RETAIL_NOW1)
+    combined = retail.combined_fact(d, s, st)
+    # Second load: sales of department 1 move (new versions); markdown1 of
+    # department 2 moves too, which is not a checked column (trap T13).
+    changed = combined.withColumns({
+        "store_weekly_sales": F.when(F.col("dept_id") == 1, F.col("store_weekly_sales") + 100).otherwise(F.col("store_weekly_sales")),
+        "markdown1": F.when(F.col("dept_id") == 2, F.col("markdown1") + 5).otherwise(F.col("markdown1")),
+    })
+    h1 = retail.fact_snapshot(None, combined, RETAIL_NOW1)
+    h2 = retail.fact_snapshot(h1, changed, RETAIL_NOW2)
+    return {"bronze": b, "stage_dept": d, "stage_store": st, "stg_fact": s, "combined": combined, "history": h2}
+
+
+@register("retail_stage_dept")
+def retail_stage_dept(spark, sf_dir):
+    """Department staging with a distributed global row number."""
+    return _retail(spark, sf_dir)["stage_dept"]
+
+
+@register("retail_stg_fact")
+def retail_stg_fact(spark, sf_dir):
+    """F8: 'NA' tokens to 0, text measures to double."""
+    return _retail(spark, sf_dir)["stg_fact"]
+
+
+@register("retail_combined_fact")
+def retail_combined_fact(spark, sf_dir):
+    """Two left joins onto the department rows."""
+    return _retail(spark, sf_dir)["combined"]
+
+
+@register("retail_fact_history")
+def retail_fact_history(spark, sf_dir):
+    """M6: SCD2 history after two loads (surrogate composite key)."""
+    return _retail(spark, sf_dir)["history"]
+
+
+@register("retail_final_fact")
+def retail_final_fact(spark, sf_dir):
+    """M8: current versions of the fact."""
+    from lakeforge.plans import retail
+
+    return retail.final_fact(_retail(spark, sf_dir)["history"])
+
+
+@register("retail_dim_date")
+def retail_dim_date(spark, sf_dir):
+    """M4: incremental date dimension keyed by row number, loaded twice."""
+    from lakeforge.plans import retail
+
+    d = _retail(spark, sf_dir)["stage_dept"]
+    return retail.incremental(retail.dim_date(d, RETAIL_NOW1), retail.dim_date(d, RETAIL_NOW2), "row_num")
+
+
+@register("retail_dim_store")
+def retail_dim_store(spark, sf_dir):
+    """M4: incremental store dimension (second load changes sizes)."""
+    from lakeforge.plans import retail
+
+    st = _retail(spark, sf_dir)["stage_store"]
+    first = retail.dim_store(st, RETAIL_NOW1).withColumn("store_size", F.col("store_size") - 1)
+    return retail.incremental(first, retail.dim_store(st, RETAIL_NOW2), "store_id")
+
+
+@register("retail_dim_department")
+def retail_dim_department(spark, sf_dir):
+    """Department dimension view (ids repeat, as in the source model)."""
+    from lakeforge.plans import retail
+
+    return retail.dim_department(_retail(spark, sf_dir)["stage_dept"])
+
+
+def _reports(spark, sf_dir):
+    from lakeforge.plans import retail
+
+    r = _retail(spark, sf_dir)
+    ff = retail.final_fact(r["history"])
+    return retail, retail.dim_date(r["stage_dept"], RETAIL_NOW1), retail.dim_store(r["stage_store"], RETAIL_NOW1), ff
+
+
+@register("retail_sales_by_store_holiday")
+def retail_sales_by_store_holiday(spark, sf_dir):
+    """R1 (J5): LEFT JOIN date dim → fact, many-to-many on date_id."""
+    m, dd, ds, ff = _reports(spark, sf_dir)
+    return rounded(m.sales_by_store_holiday(dd, ff), {"total_sales": 2})
+
+
+@register("retail_sales_by_temperature_year")
+def retail_sales_by_temperature_year(spark, sf_dir):
+    """R2 (J6)."""
+    m, dd, ds, ff = _reports(spark, sf_dir)
+    return rounded(m.sales_by_temperature_year(dd, ff), {"total_sales": 2})
+
+
+@register("retail_sales_by_store_size")
+def retail_sales_by_store_size(spark, sf_dir):
+    """R3 (J6)."""
+    m, dd, ds, ff = _reports(spark, sf_dir)
+    return rounded(m.sales_by_store_size(ds, ff), {"total_sales": 2})
+
+
+@register("retail_markdown_by_store_year")
+def retail_markdown_by_store_year(spark, sf_dir):
+    """R4 (J6)."""
+    m, dd, ds, ff = _reports(spark, sf_dir)
+    return rounded(m.markdown_by_store_year(dd, ff), {f"sum_markdown{i}": 2 for i in range(1, 6)})
+
+
+@register("retail_sales_by_store_type")
+def retail_sales_by_store_type(spark, sf_dir):
+    """R5 (J6)."""
+    m, dd, ds, ff = _reports(spark, sf_dir)
+    return rounded(m.sales_by_store_type(ds, ff), {"total_sales": 2})
+
+
+@register("retail_fuel_by_store_year")
+def retail_fuel_by_store_year(spark, sf_dir):
+    """R6 (J7): two dimensions."""
+    m, dd, ds, ff = _reports(spark, sf_dir)
+    return rounded(m.fuel_by_store_year(dd, ds, ff), {"sum_fuel_price": 2})
+
+
+@register("retail_sales_by_cpi")
+def retail_sales_by_cpi(spark, sf_dir):
+    """No join."""
+    m, dd, ds, ff = _reports(spark, sf_dir)
+    return rounded(m.sales_by_cpi(ff), {"total_sales": 2})

@@ -174,3 +174,118 @@ SELECT patient_id, patient_first_name, patient_last_name,
        CAST(ROUND(SUM(CAST(treatment_cost AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_spent,
        {money_avg("treatment_cost")} AS avg_cost_per_treatment
 FROM tt GROUP BY patient_id, patient_first_name, patient_last_name""")
+
+# --------------------------------------------------------------------- retail
+RETAIL_BASE = """
+dept AS (
+  SELECT l_suppkey AS store, l_linenumber AS dept, CAST(l_shipdate AS DATE) AS date,
+         CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS weekly_sales,
+         CASE WHEN bool_or(l_returnflag = 'R') THEN 'TRUE' ELSE 'FALSE' END AS isholiday
+  FROM lineitem GROUP BY 1, 2, 3),
+stores AS (
+  SELECT s_suppkey AS store, CASE s_nationkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS type,
+         CAST(100000 + s_nationkey * 1000 AS INTEGER) AS size
+  FROM supplier),
+fact AS (
+  SELECT l_suppkey AS store, CAST(l_shipdate AS DATE) AS date,
+         MAX(l_quantity) AS temperature, CAST(MIN(l_linenumber) AS DOUBLE) AS fuel_price,
+         CASE WHEN MIN(l_linenumber) = 1 THEN 'NA' ELSE CAST(MIN(l_quantity) AS VARCHAR) END AS markdown1,
+         CASE WHEN MAX(l_linenumber) >= 6 THEN 'NA' ELSE CAST(MAX(l_quantity) AS VARCHAR) END AS markdown2,
+         CAST(COUNT(*) AS VARCHAR) AS markdown3,
+         CASE WHEN COUNT(*) = 1 THEN 'NA' ELSE CAST(SUM(l_linenumber) AS VARCHAR) END AS markdown4,
+         CAST(MAX(l_linenumber) AS VARCHAR) AS markdown5,
+         CAST(MIN(l_quantity) + 100 AS VARCHAR) AS cpi,
+         CASE WHEN MAX(l_quantity) > 45 THEN 'NA' ELSE CAST(MAX(l_quantity) / 10 AS VARCHAR) END AS unemployment,
+         CASE WHEN bool_or(l_returnflag = 'R') THEN 'TRUE' ELSE 'FALSE' END AS isholiday
+  FROM lineitem GROUP BY 1, 2),
+stage_dept AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY date, store, dept) AS row_num, strftime(date, '%Y-%m-%d') AS date_id,
+         store AS store_id, dept AS dept_id, date AS store_date, weekly_sales AS store_weekly_sales,
+         isholiday, TIMESTAMP '2024-03-01 00:00:00' AS insert_date
+  FROM dept),
+stage_store AS (
+  SELECT store AS store_id, type AS store_type, size AS store_size, TIMESTAMP '2024-03-01 00:00:00' AS insert_date
+  FROM stores),
+stg_fact AS (
+  SELECT store AS store_id, strftime(date, '%Y-%m-%d') AS date_id, temperature, fuel_price,
+         CASE WHEN markdown1 = 'NA' THEN 0 ELSE CAST(markdown1 AS DOUBLE) END AS markdown1,
+         CASE WHEN markdown2 = 'NA' THEN 0 ELSE CAST(markdown2 AS DOUBLE) END AS markdown2,
+         CASE WHEN markdown3 = 'NA' THEN 0 ELSE CAST(markdown3 AS DOUBLE) END AS markdown3,
+         CASE WHEN markdown4 = 'NA' THEN 0 ELSE CAST(markdown4 AS DOUBLE) END AS markdown4,
+         CASE WHEN markdown5 = 'NA' THEN 0 ELSE CAST(markdown5 AS DOUBLE) END AS markdown5,
+         CASE WHEN cpi = 'NA' THEN 0 ELSE CAST(cpi AS DOUBLE) END AS cpi,
+         CASE WHEN unemployment = 'NA' THEN 0 ELSE CAST(unemployment AS DOUBLE) END AS unemployment,
+         isholiday, TIMESTAMP '2024-03-01 00:00:00' AS insert_date,
+         TIMESTAMP '2024-03-01 00:00:00' AS vrsn_start_date, TIMESTAMP '2024-03-01 00:00:00' AS vrsn_end_date
+  FROM fact),
+combined AS (
+  SELECT d.store_id, d.dept_id, d.date_id, d.store_weekly_sales,
+         s.temperature, s.fuel_price, s.cpi, s.unemployment,
+         s.markdown1, s.markdown2, s.markdown3, s.markdown4, s.markdown5, st.store_size
+  FROM stage_dept d
+  LEFT JOIN stg_fact s ON d.store_id = s.store_id AND d.date_id = s.date_id
+  LEFT JOIN stage_store st ON d.store_id = st.store_id),
+keyed AS (
+  SELECT *, md5(CAST(store_id AS VARCHAR) || '-' || CAST(dept_id AS VARCHAR) || '-' || date_id) AS composite_key
+  FROM combined),
+history AS (
+  SELECT *, md5(composite_key || '|' || '2024-03-01 00:00:00') AS dbt_scd_id,
+         TIMESTAMP '2024-03-01 00:00:00' AS dbt_updated_at, TIMESTAMP '2024-03-01 00:00:00' AS dbt_valid_from,
+         CASE WHEN dept_id = 1 THEN TIMESTAMP '2024-03-02 00:00:00' END AS dbt_valid_to
+  FROM keyed
+  UNION ALL
+  SELECT * REPLACE (store_weekly_sales + 100 AS store_weekly_sales),
+         md5(composite_key || '|' || '2024-03-02 00:00:00') AS dbt_scd_id,
+         TIMESTAMP '2024-03-02 00:00:00' AS dbt_updated_at, TIMESTAMP '2024-03-02 00:00:00' AS dbt_valid_from,
+         CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+  FROM keyed WHERE dept_id = 1),
+final_fact AS (SELECT * FROM history WHERE dbt_valid_to IS NULL),
+dim_date AS (
+  SELECT row_num, date_id, store_date, isholiday, TIMESTAMP '2024-03-01 00:00:00' AS update_date FROM stage_dept),
+dim_store AS (
+  SELECT store_id, store_type, store_size, TIMESTAMP '2024-03-01 00:00:00' AS update_date FROM stage_store)"""
+
+
+def _retail(body: str) -> str:
+    return f"WITH {RETAIL_BASE}\n{body}"
+
+
+ORACLE["retail_stage_dept"] = _retail("SELECT * FROM stage_dept")
+ORACLE["retail_stg_fact"] = _retail("SELECT * FROM stg_fact")
+ORACLE["retail_combined_fact"] = _retail("SELECT * FROM combined")
+ORACLE["retail_fact_history"] = _retail("SELECT * FROM history")
+ORACLE["retail_final_fact"] = _retail("SELECT * FROM final_fact")
+ORACLE["retail_dim_date"] = _retail("""
+SELECT row_num, date_id, store_date, isholiday, TIMESTAMP '2024-03-02 00:00:00' AS update_date FROM stage_dept""")
+ORACLE["retail_dim_store"] = _retail("""
+SELECT store_id, store_type, store_size, TIMESTAMP '2024-03-02 00:00:00' AS update_date FROM stage_store""")
+ORACLE["retail_dim_department"] = _retail("SELECT dept_id FROM stage_dept")
+ORACLE["retail_sales_by_store_holiday"] = _retail("""
+SELECT f.store_id, d.isholiday, ROUND(SUM(f.store_weekly_sales), 2) AS total_sales
+FROM dim_date d LEFT JOIN final_fact f ON f.date_id = d.date_id
+GROUP BY 1, 2""")
+ORACLE["retail_sales_by_temperature_year"] = _retail("""
+SELECT f.temperature, CAST(YEAR(d.store_date) AS INTEGER) AS year, ROUND(SUM(f.store_weekly_sales), 2) AS total_sales
+FROM final_fact f JOIN dim_date d ON d.date_id = f.date_id
+GROUP BY 1, 2""")
+ORACLE["retail_sales_by_store_size"] = _retail("""
+SELECT s.store_size, ROUND(SUM(f.store_weekly_sales), 2) AS total_sales
+FROM final_fact f JOIN dim_store s ON s.store_id = f.store_id
+GROUP BY 1""")
+ORACLE["retail_markdown_by_store_year"] = _retail("""
+SELECT f.store_id, ROUND(SUM(f.markdown1), 2) AS sum_markdown1, ROUND(SUM(f.markdown2), 2) AS sum_markdown2,
+       ROUND(SUM(f.markdown3), 2) AS sum_markdown3, ROUND(SUM(f.markdown4), 2) AS sum_markdown4,
+       ROUND(SUM(f.markdown5), 2) AS sum_markdown5, CAST(YEAR(d.store_date) AS INTEGER) AS year
+FROM dim_date d JOIN final_fact f ON d.date_id = f.date_id
+GROUP BY 1, 7""")
+ORACLE["retail_sales_by_store_type"] = _retail("""
+SELECT s.store_type, ROUND(SUM(f.store_weekly_sales), 2) AS total_sales
+FROM final_fact f JOIN dim_store s ON s.store_id = f.store_id
+GROUP BY 1""")
+ORACLE["retail_fuel_by_store_year"] = _retail("""
+SELECT s.store_id, ROUND(SUM(f.fuel_price), 2) AS sum_fuel_price, CAST(YEAR(d.store_date) AS INTEGER) AS year
+FROM final_fact f JOIN dim_date d ON d.date_id = f.date_id
+JOIN dim_store s ON s.store_id = f.store_id
+GROUP BY 1, 3""")
+ORACLE["retail_sales_by_cpi"] = _retail("""
+SELECT cpi, ROUND(SUM(store_weekly_sales), 2) AS total_sales FROM final_fact GROUP BY 1""")

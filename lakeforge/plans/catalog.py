@@ -320,3 +320,117 @@ def retail_sales_by_cpi(spark, sf_dir):
     """No join."""
     m, dd, ds, ff = _reports(spark, sf_dir)
     return rounded(m.sales_by_cpi(ff), {"total_sales": 2})
+
+
+# ------------------------------------------------------------ change operators
+@register("orders_upsert")
+def orders_upsert(spark, sf_dir):
+    """M1: keyed upsert (update all columns, insert new keys, never delete)."""
+    from lakeforge.operators import upsert
+    from lakeforge.plans import changes_jobs as cj
+
+    o = read_table(spark, sf_dir, "orders")
+    return upsert(cj.orders_day_one(o), cj.orders_batch(o), ["o_orderkey"])
+
+
+@register("orders_change_feed")
+def orders_change_feed(spark, sf_dir):
+    """Row-level change feed between the two versions of orders."""
+    from lakeforge.operators import change_feed, upsert
+    from lakeforge.plans import changes_jobs as cj
+
+    o = read_table(spark, sf_dir, "orders")
+    before = cj.orders_day_one(o)
+    return change_feed(before, upsert(before, cj.orders_batch(o), ["o_orderkey"]), ["o_orderkey"])
+
+
+@register("customer_scd1_merge")
+def customer_scd1_merge(spark, sf_dir):
+    """M2: SCD1 MERGE on (first, last name); insert time kept on update."""
+    from lakeforge.operators import scd1_merge
+    from lakeforge.plans import changes_jobs as cj
+
+    c = read_table(spark, sf_dir, "customer")
+    return scd1_merge(cj.customer_target(c), cj.customer_batch(c),
+                      ["contactfirstname", "contactlastname"], cj.CUSTOMER_T1)
+
+
+@register("events_cdc_scd1")
+def events_cdc_scd1(spark, sf_dir):
+    """M3: sequenced SCD1 by ts; late older rows lose."""
+    from lakeforge.operators import cdc_scd1
+    from lakeforge.plans import changes_jobs as cj
+
+    ev = read_table(spark, sf_dir, "events")
+    first = cdc_scd1(None, cj.events_first(ev), ["user_id"], "ts", ["event_id"])
+    return cdc_scd1(first, cj.events_second(ev), ["user_id"], "ts", ["event_id"])
+
+
+def _product_history(spark, sf_dir):
+    from lakeforge.operators import scd2_snapshot
+    from lakeforge.plans import changes_jobs as cj
+
+    part = read_table(spark, sf_dir, "part")
+    keys, cols = ["product_id"], cj.PRODUCT_CHECK_COLS
+    h1 = scd2_snapshot(None, cj.product_load(part, 1), keys, cols, cj.PRODUCT_T1, case_insensitive_cols=cols)
+    return scd2_snapshot(h1, cj.product_load(part, 2), keys, cols, cj.PRODUCT_T2, case_insensitive_cols=cols)
+
+
+@register("product_scd2_history")
+def product_scd2_history(spark, sf_dir):
+    """M5: SCD2 snapshot (check strategy, 9 columns) after two loads."""
+    return _product_history(spark, sf_dir)
+
+
+@register("product_versions")
+def product_versions(spark, sf_dir):
+    """M7 + F9: versioned view, open end as the high date."""
+    from lakeforge.operators import versioned_view
+    from lakeforge.plans import changes_jobs as cj
+
+    return versioned_view(_product_history(spark, sf_dir), cj.PRODUCT_VIEW_KEEP)
+
+
+# --------------------------------------------------------------- data quality
+@register("dq_unique_lineitem_key")
+def dq_unique_lineitem_key(spark, sf_dir):
+    """Q1: unique on an expression (concatenated key); failing values."""
+    from lakeforge.operators import check_unique
+
+    li = read_table(spark, sf_dir, "lineitem")
+    key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    return check_unique(li, key)
+
+
+@register("dq_not_null_combined_temperature")
+def dq_not_null_combined_temperature(spark, sf_dir):
+    """Q2: not_null on the joined retail fact (rows without a store fact)."""
+    from lakeforge.operators import check_not_null
+
+    return check_not_null(_retail(spark, sf_dir)["combined"], "temperature")
+
+
+@register("dq_accepted_order_priority")
+def dq_accepted_order_priority(spark, sf_dir):
+    """Q3: accepted_values; values outside the list with their counts."""
+    from lakeforge.operators import check_accepted
+
+    o = read_table(spark, sf_dir, "orders")
+    return check_accepted(o, "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"])
+
+
+@register("dq_duplicate_lineitem_keys")
+def dq_duplicate_lineitem_keys(spark, sf_dir):
+    """Q4 + F13: duplicate-key profile (count > 1)."""
+    from lakeforge.operators import duplicate_keys
+
+    return duplicate_keys(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("dq_unique_dim_date_id")
+def dq_unique_dim_date_id(spark, sf_dir):
+    """Q1 on DATE_ID of the date dimension: shows the repeated key."""
+    from lakeforge.operators import check_unique
+    from lakeforge.plans import retail
+
+    return check_unique(retail.dim_date(_retail(spark, sf_dir)["stage_dept"], RETAIL_NOW1), "date_id")

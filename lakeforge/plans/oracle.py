@@ -289,3 +289,135 @@ JOIN dim_store s ON s.store_id = f.store_id
 GROUP BY 1, 3""")
 ORACLE["retail_sales_by_cpi"] = _retail("""
 SELECT cpi, ROUND(SUM(store_weekly_sales), 2) AS total_sales FROM final_fact GROUP BY 1""")
+
+# ------------------------------------------------------------ change operators
+ORDERS_TS = """
+t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+s AS (SELECT o_orderkey, o_custkey,
+             CASE WHEN o_orderpriority = '1-URGENT' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+             CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice + 1.0 ELSE o_totalprice END AS o_totalprice,
+             o_orderdate, o_orderpriority
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-01 00:00:00'),
+merged AS (
+  SELECT COALESCE(s.o_orderkey, t.o_orderkey) AS o_orderkey,
+         CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
+         CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+         CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+         CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderdate ELSE t.o_orderdate END AS o_orderdate,
+         CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderpriority ELSE t.o_orderpriority END AS o_orderpriority
+  FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey)"""
+ORACLE["orders_upsert"] = f"WITH {ORDERS_TS}\nSELECT * FROM merged"
+ORACLE["orders_change_feed"] = f"""WITH {ORDERS_TS},
+diff AS (
+  SELECT t.o_orderkey FROM t JOIN merged m ON t.o_orderkey = m.o_orderkey
+  WHERE t.o_custkey IS DISTINCT FROM m.o_custkey OR t.o_orderstatus IS DISTINCT FROM m.o_orderstatus
+     OR t.o_totalprice IS DISTINCT FROM m.o_totalprice OR t.o_orderdate IS DISTINCT FROM m.o_orderdate
+     OR t.o_orderpriority IS DISTINCT FROM m.o_orderpriority)
+SELECT m.*, 'insert' AS _change_type FROM merged m WHERE m.o_orderkey NOT IN (SELECT o_orderkey FROM t)
+UNION ALL SELECT t.*, 'delete' FROM t WHERE t.o_orderkey NOT IN (SELECT o_orderkey FROM merged)
+UNION ALL SELECT t.*, 'update_preimage' FROM t WHERE t.o_orderkey IN (SELECT o_orderkey FROM diff)
+UNION ALL SELECT m.*, 'update_postimage' FROM merged m WHERE m.o_orderkey IN (SELECT o_orderkey FROM diff)"""
+
+CUSTOMER_ROWS = """
+SELECT split_part(c_name, '#', 1) AS contactfirstname, split_part(c_name, '#', 2) AS contactlastname,
+       c_name AS customername, '+' || CAST(c_nationkey AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR) AS phone,
+       CAST(c_custkey AS VARCHAR) || ' Main St' AS addressline1,
+       CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Suite 1' END AS addressline2,
+       'City ' || CAST(c_nationkey AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS state,
+       lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS postalcode, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS country,
+       c_mktsegment AS territory, c_acctbal
+FROM customer"""
+ORACLE["customer_scd1_merge"] = f"""
+WITH rows AS ({CUSTOMER_ROWS}),
+tgt AS (SELECT * EXCLUDE (c_acctbal), TIMESTAMP '2024-01-01 00:00:00' AS insert_dts,
+               TIMESTAMP '2024-01-01 00:00:00' AS update_dts
+        FROM rows WHERE territory <> 'MACHINERY'),
+tmp AS (SELECT * EXCLUDE (c_acctbal, phone),
+               CASE WHEN territory = 'BUILDING' AND c_acctbal > 5000 THEN phone || '-x' ELSE phone END AS phone
+        FROM rows WHERE territory IN ('MACHINERY', 'BUILDING'))
+SELECT tgt.* REPLACE (
+         tmp.customername AS customername, tmp.phone AS phone, tmp.addressline1 AS addressline1,
+         tmp.addressline2 AS addressline2, tmp.city AS city, tmp.state AS state, tmp.postalcode AS postalcode,
+         tmp.country AS country, tmp.territory AS territory, TIMESTAMP '2024-01-02 00:00:00' AS update_dts)
+FROM tgt JOIN tmp ON tgt.contactfirstname = tmp.contactfirstname AND tgt.contactlastname = tmp.contactlastname
+UNION ALL
+SELECT tgt.* FROM tgt
+WHERE NOT EXISTS (SELECT 1 FROM tmp WHERE tgt.contactfirstname = tmp.contactfirstname
+                                      AND tgt.contactlastname = tmp.contactlastname)
+UNION ALL
+SELECT tmp.contactfirstname, tmp.contactlastname, tmp.customername, tmp.phone, tmp.addressline1, tmp.addressline2,
+       tmp.city, tmp.state, tmp.postalcode, tmp.country, tmp.territory,
+       TIMESTAMP '2024-01-02 00:00:00', TIMESTAMP '2024-01-02 00:00:00'
+FROM tmp
+WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.contactfirstname = tmp.contactfirstname
+                                      AND tgt.contactlastname = tmp.contactlastname)"""
+
+ORACLE["events_cdc_scd1"] = """
+WITH t AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00'
+           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+s AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT s.* FROM s LEFT JOIN t ON s.user_id = t.user_id WHERE t.user_id IS NULL OR s.ts >= t.ts
+UNION ALL
+SELECT t.* FROM t LEFT JOIN s ON s.user_id = t.user_id WHERE s.user_id IS NULL OR s.ts < t.ts"""
+
+
+def _product_load(run: int) -> str:
+    now = "2024-05-01 00:00:00" if run == 1 else "2024-05-02 00:00:00"
+    price = "p_retailprice" if run == 1 else "CASE WHEN p_size > 45 THEN p_retailprice + 10 ELSE p_retailprice END"
+    name = "p_name" if run == 1 else "CASE WHEN p_size BETWEEN 41 AND 45 THEN upper(p_name) ELSE p_name END"
+    where = "" if run == 1 else "WHERE p_brand <> 'Brand#1'"
+    return f"""
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, {name} AS product_name, p_type AS category,
+       CAST({price} AS VARCHAR) AS selling_price, p_brand AS model_number, 'About ' || p_name AS about_product,
+       'Size ' || CAST(p_size AS VARCHAR) AS product_specification,
+       CASE WHEN p_size > 45 THEN NULL ELSE 'Spec ' || CAST(p_size AS VARCHAR) END AS technical_details,
+       CAST(p_size AS VARCHAR) || ' kg' AS shipping_weight,
+       CAST(p_size AS VARCHAR) || 'x' || CAST(p_size AS VARCHAR) AS product_dimensions,
+       'EST' AS time_zone, 'PRODUCT' AS source_sys_name, 'STANDARD' AS instnc_st_nm,
+       'run-{run}' AS process_id, 'TRANSFORM_LOAD' AS process_name,
+       TIMESTAMP '{now}' AS insert_dts, TIMESTAMP '{now}' AS update_dts,
+       'products.csv' AS source_file_name, CAST(p_partkey + 1 AS VARCHAR) AS source_file_row_number
+FROM part {where}"""
+
+
+_PCHK = ["product_name", "category", "selling_price", "model_number", "about_product",
+         "product_specification", "technical_details", "shipping_weight", "product_dimensions"]
+PRODUCT_HISTORY = f"""
+WITH p1 AS ({_product_load(1)}), p2 AS ({_product_load(2)}),
+changed AS (
+  SELECT p1.product_id FROM p1 JOIN p2 ON p1.product_id = p2.product_id
+  WHERE {' OR '.join(f'lower(p1.{c}) IS DISTINCT FROM lower(p2.{c})' for c in _PCHK)}),
+history AS (
+  SELECT p1.*, md5(product_id || '|' || '2024-05-01 00:00:00') AS dbt_scd_id,
+         TIMESTAMP '2024-05-01 00:00:00' AS dbt_updated_at, TIMESTAMP '2024-05-01 00:00:00' AS dbt_valid_from,
+         CASE WHEN product_id IN (SELECT product_id FROM changed) THEN TIMESTAMP '2024-05-02 00:00:00' END AS dbt_valid_to
+  FROM p1
+  UNION ALL
+  SELECT p2.*, md5(product_id || '|' || '2024-05-02 00:00:00'),
+         TIMESTAMP '2024-05-02 00:00:00', TIMESTAMP '2024-05-02 00:00:00', CAST(NULL AS TIMESTAMP)
+  FROM p2 WHERE product_id IN (SELECT product_id FROM changed)
+     OR product_id NOT IN (SELECT product_id FROM p1))"""
+ORACLE["product_scd2_history"] = PRODUCT_HISTORY + "\nSELECT * FROM history"
+ORACLE["product_versions"] = PRODUCT_HISTORY + """
+SELECT product_id, dbt_valid_from AS vrsn_strt_dts,
+       COALESCE(dbt_valid_to, TIMESTAMP '9999-12-31 00:00:00') AS vrsn_end_dts,
+       product_name, category, selling_price, model_number, about_product, product_specification,
+       technical_details, shipping_weight, product_dimensions, time_zone, source_sys_name, instnc_st_nm,
+       process_id, process_name, insert_dts, update_dts
+FROM history"""
+
+# --------------------------------------------------------------- data quality
+ORACLE["dq_unique_lineitem_key"] = """
+SELECT unique_field, COUNT(*) AS n_records
+FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS unique_field FROM lineitem)
+WHERE unique_field IS NOT NULL GROUP BY unique_field HAVING COUNT(*) > 1"""
+ORACLE["dq_not_null_combined_temperature"] = _retail("SELECT * FROM combined WHERE temperature IS NULL")
+ORACLE["dq_accepted_order_priority"] = """
+SELECT o_orderpriority AS value_field, COUNT(*) AS n_records FROM orders GROUP BY 1
+HAVING o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')"""
+ORACLE["dq_duplicate_lineitem_keys"] = """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS count FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1"""
+ORACLE["dq_unique_dim_date_id"] = _retail("""
+SELECT date_id AS unique_field, COUNT(*) AS n_records FROM dim_date
+WHERE date_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1""")

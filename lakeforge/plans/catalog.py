@@ -434,3 +434,73 @@ def dq_unique_dim_date_id(spark, sf_dir):
     from lakeforge.plans import retail
 
     return check_unique(retail.dim_date(_retail(spark, sf_dir)["stage_dept"], RETAIL_NOW1), "date_id")
+
+
+# ------------------------------------------------------------------ countries
+COUNTRY_NOW = "2024-04-01 00:00:00"
+
+
+def _country_transform(spark, sf_dir):
+    from lakeforge.plans import countries
+
+    docs = countries.documents_from_driver(*(read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")))
+    return countries.country_transform(countries.country_raw(docs, COUNTRY_NOW), COUNTRY_NOW)
+
+
+@register("country_transform")
+def country_transform(spark, sf_dir):
+    """G2, G3, G4, J8 + variant path reads with casts."""
+    return _country_transform(spark, sf_dir)
+
+
+def _mart_query(continent):
+    def q(spark, sf_dir):
+        from lakeforge.plans import countries
+
+        return countries.mart(_country_transform(spark, sf_dir), continent)
+
+    q.__doc__ = f"F6: continent mart for {continent}."
+    return q
+
+
+for _c in ("Africa", "Antarctica", "Asia", "Europe", "North America", "Oceania", "South America"):
+    register("country_mart_" + _c.lower().replace(" ", "_"))(_mart_query(_c))
+
+
+@register("dq_unique_country_raw")
+def dq_unique_country_raw(spark, sf_dir):
+    """Q1 on a variant column (grouped on its JSON text)."""
+    from lakeforge.operators import check_unique
+    from lakeforge.plans import countries
+
+    docs = countries.documents_from_driver(*(read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")))
+    return check_unique(countries.country_raw(docs, COUNTRY_NOW), "source_data")
+
+
+@register("dq_unique_country_key")
+def dq_unique_country_key(spark, sf_dir):
+    """Q1 on the concatenated mart key of the transform."""
+    from lakeforge.operators import check_unique
+    from lakeforge.plans import countries
+
+    t = _country_transform(spark, sf_dir)
+    return check_unique(t, countries.mart_key(t))
+
+
+@register("dq_not_null_country_key")
+def dq_not_null_country_key(spark, sf_dir):
+    """Q2 on the concatenated mart key."""
+    from lakeforge.operators import check_not_null
+    from lakeforge.plans import countries
+
+    t = _country_transform(spark, sf_dir)
+    return check_not_null(t, countries.mart_key(t))
+
+
+@register("dq_accepted_continent_asia")
+def dq_accepted_continent_asia(spark, sf_dir):
+    """Q3 on the Asia mart: the accepted value 'Asia' vs the data's 'ASIA'."""
+    from lakeforge.operators import check_accepted
+    from lakeforge.plans import countries
+
+    return check_accepted(countries.mart(_country_transform(spark, sf_dir), "Asia"), "country_continent_name", ["Asia"])

@@ -421,3 +421,56 @@ SELECT l_orderkey, l_linenumber, COUNT(*) AS count FROM lineitem GROUP BY 1, 2 H
 ORACLE["dq_unique_dim_date_id"] = _retail("""
 SELECT date_id AS unique_field, COUNT(*) AS n_records FROM dim_date
 WHERE date_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1""")
+
+# ------------------------------------------------------------------ countries
+COUNTRY_BASE = """
+base AS (
+  SELECT c.*, n.n_name, n.n_nationkey, n.n_regionkey, r.r_name
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+con AS (
+  SELECT base.*, unnest(CASE WHEN c_acctbal < 0 THEN [r_name, 'Antarctica'] ELSE [r_name] END) AS continent FROM base),
+cur AS (
+  SELECT c_custkey, substr(c_mktsegment, 1, 3) AS code, lower(c_mktsegment) AS cname, '$' AS symbol
+  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+  UNION ALL
+  SELECT c_custkey, 'EUR', 'Euro', '€' FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' AND c_nationkey % 5 = 0),
+transform AS (
+  SELECT c_name || ' Republic' AS country_official_name, c_name AS country_common_name,
+         '[' || CAST(n_nationkey AS VARCHAR) || ',' || CAST(n_regionkey AS VARCHAR) || ']' AS country_latlng,
+         continent AS country_continent_name, n_name AS country_region_name,
+         CASE WHEN c_nationkey % 2 = 0 THEN 'Sub ' || n_name END AS country_subregion_name,
+         '["Capital ' || CAST(con.c_custkey AS VARCHAR) || '"]' AS country_capital_name,
+         '[' || CAST(c_nationkey AS VARCHAR) || ',0]' AS country_capital_latlng,
+         CAST(round(c_acctbal) AS INTEGER) AS country_total_area,
+         con.c_custkey * 1000 AS country_population,
+         cur.code AS country_currency, cur.cname AS country_currency_name, cur.symbol AS country_currency_symbol,
+         'https://flags.example/' || CAST(con.c_custkey AS VARCHAR) || '.png' AS country_flag,
+         'https://maps.example/' || CAST(con.c_custkey AS VARCHAR) AS country_map,
+         '{"lng":"Lang ' || CAST(c_nationkey AS VARCHAR) || '"}' AS country_language,
+         CASE WHEN c_nationkey % 2 = 0 THEN 'monday' ELSE 'sunday' END AS country_start_of_week,
+         c_acctbal > 0 AS country_un_member_status,
+         CASE WHEN c_nationkey % 4 = 0 THEN 'left' ELSE 'right' END AS country_driving_lane,
+         TIMESTAMP '2024-04-01 00:00:00' AS insert_dts
+  FROM con JOIN cur ON con.c_custkey = cur.c_custkey)"""
+
+
+def _country(body: str) -> str:
+    return f"WITH {COUNTRY_BASE}\n{body}"
+
+
+ORACLE["country_transform"] = _country("SELECT * FROM transform")
+for _c in ("Africa", "Antarctica", "Asia", "Europe", "North America", "Oceania", "South America"):
+    ORACLE["country_mart_" + _c.lower().replace(" ", "_")] = _country(
+        f"SELECT * FROM transform WHERE upper(country_continent_name) = '{_c.upper()}'")
+ORACLE["dq_unique_country_raw"] = """
+SELECT c_name AS unique_field, COUNT(*) AS n_records FROM customer GROUP BY 1 HAVING COUNT(*) > 1"""
+ORACLE["dq_unique_country_key"] = _country("""
+SELECT k AS unique_field, COUNT(*) AS n_records
+FROM (SELECT country_common_name || country_continent_name || country_currency_name AS k FROM transform)
+WHERE k IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1""")
+ORACLE["dq_not_null_country_key"] = _country("""
+SELECT * FROM transform WHERE country_common_name || country_continent_name || country_currency_name IS NULL""")
+ORACLE["dq_accepted_continent_asia"] = _country("""
+SELECT country_continent_name AS value_field, COUNT(*) AS n_records
+FROM transform WHERE upper(country_continent_name) = 'ASIA'
+GROUP BY 1 HAVING country_continent_name NOT IN ('Asia')""")

@@ -504,3 +504,82 @@ def dq_accepted_continent_asia(spark, sf_dir):
     from lakeforge.plans import countries
 
     return check_accepted(countries.mart(_country_transform(spark, sf_dir), "Asia"), "country_continent_name", ["Asia"])
+
+
+# ------------------------------------------------------------ scalar functions
+FN_TODAY = "2025-06-30"
+
+
+def _fn(name: str):
+    def q(spark, sf_dir):
+        _prep(spark)
+        table, build = _fns()[name]
+        return build(read_table(spark, sf_dir, table))
+
+    q.__doc__ = f"Scalar function query {name} (SURVEY 2.6)."
+    return q
+
+
+def _fns():
+    from lakeforge import functions as lf
+
+    today = F.lit(FN_TODAY).cast("date")
+    view_null = F.when(F.col("event_type") == "view", F.lit(None)).otherwise(F.col("event_type"))
+    return {
+        "fn_from_unixtime": ("events", lambda d: d.select(
+            "event_id",
+            lf.epoch_ms_to_ts(lf.ts_to_epoch_ms("ts")).alias("time_s"),
+            lf.epoch_ms_exact(lf.ts_to_epoch_ms("ts")).alias("time_ms"))),
+        "fn_date_trunc": ("events", lambda d: d.select(
+            "event_id",
+            F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_ts"),
+            F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day_ts"))),
+        "fn_sha2": ("events", lambda d: d.select("event_id", lf.hash_id("event_id", "event_type").alias("h"))),
+        "fn_concat_ws": ("events", lambda d: d.select(
+            "event_id", F.concat_ws("_", view_null, F.col("user_id").cast("string")).alias("joined"))),
+        "fn_substr": ("events", lambda d: d.select("event_id", lf.hash_id("event_id", "event_type", length=15).alias("h15"))),
+        "fn_round": ("events", lambda d: d.select(
+            "event_id", F.round("value", 1).alias("r1"), F.round("value", 0).alias("r0"))),
+        "fn_split_part": ("part", lambda d: d.select(
+            "p_partkey", *[lf.name_part("p_name", k).alias(f"w{k}") for k in (1, 2, 3)])),
+        "fn_datediff_year": ("orders", lambda d: d.select(
+            "o_orderkey", lf.year_boundaries(F.col("o_orderdate").cast("date"), today).alias("years"))),
+        "fn_datediff_day": ("orders", lambda d: d.select(
+            "o_orderkey", lf.days_between(F.col("o_orderdate").cast("date"), today).alias("days"))),
+        "fn_year": ("orders", lambda d: d.select("o_orderkey", F.year("o_orderdate").alias("yr"))),
+        "fn_to_char": ("orders", lambda d: d.select("o_orderkey", lf.iso_date_text("o_orderdate").alias("date_id"))),
+        "fn_upper": ("part", lambda d: d.select("p_partkey", F.upper("p_name").alias("name_uc"))),
+        "fn_coalesce_nullif_case": ("orders", lambda d: d.select(
+            "o_orderkey",
+            F.coalesce(F.nullif(F.col("o_orderstatus"), F.lit("O")), F.lit("open")).alias("status"),
+            F.when(F.col("o_totalprice") > 100000, "big").otherwise("small").alias("size"))),
+        "fn_concat": ("customer", lambda d: d.select(
+            "c_custkey",
+            F.concat(F.col("c_name"), F.lit("-"), F.when(F.col("c_nationkey") % 2 == 0, F.col("c_mktsegment"))).alias("joined"))),
+        "fn_arithmetic": ("lineitem", lambda d: d.select(
+            "l_orderkey", "l_linenumber",
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
+            (F.col("l_quantity") / F.col("l_linenumber")).alias("per_line"),
+            (F.col("l_linenumber") / 2).alias("half_line"))),
+        "fn_variant_get": ("events", lambda d: d.select(
+            "event_id", F.variant_get(F.parse_json("props"), "$.k", "int").alias("k"))),
+        "fn_surrogate_key": ("lineitem", lambda d: d.select(
+            "l_orderkey", "l_linenumber",
+            lf.surrogate_key([F.col("l_orderkey"), F.col("l_linenumber"),
+                              F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))]).alias("sk"))),
+        "fn_cast_round_int": ("events", lambda d: d.select(
+            "event_id", F.round("value", 0).cast("int").alias("v_int"), F.col("user_id").cast("double").alias("u_dbl"))),
+        "fn_na_to_zero": ("lineitem", lambda d: d.select(
+            "l_orderkey", "l_linenumber",
+            lf.na_to_zero(F.when(F.col("l_returnflag") == "N", F.lit("NA")).otherwise(F.col("l_quantity").cast("string"))).alias("m"))),
+    }
+
+
+FN_NAMES = [
+    "fn_from_unixtime", "fn_date_trunc", "fn_sha2", "fn_concat_ws", "fn_substr", "fn_round",
+    "fn_split_part", "fn_datediff_year", "fn_datediff_day", "fn_year", "fn_to_char", "fn_upper",
+    "fn_coalesce_nullif_case", "fn_concat", "fn_arithmetic", "fn_variant_get", "fn_surrogate_key",
+    "fn_cast_round_int", "fn_na_to_zero",
+]
+for _name in FN_NAMES:
+    register(_name)(_fn(_name))

@@ -474,3 +474,34 @@ ORACLE["dq_accepted_continent_asia"] = _country("""
 SELECT country_continent_name AS value_field, COUNT(*) AS n_records
 FROM transform WHERE upper(country_continent_name) = 'ASIA'
 GROUP BY 1 HAVING country_continent_name NOT IN ('Asia')""")
+
+# ------------------------------------------------------------ scalar functions
+_VIEW_NULL = "CASE WHEN event_type = 'view' THEN NULL ELSE event_type END"
+ORACLE.update({
+    "fn_from_unixtime": "SELECT event_id, date_trunc('second', ts) AS time_s, date_trunc('millisecond', ts) AS time_ms FROM events",
+    "fn_date_trunc": "SELECT event_id, date_trunc('hour', ts) AS hour_ts, date_trunc('day', ts) AS day_ts FROM events",
+    "fn_sha2": "SELECT event_id, sha256(CAST(event_id AS VARCHAR) || '_' || event_type) AS h FROM events",
+    "fn_concat_ws": f"SELECT event_id, concat_ws('_', {_VIEW_NULL}, CAST(user_id AS VARCHAR)) AS joined FROM events",
+    "fn_substr": "SELECT event_id, substr(sha256(CAST(event_id AS VARCHAR) || '_' || event_type), 1, 15) AS h15 FROM events",
+    "fn_round": "SELECT event_id, round(value, 1) AS r1, round(value, 0) AS r0 FROM events",
+    "fn_split_part": "SELECT p_partkey, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2, split_part(p_name, ' ', 3) AS w3 FROM part",
+    "fn_datediff_year": "SELECT o_orderkey, CAST(year(DATE '2025-06-30') - year(o_orderdate) AS INTEGER) AS years FROM orders",
+    "fn_datediff_day": "SELECT o_orderkey, CAST(datediff('day', CAST(o_orderdate AS DATE), DATE '2025-06-30') AS INTEGER) AS days FROM orders",
+    "fn_year": "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders",
+    "fn_to_char": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date_id FROM orders",
+    "fn_upper": "SELECT p_partkey, upper(p_name) AS name_uc FROM part",
+    "fn_coalesce_nullif_case": """SELECT o_orderkey, COALESCE(NULLIF(o_orderstatus, 'O'), 'open') AS status,
+       CASE WHEN o_totalprice > 100000 THEN 'big' ELSE 'small' END AS size FROM orders""",
+    "fn_concat": """SELECT c_custkey, c_name || '-' || CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment END AS joined
+FROM customer""",
+    "fn_arithmetic": """SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net,
+       l_quantity / l_linenumber AS per_line, l_linenumber / 2 AS half_line FROM lineitem""",
+    "fn_variant_get": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+    "fn_surrogate_key": """SELECT l_orderkey, l_linenumber,
+       md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
+           COALESCE(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, '_dbt_utils_surrogate_key_null_')) AS sk
+FROM lineitem""",
+    "fn_cast_round_int": "SELECT event_id, CAST(round(value) AS INTEGER) AS v_int, CAST(user_id AS DOUBLE) AS u_dbl FROM events",
+    "fn_na_to_zero": """SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) END AS m FROM lineitem""",
+})

@@ -583,3 +583,178 @@ FN_NAMES = [
 ]
 for _name in FN_NAMES:
     register(_name)(_fn(_name))
+
+
+# ------------------------------------------------- sources, sinks and streams
+def _land_json(df: DataFrame, path: str, deliveries: int = 1) -> None:
+    """Write rows as JSON-lines files (the landed feed), in deliveries."""
+    df.write.mode("error").json(path)
+
+
+@register("stream_quake_bronze")
+def stream_quake_bronze(spark, sf_dir):
+    """S2/S3, S14, T-1…T-3, T-5: JSON file stream, flattened, drained."""
+    from lakeforge.session import scratch_path
+    from lakeforge.streaming import drain, json_stream
+
+    _prep(spark)
+    root = scratch_path(spark, "quake-bronze")
+    _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
+    stream = json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_files_per_trigger=4)
+    drain(quakes.silver_transform(stream).select(*quakes.SILVER_COLUMNS), f"{root}/bronze", f"{root}/_ckpt/bronze")
+    return spark.read.parquet(f"{root}/bronze")
+
+
+@register("stream_quake_cdc_activity")
+def stream_quake_cdc_activity(spark, sf_dir):
+    """File stream → flatten → table stream → stream dedup (D2) →
+    sequenced CDC into a versioned table (M3, T-7) → hourly activity (A2)."""
+    from lakeforge.functions import hash_id
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import VersionedTable
+    from lakeforge.streaming import drain, json_stream, read_current, run_cdc_stream, stream_dedup, table_stream
+
+    _prep(spark)
+    root = scratch_path(spark, "quake-cdc")
+    _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
+    bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False))
+    drain(bronze, f"{root}/bronze", f"{root}/_ckpt/bronze")
+    silver = stream_dedup(table_stream(spark, f"{root}/bronze").select(*quakes.SILVER_COLUMNS))
+    silver = silver.withColumn("hash_id", hash_id("id", "time"))
+    table = VersionedTable(spark, f"{root}/silver", bucket_by=["hash_id"])
+    run_cdc_stream(silver, table, f"{root}/_ckpt/silver", ["hash_id"], "updated").awaitTermination()
+    return rounded(quakes.seismic_activity(read_current(table)), {"avg_mag": 6})
+
+
+@register("stream_variant_landing")
+def stream_variant_landing(spark, sf_dir):
+    """JSON records into one VARIANT column, continuously loaded."""
+    from lakeforge.session import scratch_path
+    from lakeforge.streaming import drain, variant_stream
+
+    root = scratch_path(spark, "landing")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    _land_json(ev, f"{root}/raw")
+    drain(variant_stream(spark, f"{root}/raw"), f"{root}/landed", f"{root}/_ckpt")
+    landed = spark.read.parquet(f"{root}/landed")
+    return landed.select(
+        F.variant_get("data", "$.event_id", "bigint").alias("event_id"),
+        F.variant_get("data", "$.user_id", "bigint").alias("user_id"),
+        F.variant_get("data", "$.event_type", "string").alias("event_type"),
+        F.variant_get("data", "$.value", "double").alias("value"),
+        F.variant_get("data", "$.props", "string").alias("props"),
+    )
+
+
+@register("stream_events_dedup")
+def stream_events_dedup(spark, sf_dir):
+    """D2/T-6: the same rows delivered twice; stream dedup keeps one copy."""
+    from lakeforge.session import scratch_path
+    from lakeforge.streaming import drain, stream_dedup, table_stream
+
+    root = scratch_path(spark, "dedup")
+    ev = read_table(spark, sf_dir, "events")
+    ev.write.parquet(f"{root}/in/delivery=1")
+    ev.write.parquet(f"{root}/in/delivery=2")
+    stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+    drain(stream_dedup(stream), f"{root}/out", f"{root}/_ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+CUSTOMER_CSV_FIELDS = [
+    "contactfirstname", "contactlastname", "customername", "phone", "addressline1", "addressline2",
+    "city", "state", "postalcode", "country", "territory",
+]
+
+
+@register("stream_customer_scd1")
+def stream_customer_scd1(spark, sf_dir):
+    """E5: CSV change files (two deliveries, then an empty drain) → change
+    stream (M9) → run only with data (M10) → SCD1 MERGE (M2) → versioned,
+    all-or-nothing publish (M11)."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from lakeforge.plans import changes_jobs as cj
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import CsvDialect, VersionedTable
+    from lakeforge.streaming import csv_stream, read_current, run_scd1_stream
+
+    root = scratch_path(spark, "customer-scd1")
+    c = read_table(spark, sf_dir, "customer")
+    batch = cj.customer_batch(c)
+    schema = StructType([StructField(n, StringType()) for n in CUSTOMER_CSV_FIELDS])
+    dialect = CsvDialect.with_null_tokens("NULL", "null")
+    table = VersionedTable(spark, f"{root}/customer")
+    for i, seg in enumerate(["MACHINERY", "BUILDING", None], start=1):
+        if seg is not None:
+            (batch.filter(F.col("territory") == seg).write.option("header", "true")
+             .option("nullValue", "NULL").csv(f"{root}/landing/delivery={i}"))
+        stream = csv_stream(spark, f"{root}/landing", schema, dialect)
+        run_scd1_stream(stream, table, f"{root}/_ckpt", ["contactfirstname", "contactlastname"],
+                        now=lambda: cj.CUSTOMER_T1, initial=cj.customer_target(c)).awaitTermination()
+    return read_current(table)
+
+
+@register("csv_reload_visits")
+def csv_reload_visits(spark, sf_dir):
+    """Full reload of a bronze table from CSV (truncate + load)."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import CsvDialect, VersionedTable, read_csv, replace_table
+
+    root = scratch_path(spark, "reload")
+    visits = _health_bronze(spark, sf_dir)["visits"]
+    visits.write.option("header", "true").option("quoteAll", "true").csv(f"{root}/files")
+    schema = StructType([StructField(n, StringType()) for n in visits.columns])
+    df = read_csv(spark, f"{root}/files", schema, CsvDialect.simple())
+    replace_table(spark, df, f"{root}/visits_raw")   # first load
+    replace_table(spark, df, f"{root}/visits_raw")   # forced reload: same rows again
+    return VersionedTable(spark, f"{root}/visits_raw").read()
+
+
+PRODUCT_CSV_FIELDS = [
+    "product_id", "product_name", "category", "selling_price", "model_number", "about_product",
+    "product_specification", "technical_details", "shipping_weight", "product_dimensions",
+]
+
+
+@register("csv_load_products")
+def csv_load_products(spark, sf_dir):
+    """CSV with 'NULL' tokens loaded into a wider column list."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from lakeforge.plans import changes_jobs as cj
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import CsvDialect, load_csv
+
+    root = scratch_path(spark, "products")
+    rows = cj.product_load(read_table(spark, sf_dir, "part"), 1).select(*PRODUCT_CSV_FIELDS)
+    rows.write.option("header", "true").option("nullValue", "NULL").csv(f"{root}/files")
+    schema = StructType([StructField(n, StringType()) for n in PRODUCT_CSV_FIELDS])
+    target = [(n, "string") for n in PRODUCT_CSV_FIELDS] + [("source_file_name", "string")]
+    return load_csv(spark, f"{root}/files", schema, target, CsvDialect.with_null_tokens("NULL", "null"))
+
+
+@register("csv_lineage_products")
+def csv_lineage_products(spark, sf_dir):
+    """CSV rows with source file name and row number in the file."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from lakeforge.plans import changes_jobs as cj
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import CsvDialect, load_csv_with_lineage
+
+    root = scratch_path(spark, "lineage")
+    rows = cj.product_load(read_table(spark, sf_dir, "part"), 1).select(*PRODUCT_CSV_FIELDS)
+    rows.repartition(4).write.option("header", "true").csv(f"{root}/files")
+    schema = StructType([StructField(n, StringType()) for n in PRODUCT_CSV_FIELDS])
+    return load_csv_with_lineage(spark, f"{root}/files", schema, CsvDialect.simple(), now=cj.PRODUCT_T1)
+
+
+@register("table_inventory_driver")
+def table_inventory_driver(spark, sf_dir):
+    """Tables of the driver folder with row counts, ordered by name."""
+    from lakeforge.sources import parquet_tables, table_inventory
+
+    return table_inventory(spark, parquet_tables(spark, sf_dir))

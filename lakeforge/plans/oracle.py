@@ -505,3 +505,19 @@ FROM lineitem""",
     "fn_na_to_zero": """SELECT l_orderkey, l_linenumber,
        CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) END AS m FROM lineitem""",
 })
+
+# ------------------------------------------------- sources, sinks and streams
+ORACLE["stream_quake_bronze"] = QUAKE_FLAT
+ORACLE["stream_quake_cdc_activity"] = ORACLE["quake_seismic_activity"]
+ORACLE["stream_variant_landing"] = "SELECT event_id, user_id, event_type, value, props FROM events"
+ORACLE["stream_events_dedup"] = "SELECT DISTINCT * FROM events"
+ORACLE["stream_customer_scd1"] = ORACLE["customer_scd1_merge"]
+ORACLE["csv_reload_visits"] = f"WITH {HEALTH_BRONZE}\nSELECT * FROM visits"
+ORACLE["csv_load_products"] = f"""
+SELECT product_id, product_name, category, selling_price, model_number, about_product, product_specification,
+       technical_details, shipping_weight, product_dimensions, CAST(NULL AS VARCHAR) AS source_file_name
+FROM ({_product_load(1)})"""
+ORACLE["table_inventory_driver"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
+    for t in sorted("region nation customer supplier part orders lineitem events documents "
+                    "embeddings pages benchmark labels conversations".split()))

@@ -191,10 +191,9 @@ def _retail(spark, sf_dir):
 
     _prep(spark)
     b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
-    d = retail.stage_dept(b["department"], RETAIL_NOW1)
     st = retail.stage_store(b["stores"], RETAIL_NOW1)
     s = retail.stg_fact(b["fact"], RETAIL_NOW1)
-    combined = retail.combined_fact(d, s, st)
+    combined = retail.combined_fact(retail.stage_dept(b["department"], RETAIL_NOW1, numbered=False), s, st)
     # Second load: sales of department 1 move (new versions); markdown1 of
     # department 2 moves too, which is not a checked column (trap T13).
     changed = combined.withColumns({
@@ -203,13 +202,21 @@ def _retail(spark, sf_dir):
     })
     h1 = retail.fact_snapshot(None, combined, RETAIL_NOW1)
     h2 = retail.fact_snapshot(h1, changed, RETAIL_NOW2)
-    return {"bronze": b, "stage_dept": d, "stage_store": st, "stg_fact": s, "combined": combined, "history": h2}
+    return {"bronze": b, "stage_store": st, "stg_fact": s, "combined": combined, "history": h2}
+
+
+def _retail_stage_dept(spark, sf_dir, numbered: bool = True):
+    from lakeforge.plans import retail
+
+    _prep(spark)
+    b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
+    return retail.stage_dept(b["department"], RETAIL_NOW1, numbered=numbered)
 
 
 @register("retail_stage_dept")
 def retail_stage_dept(spark, sf_dir):
     """Department staging with a distributed global row number."""
-    return _retail(spark, sf_dir)["stage_dept"]
+    return _retail_stage_dept(spark, sf_dir)
 
 
 @register("retail_stg_fact")
@@ -243,7 +250,7 @@ def retail_dim_date(spark, sf_dir):
     """M4: incremental date dimension keyed by row number, loaded twice."""
     from lakeforge.plans import retail
 
-    d = _retail(spark, sf_dir)["stage_dept"]
+    d = _retail_stage_dept(spark, sf_dir)
     return retail.incremental(retail.dim_date(d, RETAIL_NOW1), retail.dim_date(d, RETAIL_NOW2), "row_num")
 
 
@@ -262,7 +269,7 @@ def retail_dim_department(spark, sf_dir):
     """Department dimension view (ids repeat, as in the source model)."""
     from lakeforge.plans import retail
 
-    return retail.dim_department(_retail(spark, sf_dir)["stage_dept"])
+    return retail.dim_department(_retail_stage_dept(spark, sf_dir, numbered=False))
 
 
 def _reports(spark, sf_dir):
@@ -270,7 +277,9 @@ def _reports(spark, sf_dir):
 
     r = _retail(spark, sf_dir)
     ff = retail.final_fact(r["history"])
-    return retail, retail.dim_date(r["stage_dept"], RETAIL_NOW1), retail.dim_store(r["stage_store"], RETAIL_NOW1), ff
+    # The reports read DATE_ID, STORE_DATE and ISHOLIDAY only: no ROW_NUM.
+    dd = retail.dim_date(_retail_stage_dept(spark, sf_dir, numbered=False), RETAIL_NOW1)
+    return retail, dd, retail.dim_store(r["stage_store"], RETAIL_NOW1), ff
 
 
 @register("retail_sales_by_store_holiday")
@@ -433,7 +442,7 @@ def dq_unique_dim_date_id(spark, sf_dir):
     from lakeforge.operators import check_unique
     from lakeforge.plans import retail
 
-    return check_unique(retail.dim_date(_retail(spark, sf_dir)["stage_dept"], RETAIL_NOW1), "date_id")
+    return check_unique(retail.dim_date(_retail_stage_dept(spark, sf_dir, numbered=False), RETAIL_NOW1), "date_id")
 
 
 # ------------------------------------------------------------------ countries

@@ -69,11 +69,17 @@ def bronze_from_driver(lineitem: DataFrame, supplier: DataFrame) -> dict[str, Da
 
 
 # ------------------------------------------------------------------ silver
-def stage_dept(department: DataFrame, now) -> DataFrame:
-    """W2 + F3 + F11: global row number by date (tie-break store, dept)."""
-    numbered = global_row_number(department, ["date", "store", "dept"], name="row_num")
-    return numbered.select(
-        "row_num",
+def stage_dept(department: DataFrame, now, numbered: bool = True) -> DataFrame:
+    """W2 + F3 + F11: global row number by date (tie-break store, dept).
+
+    ``numbered=False`` leaves out ROW_NUM for consumers that never read it
+    (the joined fact, the reports); the numbering costs a range shuffle
+    and a checkpoint.
+    """
+    if numbered:
+        department = global_row_number(department, ["date", "store", "dept"], name="row_num")
+    return department.select(
+        *(["row_num"] if numbered else []),
         iso_date_text("date").alias("date_id"),
         F.col("store").alias("store_id"),
         F.col("dept").alias("dept_id"),
@@ -136,7 +142,8 @@ def final_fact(history: DataFrame) -> DataFrame:
 
 
 def dim_date(stage: DataFrame, now) -> DataFrame:
-    return stage.select("row_num", "date_id", "store_date", "isholiday", F.lit(now).cast("timestamp_ntz").alias("update_date"))
+    key = ["row_num"] if "row_num" in stage.columns else []
+    return stage.select(*key, "date_id", "store_date", "isholiday", F.lit(now).cast("timestamp_ntz").alias("update_date"))
 
 
 def dim_store(stage: DataFrame, now) -> DataFrame:

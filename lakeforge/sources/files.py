@@ -47,6 +47,8 @@ class CsvDialect:
         opts = {
             "sep": self.delimiter,
             "quote": self.quote,
+            # A quote inside a quoted field is written doubled ("a""b").
+            "escape": self.quote,
             "header": str(self.header).lower(),
             "enforceSchema": "true",
             "mode": "PERMISSIVE",

@@ -37,8 +37,8 @@ class VersionedTable:
         self.buckets = buckets
 
     # ------------------------------------------------------------ versions
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first."""
+    def _version_dirs(self) -> list[tuple[int, bool]]:
+        """(version, committed) for every version folder, oldest first."""
         fs, root, jvm = _fs(self.spark, self.root)
         if not fs.exists(root):
             return []
@@ -46,10 +46,14 @@ class VersionedTable:
         for st in fs.listStatus(root):
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v="):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[2:]))
+                done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+                out.append((int(name[2:]), bool(done)))
         return sorted(out)
 
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first."""
+        return [v for v, done in self._version_dirs() if done]
+
     def exists(self) -> bool:
         return bool(self.versions())
 
@@ -69,8 +73,10 @@ class VersionedTable:
         With ``bucket_by`` the rows are hash-partitioned on the key before
         the write, so a later keyed merge reads co-partitioned files.
         """
-        vs = self.versions()
-        nxt = (vs[-1] + 1) if vs else 1
+        # Number past every folder, committed or not: an attempt that
+        # failed mid-write is never reused and never becomes visible.
+        seen = self._version_dirs()
+        nxt = (seen[-1][0] + 1) if seen else 1
         out = df
         if self.bucket_by:
             n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))

@@ -595,9 +595,10 @@ for _name in FN_NAMES:
 
 
 # ------------------------------------------------- sources, sinks and streams
-def _land_json(df: DataFrame, path: str, deliveries: int = 1) -> None:
-    """Write rows as JSON-lines files (the landed feed), in deliveries."""
-    df.write.mode("error").json(path)
+def _land_json(df: DataFrame, path: str, mode: str = "error") -> None:
+    """Write rows as JSON-lines files (the landed feed); ``append`` adds a
+    later delivery as new files next to the earlier ones."""
+    df.write.mode(mode).json(path)
 
 
 @register("stream_quake_bronze")
@@ -767,3 +768,26 @@ def table_inventory_driver(spark, sf_dir):
     from lakeforge.sources import parquet_tables, table_inventory
 
     return table_inventory(spark, parquet_tables(spark, sf_dir))
+
+
+@register("quake_gold_merge")
+def quake_gold_merge(spark, sf_dir):
+    """E1 end to end: two feed deliveries (the second repeats the first
+    half) → bronze drain (S14) → silver from the whole bronze table, merged
+    on hash_id (S15, M1) → hourly activity merged into gold (A2, M1, T15)."""
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import VersionedTable
+    from lakeforge.streaming import drain, json_stream
+
+    _prep(spark)
+    root = scratch_path(spark, "quake-e1")
+    ev = read_table(spark, sf_dir, "events")
+    silver_t = VersionedTable(spark, f"{root}/silver", bucket_by=["hash_id"])
+    gold_t = VersionedTable(spark, f"{root}/gold")
+    deliveries = [ev.filter(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")), ev]
+    for i, part in enumerate(deliveries):
+        _land_json(quakes.feed_from_events(part), f"{root}/raw", "error" if i == 0 else "append")
+        drain(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False), f"{root}/bronze", f"{root}/_ckpt")
+        silver_t.upsert(quakes.silver(spark.read.parquet(f"{root}/bronze")), ["hash_id"])
+        gold_t.upsert(quakes.seismic_activity(silver_t.read()), ["hash_id"])
+    return rounded(gold_t.read(), {"avg_mag": 6})

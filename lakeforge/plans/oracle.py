@@ -521,3 +521,4 @@ ORACLE["table_inventory_driver"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
     for t in sorted("region nation customer supplier part orders lineitem events documents "
                     "embeddings pages benchmark labels conversations".split()))
+ORACLE["quake_gold_merge"] = ORACLE["quake_seismic_activity"]

@@ -20,19 +20,27 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+def _prep(spark: SparkSession) -> None:
+    quakes.use_utc(spark)
+    ensure_checkpoint_dir(spark)
+
+
 def register(name: str):
+    """Register a query; every query runs with a UTC session clock and the
+    shared checkpoint folder in place."""
+
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            _prep(spark)
+            return fn(spark, sf_dir)
+
+        run.__doc__, run.__name__ = fn.__doc__, fn.__name__
+        REGISTRY[name] = run
         return fn
 
     return deco
 
 
-def _prep(spark: SparkSession) -> None:
-    quakes.use_utc(spark)
-    ensure_checkpoint_dir(spark)
-
-
 def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), d) for c, d in digits.items()})
 
@@ -791,3 +799,45 @@ def quake_gold_merge(spark, sf_dir):
         silver_t.upsert(quakes.silver(spark.read.parquet(f"{root}/bronze")), ["hash_id"])
         gold_t.upsert(quakes.seismic_activity(silver_t.read()), ["hash_id"])
     return rounded(gold_t.read(), {"avg_mag": 6})
+
+
+# ------------------------------------------------------- small batch operators
+@register("lineitem_dedup_rows")
+def lineitem_dedup_rows(spark, sf_dir):
+    """Exact duplicate removal over all columns."""
+    from lakeforge.operators import dedup_rows
+
+    return dedup_rows(read_table(spark, sf_dir, "lineitem"))
+
+
+@register("orders_lookup")
+def orders_lookup(spark, sf_dir):
+    """conjunction of equality filters (pushed into the Parquet scan)."""
+    from lakeforge.operators import lookup
+
+    return lookup(read_table(spark, sf_dir, "orders"), o_orderstatus="F", o_orderpriority="1-URGENT")
+
+
+@register("orders_distinct_priority")
+def orders_distinct_priority(spark, sf_dir):
+    """DISTINCT values of a column."""
+    from lakeforge.operators import distinct_values
+
+    return distinct_values(read_table(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+@register("country_from_landing")
+def country_from_landing(spark, sf_dir):
+    """E3 from files: JSON array files → delete-then-load into a VARIANT
+    table (S8) → flatten (G2) → continents × currencies (G3, G4)."""
+    from lakeforge.plans import countries
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import VersionedTable, reload_variant
+
+    root = scratch_path(spark, "countries")
+    docs = countries.documents_from_driver(*(read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")))
+    docs.write.text(f"{root}/landing")
+    reload_variant(spark, f"{root}/landing", f"{root}/country_details_cp")
+    reload_variant(spark, f"{root}/landing", f"{root}/country_details_cp")  # re-run: replaced, not doubled
+    copied = VersionedTable(spark, f"{root}/country_details_cp").read()
+    return countries.country_transform(countries.country_raw(copied, COUNTRY_NOW), COUNTRY_NOW)

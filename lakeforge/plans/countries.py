@@ -61,8 +61,12 @@ def documents_from_driver(customer: DataFrame, nation: DataFrame, region: DataFr
 
 
 def country_raw(docs: DataFrame, now) -> DataFrame:
-    """JSON array → one variant row per element, with the load time."""
-    parsed = docs.select(F.parse_json("data").alias("data"))
+    """JSON array → one variant row per element, with the load time.
+
+    ``docs.data`` is JSON text or an already loaded VARIANT column.
+    """
+    is_text = docs.schema["data"].dataType.simpleString() == "string"
+    parsed = docs.select((F.parse_json("data") if is_text else F.col("data")).alias("data"))
     flat = explode_variant(parsed, "data", alias="source_data")
     return flat.select("source_data", F.lit(now).cast("timestamp_ntz").alias("insert_dts"))
 

@@ -522,3 +522,9 @@ ORACLE["table_inventory_driver"] = " UNION ALL ".join(
     for t in sorted("region nation customer supplier part orders lineitem events documents "
                     "embeddings pages benchmark labels conversations".split()))
 ORACLE["quake_gold_merge"] = ORACLE["quake_seismic_activity"]
+
+# ------------------------------------------------------- small batch operators
+ORACLE["lineitem_dedup_rows"] = "SELECT DISTINCT * FROM lineitem"
+ORACLE["orders_lookup"] = "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
+ORACLE["orders_distinct_priority"] = "SELECT DISTINCT o_orderpriority FROM orders"
+ORACLE["country_from_landing"] = ORACLE["country_transform"]

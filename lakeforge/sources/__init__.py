@@ -12,6 +12,7 @@ from lakeforge.sources.tables import (  # noqa: F401
     VersionedTable,
     parquet_tables,
     publish,
+    reload_variant,
     replace_table,
     table_inventory,
     write_or_upsert,

@@ -106,6 +106,16 @@ def replace_table(spark: SparkSession, df: DataFrame, root: str) -> int:
     return VersionedTable(spark, root).publish(df)
 
 
+def reload_variant(spark: SparkSession, path: str, root: str, column: str = "data") -> int:
+    """Delete-then-load of JSON files into a one-column VARIANT table.
+
+    Each JSON record (an array stays one value) becomes one row; the load
+    replaces the table's content as a new version.
+    """
+    df = spark.read.format("json").option("singleVariantColumn", column).load(path)
+    return replace_table(spark, df, root)
+
+
 def publish(spark: SparkSession, df: DataFrame, name: str, kind: str, root: str | None = None,
             unique_key: Sequence[str] | None = None):
     """Materialise a model as a table, a view or an incremental table."""

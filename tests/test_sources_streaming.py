@@ -155,3 +155,31 @@ def test_scd1_stream_from_csv(spark, tmp_dir):
                     initial=tgt).awaitTermination()
     got = rows(read_current(table))
     assert got == [("a", "b", "2", dt.datetime(2024, 1, 1), T1), ("c", "d", '3,"x"', T1, T1)]
+
+
+def test_infer_schema_from_sample_then_stream(spark, tmp_dir):
+    from lakeforge.sources import infer_json_schema
+
+    os.makedirs(f"{tmp_dir}/raw")
+    with open(f"{tmp_dir}/raw/sample.json", "w") as f:
+        f.write('{"type": "FeatureCollection",\n "features": [{"id": "a", "properties": {"mag": 1.5, "time": 1}}]}')
+    schema = infer_json_schema(spark, f"{tmp_dir}/raw/sample.json")
+    assert schema["features"].dataType.elementType["properties"].dataType["mag"].dataType.simpleString() == "double"
+    drain(json_stream(spark, f"{tmp_dir}/raw", schema), f"{tmp_dir}/out", f"{tmp_dir}/ck")
+    got = spark.read.parquet(f"{tmp_dir}/out").selectExpr("explode(features) f").select("f.id", "f.properties.mag")
+    assert rows(got) == [("a", 1.5)]
+
+
+def test_publish_kinds(spark, tmp_dir):
+    from lakeforge.sources import publish
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert publish(spark, df, "v_model", "view") == "v_model"
+    assert spark.table("v_model").count() == 2
+    assert publish(spark, df, "t", "table", root=f"{tmp_dir}/t") == 1
+    assert publish(spark, df, "t", "table", root=f"{tmp_dir}/t") == 2  # replace = new version
+    inc = f"{tmp_dir}/inc"
+    publish(spark, df, "i", "incremental", root=inc, unique_key=["k"])
+    publish(spark, spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string"), "i", "incremental",
+            root=inc, unique_key=["k"])
+    assert rows(VersionedTable(spark, inc).read()) == [(1, "a"), (2, "B"), (3, "c")]

@@ -8,9 +8,9 @@ Scale notes
   split off *before* the keyed join and unioned back, so a flood of NULL
   keys (which would all hash to one shuffle partition) never reaches the
   join.
-- Duplicate source keys are detected with a grouped count (partial
-  aggregation, skew-safe); the grouped output is already partitioned on
-  the key, so the following join on the same key reuses it.
+- Duplicate source keys are detected with a count over a window
+  partitioned by the key: the following join on the same key needs the
+  same partitioning and order, so the check costs no extra exchange.
 - SCD2 only shuffles the *open* versions and the source; closed history
   passes through untouched.
 """
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeforge.operators.clean import latest_per_key
@@ -58,23 +58,15 @@ def unique_source(
         return latest_per_key(source, keys, order_by or [])
     if on_duplicate != "error":
         raise ValueError(on_duplicate)
-    cols = source.columns
-    grouped = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.first(F.struct(*[F.col(c) for c in cols])).alias("_row"),
-    )
-    return grouped.select(
-        *[
-            F.when(
-                F.col("_n") > 1,
-                F.raise_error(F.lit("duplicate source key in merge")),
-            )
-            .otherwise(F.col(f"_row.{c}"))
-            .cast(source.schema[c].dataType)
-            .alias(c)
-            for c in cols
-        ]
-    )
+    # The keyed merge join that follows needs the source hash-partitioned
+    # and sorted on the key; a count over a window partitioned by the key
+    # needs exactly the same, so the check adds no exchange and no sort.
+    # On valid input every key group holds one row; a repeated key fails.
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    checked = source.withColumn("_n", n)
+    return checked.filter(
+        F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate source key in merge"))).otherwise(F.lit(True))
+    ).drop("_n")
 
 
 def upsert(

@@ -17,7 +17,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeforge.session import ensure_checkpoint_dir
+from lakeforge.session import ensure_checkpoint_dir, materialize
 
 
 def _cols(items) -> list[Column]:
@@ -77,7 +77,8 @@ def global_row_number(
     1. range-partition on the ordering and sort inside each partition;
     2. give each row its in-partition position
        (``monotonically_increasing_id`` = partition << 33 | position);
-    3. checkpoint, so both passes see the same partition contents;
+    3. materialise (Parquet in the shared checkpoint folder), so both
+       passes read the same numbered rows;
     4. count rows per partition (one row per partition), prefix-sum the
        counts into offsets and add them back with a broadcast join whose
        size is bounded by the partition count.
@@ -93,8 +94,8 @@ def global_row_number(
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    ranged = materialize(ranged, "row-number")
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
     )

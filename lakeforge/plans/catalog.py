@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.plans import quakes
-from lakeforge.session import ensure_checkpoint_dir, read_table
+from lakeforge.session import ensure_checkpoint_dir, materialize, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -193,30 +193,48 @@ RETAIL_NOW1 = "2024-03-01 00:00:00"
 RETAIL_NOW2 = "2024-03-02 00:00:00"
 
 
-def _retail(spark, sf_dir):
-    """Bronze, silver and the two-run fact history of the retail model."""
+def _retail_silver(spark, sf_dir):
+    """Bronze and silver models (lazy; nothing is materialised here)."""
     from lakeforge.plans import retail
 
-    _prep(spark)
     b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
-    st = retail.stage_store(b["stores"], RETAIL_NOW1)
-    s = retail.stg_fact(b["fact"], RETAIL_NOW1)
-    combined = retail.combined_fact(retail.stage_dept(b["department"], RETAIL_NOW1, numbered=False), s, st)
-    # Second load: sales of department 1 move (new versions); markdown1 of
-    # department 2 moves too, which is not a checked column (trap T13).
-    changed = combined.withColumns({
-        "store_weekly_sales": F.when(F.col("dept_id") == 1, F.col("store_weekly_sales") + 100).otherwise(F.col("store_weekly_sales")),
-        "markdown1": F.when(F.col("dept_id") == 2, F.col("markdown1") + 5).otherwise(F.col("markdown1")),
-    })
-    h1 = retail.fact_snapshot(None, combined, RETAIL_NOW1)
-    h2 = retail.fact_snapshot(h1, changed, RETAIL_NOW2)
-    return {"bronze": b, "stage_store": st, "stg_fact": s, "combined": combined, "history": h2}
+    return {
+        "stage_dept_unnumbered": retail.stage_dept(b["department"], RETAIL_NOW1, numbered=False),
+        "stage_store": retail.stage_store(b["stores"], RETAIL_NOW1),
+        "stg_fact": retail.stg_fact(b["fact"], RETAIL_NOW1),
+    }
+
+
+def _retail(spark, sf_dir, history: bool = True):
+    """Joined fact and the two-load fact history of the retail model.
+
+    Intermediate models are materialised (Parquet in the shared checkpoint
+    folder), as the source project materialises them as tables:
+    the department staging, the joined fact and the first snapshot. The
+    second load then reads them instead of recomputing their lineage.
+    """
+    from lakeforge.plans import retail
+
+    r = _retail_silver(spark, sf_dir)
+    r["stage_dept_unnumbered"] = materialize(r["stage_dept_unnumbered"], "retail-stage-dept")
+    combined = materialize(retail.combined_fact(r["stage_dept_unnumbered"], r["stg_fact"], r["stage_store"]),
+                           "retail-combined")
+    r["combined"] = combined
+    if history:
+        # Second load: sales of department 1 move (new versions); markdown1
+        # of department 2 moves too, not a checked column (trap T13).
+        changed = combined.withColumns({
+            "store_weekly_sales": F.when(F.col("dept_id") == 1, F.col("store_weekly_sales") + 100).otherwise(F.col("store_weekly_sales")),
+            "markdown1": F.when(F.col("dept_id") == 2, F.col("markdown1") + 5).otherwise(F.col("markdown1")),
+        })
+        h1 = materialize(retail.fact_snapshot(None, combined, RETAIL_NOW1), "retail-history")
+        r["history"] = retail.fact_snapshot(h1, changed, RETAIL_NOW2)
+    return r
 
 
 def _retail_stage_dept(spark, sf_dir, numbered: bool = True):
     from lakeforge.plans import retail
 
-    _prep(spark)
     b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
     return retail.stage_dept(b["department"], RETAIL_NOW1, numbered=numbered)
 
@@ -230,13 +248,13 @@ def retail_stage_dept(spark, sf_dir):
 @register("retail_stg_fact")
 def retail_stg_fact(spark, sf_dir):
     """F8: 'NA' tokens to 0, text measures to double."""
-    return _retail(spark, sf_dir)["stg_fact"]
+    return _retail_silver(spark, sf_dir)["stg_fact"]
 
 
 @register("retail_combined_fact")
 def retail_combined_fact(spark, sf_dir):
     """Two left joins onto the department rows."""
-    return _retail(spark, sf_dir)["combined"]
+    return _retail(spark, sf_dir, history=False)["combined"]
 
 
 @register("retail_fact_history")
@@ -267,7 +285,7 @@ def retail_dim_store(spark, sf_dir):
     """M4: incremental store dimension (second load changes sizes)."""
     from lakeforge.plans import retail
 
-    st = _retail(spark, sf_dir)["stage_store"]
+    st = _retail_silver(spark, sf_dir)["stage_store"]
     first = retail.dim_store(st, RETAIL_NOW1).withColumn("store_size", F.col("store_size") - 1)
     return retail.incremental(first, retail.dim_store(st, RETAIL_NOW2), "store_id")
 
@@ -286,7 +304,7 @@ def _reports(spark, sf_dir):
     r = _retail(spark, sf_dir)
     ff = retail.final_fact(r["history"])
     # The reports read DATE_ID, STORE_DATE and ISHOLIDAY only: no ROW_NUM.
-    dd = retail.dim_date(_retail_stage_dept(spark, sf_dir, numbered=False), RETAIL_NOW1)
+    dd = retail.dim_date(r["stage_dept_unnumbered"], RETAIL_NOW1)
     return retail, dd, retail.dim_store(r["stage_store"], RETAIL_NOW1), ff
 
 
@@ -424,7 +442,7 @@ def dq_not_null_combined_temperature(spark, sf_dir):
     """Q2: not_null on the joined retail fact (rows without a store fact)."""
     from lakeforge.operators import check_not_null
 
-    return check_not_null(_retail(spark, sf_dir)["combined"], "temperature")
+    return check_not_null(_retail(spark, sf_dir, history=False)["combined"], "temperature")
 
 
 @register("dq_accepted_order_priority")

@@ -39,31 +39,48 @@ def _txt(c) -> F.Column:
 
 
 def bronze_from_driver(lineitem: DataFrame, supplier: DataFrame) -> dict[str, DataFrame]:
+    """Bronze tables from one pass over ``lineitem``.
+
+    Both roll-ups come from a single aggregation at the finer grain
+    (supplier, line number, ship day): the store-day fact only needs
+    min / max / count / sum, which roll up exactly from that grain. So
+    lineitem is scanned and shuffled once, and the coarser aggregate runs
+    over the (much smaller) fine-grain result.
+    """
     day = F.col("l_shipdate").cast("date")
-    holiday = F.when(F.max(F.col("l_returnflag") == "R"), "TRUE").otherwise("FALSE")
-    department = lineitem.groupBy(
+    q = F.col("l_quantity")
+    lines = lineitem.groupBy(
         F.col("l_suppkey").alias("store"), F.col("l_linenumber").alias("dept"), day.alias("date")
     ).agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("weekly_sales"),
-        holiday.alias("isholiday"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("_sales"),
+        F.max(F.col("l_returnflag") == "R").alias("_holiday"),
+        F.min(q).alias("_min_q"),
+        F.max(q).alias("_max_q"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    department = lines.select(
+        "store", "dept", "date",
+        F.col("_sales").cast("double").alias("weekly_sales"),
+        F.when(F.col("_holiday"), "TRUE").otherwise("FALSE").alias("isholiday"),
     )
     stores = supplier.select(
         F.col("s_suppkey").alias("store"),
         F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("s_nationkey") % 3 + 1).cast("int")).alias("type"),
         (F.lit(100000) + F.col("s_nationkey") * 1000).cast("int").alias("size"),
     )
-    q, ln = F.col("l_quantity"), F.col("l_linenumber")
-    fact = lineitem.groupBy(F.col("l_suppkey").alias("store"), day.alias("date")).agg(
-        F.max(q).alias("temperature"),
+    ln, n = F.col("dept"), F.sum("_n")
+    min_q, max_q = F.min("_min_q"), F.max("_max_q")
+    fact = lines.groupBy("store", "date").agg(
+        max_q.alias("temperature"),
         F.min(ln).cast("double").alias("fuel_price"),
-        F.when(F.min(ln) == 1, "NA").otherwise(_txt(F.min(q))).alias("markdown1"),
-        F.when(F.max(ln) >= 6, "NA").otherwise(_txt(F.max(q))).alias("markdown2"),
-        _txt(F.count(F.lit(1))).alias("markdown3"),
-        F.when(F.count(F.lit(1)) == 1, "NA").otherwise(_txt(F.sum(ln))).alias("markdown4"),
+        F.when(F.min(ln) == 1, "NA").otherwise(_txt(min_q)).alias("markdown1"),
+        F.when(F.max(ln) >= 6, "NA").otherwise(_txt(max_q)).alias("markdown2"),
+        _txt(n).alias("markdown3"),
+        F.when(n == 1, "NA").otherwise(_txt(F.sum(ln * F.col("_n")))).alias("markdown4"),
         _txt(F.max(ln)).alias("markdown5"),
-        _txt(F.min(q) + 100).alias("cpi"),
-        F.when(F.max(q) > 45, "NA").otherwise(_txt(F.max(q) / 10)).alias("unemployment"),
-        holiday.alias("isholiday"),
+        _txt(min_q + 100).alias("cpi"),
+        F.when(max_q > 45, "NA").otherwise(_txt(max_q / 10)).alias("unemployment"),
+        F.when(F.max("_holiday"), "TRUE").otherwise("FALSE").alias("isholiday"),
     )
     return {"department": department, "stores": stores, "fact": fact}
 

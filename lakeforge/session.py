@@ -84,3 +84,18 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """Read one driver table (Parquet): filters and projections push down."""
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Cuts lineage like ``checkpoint()``, but computes the input once (a
+    reliable RDD checkpoint of an unpersisted plan runs it twice) and the
+    re-read is columnar, so later steps prune columns and push filters.
+    The folder is below ``spark.checkpoint.dir``, visible to every
+    executor and safe against executor loss.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeforge.operators.joins import bounded_broadcast
-from lakeforge.session import ensure_checkpoint_dir
+from lakeforge.session import ensure_checkpoint_dir, materialize
 
 
 @dataclass(frozen=True)
@@ -122,8 +122,8 @@ def load_csv_with_lineage(
     ``monotonically_increasing_id``; rows of one (file, block) are read
     consecutively by one task, so ``position - min(position)`` is the row's
     index inside its block. Per-block row counts (one row per block) give
-    each block's offset inside its file. The positioned read is
-    checkpointed so both passes see the same numbering. The first data
+    each block's offset inside its file. The positioned rows are
+    materialised so both passes see the same numbering. The first data
     row of a file is row 1 (a skipped header is not counted).
     """
     ensure_checkpoint_dir(spark)
@@ -135,8 +135,8 @@ def load_csv_with_lineage(
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_pos"),
         )
-        .checkpoint(eager=True)
     )
+    positioned = materialize(positioned, "csv-lineage")
     blocks = positioned.groupBy("_file", "_block").agg(
         F.min("_pos").alias("_base"), F.count(F.lit(1)).alias("_n")
     )

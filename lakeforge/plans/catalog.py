@@ -712,7 +712,7 @@ def stream_customer_scd1(spark, sf_dir):
 
     from lakeforge.plans import changes_jobs as cj
     from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, VersionedTable
+    from lakeforge.sources import BucketedTable, CsvDialect
     from lakeforge.streaming import csv_stream, read_current, run_scd1_stream
 
     root = scratch_path(spark, "customer-scd1")
@@ -720,13 +720,14 @@ def stream_customer_scd1(spark, sf_dir):
     batch = cj.customer_batch(c)
     schema = StructType([StructField(n, StringType()) for n in CUSTOMER_CSV_FIELDS])
     dialect = CsvDialect.with_null_tokens("NULL", "null")
-    table = VersionedTable(spark, f"{root}/customer")
+    keys = ["contactfirstname", "contactlastname"]
+    table = BucketedTable(spark, f"{root}/customer", keys, buckets=16)
     for i, seg in enumerate(["MACHINERY", "BUILDING", None], start=1):
         if seg is not None:
             (batch.filter(F.col("territory") == seg).write.option("header", "true")
              .option("nullValue", "NULL").csv(f"{root}/landing/delivery={i}"))
         stream = csv_stream(spark, f"{root}/landing", schema, dialect)
-        run_scd1_stream(stream, table, f"{root}/_ckpt", ["contactfirstname", "contactlastname"],
+        run_scd1_stream(stream, table, f"{root}/_ckpt", keys,
                         now=lambda: cj.CUSTOMER_T1, initial=cj.customer_target(c)).awaitTermination()
     return read_current(table)
 
@@ -802,19 +803,18 @@ def quake_gold_merge(spark, sf_dir):
     half) → bronze drain (S14) → silver from the whole bronze table, merged
     on hash_id (S15, M1) → hourly activity merged into gold (A2, M1, T15)."""
     from lakeforge.session import scratch_path
-    from lakeforge.sources import VersionedTable
+    from lakeforge.sources import BucketedTable, VersionedTable
     from lakeforge.streaming import drain, json_stream
 
-    _prep(spark)
     root = scratch_path(spark, "quake-e1")
     ev = read_table(spark, sf_dir, "events")
-    silver_t = VersionedTable(spark, f"{root}/silver", bucket_by=["hash_id"])
+    silver_t = BucketedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
     gold_t = VersionedTable(spark, f"{root}/gold")
     deliveries = [ev.filter(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")), ev]
     for i, part in enumerate(deliveries):
         _land_json(quakes.feed_from_events(part), f"{root}/raw", "error" if i == 0 else "append")
         drain(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False), f"{root}/bronze", f"{root}/_ckpt")
-        silver_t.upsert(quakes.silver(spark.read.parquet(f"{root}/bronze")), ["hash_id"])
+        silver_t.upsert(quakes.silver(spark.read.parquet(f"{root}/bronze")))
         gold_t.upsert(quakes.seismic_activity(silver_t.read()), ["hash_id"])
     return rounded(gold_t.read(), {"avg_mag": 6})
 

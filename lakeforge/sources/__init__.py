@@ -9,6 +9,7 @@ from lakeforge.sources.files import (  # noqa: F401
     read_variant_json,
 )
 from lakeforge.sources.tables import (  # noqa: F401
+    BucketedTable,
     VersionedTable,
     parquet_tables,
     publish,

@@ -156,3 +156,118 @@ def parquet_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         if name.endswith(".parquet"):
             out[name[: -len(".parquet")]] = spark.read.parquet(st.getPath().toString())
     return out
+
+
+class BucketedTable:
+    """Versioned table split into hash buckets of its key.
+
+    Layout: ``<root>/data/v=N/_b=<bucket>/*.parquet`` and one manifest per
+    version, ``<root>/_manifest/v=N.json``, mapping every bucket to the
+    version folder that holds it. A keyed merge touches only the buckets of
+    the batch's keys: it reads those buckets, merges, writes them as the
+    new version folder (``partitionBy('_b')``) and then commits by writing
+    the manifest (temp file + rename). Untouched buckets are carried over
+    by reference, never rewritten, so a small batch against a huge table
+    costs work in proportion to the buckets it hits. A failed write leaves
+    no manifest and stays invisible. Bucket ids collected to the driver are
+    at most ``buckets`` integers.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
+        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+
+    # ------------------------------------------------------------ manifest
+    def _bucket_col(self) -> F.Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def versions(self) -> list[int]:
+        fs, p, jvm = _fs(self.spark, f"{self.root}/_manifest")
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json"))
+
+    def exists(self) -> bool:
+        return bool(self.versions())
+
+    def manifest(self, version: int | None = None) -> dict:
+        import json
+
+        vs = self.versions()
+        if not vs:
+            return {"version": 0, "batch_id": None, "buckets": {}}
+        v = version if version is not None else vs[-1]
+        fs, p, jvm = _fs(self.spark, f"{self.root}/_manifest/v={v:06d}.json")
+        stream = fs.open(p)
+        try:
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def _write_manifest(self, m: dict) -> None:
+        import json
+
+        fs, final, jvm = _fs(self.spark, f"{self.root}/_manifest/v={m['version']:06d}.json")
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest/_tmp-v={m['version']:06d}.json")
+        out = fs.create(tmp, True)
+        out.write(bytearray(json.dumps(m, sort_keys=True).encode("utf-8")))
+        out.close()
+        if not fs.rename(tmp, final):
+            raise RuntimeError(f"manifest v={m['version']} already committed")
+
+    def _paths(self, m: dict, only: set[int] | None = None) -> list[str]:
+        return [
+            f"{self.root}/data/v={ver:06d}/_b={b}"
+            for b, ver in sorted(m["buckets"].items(), key=lambda kv: int(kv[0]))
+            if only is None or int(b) in only
+        ]
+
+    def _next_version(self) -> int:
+        fs, p, _ = _fs(self.spark, f"{self.root}/data")
+        seen = [int(st.getPath().getName()[2:]) for st in fs.listStatus(p)] if fs.exists(p) else []
+        return max([0, *seen, *self.versions()]) + 1
+
+    # ---------------------------------------------------------------- read
+    def read(self, version: int | None = None, schema=None) -> DataFrame:
+        m = self.manifest(version)
+        paths = self._paths(m)
+        if not paths:
+            raise FileNotFoundError(f"no committed data under {self.root}")
+        return self.spark.read.parquet(*paths)
+
+    # --------------------------------------------------------------- write
+    def merge(self, batch: DataFrame, step, batch_id: int | None = None) -> int | None:
+        """Apply ``step(current_rows_of_touched_buckets | None, batch)``.
+
+        Returns the committed version, or None when the batch id was
+        already committed (a replayed micro-batch).
+        """
+        m = self.manifest()
+        if batch_id is not None and m.get("batch_id") is not None and m["batch_id"] >= batch_id:
+            return None
+        touched = {r[0] for r in batch.select(self._bucket_col().alias("_b")).distinct().collect()}
+        paths = self._paths(m, touched)
+        if paths:
+            current = self.spark.read.parquet(*paths)
+        elif m["buckets"]:  # only new buckets: an empty frame with the table's schema
+            current = self.spark.read.parquet(*self._paths(m)).limit(0)
+        else:
+            current = None
+        merged = step(current, batch)
+        version = self._next_version()
+        out = f"{self.root}/data/v={version:06d}"
+        merged.withColumn("_b", self._bucket_col()).write.partitionBy("_b").parquet(out)
+        fs, p, _ = _fs(self.spark, out)
+        written = {
+            int(st.getPath().getName()[3:])
+            for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith("_b=")
+        }
+        buckets = {b: v for b, v in m["buckets"].items() if int(b) not in touched}
+        buckets.update({str(b): version for b in written})
+        self._write_manifest({"version": version, "batch_id": batch_id, "buckets": buckets})
+        return version
+
+    def upsert(self, source: DataFrame, on_duplicate: str = "error", batch_id: int | None = None):
+        return self.merge(source, lambda cur, b: b if cur is None else upsert(cur, b, self.keys, on_duplicate), batch_id)

@@ -183,3 +183,35 @@ def test_publish_kinds(spark, tmp_dir):
     publish(spark, spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string"), "i", "incremental",
             root=inc, unique_key=["k"])
     assert rows(VersionedTable(spark, inc).read()) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_bucketed_table_rewrites_only_touched_buckets(spark, tmp_dir):
+    from lakeforge.sources import BucketedTable
+
+    t = BucketedTable(spark, f"{tmp_dir}/b", ["k"], buckets=8)
+    base = spark.range(0, 400).selectExpr("id AS k", "'v0' AS v")
+    assert t.upsert(base) == 1
+    assert len(t.manifest()["buckets"]) == 8
+    batch = spark.createDataFrame([(3, "new"), (1000, "ins")], "k bigint, v string")
+    v2 = t.upsert(batch, batch_id=7)
+    rewritten = {b for b, ver in t.manifest()["buckets"].items() if ver == v2}
+    assert 1 <= len(rewritten) <= 2  # only the buckets of keys 3 and 1000
+    got = {r[0]: r[1] for r in t.read().collect()}
+    assert len(got) == 401 and got[3] == "new" and got[1000] == "ins" and got[4] == "v0"
+    assert t.upsert(batch, batch_id=7) is None  # replayed batch is skipped
+    assert rows(t.read(version=1).filter("k = 3")) == [(3, "v0")]  # old version intact
+
+
+def test_bucketed_scd1_into_empty_buckets(spark, tmp_dir):
+    from lakeforge.operators import scd1_merge
+    from lakeforge.sources import BucketedTable
+
+    t = BucketedTable(spark, f"{tmp_dir}/c", ["k"], buckets=64)
+    first = spark.createDataFrame([(1, "a", T1, T1)], "k int, v string, insert_dts timestamp_ntz, update_dts timestamp_ntz")
+    t.merge(first, lambda cur, b: b, batch_id=0)
+    later = dt.datetime(2024, 2, 1)
+    # Keys landing only in buckets that hold no rows yet.
+    batch = spark.createDataFrame([(k, "n") for k in range(2, 40)], "k int, v string")
+    t.merge(batch, lambda cur, b: scd1_merge(cur, b, ["k"], later), batch_id=1)
+    got = {r[0]: (r[1], r[2]) for r in t.read().collect()}
+    assert got[1] == ("a", T1) and got[39] == ("n", later) and len(got) == 39

@@ -859,3 +859,25 @@ def country_from_landing(spark, sf_dir):
     reload_variant(spark, f"{root}/landing", f"{root}/country_details_cp")  # re-run: replaced, not doubled
     copied = VersionedTable(spark, f"{root}/country_details_cp").read()
     return countries.country_transform(countries.country_raw(copied, COUNTRY_NOW), COUNTRY_NOW)
+
+
+@register("health_e4_from_csv")
+def health_e4_from_csv(spark, sf_dir):
+    """E4 end to end: five CSV files reloaded into all-string bronze tables
+    (S7 ×5), silver star joins (F17, J1) and the hospital gold (A4)."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from lakeforge.plans import health
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import CsvDialect, VersionedTable, read_csv, replace_table
+
+    root = scratch_path(spark, "healthcare")
+    bronze = {}
+    for name, df in _health_bronze(spark, sf_dir).items():
+        df.write.option("header", "true").csv(f"{root}/landing/{name}")
+        schema = StructType([StructField(c, StringType()) for c in df.columns])
+        replace_table(spark, read_csv(spark, f"{root}/landing/{name}", schema, CsvDialect.simple()), f"{root}/bronze/{name}")
+        bronze[name] = VersionedTable(spark, f"{root}/bronze/{name}").read()
+    tt = health.treatments_transform(bronze["treatments"], bronze["visits"], bronze["patients"],
+                                     bronze["doctors"], bronze["hospitals"])
+    return health.hospital_performance(tt)

@@ -528,3 +528,4 @@ ORACLE["lineitem_dedup_rows"] = "SELECT DISTINCT * FROM lineitem"
 ORACLE["orders_lookup"] = "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
 ORACLE["orders_distinct_priority"] = "SELECT DISTINCT o_orderpriority FROM orders"
 ORACLE["country_from_landing"] = ORACLE["country_transform"]
+ORACLE["health_e4_from_csv"] = ORACLE["health_hospital_performance"]

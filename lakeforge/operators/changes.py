@@ -83,12 +83,17 @@ def upsert(
     """
     s_full, s_null = split_null_keys(source, keys)
     t_full, t_null = split_null_keys(target, keys)
+    s_keys = s_full.select(*keys)
     s_full = unique_source(s_full, keys, on_duplicate)
     out_cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
 
     if set(source.columns) == set(target.columns):
-        # Equal columns: untouched target rows ∪ source rows.
-        kept = t_full.join(s_full.select(*keys), list(keys), "left_anti")
+        # Equal columns: untouched target rows ∪ source rows. The anti join
+        # needs only the batch's keys: with a small batch AQE broadcasts
+        # them and the target streams through without a shuffle (a full
+        # outer join cannot be broadcast). The duplicate check runs once,
+        # on the branch that carries the source rows.
+        kept = t_full.join(s_keys, list(keys), "left_anti")
         merged = kept.unionByName(s_full)
     else:
         t = t_full.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_t"))

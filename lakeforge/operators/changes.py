@@ -133,12 +133,18 @@ def scd1_merge(
     insert_col: str = "insert_dts",
     update_col: str = "update_dts",
     on_duplicate: str = "error",
+    broadcast_rows: int | None = 1_000_000,
 ) -> DataFrame:
     """M2: SCD type 1 on a (composite) key.
 
     Matched: every non-key column and ``update_col`` take the source values,
     ``insert_col`` keeps the target's. Not matched: inserted with both
     times = ``now``. Source rows need not carry the two time columns.
+
+    A change batch of at most ``broadcast_rows`` rows (checked by reading
+    at most that many + 1) is merged with broadcast joins only: the target
+    is streamed, never shuffled. A full outer join, the general plan for
+    large batches, cannot be broadcast and would shuffle the whole target.
     """
     now_c = F.lit(now).cast(target.schema[update_col].dataType) if not isinstance(now, Column) else now
     src = source.drop(insert_col, update_col)
@@ -149,27 +155,43 @@ def scd1_merge(
     t_full, t_null = split_null_keys(target, keys)
     s_full = unique_source(s_full, keys, on_duplicate)
 
-    t = t_full.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_t"))
-    s = s_full.select(*[F.col(c).alias(f"s_{c}") for c in src.columns], F.lit(True).alias("_s"))
-    j = t.join(s, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys], "full_outer")
-    hit = F.col("_s").isNotNull()
-    sel = []
-    for c in out_cols:
+    def pick(c: str, hit) -> Column:
         if c in keys:
-            sel.append(F.coalesce(F.col(f"t_{c}"), F.col(f"s_{c}")).alias(c))
-        elif c == insert_col:
-            sel.append(F.coalesce(F.col(f"t_{c}"), now_c).alias(c))
-        elif c == update_col:
-            sel.append(F.when(hit, now_c).otherwise(F.col(f"t_{c}")).alias(c))
-        elif c in value_cols:
-            sel.append(F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
-        else:
-            sel.append(F.col(f"t_{c}").alias(c))
-    merged = j.select(*sel)
+            return F.coalesce(F.col(f"t_{c}"), F.col(f"s_{c}")).alias(c)
+        if c == insert_col:
+            return F.coalesce(F.col(f"t_{c}"), now_c).alias(c)
+        if c == update_col:
+            return F.when(hit, now_c).otherwise(F.col(f"t_{c}")).alias(c)
+        if c in value_cols:
+            return F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
+        return F.col(f"t_{c}").alias(c)
+
+    t = t_full.select(*[F.col(c).alias(f"t_{c}") for c in target.columns])
+    s = s_full.select(*[F.col(c).alias(f"s_{c}") for c in src.columns])
+    cond = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]
+    small = broadcast_rows is not None and s_full.limit(broadcast_rows + 1).count() <= broadcast_rows
+    if small:
+        sk = F.broadcast(s_full.select(*keys))
+        updated = t.join(F.broadcast(s), cond, "inner").select(*[pick(c, F.lit(True)) for c in out_cols])
+        kept = t_full.join(sk, list(keys), "left_anti").select(*out_cols)
+        matched_keys = t_full.select(*keys).join(sk, list(keys), "left_semi")
+        fresh = s.join(F.broadcast(matched_keys.select(*[F.col(k).alias(f"t_{k}") for k in keys])), cond, "left_anti")
+        inserted = fresh.select(*[F.col(f"s_{c}").alias(c) for c in src.columns])
+        inserted = inserted.withColumn(insert_col, now_c).withColumn(update_col, now_c)
+        merged = updated.unionByName(kept).unionByName(_fit(inserted, out_cols, target))
+    else:
+        j = t.withColumn("_t", F.lit(True)).join(s.withColumn("_s", F.lit(True)), cond, "full_outer")
+        merged = j.select(*[pick(c, F.col("_s").isNotNull()) for c in out_cols])
     s_null = s_null.withColumn(insert_col, now_c).withColumn(update_col, now_c)
     return _union_all(merged, t_null, s_null, out_cols)
 
 
+def _fit(df: DataFrame, out_cols, like: DataFrame) -> DataFrame:
+    return df.select(
+        *[F.col(c) if c in df.columns else F.lit(None).cast(like.schema[c].dataType).alias(c) for c in out_cols]
+    )
+
+
 def cdc_scd1(
     target: DataFrame | None,
     source: DataFrame,

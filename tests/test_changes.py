@@ -181,3 +181,21 @@ def test_prop_sum_over_join_equals_pairwise(spark, left, right, how):
     pairs = l_df.alias("l").join(r_df.alias("r"), F.col("l.d") == F.col("r.d"), how)
     ref = pairs.groupBy("l.g", "r.s").agg(F.sum("r.m").alias("total"))
     assert rows(got.select("g", "s", "total")) == rows(ref)
+
+
+@pytest.mark.parametrize("broadcast_rows", [None, 1_000_000])
+def test_scd1_merge_plans_agree(spark, broadcast_rows):
+    tgt = spark.range(0, 300).selectExpr(
+        "CAST(id % 30 AS STRING) AS f", "CAST(id AS STRING) AS l", "'old' AS v", "CAST(id AS INT) AS extra",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS insert_dts", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS update_dts",
+    )
+    src = spark.range(250, 320).selectExpr("CAST(id % 30 AS STRING) AS f", "CAST(id AS STRING) AS l", "'new' AS v")
+    got = scd1_merge(tgt, src, ["f", "l"], T1, broadcast_rows=broadcast_rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    if broadcast_rows:
+        assert "FullOuter" not in plan
+    r = {(a, b): (v, e, i, u) for a, b, v, e, i, u in got.collect()}
+    assert len(r) == 320
+    assert r[("10", "10")] == ("old", 10, T0, T0)
+    assert r[("10", "280")] == ("new", 280, T0, T1)
+    assert r[("10", "310")] == ("new", None, T1, T1)

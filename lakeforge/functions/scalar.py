@@ -43,8 +43,9 @@ def epoch_ms_exact(c) -> Column:
 
 
 def ts_to_epoch_ms(c) -> Column:
-    """Epoch milliseconds of a (zone-free) timestamp, read as UTC."""
-    return F.unix_millis(F.to_utc_timestamp(_col(c).cast("timestamp"), "UTC"))
+    """Epoch milliseconds of a zone-free timestamp, read in the session time
+    zone (the jobs pin it to UTC)."""
+    return F.unix_millis(_col(c).cast("timestamp"))
 
 
 def hash_id(*cols, sep: str = "_", length: int | None = None) -> Column:

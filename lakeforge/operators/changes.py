@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 
 from lakeforge.operators.clean import latest_per_key
 
+# The SCD2 metadata columns, named as the snapshot tool of the
+# source project names them (the versioned view and current-fact filter
+# read the last two).
 SCD2_META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
 

@@ -14,7 +14,6 @@ from lakeforge.sources import (
     list_files,
     load_csv,
     load_csv_with_lineage,
-    read_csv,
     table_inventory,
 )
 from lakeforge.streaming import (

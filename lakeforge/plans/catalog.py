@@ -698,10 +698,6 @@ def stream_events_dedup(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-CUSTOMER_CSV_FIELDS = [
-    "contactfirstname", "contactlastname", "customername", "phone", "addressline1", "addressline2",
-    "city", "state", "postalcode", "country", "territory",
-]
 
 
 @register("stream_customer_scd1")
@@ -709,17 +705,15 @@ def stream_customer_scd1(spark, sf_dir):
     """E5: CSV change files (two deliveries, then an empty drain) → change
     stream (M9) → run only with data (M10) → SCD1 MERGE (M2) → versioned,
     all-or-nothing publish (M11)."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
     from lakeforge.plans import changes_jobs as cj
     from lakeforge.session import scratch_path
-    from lakeforge.sources import BucketedTable, CsvDialect
+    from lakeforge.sources import BucketedTable, CsvDialect, schemas
     from lakeforge.streaming import csv_stream, read_current, run_scd1_stream
 
     root = scratch_path(spark, "customer-scd1")
     c = read_table(spark, sf_dir, "customer")
-    batch = cj.customer_batch(c)
-    schema = StructType([StructField(n, StringType()) for n in CUSTOMER_CSV_FIELDS])
+    schema = schemas.CUSTOMER_SOURCE  # positional CSV columns, as declared
+    batch = cj.customer_batch(c).select(*schema.fieldNames())
     dialect = CsvDialect.with_null_tokens("NULL", "null")
     keys = ["contactfirstname", "contactlastname"]
     table = BucketedTable(spark, f"{root}/customer", keys, buckets=16)
@@ -736,57 +730,45 @@ def stream_customer_scd1(spark, sf_dir):
 @register("csv_reload_visits")
 def csv_reload_visits(spark, sf_dir):
     """Full reload of a bronze table from CSV (truncate + load)."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
     from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, VersionedTable, read_csv, replace_table
+    from lakeforge.sources import CsvDialect, VersionedTable, read_csv, replace_table, schemas
 
     root = scratch_path(spark, "reload")
     visits = _health_bronze(spark, sf_dir)["visits"]
     visits.write.option("header", "true").option("quoteAll", "true").csv(f"{root}/files")
-    schema = StructType([StructField(n, StringType()) for n in visits.columns])
+    schema = schemas.HEALTH_BRONZE["visits"]
     df = read_csv(spark, f"{root}/files", schema, CsvDialect.simple())
     replace_table(spark, df, f"{root}/visits_raw")   # first load
     replace_table(spark, df, f"{root}/visits_raw")   # forced reload: same rows again
     return VersionedTable(spark, f"{root}/visits_raw").read()
 
 
-PRODUCT_CSV_FIELDS = [
-    "product_id", "product_name", "category", "selling_price", "model_number", "about_product",
-    "product_specification", "technical_details", "shipping_weight", "product_dimensions",
-]
 
 
 @register("csv_load_products")
 def csv_load_products(spark, sf_dir):
     """CSV with 'NULL' tokens loaded into a wider column list."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
     from lakeforge.plans import changes_jobs as cj
     from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, load_csv
+    from lakeforge.sources import CsvDialect, load_csv, schemas
 
     root = scratch_path(spark, "products")
-    rows = cj.product_load(read_table(spark, sf_dir, "part"), 1).select(*PRODUCT_CSV_FIELDS)
-    rows.write.option("header", "true").option("nullValue", "NULL").csv(f"{root}/files")
-    schema = StructType([StructField(n, StringType()) for n in PRODUCT_CSV_FIELDS])
-    target = [(n, "string") for n in PRODUCT_CSV_FIELDS] + [("source_file_name", "string")]
+    schema = schemas.PRODUCT_FIELDS
+    cj.product_fields(read_table(spark, sf_dir, "part"), 1).write.option("header", "true").option("nullValue", "NULL").csv(f"{root}/files")
+    target = [(n, "string") for n in schema.fieldNames()] + [("source_file_name", "string")]
     return load_csv(spark, f"{root}/files", schema, target, CsvDialect.with_null_tokens("NULL", "null"))
 
 
 @register("csv_lineage_products")
 def csv_lineage_products(spark, sf_dir):
     """CSV rows with source file name and row number in the file."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
     from lakeforge.plans import changes_jobs as cj
     from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, load_csv_with_lineage
+    from lakeforge.sources import CsvDialect, load_csv_with_lineage, schemas
 
     root = scratch_path(spark, "lineage")
-    rows = cj.product_load(read_table(spark, sf_dir, "part"), 1).select(*PRODUCT_CSV_FIELDS)
-    rows.repartition(4).write.option("header", "true").csv(f"{root}/files")
-    schema = StructType([StructField(n, StringType()) for n in PRODUCT_CSV_FIELDS])
+    schema = schemas.PRODUCT_FIELDS
+    cj.product_fields(read_table(spark, sf_dir, "part"), 1).repartition(4).write.option("header", "true").csv(f"{root}/files")
     return load_csv_with_lineage(spark, f"{root}/files", schema, CsvDialect.simple(), now=cj.PRODUCT_T1)
 
 
@@ -866,19 +848,39 @@ def country_from_landing(spark, sf_dir):
 def health_e4_from_csv(spark, sf_dir):
     """E4 end to end: five CSV files reloaded into all-string bronze tables
     (S7 ×5), silver star joins (F17, J1) and the hospital gold (A4)."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
     from lakeforge.plans import health
     from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, VersionedTable, read_csv, replace_table
+    from lakeforge.sources import CsvDialect, VersionedTable, read_csv, replace_table, schemas
 
     root = scratch_path(spark, "healthcare")
     bronze = {}
     for name, df in _health_bronze(spark, sf_dir).items():
-        df.write.option("header", "true").csv(f"{root}/landing/{name}")
-        schema = StructType([StructField(c, StringType()) for c in df.columns])
+        schema = schemas.HEALTH_BRONZE[name]
+        df.select(*schema.fieldNames()).write.option("header", "true").csv(f"{root}/landing/{name}")
         replace_table(spark, read_csv(spark, f"{root}/landing/{name}", schema, CsvDialect.simple()), f"{root}/bronze/{name}")
         bronze[name] = VersionedTable(spark, f"{root}/bronze/{name}").read()
     tt = health.treatments_transform(bronze["treatments"], bronze["visits"], bronze["patients"],
                                      bronze["doctors"], bronze["hospitals"])
     return health.hospital_performance(tt)
+
+
+@register("product_e6_from_csv")
+def product_e6_from_csv(spark, sf_dir):
+    """E6 end to end: two product CSV loads with file name and row number
+    (S9) → transform with audit columns (F10) → SCD2 snapshot per load (M5)
+    → versioned view (M7)."""
+    from lakeforge.operators import scd2_snapshot, versioned_view
+    from lakeforge.plans import changes_jobs as cj
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import CsvDialect, load_csv_with_lineage, schemas
+
+    root = scratch_path(spark, "products-e6")
+    part = read_table(spark, sf_dir, "part")
+    keys, cols = ["product_id"], cj.PRODUCT_CHECK_COLS
+    hist = None
+    for run, now in ((1, cj.PRODUCT_T1), (2, cj.PRODUCT_T2)):
+        cj.product_fields(part, run).write.option("header", "true").option("nullValue", "NULL").csv(f"{root}/load{run}")
+        copied = load_csv_with_lineage(spark, f"{root}/load{run}", schemas.PRODUCT_FIELDS,
+                                       CsvDialect.with_null_tokens("NULL", "null"), now=now)
+        hist = scd2_snapshot(hist, cj.product_transform(copied, run), keys, cols, now, case_insensitive_cols=cols)
+    return versioned_view(hist, cj.PRODUCT_VIEW_KEEP)

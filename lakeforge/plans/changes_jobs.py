@@ -29,6 +29,10 @@ PRODUCT_T2 = "2024-05-02 00:00:00"
 EVENTS_FIRST_BEFORE = "2024-01-20 00:00:00"
 EVENTS_SECOND_FROM = "2024-01-15 00:00:00"
 
+PRODUCT_FIELD_NAMES = [
+    "product_id", "product_name", "category", "selling_price", "model_number", "about_product",
+    "product_specification", "technical_details", "shipping_weight", "product_dimensions",
+]
 PRODUCT_CHECK_COLS = [
     "product_name", "category", "selling_price", "model_number", "about_product",
     "product_specification", "technical_details", "shipping_weight", "product_dimensions",
@@ -85,9 +89,8 @@ def customer_batch(customer: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- products
-def product_load(part: DataFrame, run: int) -> DataFrame:
-    """WORK_PRODUCT_TRANSFORM rows (F10 audit columns) for load 1 or 2."""
-    now = PRODUCT_T1 if run == 1 else PRODUCT_T2
+def product_fields(part: DataFrame, run: int) -> DataFrame:
+    """The ten product fields of load 1 or 2 (as in the landed CSV files)."""
     price = F.col("p_retailprice")
     name = F.col("p_name")
     src = part
@@ -95,7 +98,7 @@ def product_load(part: DataFrame, run: int) -> DataFrame:
         price = F.when(F.col("p_size") > 45, price + 10).otherwise(price)
         name = F.when(F.col("p_size").between(41, 45), F.upper(name)).otherwise(name)
         src = part.filter(F.col("p_brand") != "Brand#1")
-    rows = src.select(
+    return src.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         name.alias("product_name"),
         F.col("p_type").alias("category"),
@@ -107,15 +110,36 @@ def product_load(part: DataFrame, run: int) -> DataFrame:
         F.concat(F.col("p_size").cast("string"), F.lit(" kg")).alias("shipping_weight"),
         F.concat(F.col("p_size").cast("string"), F.lit("x"), F.col("p_size").cast("string")).alias("product_dimensions"),
     )
+
+
+def product_transform(copied: DataFrame, run: int) -> DataFrame:
+    """F10 + F11: the copy table's rows plus the transform's audit columns.
+
+    ``copied`` holds the ten product fields, the load times and the file
+    lineage columns (``source_file_name``, ``source_file_row_number``).
+    """
+    fields = [c for c in PRODUCT_FIELD_NAMES if c in copied.columns]
     # Fixed audit values of the product transform.
-    rows = add_audit(rows, time_zone="EST", source_sys_name="PRODUCT", instnc_st_nm="STANDARD",
-                     process_id=f"run-{run}", process_name="TRANSFORM_LOAD")
-    return rows.withColumns({
+    audited = add_audit(copied, time_zone="EST", source_sys_name="PRODUCT", instnc_st_nm="STANDARD",
+                        process_id=f"run-{run}", process_name="TRANSFORM_LOAD")
+    return audited.select(
+        *fields, "time_zone", "source_sys_name", "instnc_st_nm", "process_id", "process_name",
+        "insert_dts", "update_dts", "source_file_name",
+        F.col("source_file_row_number").cast("string").alias("source_file_row_number"),
+    )
+
+
+def product_load(part: DataFrame, run: int) -> DataFrame:
+    """WORK_PRODUCT_TRANSFORM rows for load 1 or 2 straight from ``part``
+    (file lineage stated as one file ordered by key)."""
+    now = PRODUCT_T1 if run == 1 else PRODUCT_T2
+    copied = product_fields(part, run).withColumns({
         "insert_dts": _ts(now),
         "update_dts": _ts(now),
         "source_file_name": F.lit("products.csv"),
         "source_file_row_number": (F.col("product_id").cast("bigint") + 1).cast("string"),
     })
+    return product_transform(copied, run)
 
 
 PRODUCT_VIEW_KEEP = [

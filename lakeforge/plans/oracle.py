@@ -529,3 +529,4 @@ ORACLE["orders_lookup"] = "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_
 ORACLE["orders_distinct_priority"] = "SELECT DISTINCT o_orderpriority FROM orders"
 ORACLE["country_from_landing"] = ORACLE["country_transform"]
 ORACLE["health_e4_from_csv"] = ORACLE["health_hospital_performance"]
+ORACLE["product_e6_from_csv"] = ORACLE["product_versions"]

@@ -199,3 +199,41 @@ def test_scd1_merge_plans_agree(spark, broadcast_rows):
     assert r[("10", "10")] == ("old", 10, T0, T0)
     assert r[("10", "280")] == ("new", 280, T0, T1)
     assert r[("10", "310")] == ("new", None, T1, T1)
+
+
+@PROP
+@given(tgt=rows_strategy, src=rows_strategy, small=st.booleans())
+def test_prop_scd1_merge_brute_force(spark, tgt, src, small):
+    t_rows = [(k, a, b, T0, T0) for k, a, b in _unique_by_key(tgt)]
+    t = spark.createDataFrame(t_rows, "k int, a string, b int, insert_dts timestamp_ntz, update_dts timestamp_ntz")
+    s = spark.createDataFrame(_unique_by_key(src), SCHEMA)
+    got = scd1_merge(t, s, ["k"], T1, broadcast_rows=1000 if small else None)
+    expect = {r[0]: r for r in t_rows}
+    for k, a, b in _unique_by_key(src):
+        expect[k] = (k, a, b, expect[k][3] if k in expect else T1, T1)
+    assert rows(got) == sorted(expect.values(), key=repr)
+
+
+@PROP
+@given(
+    first=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 20), st.integers(0, 9)), max_size=12),
+    second=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 20), st.integers(0, 9)), max_size=12),
+)
+def test_prop_cdc_scd1_newest_wins(spark, first, second):
+    schema = "k int, seq int, v int"
+    t = cdc_scd1(None, spark.createDataFrame(first, schema), ["k"], "seq", ["v"])
+    got = cdc_scd1(t, spark.createDataFrame(second, schema), ["k"], "seq", ["v"])
+    # Brute force: per key the greatest (seq, v) of each batch; the second
+    # batch's pick wins unless it is older than the first's.
+    def newest(rs):
+        out = {}
+        for k, q, v in rs:
+            if k not in out or (q, v) > out[k][1:]:
+                out[k] = (k, q, v)
+        return out
+    a, b = newest(first), newest(second)
+    expect = dict(a)
+    for k, r in b.items():
+        if k not in a or r[1] >= a[k][1]:
+            expect[k] = r
+    assert rows(got) == sorted(expect.values(), key=repr)

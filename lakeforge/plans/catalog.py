@@ -867,20 +867,20 @@ def health_e4_from_csv(spark, sf_dir):
 @register("product_e6_from_csv")
 def product_e6_from_csv(spark, sf_dir):
     """E6 end to end: two product CSV loads with file name and row number
-    (S9) → transform with audit columns (F10) → SCD2 snapshot per load (M5)
-    → versioned view (M7)."""
-    from lakeforge.operators import scd2_snapshot, versioned_view
+    (S9) → transform with audit columns (F10) → SCD2 snapshot per load into
+    an append-only history table (M5) → versioned view (M7)."""
+    from lakeforge.operators import versioned_view
     from lakeforge.plans import changes_jobs as cj
     from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, load_csv_with_lineage, schemas
+    from lakeforge.sources import CsvDialect, Scd2Table, load_csv_with_lineage, schemas
 
     root = scratch_path(spark, "products-e6")
     part = read_table(spark, sf_dir, "part")
     keys, cols = ["product_id"], cj.PRODUCT_CHECK_COLS
-    hist = None
+    history = Scd2Table(spark, f"{root}/product_snapshot")  # closed versions are append-only
     for run, now in ((1, cj.PRODUCT_T1), (2, cj.PRODUCT_T2)):
         cj.product_fields(part, run).write.option("header", "true").option("nullValue", "NULL").csv(f"{root}/load{run}")
         copied = load_csv_with_lineage(spark, f"{root}/load{run}", schemas.PRODUCT_FIELDS,
                                        CsvDialect.with_null_tokens("NULL", "null"), now=now)
-        hist = scd2_snapshot(hist, cj.product_transform(copied, run), keys, cols, now, case_insensitive_cols=cols)
-    return versioned_view(hist, cj.PRODUCT_VIEW_KEEP)
+        history.snapshot(cj.product_transform(copied, run), keys, cols, now, case_insensitive_cols=cols)
+    return versioned_view(history.read(), cj.PRODUCT_VIEW_KEEP)

@@ -10,6 +10,7 @@ from lakeforge.sources.files import (  # noqa: F401
 )
 from lakeforge.sources.tables import (  # noqa: F401
     BucketedTable,
+    Scd2Table,
     VersionedTable,
     parquet_tables,
     publish,

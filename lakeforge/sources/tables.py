@@ -271,3 +271,58 @@ class BucketedTable:
 
     def upsert(self, source: DataFrame, on_duplicate: str = "error", batch_id: int | None = None):
         return self.merge(source, lambda cur, b: b if cur is None else upsert(cur, b, self.keys, on_duplicate), batch_id)
+
+
+class Scd2Table:
+    """SCD2 history stored so that a snapshot run never rewrites old history.
+
+    Layout: ``<root>/data/v=N/_open=true`` holds the open versions after
+    run N and ``<root>/data/v=N/_open=false`` the versions closed in run
+    N; ``<root>/_manifest/v=N.json`` (written last, temp file + rename)
+    names the current open folder and every closed folder. A run reads only
+    the open versions, joins them with the source (``scd2_snapshot``) and
+    writes one run folder; closed history is append-only, so the cost of a
+    run follows the size of the open set, not the depth of the history.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._m = BucketedTable(spark, root, keys=["_unused"])  # manifest helpers
+
+    def runs(self) -> list[int]:
+        return self._m.versions()
+
+    def manifest(self) -> dict:
+        m = self._m.manifest()
+        return m if m.get("version") else {"version": 0, "open": None, "closed": []}
+
+    def read_open(self) -> DataFrame | None:
+        m = self.manifest()
+        return self.spark.read.parquet(f"{self.root}/{m['open']}") if m["open"] else None
+
+    def read(self) -> DataFrame:
+        m = self.manifest()
+        paths = ([m["open"]] if m["open"] else []) + m["closed"]
+        if not paths:
+            raise FileNotFoundError(f"no committed run under {self.root}")
+        return self.spark.read.parquet(*[f"{self.root}/{p}" for p in paths])
+
+    def snapshot(self, source: DataFrame, keys: Sequence[str], check_cols: Sequence[str], now, **kw) -> int:
+        from lakeforge.operators.changes import scd2_snapshot
+
+        m = self.manifest()
+        run = self._m._next_version()
+        hist = scd2_snapshot(self.read_open(), source, keys, check_cols, now, **kw)
+        out = f"{self.root}/data/v={run:06d}"
+        hist.withColumn("_open", F.col("dbt_valid_to").isNull()).write.partitionBy("_open").parquet(out)
+        fs, _, jvm = _fs(self.spark, out)
+        has = {flag: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{out}/_open={flag}")) for flag in ("true", "false")}
+        rel = f"data/v={run:06d}"
+        self._m._write_manifest({
+            "version": run,
+            "batch_id": None,
+            "buckets": {},
+            "open": f"{rel}/_open=true" if has["true"] else None,
+            "closed": m["closed"] + ([f"{rel}/_open=false"] if has["false"] else []),
+        })
+        return run

@@ -214,3 +214,29 @@ def test_bucketed_scd1_into_empty_buckets(spark, tmp_dir):
     t.merge(batch, lambda cur, b: scd1_merge(cur, b, ["k"], later), batch_id=1)
     got = {r[0]: (r[1], r[2]) for r in t.read().collect()}
     assert got[1] == ("a", T1) and got[39] == ("n", later) and len(got) == 39
+
+
+def test_scd2_table_appends_closed_history(spark, tmp_dir):
+    from lakeforge.operators import scd2_snapshot
+    from lakeforge.sources import Scd2Table
+
+    schema = "k int, a string"
+    loads = [
+        [(1, "x"), (2, "y"), (3, "z")],
+        [(1, "X"), (2, "y"), (4, "w")],
+        [(1, "x"), (2, "Y"), (4, "w")],
+    ]
+    times = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    t = Scd2Table(spark, f"{tmp_dir}/hist")
+    ref = None
+    closed_before = []
+    for load, now in zip(loads, times):
+        src = spark.createDataFrame(load, schema)
+        t.snapshot(src, ["k"], ["a"], now)
+        ref = scd2_snapshot(ref, src, ["k"], ["a"], now)
+        m = t.manifest()
+        assert m["closed"][: len(closed_before)] == closed_before  # old closed folders untouched
+        closed_before = m["closed"]
+    cols = ["k", "a", "dbt_valid_from", "dbt_valid_to", "dbt_scd_id"]
+    assert rows(t.read().select(*cols)) == rows(ref.select(*cols))
+    assert t.read_open().count() == 4

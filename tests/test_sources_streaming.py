@@ -240,3 +240,16 @@ def test_scd2_table_appends_closed_history(spark, tmp_dir):
     cols = ["k", "a", "dbt_valid_from", "dbt_valid_to", "dbt_scd_id"]
     assert rows(t.read().select(*cols)) == rows(ref.select(*cols))
     assert t.read_open().count() == 4
+
+
+def test_bucketed_change_feed_reads_changed_buckets_only(spark, tmp_dir):
+    from lakeforge.sources import BucketedTable
+
+    t = BucketedTable(spark, f"{tmp_dir}/cf", ["k"], buckets=8)
+    t.upsert(spark.range(0, 200).selectExpr("id AS k", "'a' AS v"))
+    t.upsert(spark.createDataFrame([(5, "b"), (500, "n")], "k bigint, v string"))
+    feed = t.change_feed(1)
+    got = sorted((r["k"], r["v"], r["_change_type"]) for r in feed.collect())
+    assert got == [(5, "a", "update_preimage"), (5, "b", "update_postimage"), (500, "n", "insert")]
+    files = feed._jdf.queryExecution().executedPlan().toString()
+    assert "_b=" in files  # reads bucket folders, not whole versions

@@ -884,3 +884,38 @@ def product_e6_from_csv(spark, sf_dir):
                                        CsvDialect.with_null_tokens("NULL", "null"), now=now)
         history.snapshot(cj.product_transform(copied, run), keys, cols, now, case_insensitive_cols=cols)
     return versioned_view(history.read(), cj.PRODUCT_VIEW_KEEP)
+
+
+@register("orders_change_feed_bucketed")
+def orders_change_feed_bucketed(spark, sf_dir):
+    """M1 + M12 through stored tables: day-one orders in a key-bucketed
+    table, the batch upserted (only touched buckets rewritten), the change
+    feed read from the buckets that differ between the two versions."""
+    from lakeforge.plans import changes_jobs as cj
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import BucketedTable
+
+    o = read_table(spark, sf_dir, "orders")
+    table = BucketedTable(spark, scratch_path(spark, "orders-bucketed"), ["o_orderkey"], buckets=32)
+    first = table.upsert(cj.orders_day_one(o))
+    table.upsert(cj.orders_batch(o))
+    return table.change_feed(first)
+
+
+@register("retail_fact_history_table")
+def retail_fact_history_table(spark, sf_dir):
+    """M6 through a stored history: two snapshot runs into an append-only
+    SCD2 table (each run joins only the open versions with the source)."""
+    from lakeforge.plans import retail
+    from lakeforge.session import scratch_path
+    from lakeforge.sources import Scd2Table
+
+    combined = _retail(spark, sf_dir, history=False)["combined"]
+    changed = combined.withColumns({
+        "store_weekly_sales": F.when(F.col("dept_id") == 1, F.col("store_weekly_sales") + 100).otherwise(F.col("store_weekly_sales")),
+        "markdown1": F.when(F.col("dept_id") == 2, F.col("markdown1") + 5).otherwise(F.col("markdown1")),
+    })
+    table = Scd2Table(spark, scratch_path(spark, "retail-fact-snapshot"))
+    table.snapshot(retail.with_composite_key(combined), ["composite_key"], retail.CHECK_COLS, RETAIL_NOW1)
+    table.snapshot(retail.with_composite_key(changed), ["composite_key"], retail.CHECK_COLS, RETAIL_NOW2)
+    return table.read()

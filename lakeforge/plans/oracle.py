@@ -530,3 +530,5 @@ ORACLE["orders_distinct_priority"] = "SELECT DISTINCT o_orderpriority FROM order
 ORACLE["country_from_landing"] = ORACLE["country_transform"]
 ORACLE["health_e4_from_csv"] = ORACLE["health_hospital_performance"]
 ORACLE["product_e6_from_csv"] = ORACLE["product_versions"]
+ORACLE["orders_change_feed_bucketed"] = ORACLE["orders_change_feed"]
+ORACLE["retail_fact_history_table"] = ORACLE["retail_fact_history"]

@@ -218,9 +218,16 @@ def _retail(spark, sf_dir, history: bool = True):
     from lakeforge.plans import retail
 
     r = _retail_silver(spark, sf_dir)
-    combined = materialize(retail.combined_fact(r["stage_dept_unnumbered"], r["stg_fact"], r["stage_store"]),
-                           "retail-combined")
+    # One row per department row: the staging columns ride along, so the
+    # date dimension reads this table too and lineitem is rolled up once.
+    joined = materialize(
+        retail.combined_fact(r["stage_dept_unnumbered"], r["stg_fact"], r["stage_store"],
+                             keep=("store_date", "isholiday", "insert_date")),
+        "retail-combined",
+    )
+    combined = joined.select(*retail.COMBINED_COLS)
     r["combined"] = combined
+    r["stage_dept_unnumbered"] = joined.select(*retail.STAGE_DEPT_COLS)
     if history:
         # Second load: sales of department 1 move (new versions); markdown1
         # of department 2 moves too, not a checked column (trap T13).

@@ -134,14 +134,23 @@ def stg_fact(fact: DataFrame, now) -> DataFrame:
     )
 
 
-def combined_fact(d: DataFrame, s: DataFrame, st: DataFrame) -> DataFrame:
-    """Dept LEFT JOIN fact on (store, date_id) LEFT JOIN store."""
+COMBINED_COLS = [
+    "store_id", "dept_id", "date_id", "store_weekly_sales",
+    "temperature", "fuel_price", "cpi", "unemployment", *MARKDOWNS, "store_size",
+]
+STAGE_DEPT_COLS = ["date_id", "store_id", "dept_id", "store_date", "store_weekly_sales", "isholiday", "insert_date"]
+
+
+def combined_fact(d: DataFrame, s: DataFrame, st: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Dept LEFT JOIN fact on (store, date_id) LEFT JOIN store.
+
+    Both joined sides are unique on their join keys, so there is exactly
+    one output row per department row; ``keep`` carries further department
+    columns along (the staging row can then be read back from the result).
+    """
     j = d.join(s.drop("isholiday", "insert_date", "vrsn_start_date", "vrsn_end_date"), ["store_id", "date_id"], "left")
     j = j.join(bounded_broadcast(st.select("store_id", "store_size")), "store_id", "left")
-    return j.select(
-        "store_id", "dept_id", "date_id", "store_weekly_sales",
-        "temperature", "fuel_price", "cpi", "unemployment", *MARKDOWNS, "store_size",
-    )
+    return j.select(*COMBINED_COLS, *keep)
 
 
 def with_composite_key(df: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ GROUP BY 1, 2
 """
 ORACLE["quake_geo_hotspot"] = QUAKE_HOTSPOT
 ORACLE["quake_daily_events"] = f"""
-SELECT date_trunc('day', time) AS event_day, count(*) AS event_count
+SELECT date_trunc('day', time) AS event_day, count(id) AS event_count
 FROM ({QUAKE_SILVER}) GROUP BY 1
 """
 ORACLE["quake_events_by_net"] = f"""

@@ -170,10 +170,10 @@ def geo_hotspot(silver_df: DataFrame) -> DataFrame:
 
 
 def daily_events(silver_df: DataFrame) -> DataFrame:
-    """Events per day."""
+    """Events per day (``COUNT(id)``, as the dashboard counts)."""
     return silver_df.groupBy(
         F.date_trunc("day", F.col("time")).cast("timestamp_ntz").alias("event_day")
-    ).agg(F.count(F.lit(1)).alias("event_count"))
+    ).agg(F.count("id").alias("event_count"))
 
 
 def events_by_net(silver_df: DataFrame) -> DataFrame:

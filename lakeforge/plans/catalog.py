@@ -655,7 +655,7 @@ def stream_quake_cdc_activity(spark, sf_dir):
     sequenced CDC into a versioned table (M3, T-7) → hourly activity (A2)."""
     from lakeforge.functions import hash_id
     from lakeforge.session import scratch_path
-    from lakeforge.sources import VersionedTable
+    from lakeforge.sources import BucketedTable
     from lakeforge.streaming import drain, json_stream, read_current, run_cdc_stream, stream_dedup, table_stream
 
     _prep(spark)
@@ -665,7 +665,7 @@ def stream_quake_cdc_activity(spark, sf_dir):
     drain(bronze, f"{root}/bronze", f"{root}/_ckpt/bronze")
     silver = stream_dedup(table_stream(spark, f"{root}/bronze").select(*quakes.SILVER_COLUMNS))
     silver = silver.withColumn("hash_id", hash_id("id", "time"))
-    table = VersionedTable(spark, f"{root}/silver", bucket_by=["hash_id"])
+    table = BucketedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
     run_cdc_stream(silver, table, f"{root}/_ckpt/silver", ["hash_id"], "updated").awaitTermination()
     return rounded(quakes.seismic_activity(read_current(table)), {"avg_mag": 6})
 

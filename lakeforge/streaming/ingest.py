@@ -99,23 +99,31 @@ def _apply_batches(
     marker_col = "_batch_id"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # Run only when the change stream holds data.
-        if batch.isEmpty():
-            return
-        if isinstance(table, BucketedTable):
-            # Only the buckets hit by this batch are read and rewritten;
-            # the manifest records the batch id for replay detection.
-            table.merge(batch, step, batch_id)
-            return
-        if table.exists():
-            current = table.read()
-            if marker_col in current.columns and current.filter(F.col(marker_col) >= batch_id).limit(1).count():
-                return  # replayed batch: already committed
-            current = current.drop(marker_col)
-        else:
-            current = None
-        merged = step(current, batch)
-        table.publish(merged.withColumn(marker_col, F.lit(batch_id).cast("bigint")))
+        # The batch is read several times below (empty check, bucket ids,
+        # merge); persisting it avoids re-running the micro-batch plan (and
+        # its stateful operators) each time. Lost blocks are recomputed
+        # from the batch's fixed source offsets.
+        batch = batch.persist()
+        try:
+            # Run only when the change stream holds data.
+            if batch.isEmpty():
+                return
+            if isinstance(table, BucketedTable):
+                # Only the buckets hit by this batch are read and rewritten;
+                # the manifest records the batch id for replay detection.
+                table.merge(batch, step, batch_id)
+                return
+            if table.exists():
+                current = table.read()
+                if marker_col in current.columns and current.filter(F.col(marker_col) >= batch_id).limit(1).count():
+                    return  # replayed batch: already committed
+                current = current.drop(marker_col)
+            else:
+                current = None
+            merged = step(current, batch)
+            table.publish(merged.withColumn(marker_col, F.lit(batch_id).cast("bigint")))
+        finally:
+            batch.unpersist()
 
     w = stream_df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))

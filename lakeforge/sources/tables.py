@@ -173,8 +173,14 @@ class BucketedTable:
     at most ``buckets`` integers.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
-        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+    ROWS_PER_BUCKET = 1_000_000
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int | None = None):
+        self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
+        # The committed manifest is authoritative: a table keeps the bucket
+        # count it was created with, whatever a later caller passes.
+        m = self.manifest() if self.exists() else {}
+        self.buckets = m.get("bucket_count") or buckets
 
     # ------------------------------------------------------------ manifest
     def _bucket_col(self) -> F.Column:
@@ -246,6 +252,13 @@ class BucketedTable:
         m = self.manifest()
         if batch_id is not None and m.get("batch_id") is not None and m["batch_id"] >= batch_id:
             return None
+        if m.get("bucket_count"):
+            self.buckets = m["bucket_count"]
+        elif not self.buckets:
+            # First write without a given count: about ROWS_PER_BUCKET rows
+            # per bucket (one count job), clamped to [8, 4096].
+            n = batch.count()
+            self.buckets = int(min(4096, max(8, -(-n // self.ROWS_PER_BUCKET))))
         touched = {r[0] for r in batch.select(self._bucket_col().alias("_b")).distinct().collect()}
         paths = self._paths(m, touched)
         if paths:
@@ -266,7 +279,8 @@ class BucketedTable:
         }
         buckets = {b: v for b, v in m["buckets"].items() if int(b) not in touched}
         buckets.update({str(b): version for b in written})
-        self._write_manifest({"version": version, "batch_id": batch_id, "buckets": buckets})
+        self._write_manifest({"version": version, "batch_id": batch_id, "buckets": buckets,
+                              "bucket_count": self.buckets, "keys": self.keys})
         return version
 
     def upsert(self, source: DataFrame, on_duplicate: str = "error", batch_id: int | None = None):
@@ -305,7 +319,7 @@ class Scd2Table:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._m = BucketedTable(spark, root, keys=["_unused"])  # manifest helpers
+        self._m = BucketedTable(spark, root, keys=["_unused"], buckets=1)  # manifest helpers
 
     def runs(self) -> list[int]:
         return self._m.versions()

@@ -253,3 +253,15 @@ def test_bucketed_change_feed_reads_changed_buckets_only(spark, tmp_dir):
     assert got == [(5, "a", "update_preimage"), (5, "b", "update_postimage"), (500, "n", "insert")]
     files = feed._jdf.queryExecution().executedPlan().toString()
     assert "_b=" in files  # reads bucket folders, not whole versions
+
+
+def test_bucketed_table_keeps_its_bucket_count(spark, tmp_dir):
+    from lakeforge.sources import BucketedTable
+
+    t = BucketedTable(spark, f"{tmp_dir}/bc", ["k"])  # count sized from the first load
+    t.upsert(spark.range(0, 50).selectExpr("id AS k", "'a' AS v"))
+    assert t.manifest()["bucket_count"] == 8
+    reopened = BucketedTable(spark, f"{tmp_dir}/bc", ["k"], buckets=64)  # ignored: the table has 8
+    reopened.upsert(spark.createDataFrame([(3, "b")], "k bigint, v string"))
+    got = {r[0]: r[1] for r in reopened.read().collect()}
+    assert len(got) == 50 and got[3] == "b"

@@ -155,14 +155,29 @@ def treatments_transform(t: DataFrame, v: DataFrame, p: DataFrame, d: DataFrame,
 def city_access(pt: DataFrame, vt: DataFrame) -> DataFrame:
     """A3: distinct patients and hospitals per patient city (LEFT JOIN).
 
-    Visits are reduced to distinct (patient, hospital) pairs before the
-    join; distinct counts are unchanged and the join input shrinks.
+    Same result as ``COUNT(DISTINCT patient), COUNT(DISTINCT hospital)``
+    over patients LEFT JOIN visits, planned without the ``Expand`` that
+    two distinct aggregates need (it doubles every joined row):
+    - patients per city need no join: the LEFT JOIN keeps every patient;
+    - hospitals per city count distinct (city, hospital) pairs of the
+      inner join with visits reduced to distinct (patient, hospital);
+    - the two city-level results (one row per city) are joined null-safely
+      on the city; a city without visits counts 0 hospitals.
     """
+    people = pt.select("patient_id", "patient_city")
+    patients = people.groupBy("patient_city").agg(F.count_distinct("patient_id").alias("total_patients"))
     pairs = vt.select("patient_id", "hospital_id").distinct()
-    j = pt.select("patient_id", "patient_city").join(pairs, "patient_id", "left")
-    return j.groupBy("patient_city").agg(
-        F.count_distinct("patient_id").alias("total_patients"),
-        F.count_distinct("hospital_id").alias("total_hospitals"),
+    hospitals = (
+        people.join(pairs, "patient_id")
+        .select("patient_city", "hospital_id")
+        .distinct()
+        .groupBy("patient_city")
+        .agg(F.count(F.lit(1)).alias("total_hospitals"))
+        .withColumnRenamed("patient_city", "_city")
+    )
+    j = patients.join(hospitals, patients["patient_city"].eqNullSafe(hospitals["_city"]), "left")
+    return j.select(
+        "patient_city", "total_patients", F.coalesce(F.col("total_hospitals"), F.lit(0)).alias("total_hospitals")
     )
 
 

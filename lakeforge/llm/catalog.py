@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from lakeforge.llm import exact_dedup, packing
+from lakeforge.llm import exact_dedup, packing, piece_encoding, token_counts
 
 QUERIES = {
     "op1_best_fit_packing": packing.query,
+    "op3_sentencepiece": piece_encoding.query,
+    "op4_token_counts": token_counts.query,
     "op9_exact_dedup": exact_dedup.query,
 }
 

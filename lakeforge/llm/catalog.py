@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from lakeforge.llm import exact_dedup, packing, piece_encoding, token_counts
+from lakeforge.llm import exact_dedup, fingerprints, packing, piece_encoding, token_counts, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.query,
     "op3_sentencepiece": piece_encoding.query,
     "op4_token_counts": token_counts.query,
+    "op7_fingerprints": fingerprints.query,
+    "op8_toxicity": toxicity.query,
     "op9_exact_dedup": exact_dedup.query,
 }
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from lakeforge.llm import exact_dedup, fingerprints, packing, piece_encoding, token_counts, toxicity
+from lakeforge.llm import exact_dedup, fingerprints, ngram_join, packing, piece_encoding, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.query,
+    "op2_suffix_array_dedup": substring_dedup.query,
     "op3_sentencepiece": piece_encoding.query,
     "op4_token_counts": token_counts.query,
     "op7_fingerprints": fingerprints.query,
     "op8_toxicity": toxicity.query,
     "op9_exact_dedup": exact_dedup.query,
+    "op10_ngram_join": ngram_join.query,
 }
 
 ORACLE = {

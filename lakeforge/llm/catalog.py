@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from lakeforge.llm import exact_dedup, fingerprints, ngram_join, packing, piece_encoding, substring_dedup, token_counts, toxicity
+from lakeforge.llm import exact_dedup, fingerprints, license_scan, maxent_lm, ngram_join, packing, piece_encoding, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.query,
     "op2_suffix_array_dedup": substring_dedup.query,
     "op3_sentencepiece": piece_encoding.query,
     "op4_token_counts": token_counts.query,
+    "op5_maxent_lm": maxent_lm.query,
+    "op6_license_scan": license_scan.query,
     "op7_fingerprints": fingerprints.query,
     "op8_toxicity": toxicity.query,
     "op9_exact_dedup": exact_dedup.query,
@@ -16,5 +18,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op6_license_scan": license_scan.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
 }

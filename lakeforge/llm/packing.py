@@ -18,12 +18,16 @@ sums of the tasks' counts, so no length is gathered in one task.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,19 +38,50 @@ CAPACITY = 4096
 PIECE_SCHEMA = "rk long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
+class WordIds(dict):
+    """Token ids of the tokenizer's words, asked from its merge model one by one."""
+
+    #: Fixed values of the vocabulary file: how its rules split a chunk (already lower case) into words.
+    WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    #: Characters whose lower case and composed form depend on nothing around them.
+    SIMPLE = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        # Byte-level vocabularies write the bytes that don't print as characters from 256 on.
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = sorted(set(range(256)) - set(printed))
+        self.letters = {b: chr(256 + i) for i, b in enumerate(others)}
+
+    def __missing__(self, word: str) -> list[int]:
+        name = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        self[word] = ids = [t.id for t in self.model.tokenize(name)]
+        return ids
+
+    def chunk(self, chunk: str) -> list[int]:
+        """The ids of a chunk without white space, equal to the tokenizer's own."""
+        if "<|" in chunk or not self.SIMPLE.fullmatch(chunk):
+            return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        ids: list[int] = []
+        for word in self.WORD.findall(chunk.lower()):
+            ids += self[word]
+        return ids
+
+
 class PieceEncoder:
     """Token ids of texts, remembering the ids of each white-space-free chunk.
 
     The tokenizer's rules drop white space and never look across it, so a
     text's ids are its chunks' ids in order. The memory is bounded: it is
-    emptied between slices once it holds ``limit`` chunks, and chunks of more
-    than ``long_chunk`` characters are not remembered.
+    emptied between slices once it holds ``limit`` chunks, and texts with
+    chunks of more than ``long_chunk`` characters are encoded whole.
     """
 
     #: Python's split() takes these as white space, the tokenizer does not.
     ODD = "\x1c\x1d\x1e\x1f"
 
-    def __init__(self, path: str, limit: int = 400_000, long_chunk: int = 200):
+    def __init__(self, path: str, limit: int = 500_000, long_chunk: int = 500):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -56,18 +91,15 @@ class PieceEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.index = _Index()
-        self.flat, self.begin, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.index, self.words = _Index(), WordIds(self.tokenizer)
+        self.flat, self.begin, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _learn(self) -> None:
         new = self.index.take_new()
-        if not new:
-            return
-        ids = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        begin = len(self.flat) + np.concatenate(([0], np.cumsum(count)[:-1]))
-        flat = np.fromiter((x for one in ids for x in one), np.uint32, int(count.sum()))
-        self.flat = np.concatenate((self.flat, flat))
+        ids = [self.words.chunk(c) for c in new]
+        count = np.fromiter(map(len, ids), np.int32, len(ids))
+        begin = len(self.flat) + np.cumsum(count, dtype=np.int32) - count
+        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))))
         self.begin, self.count = np.concatenate((self.begin, begin)), np.concatenate((self.count, count))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -78,16 +110,16 @@ class PieceEncoder:
         codes = []
         for i, text in enumerate(texts):
             chunks = text.split()
-            if any(c in text for c in self.ODD) or any(len(c) > self.long_chunk for c in chunks):
+            if any(c in text for c in self.ODD) or max(map(len, chunks), default=0) > self.long_chunk:
                 whole[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
                 chunks = []
-            codes.append(np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks)))
+            codes.append(np.fromiter(map(self.index.__getitem__, chunks), np.int32, len(chunks)))
         self._learn()
         out = []
         for i, code in enumerate(codes):
             count = self.count[code]
-            ends = np.cumsum(count)
-            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[code] - ends + count, count)
+            ends = np.cumsum(count, dtype=np.int32)
+            at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(self.begin[code] - ends + count, count)
             out.append(whole.get(i, self.flat[at]))
         return out
 
@@ -109,15 +141,21 @@ class _Index(dict):
         return new
 
 
+@cache
+def encoder(tokenizer: str) -> PieceEncoder:
+    """One per worker process, for all its tasks."""
+    return PieceEncoder(vocabulary(tokenizer))
+
+
 def cut_pieces(rows: DataFrame, key: str, text_col: str, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:
     """The pieces of every text: ``PIECE_SCHEMA``, and ``ids`` if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, nth, task = PieceEncoder(vocabulary(tokenizer)), Counter(), TaskContext.get().partitionId()
+        nth, task = Counter(), TaskContext.get().partitionId()
         for batch in text_slices(batches, "text"):
             out: dict[str, list] = {k: [] for k in ("rk", "piece", "start", "length", "ids_crc32", "nth", "ids")}
             keys, texts = batch.column("rk").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            for rk, ids in zip(keys, encoder.encode(texts)):
+            for rk, ids in zip(keys, encoder(tokenizer).encode(texts)):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]

@@ -184,3 +184,14 @@ def test_token_counts_odd_texts_and_widening(spark, odd):
     """Runs of one character never share a boundary until the chunk holds them whole."""
     assert counts(odd, chunk=64, overlap=16) == brute_counts(odd)
     assert counts(odd.limit(0)) == Counter()
+
+
+def test_chunk_rules_equal_the_tokenizer():
+    encoder = packing.PieceEncoder(vocabulary("word_bpe_49k.json"), limit=2000)
+    rng = np.random.default_rng(3)
+    alphabet = [chr(c) for c in range(0x20, 0x250)] + list("'''sStTrReEvVmMlLdD  ́ÅÉé①Ⅷ ­\x7f\x01漢")
+    texts = ["".join(rng.choice(alphabet, rng.integers(1, 12))) for _ in range(4000)]
+    for begin in range(0, len(texts), 400):
+        part = texts[begin : begin + 400]
+        for text, ids in zip(part, encoder.encode(part)):
+            assert encoder.tokenizer.encode(text, add_special_tokens=False).ids == ids.tolist(), text

@@ -2,8 +2,8 @@ from lakeforge.operators.changes import (  # noqa: F401
     cdc_scd1,
     change_feed,
     scd1_merge,
+    scd2_open,
     scd2_snapshot,
-    split_null_keys,
     unique_source,
     upsert,
     versioned_view,
@@ -27,7 +27,7 @@ from lakeforge.operators.flatten import (  # noqa: F401
     vpath,
     vpath_int_rounded,
 )
-from lakeforge.operators.joins import bounded_broadcast, sum_over_join  # noqa: F401
+from lakeforge.operators.joins import sum_over_join  # noqa: F401
 from lakeforge.operators.quality import (  # noqa: F401
     check_accepted,
     check_not_null,

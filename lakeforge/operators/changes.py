@@ -1,33 +1,36 @@
 """Change application: upsert, SCD1, sequenced CDC, SCD2, change feed.
 
-All operators are lazy DataFrame → DataFrame functions built from joins
-and unions; none collects rows.
+All operators are lazy DataFrame → DataFrame functions; none collects rows.
 
 Scale notes
-- Rows whose key has a NULL part can never match (trap T17). They are
-  split off *before* the keyed join and unioned back, so a flood of NULL
-  keys (which would all hash to one shuffle partition) never reaches the
-  join.
+- Each operator reads target and source once and meets them in one full
+  outer join; whether a side is broadcast or sorted is Spark's choice.
+- Rows whose key has a NULL part never match (trap T17), but an outer join
+  would still hash them all to one partition. The join therefore has one
+  more column, which is 0 for complete keys and a hash of the row for the
+  others, so a flood of NULL keys is spread over all partitions.
 - Duplicate source keys are detected with a count over a window
-  partitioned by the key: the following join on the same key needs the
-  same partitioning and order, so the check costs no extra exchange.
-- SCD2 only shuffles the *open* versions and the source; closed history
-  passes through untouched.
+  partitioned by the join columns: the join needs the same partitioning
+  and order, so the check costs no extra exchange.
+- SCD2 emits closed and new versions from one pass over the join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
+from lakeforge.functions import open_end
 from lakeforge.operators.clean import latest_per_key
 
 # The SCD2 metadata columns, named as the snapshot tool of the
 # source project names them (the versioned view and current-fact filter
 # read the last two).
 SCD2_META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
+SPREAD = "_spread"
 
 
 def _any_null(keys: Sequence[str], prefix: str = "") -> Column:
@@ -37,10 +40,10 @@ def _any_null(keys: Sequence[str], prefix: str = "") -> Column:
     return cond
 
 
-def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with a complete key, rows with a NULL key part)."""
-    nulls = _any_null(keys)
-    return df.filter(~nulls), df.filter(nulls)
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the join column that spreads rows whose key has a NULL part."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    return df.withColumn(SPREAD, F.when(_any_null(keys), F.xxhash64(*plain)).otherwise(F.lit(0)))
 
 
 def unique_source(
@@ -49,27 +52,37 @@ def unique_source(
     on_duplicate: str = "error",
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per (non-NULL) key.
+    """One row per complete key; rows whose key has a NULL part all stay.
 
     ``on_duplicate``: ``error`` fails the job when a key repeats (the
     source system rejects such a merge, trap T16); ``latest`` keeps the
-    row with the greatest ``order_by``; ``keep`` trusts the caller.
+    row with the greatest ``order_by``, which must be given; ``keep``
+    trusts the caller.
     """
     if on_duplicate == "keep":
         return source
     if on_duplicate == "latest":
-        return latest_per_key(source, keys, order_by or [])
+        if not order_by:
+            raise ValueError("on_duplicate='latest' needs order_by")
+        spread = _spread(source, keys)
+        return latest_per_key(spread, [*keys, SPREAD], order_by).drop(SPREAD)
     if on_duplicate != "error":
         raise ValueError(on_duplicate)
-    # The keyed merge join that follows needs the source hash-partitioned
-    # and sorted on the key; a count over a window partitioned by the key
-    # needs exactly the same, so the check adds no exchange and no sort.
-    # On valid input every key group holds one row; a repeated key fails.
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    checked = source.withColumn("_n", n)
-    return checked.filter(
-        F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate source key in merge"))).otherwise(F.lit(True))
-    ).drop("_n")
+    spread = _spread(source, keys)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, SPREAD))
+    repeated = (F.col("_n") > 1) & (F.col(SPREAD) == 0)
+    checked = spread.withColumn("_n", n).filter(
+        F.when(repeated, F.raise_error(F.lit("duplicate source key in merge"))).otherwise(F.lit(True))
+    )
+    return checked.drop("_n", SPREAD)
+
+
+def _outer(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join on complete keys: ``t_*`` and ``s_*`` columns, and ``_t`` / ``_s`` where a side is present."""
+    t, s = _spread(target, keys), _spread(source, keys)
+    t = t.select(*[F.col(c).alias(f"t_{c}") for c in t.columns], F.lit(True).alias("_t"))
+    s = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns], F.lit(True).alias("_s"))
+    return t.join(s, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in [*keys, SPREAD]], "full_outer")
 
 
 def upsert(
@@ -77,6 +90,7 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     on_duplicate: str = "error",
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """M1/M4: matched keys take the source row, new keys are inserted.
 
@@ -84,48 +98,18 @@ def upsert(
     source-only columns appear as new columns (NULL for untouched rows).
     NULL-key source rows are always inserted; NULL-key target rows stay.
     """
-    s_full, s_null = split_null_keys(source, keys)
-    t_full, t_null = split_null_keys(target, keys)
-    s_keys = s_full.select(*keys)
-    s_full = unique_source(s_full, keys, on_duplicate)
-    out_cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
-
-    if set(source.columns) == set(target.columns):
-        # Equal columns: untouched target rows ∪ source rows. The anti join
-        # needs only the batch's keys: with a small batch AQE broadcasts
-        # them and the target streams through without a shuffle (a full
-        # outer join cannot be broadcast). The duplicate check runs once,
-        # on the branch that carries the source rows.
-        kept = t_full.join(s_keys, list(keys), "left_anti")
-        merged = kept.unionByName(s_full)
-    else:
-        t = t_full.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_t"))
-        s = s_full.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s"))
-        cond = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]
-        j = t.join(s, cond, "full_outer")
-        hit = F.col("_s").isNotNull()
-        sel = []
-        for c in out_cols:
-            if c in source.columns and c in target.columns:
-                sel.append(F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
-            elif c in source.columns:
-                sel.append(F.col(f"s_{c}").alias(c))
-            else:
-                sel.append(F.col(f"t_{c}").alias(c))
-        merged = j.select(*sel)
-    return _union_all(merged, t_null, s_null, out_cols)
-
-
-def _union_all(merged: DataFrame, t_null: DataFrame, s_null: DataFrame, out_cols) -> DataFrame:
-    def fit(df):
-        return df.select(
-            *[
-                F.col(c) if c in df.columns else F.lit(None).cast(merged.schema[c].dataType).alias(c)
-                for c in out_cols
-            ]
-        )
-
-    return merged.select(*out_cols).unionByName(fit(t_null)).unionByName(fit(s_null))
+    source = unique_source(source, keys, on_duplicate, order_by)
+    joined = _outer(target, source, keys)
+    hit = F.col("_s").isNotNull()
+    columns = []
+    for c in [*target.columns, *(c for c in source.columns if c not in target.columns)]:
+        if c not in source.columns:
+            columns.append(F.col(f"t_{c}").alias(c))
+        elif c not in target.columns:
+            columns.append(F.col(f"s_{c}").alias(c))
+        else:
+            columns.append(F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
+    return joined.select(*columns)
 
 
 def scd1_merge(
@@ -136,63 +120,28 @@ def scd1_merge(
     insert_col: str = "insert_dts",
     update_col: str = "update_dts",
     on_duplicate: str = "error",
-    broadcast_rows: int | None = 1_000_000,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """M2: SCD type 1 on a (composite) key.
 
     Matched: every non-key column and ``update_col`` take the source values,
     ``insert_col`` keeps the target's. Not matched: inserted with both
     times = ``now``. Source rows need not carry the two time columns.
-
-    A change batch of at most ``broadcast_rows`` rows (checked by reading
-    at most that many + 1) is merged with broadcast joins only: the target
-    is streamed, never shuffled. A full outer join, the general plan for
-    large batches, cannot be broadcast and would shuffle the whole target.
     """
-    now_c = F.lit(now).cast(target.schema[update_col].dataType) if not isinstance(now, Column) else now
-    src = source.drop(insert_col, update_col)
-    value_cols = [c for c in src.columns if c not in keys]
-    out_cols = list(target.columns)
-
-    s_full, s_null = split_null_keys(src, keys)
-    t_full, t_null = split_null_keys(target, keys)
-    s_full = unique_source(s_full, keys, on_duplicate)
-
-    def pick(c: str, hit) -> Column:
-        if c in keys:
-            return F.coalesce(F.col(f"t_{c}"), F.col(f"s_{c}")).alias(c)
+    now_c = now if isinstance(now, Column) else F.lit(now).cast(target.schema[update_col].dataType)
+    source = unique_source(source.drop(insert_col, update_col), keys, on_duplicate, order_by)
+    hit = F.col("_s").isNotNull()
+    columns = []
+    for c in target.columns:
+        old = F.col(f"t_{c}")
         if c == insert_col:
-            return F.coalesce(F.col(f"t_{c}"), now_c).alias(c)
-        if c == update_col:
-            return F.when(hit, now_c).otherwise(F.col(f"t_{c}")).alias(c)
-        if c in value_cols:
-            return F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
-        return F.col(f"t_{c}").alias(c)
-
-    t = t_full.select(*[F.col(c).alias(f"t_{c}") for c in target.columns])
-    s = s_full.select(*[F.col(c).alias(f"s_{c}") for c in src.columns])
-    cond = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]
-    small = broadcast_rows is not None and s_full.limit(broadcast_rows + 1).count() <= broadcast_rows
-    if small:
-        sk = F.broadcast(s_full.select(*keys))
-        updated = t.join(F.broadcast(s), cond, "inner").select(*[pick(c, F.lit(True)) for c in out_cols])
-        kept = t_full.join(sk, list(keys), "left_anti").select(*out_cols)
-        matched_keys = t_full.select(*keys).join(sk, list(keys), "left_semi")
-        fresh = s.join(F.broadcast(matched_keys.select(*[F.col(k).alias(f"t_{k}") for k in keys])), cond, "left_anti")
-        inserted = fresh.select(*[F.col(f"s_{c}").alias(c) for c in src.columns])
-        inserted = inserted.withColumn(insert_col, now_c).withColumn(update_col, now_c)
-        merged = updated.unionByName(kept).unionByName(_fit(inserted, out_cols, target))
-    else:
-        j = t.withColumn("_t", F.lit(True)).join(s.withColumn("_s", F.lit(True)), cond, "full_outer")
-        merged = j.select(*[pick(c, F.col("_s").isNotNull()) for c in out_cols])
-    s_null = s_null.withColumn(insert_col, now_c).withColumn(update_col, now_c)
-    return _union_all(merged, t_null, s_null, out_cols)
-
-
-def _fit(df: DataFrame, out_cols, like: DataFrame) -> DataFrame:
-    return df.select(
-        *[F.col(c) if c in df.columns else F.lit(None).cast(like.schema[c].dataType).alias(c) for c in out_cols]
-    )
+            new = F.when(F.col("_t").isNull(), now_c).otherwise(old)
+        elif c == update_col:
+            new = F.when(hit, now_c).otherwise(old)
+        else:
+            new = F.when(hit, F.col(f"s_{c}")).otherwise(old) if c in source.columns else old
+        columns.append(new.alias(c))
+    return _outer(target, source, keys).select(*columns)
 
 
 def cdc_scd1(
@@ -211,7 +160,7 @@ def cdc_scd1(
     latest = latest_per_key(source, keys, [sequence_by], tiebreak)
     if target is None:
         return latest
-    cols = target.columns
+    cols = target.columns  # at most one row per key, NULL parts included
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
     s = latest.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"))
     j = t.join(s, [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys], "full_outer")
@@ -225,86 +174,94 @@ def cdc_scd1(
     )
 
 
+def folded(c: str) -> Column:
+    """A text compared without regard to case, as a case-insensitive collation does."""
+    return F.collate(F.col(c), "UNICODE_CI")
+
+
 def _changed(cols: Sequence[str], case_insensitive: Sequence[str] = ()) -> Column:
     cond = F.lit(False)
     for c in cols:
-        a, b = F.col(f"o_{c}"), F.col(f"s_{c}")
-        if c in case_insensitive:
-            a, b = F.lower(a), F.lower(b)
-        cond = cond | ~a.eqNullSafe(b)
+        side = folded if c in case_insensitive else F.col
+        cond = cond | ~side(f"t_{c}").eqNullSafe(side(f"s_{c}"))
     return cond
 
 
-def scd_id(keys: Sequence[str], ts: Column, prefix: str = "") -> Column:
+def scd_id(keys: Sequence[str], ts: Column, prefix: str = "", id_key: Callable[[str], Column] | None = None) -> Column:
     """Version id: md5 of the key and the version time joined by '|'."""
-    key = F.concat_ws("|", *[F.coalesce(F.col(f"{prefix}{k}").cast("string"), F.lit("")) for k in keys])
+    key = id_key(prefix) if id_key else F.concat_ws("|", *[F.coalesce(F.col(f"{prefix}{k}").cast("string"), F.lit("")) for k in keys])
     return F.md5(F.concat_ws("|", key, F.coalesce(ts.cast("string"), F.lit(""))))
 
 
-def scd2_snapshot(
-    history: DataFrame | None,
+def scd2_open(
+    open_versions: DataFrame | None,
     source: DataFrame,
     keys: Sequence[str],
     check_cols: Sequence[str],
     now,
     case_insensitive_cols: Sequence[str] = (),
+    case_insensitive_keys: Sequence[str] = (),
     on_duplicate: str = "error",
+    order_by: Sequence[str] | None = None,
+    id_key: Callable[[str], Column] | None = None,
 ) -> DataFrame:
-    """M5/M6: SCD2 snapshot, *check* strategy.
-
-    History columns: the source columns plus ``dbt_scd_id``,
-    ``dbt_updated_at``, ``dbt_valid_from``, ``dbt_valid_to`` (NULL = open).
-    A key whose checked columns differ (NULL-safe) gets its open version
-    closed at ``now`` and a new open version; keys missing from the source
-    stay open (no hard deletes); unchanged keys are untouched.
+    """M5/M6 on the open versions alone: open, newly closed and new versions.
+
+    One join; a pair whose checked columns differ (NULL-safe) gives two
+    rows, the open version closed at ``now`` and a new open one. Keys missing
+    from the source stay open (no hard deletes). Keys listed as
+    case-insensitive meet, and count as repeated, whatever their case.
+    ``id_key`` gives the key that goes into the version id, from columns with
+    a prefix; by default the key's parts joined by '|'.
     """
     now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
-    src_cols = source.columns
-    s_full, s_null = split_null_keys(source, keys)
-    s_full = unique_source(s_full, keys, on_duplicate)
-
-    def new_versions(df: DataFrame, prefix: str = "") -> DataFrame:
-        return df.select(
-            *[F.col(f"{prefix}{c}").alias(c) for c in src_cols],
-            scd_id(keys, now_c, prefix).alias("dbt_scd_id"),
+    columns = source.columns
+    fold = {k: f"_fold_{k}" for k in case_insensitive_keys}
+    match = [fold.get(k, k) for k in keys]
+
+    def with_folds(df: DataFrame) -> DataFrame:
+        return df.withColumns({f: folded(k) for k, f in fold.items()}) if fold else df
+
+    source = unique_source(with_folds(source), match, on_duplicate, order_by)
+
+    def version(prefix: str = "") -> list[Column]:
+        return [
+            *[F.col(f"{prefix}{c}").alias(c) for c in columns],
+            scd_id(keys, now_c, prefix, id_key).alias("dbt_scd_id"),
             now_c.alias("dbt_updated_at"),
             now_c.alias("dbt_valid_from"),
             F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"),
-        )
+        ]
 
-    if history is None:
-        return new_versions(s_full).unionByName(new_versions(s_null))
+    if open_versions is None:
+        return source.select(*version())
+    out = open_versions.columns
+    joined = _outer(with_folds(open_versions), source, match)
+    both = F.col("_t").isNotNull() & F.col("_s").isNotNull()
+    changed = both & _changed(check_cols, case_insensitive_cols)
+    new = dict(zip([*columns, *SCD2_META], version("s_")))
+    old = {c: F.col(f"t_{c}") for c in out} | {"dbt_valid_to": F.when(changed, now_c).otherwise(F.col("t_dbt_valid_to"))}
+    old_row, new_row = (F.struct(*[row[c].alias(c) for c in out]) for row in (old, new))
+    rows = F.when(changed, F.array(old_row, new_row)).when(F.col("_t").isNotNull(), F.array(old_row)).otherwise(F.array(new_row))
+    return joined.select(F.explode(rows).alias("_v")).select("_v.*")
 
-    out_cols = list(history.columns)
+
+def scd2_snapshot(history: DataFrame | None, source: DataFrame, keys: Sequence[str], check_cols: Sequence[str], now, **options) -> DataFrame:
+    """M5/M6: SCD2 snapshot, *check* strategy, over a whole history.
+
+    History columns: the source columns plus ``dbt_scd_id``,
+    ``dbt_updated_at``, ``dbt_valid_from``, ``dbt_valid_to`` (NULL = open).
+    Closed versions pass through; the rest is ``scd2_open`` (and its options).
+    """
+    if history is None:
+        return scd2_open(None, source, keys, check_cols, now, **options)
     closed = history.filter(F.col("dbt_valid_to").isNotNull())
-    open_ = history.filter(F.col("dbt_valid_to").isNull())
-    o = open_.select(*[F.col(c).alias(f"o_{c}") for c in out_cols], F.lit(True).alias("_o"))
-    s = s_full.select(*[F.col(c).alias(f"s_{c}") for c in src_cols], F.lit(True).alias("_s"))
-    j = o.join(s, [F.col(f"o_{k}") == F.col(f"s_{k}") for k in keys], "full_outer")
-    has_o, has_s = F.col("_o").isNotNull(), F.col("_s").isNotNull()
-    changed = has_o & has_s & _changed(check_cols, case_insensitive_cols)
-
-    # Old side: an open version stays open, or is closed at `now` if changed.
-    old = j.filter(has_o).select(
-        *[
-            (F.when(changed, now_c).otherwise(F.col("o_dbt_valid_to")) if c == "dbt_valid_to" else F.col(f"o_{c}")).alias(c)
-            for c in out_cols
-        ]
-    )
-    # New side: a new key, or a changed key's new version.
-    fresh = new_versions(j.filter(has_s & (~has_o | changed)), prefix="s_")
-    return (
-        closed.select(*out_cols)
-        .unionByName(old)
-        .unionByName(fresh.select(*out_cols))
-        .unionByName(new_versions(s_null).select(*out_cols))
-    )
+    open_versions = history.filter(F.col("dbt_valid_to").isNull())
+    return closed.unionByName(scd2_open(open_versions, source, keys, check_cols, now, **options))
 
 
 def versioned_view(hist: DataFrame, keep: Sequence[str], high: str | None = None) -> DataFrame:
     """M7: version start / end (open end → high date) plus the kept columns."""
-    from lakeforge.functions import open_end
-
     end = open_end("dbt_valid_to") if high is None else open_end("dbt_valid_to", high)
     return hist.select(
         *[F.col(c) for c in keep[:1]],
@@ -324,23 +281,29 @@ def change_feed(
 
     Emits ``insert``, ``delete``, ``update_preimage`` and
     ``update_postimage`` rows (the change-data-feed vocabulary) with a
-    ``_change_type`` column; unchanged rows emit nothing. Keys are assumed
-    unique in each version.
+    ``_change_type`` column; unchanged rows emit nothing. Complete keys are
+    unique in each version. Rows whose key has a NULL part are compared as a
+    multiset: as many as one version has more of come out as inserts or
+    deletes.
     """
     cols = before.columns
     compare = [c for c in (compare or cols) if c not in keys]
-    b = before.select(*[F.col(c).alias(f"o_{c}") for c in cols], F.lit(True).alias("_o"))
-    a = after.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"))
-    j = b.join(a, [F.col(f"o_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys], "full_outer")
-    has_o, has_s = F.col("_o").isNotNull(), F.col("_s").isNotNull()
+    has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
 
     def image(prefix: str, kind: str) -> Column:
         return F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in cols], F.lit(kind).alias("_change_type"))
 
     # No branch taken (unchanged row) → NULL array → explode emits nothing.
     images = (
-        F.when(has_o & ~has_s, F.array(image("o_", "delete")))
-        .when(~has_o & has_s, F.array(image("s_", "insert")))
-        .when(_changed(compare), F.array(image("o_", "update_preimage"), image("s_", "update_postimage")))
+        F.when(has_t & ~has_s, F.array(image("t_", "delete")))
+        .when(~has_t & has_s, F.array(image("s_", "insert")))
+        .when(_changed(compare), F.array(image("t_", "update_preimage"), image("s_", "update_postimage")))
     )
-    return j.select(F.explode(images).alias("_c")).select("_c.*")
+    rows = _outer(before, after, keys).select(F.explode(images).alias("_c")).select("_c.*")
+    # Rows without a complete key have met nobody: equal ones cancel out, one by one.
+    sign = F.when(F.col("_change_type") == "insert", 1).otherwise(-1)
+    net = F.sum(sign).over(Window.partitionBy(*cols))
+    number = F.row_number().over(Window.partitionBy(*cols, "_change_type").orderBy(F.lit(1)))
+    rows = rows.withColumns({"_net": net, "_number": number})
+    stays = ~_any_null(keys) | (F.col("_number") <= F.when(F.col("_change_type") == "insert", F.col("_net")).otherwise(-F.col("_net")))
+    return rows.filter(stays).drop("_net", "_number")

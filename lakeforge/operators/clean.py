@@ -1,10 +1,11 @@
 """Row cleaning, deduplication and numbering.
 
 Scale notes
-- ``latest_per_key`` is an aggregate (``max_by`` over a struct), so Spark
-  runs a partial aggregate before the shuffle: a key holding a third of all
-  rows is reduced map-side to one row per task and never lands whole in one
-  task. A ``row_number()`` window would sort that key in a single task.
+- ``latest_per_key`` is an aggregate (the maximum of a struct that holds
+  every column once), so Spark runs a partial aggregate before the shuffle:
+  a key holding a third of all rows is reduced map-side to one row per task
+  and never lands whole in one task. A ``row_number()`` window would sort
+  that key in a single task.
 - ``global_row_number`` never uses an un-partitioned window: rows are range
   partitioned on the full ordering, numbered inside each partition, and the
   per-partition counts (one row per partition) are turned into offsets.
@@ -52,11 +53,17 @@ def latest_per_key(
             for f in df.schema.fields
             if f.name not in taken and _orderable(f.dataType)
         ]
-    ordering = F.struct(*_cols([*order_by, *tiebreak]))
-    payload = F.struct(*_cols(cols))
-    pick = F.max_by(payload, ordering) if newest else F.min_by(payload, ordering)
+    ordered = [*order_by, *tiebreak]
+    rest = [f for f in df.schema.fields if f.name not in {*keys, *ordered}]
+    if all(_orderable(f.dataType) for f in rest):
+        # Every column once: those that order, then the others.
+        row = F.struct(*_cols([*ordered, *(f.name for f in rest)]))
+        pick = F.max(row) if newest else F.min(row)
+    else:
+        row, ordering = F.struct(*_cols([c for c in cols if c not in keys])), F.struct(*_cols(ordered))
+        pick = F.max_by(row, ordering) if newest else F.min_by(row, ordering)
     return df.groupBy(*keys).agg(pick.alias("_row")).select(
-        *[F.col(f"_row.{c}").alias(c) for c in cols]
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in cols]
     )
 
 
@@ -86,12 +93,10 @@ def global_row_number(
     The ordering should be total (add tie-break columns); rows that tie on
     the whole ordering get consecutive numbers in an unspecified order.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     order_cols = _cols(order_by)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
-        df.repartitionByRange(n, *order_cols)
+        df.repartitionByRange(*([num_partitions] if num_partitions else []), *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
     )

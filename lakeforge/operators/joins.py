@@ -1,15 +1,14 @@
 """Join helpers.
 
-- ``bounded_broadcast`` broadcasts a side only after checking its size:
-  a ``limit(max_rows + 1).count()`` job reads at most ``max_rows + 1`` rows.
-  Above the bound the side is returned as is and Spark plans a shuffle
-  join (AQE may still switch to broadcast from run-time statistics).
-- ``sum_over_join`` computes ``SUM(measure)`` grouped over an equi-join
-  that is many-to-many on its key (trap T2: a date dimension with one row
-  per fact row joined on the date) without emitting the row pairs. Both
-  sides are pre-aggregated per (key, group columns); the join then meets
-  one row per group on each side and the left side's row count becomes a
-  weight. The result equals the SUM over the pairwise join.
+``sum_over_join`` computes ``SUM(measure)`` grouped over an equi-join
+that is many-to-many on its key (trap T2: a date dimension with one row
+per fact row joined on the date) without emitting the row pairs. Both
+sides are pre-aggregated per (key, group columns); the join then meets
+one row per group on each side and the left side's row count becomes a
+weight. The result equals the SUM over the pairwise join.
+
+Which side of a join is broadcast is left to Spark, which knows sizes in
+bytes, before and (adaptively) during the run.
 """
 
 from __future__ import annotations
@@ -19,16 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) broadcast without further thought; above it the
-# join shuffles. 2M narrow rows stay well under the 8 GB broadcast limit.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def sum_over_join(
     left: DataFrame,
@@ -39,17 +28,14 @@ def sum_over_join(
     right_groups: Sequence[str],
     measures: dict[str, str],
     how: str = "inner",
-    measure_side: str = "right",
 ) -> DataFrame:
     """``SELECT groups, SUM(m) FROM left JOIN right ON key GROUP BY groups``.
 
-    ``measures`` maps output name → measure column on ``measure_side``.
+    ``measures`` maps output name → measure column of the right side.
     ``how`` is ``inner`` or ``left`` (left side preserved, as a dimension
     LEFT JOIN fact). Group columns are given by their output names; a
     group column may be an expression alias prepared by the caller.
     """
-    if measure_side != "right":
-        raise ValueError("measures are taken from the right side")
     w = "_w"
     lagg = left.groupBy(F.col(left_key).alias("_k"), *left_groups).agg(
         F.count(F.lit(1)).alias(w)

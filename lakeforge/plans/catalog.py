@@ -8,13 +8,57 @@ or averages are rounded in the last projection only, so the DuckDB oracle
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.plans import quakes
-from lakeforge.session import ensure_checkpoint_dir, materialize, read_table
+from lakeforge import functions as lf
+from lakeforge.operators import (
+    cdc_scd1,
+    change_feed,
+    check_accepted,
+    check_not_null,
+    check_unique,
+    dedup_rows,
+    distinct_values,
+    duplicate_keys,
+    latest_per_key,
+    lookup,
+    scd1_merge,
+    scd2_open,
+    scd2_snapshot,
+    upsert,
+    versioned_view,
+)
+from lakeforge.plans import changes_jobs as cj
+from lakeforge.plans import countries, health, quakes, retail
+from lakeforge.session import ensure_checkpoint_dir, materialize, read_table, scratch_path
+from lakeforge.sources import (
+    CsvDialect,
+    HistoryTable,
+    KeyedTable,
+    VersionedTable,
+    load_csv,
+    load_csv_with_lineage,
+    parquet_tables,
+    read_csv,
+    reload_variant,
+    replace_table,
+    schemas,
+    table_inventory,
+)
+from lakeforge.streaming import (
+    csv_stream,
+    drain,
+    json_stream,
+    run_cdc_stream,
+    run_scd1_stream,
+    stream_dedup,
+    table_stream,
+    variant_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -28,7 +72,6 @@ def _prep(spark: SparkSession) -> None:
 def register(name: str):
     """Register a query; every query runs with a UTC session clock and the
     shared checkpoint folder in place."""
-
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             _prep(spark)
@@ -105,17 +148,15 @@ def quake_hotspot_map(spark, sf_dir):
 def quake_latest_per_user(spark, sf_dir):
     """W1 on the raw events: latest event per user (tie-break event_id)."""
     ev = read_table(spark, sf_dir, "events")
-    from lakeforge.operators import latest_per_key
 
     return latest_per_key(ev, ["user_id"], ["ts"], ["event_id"])
 
 
 # ----------------------------------------------------------------- healthcare
-HEALTH_TODAY = __import__("datetime").date(2025, 6, 30)
+HEALTH_TODAY = dt.date(2025, 6, 30)
 
 
 def _health_bronze(spark, sf_dir):
-    from lakeforge.plans import health
 
     names = ("customer", "supplier", "nation", "orders", "lineitem")
     return health.bronze_from_driver({n: read_table(spark, sf_dir, n) for n in names})
@@ -124,23 +165,22 @@ def _health_bronze(spark, sf_dir):
 @register("health_patients")
 def health_patients(spark, sf_dir):
     """patients projection (name split, dob cast, age)."""
-    from lakeforge.plans import health
-
     return health.patients_transform(_health_bronze(spark, sf_dir)["patients"], HEALTH_TODAY)
 
 
 def _health_visits(spark, sf_dir):
-    from lakeforge.plans import health
 
     b = _health_bronze(spark, sf_dir)
     return health.visits_transform(b["visits"], b["patients"], b["doctors"], b["hospitals"])
 
 
-def _health_treatments(spark, sf_dir):
-    from lakeforge.plans import health
-
+def _health_star(spark, sf_dir):
     b = _health_bronze(spark, sf_dir)
-    return health.treatments_transform(b["treatments"], b["visits"], b["patients"], b["doctors"], b["hospitals"])
+    return [b[n] for n in ("treatments", "visits", "patients", "doctors", "hospitals")]
+
+
+def _health_treatments(spark, sf_dir):
+    return health.treatments_transform(*_health_star(spark, sf_dir))
 
 
 @register("health_visits")
@@ -158,8 +198,6 @@ def health_treatments(spark, sf_dir):
 @register("health_city_access")
 def health_city_access(spark, sf_dir):
     """J3 + A3: LEFT JOIN, two distinct counts per city."""
-    from lakeforge.plans import health
-
     pt = health.patients_transform(_health_bronze(spark, sf_dir)["patients"], HEALTH_TODAY)
     return health.city_access(pt, _health_visits(spark, sf_dir))
 
@@ -167,25 +205,19 @@ def health_city_access(spark, sf_dir):
 @register("health_hospital_performance")
 def health_hospital_performance(spark, sf_dir):
     """A4: hospital performance."""
-    from lakeforge.plans import health
-
-    return health.hospital_performance(_health_treatments(spark, sf_dir))
+    return health.hospital_performance(*_health_star(spark, sf_dir))
 
 
 @register("health_visit_summary")
 def health_visit_summary(spark, sf_dir):
     """A5: patient visit summary."""
-    from lakeforge.plans import health
-
     return health.visit_summary(_health_visits(spark, sf_dir))
 
 
 @register("health_patient_value")
 def health_patient_value(spark, sf_dir):
     """Patient value."""
-    from lakeforge.plans import health
-
-    return health.patient_value(_health_treatments(spark, sf_dir))
+    return health.patient_value(*_health_star(spark, sf_dir))
 
 
 # --------------------------------------------------------------------- retail
@@ -195,8 +227,6 @@ RETAIL_NOW2 = "2024-03-02 00:00:00"
 
 def _retail_silver(spark, sf_dir):
     """Bronze and silver models (lazy; nothing is materialised here)."""
-    from lakeforge.plans import retail
-
     b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
     return {
         "stage_dept_unnumbered": retail.stage_dept(b["department"], RETAIL_NOW1, numbered=False),
@@ -215,8 +245,6 @@ def _retail(spark, sf_dir, history: bool = True):
     then computed once. The first snapshot is a projection of it and is
     not written (measured: writing it costs more than re-deriving it).
     """
-    from lakeforge.plans import retail
-
     r = _retail_silver(spark, sf_dir)
     # One row per department row: the staging columns ride along, so the
     # date dimension reads this table too and lineitem is rolled up once.
@@ -235,13 +263,13 @@ def _retail(spark, sf_dir, history: bool = True):
             "store_weekly_sales": F.when(F.col("dept_id") == 1, F.col("store_weekly_sales") + 100).otherwise(F.col("store_weekly_sales")),
             "markdown1": F.when(F.col("dept_id") == 2, F.col("markdown1") + 5).otherwise(F.col("markdown1")),
         })
-        h1 = retail.fact_snapshot(None, combined, RETAIL_NOW1)
+        # The second load has the first one's keys and is checked; once is enough.
+        h1 = retail.fact_snapshot(None, combined, RETAIL_NOW1, on_duplicate="keep")
         r["history"] = retail.fact_snapshot(h1, changed, RETAIL_NOW2)
     return r
 
 
 def _retail_stage_dept(spark, sf_dir, numbered: bool = True):
-    from lakeforge.plans import retail
 
     b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
     return retail.stage_dept(b["department"], RETAIL_NOW1, numbered=numbered)
@@ -274,16 +302,12 @@ def retail_fact_history(spark, sf_dir):
 @register("retail_final_fact")
 def retail_final_fact(spark, sf_dir):
     """M8: current versions of the fact."""
-    from lakeforge.plans import retail
-
     return retail.final_fact(_retail(spark, sf_dir)["history"])
 
 
 @register("retail_dim_date")
 def retail_dim_date(spark, sf_dir):
     """M4: incremental date dimension keyed by row number, loaded twice."""
-    from lakeforge.plans import retail
-
     d = _retail_stage_dept(spark, sf_dir)
     return retail.incremental(retail.dim_date(d, RETAIL_NOW1), retail.dim_date(d, RETAIL_NOW2), "row_num")
 
@@ -291,8 +315,6 @@ def retail_dim_date(spark, sf_dir):
 @register("retail_dim_store")
 def retail_dim_store(spark, sf_dir):
     """M4: incremental store dimension (second load changes sizes)."""
-    from lakeforge.plans import retail
-
     st = _retail_silver(spark, sf_dir)["stage_store"]
     first = retail.dim_store(st, RETAIL_NOW1).withColumn("store_size", F.col("store_size") - 1)
     return retail.incremental(first, retail.dim_store(st, RETAIL_NOW2), "store_id")
@@ -301,18 +323,16 @@ def retail_dim_store(spark, sf_dir):
 @register("retail_dim_department")
 def retail_dim_department(spark, sf_dir):
     """Department dimension view (ids repeat, as in the source model)."""
-    from lakeforge.plans import retail
-
     return retail.dim_department(_retail_stage_dept(spark, sf_dir, numbered=False))
 
 
 def _reports(spark, sf_dir):
-    from lakeforge.plans import retail
 
     r = _retail(spark, sf_dir)
     ff = retail.final_fact(r["history"])
     # The reports read DATE_ID, STORE_DATE and ISHOLIDAY only: no ROW_NUM.
-    dd = retail.dim_date(r["stage_dept_unnumbered"], RETAIL_NOW1)
+    stage = r["stage_dept_unnumbered"]
+    dd = retail.dim_date(stage.unionByName(retail.planned_dates(stage)), RETAIL_NOW1)
     return retail, dd, retail.dim_store(r["stage_store"], RETAIL_NOW1), ff
 
 
@@ -369,9 +389,6 @@ def retail_sales_by_cpi(spark, sf_dir):
 @register("orders_upsert")
 def orders_upsert(spark, sf_dir):
     """M1: keyed upsert (update all columns, insert new keys, never delete)."""
-    from lakeforge.operators import upsert
-    from lakeforge.plans import changes_jobs as cj
-
     o = read_table(spark, sf_dir, "orders")
     return upsert(cj.orders_day_one(o), cj.orders_batch(o), ["o_orderkey"])
 
@@ -379,9 +396,6 @@ def orders_upsert(spark, sf_dir):
 @register("orders_change_feed")
 def orders_change_feed(spark, sf_dir):
     """Row-level change feed between the two versions of orders."""
-    from lakeforge.operators import change_feed, upsert
-    from lakeforge.plans import changes_jobs as cj
-
     o = read_table(spark, sf_dir, "orders")
     before = cj.orders_day_one(o)
     return change_feed(before, upsert(before, cj.orders_batch(o), ["o_orderkey"]), ["o_orderkey"])
@@ -390,9 +404,6 @@ def orders_change_feed(spark, sf_dir):
 @register("customer_scd1_merge")
 def customer_scd1_merge(spark, sf_dir):
     """M2: SCD1 MERGE on (first, last name); insert time kept on update."""
-    from lakeforge.operators import scd1_merge
-    from lakeforge.plans import changes_jobs as cj
-
     c = read_table(spark, sf_dir, "customer")
     return scd1_merge(cj.customer_target(c), cj.customer_batch(c),
                       ["contactfirstname", "contactlastname"], cj.CUSTOMER_T1)
@@ -401,17 +412,12 @@ def customer_scd1_merge(spark, sf_dir):
 @register("events_cdc_scd1")
 def events_cdc_scd1(spark, sf_dir):
     """M3: sequenced SCD1 by ts; late older rows lose."""
-    from lakeforge.operators import cdc_scd1
-    from lakeforge.plans import changes_jobs as cj
-
     ev = read_table(spark, sf_dir, "events")
     first = cdc_scd1(None, cj.events_first(ev), ["user_id"], "ts", ["event_id"])
     return cdc_scd1(first, cj.events_second(ev), ["user_id"], "ts", ["event_id"])
 
 
 def _product_history(spark, sf_dir):
-    from lakeforge.operators import scd2_snapshot
-    from lakeforge.plans import changes_jobs as cj
 
     part = read_table(spark, sf_dir, "part")
     keys, cols = ["product_id"], cj.PRODUCT_CHECK_COLS
@@ -428,9 +434,6 @@ def product_scd2_history(spark, sf_dir):
 @register("product_versions")
 def product_versions(spark, sf_dir):
     """M7 + F9: versioned view, open end as the high date."""
-    from lakeforge.operators import versioned_view
-    from lakeforge.plans import changes_jobs as cj
-
     return versioned_view(_product_history(spark, sf_dir), cj.PRODUCT_VIEW_KEEP)
 
 
@@ -438,8 +441,6 @@ def product_versions(spark, sf_dir):
 @register("dq_unique_lineitem_key")
 def dq_unique_lineitem_key(spark, sf_dir):
     """Q1: unique on an expression (concatenated key); failing values."""
-    from lakeforge.operators import check_unique
-
     li = read_table(spark, sf_dir, "lineitem")
     key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     return check_unique(li, key)
@@ -448,16 +449,12 @@ def dq_unique_lineitem_key(spark, sf_dir):
 @register("dq_not_null_combined_temperature")
 def dq_not_null_combined_temperature(spark, sf_dir):
     """Q2: not_null on the joined retail fact (rows without a store fact)."""
-    from lakeforge.operators import check_not_null
-
     return check_not_null(_retail(spark, sf_dir, history=False)["combined"], "temperature")
 
 
 @register("dq_accepted_order_priority")
 def dq_accepted_order_priority(spark, sf_dir):
     """Q3: accepted_values; values outside the list with their counts."""
-    from lakeforge.operators import check_accepted
-
     o = read_table(spark, sf_dir, "orders")
     return check_accepted(o, "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"])
 
@@ -465,17 +462,12 @@ def dq_accepted_order_priority(spark, sf_dir):
 @register("dq_duplicate_lineitem_keys")
 def dq_duplicate_lineitem_keys(spark, sf_dir):
     """Q4 + F13: duplicate-key profile (count > 1)."""
-    from lakeforge.operators import duplicate_keys
-
     return duplicate_keys(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @register("dq_unique_dim_date_id")
 def dq_unique_dim_date_id(spark, sf_dir):
     """Q1 on DATE_ID of the date dimension: shows the repeated key."""
-    from lakeforge.operators import check_unique
-    from lakeforge.plans import retail
-
     return check_unique(retail.dim_date(_retail_stage_dept(spark, sf_dir, numbered=False), RETAIL_NOW1), "date_id")
 
 
@@ -484,7 +476,6 @@ COUNTRY_NOW = "2024-04-01 00:00:00"
 
 
 def _country_transform(spark, sf_dir):
-    from lakeforge.plans import countries
 
     docs = countries.documents_from_driver(*(read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")))
     return countries.country_transform(countries.country_raw(docs, COUNTRY_NOW), COUNTRY_NOW)
@@ -498,7 +489,6 @@ def country_transform(spark, sf_dir):
 
 def _mart_query(continent):
     def q(spark, sf_dir):
-        from lakeforge.plans import countries
 
         return countries.mart(_country_transform(spark, sf_dir), continent)
 
@@ -513,19 +503,15 @@ for _c in ("Africa", "Antarctica", "Asia", "Europe", "North America", "Oceania",
 @register("dq_unique_country_raw")
 def dq_unique_country_raw(spark, sf_dir):
     """Q1 on a variant column (grouped on its JSON text)."""
-    from lakeforge.operators import check_unique
-    from lakeforge.plans import countries
-
     docs = countries.documents_from_driver(*(read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")))
-    return check_unique(countries.country_raw(docs, COUNTRY_NOW), "source_data")
+    found = check_unique(countries.country_raw(docs, COUNTRY_NOW), "source_data")
+    # The failing documents, shown by their common name.
+    return found.withColumn("unique_field", F.get_json_object("unique_field", "$.name.common"))
 
 
 @register("dq_unique_country_key")
 def dq_unique_country_key(spark, sf_dir):
     """Q1 on the concatenated mart key of the transform."""
-    from lakeforge.operators import check_unique
-    from lakeforge.plans import countries
-
     t = _country_transform(spark, sf_dir)
     return check_unique(t, countries.mart_key(t))
 
@@ -533,9 +519,6 @@ def dq_unique_country_key(spark, sf_dir):
 @register("dq_not_null_country_key")
 def dq_not_null_country_key(spark, sf_dir):
     """Q2 on the concatenated mart key."""
-    from lakeforge.operators import check_not_null
-    from lakeforge.plans import countries
-
     t = _country_transform(spark, sf_dir)
     return check_not_null(t, countries.mart_key(t))
 
@@ -543,9 +526,6 @@ def dq_not_null_country_key(spark, sf_dir):
 @register("dq_accepted_continent_asia")
 def dq_accepted_continent_asia(spark, sf_dir):
     """Q3 on the Asia mart: the accepted value 'Asia' vs the data's 'ASIA'."""
-    from lakeforge.operators import check_accepted
-    from lakeforge.plans import countries
-
     return check_accepted(countries.mart(_country_transform(spark, sf_dir), "Asia"), "country_continent_name", ["Asia"])
 
 
@@ -564,7 +544,6 @@ def _fn(name: str):
 
 
 def _fns():
-    from lakeforge import functions as lf
 
     today = F.lit(FN_TODAY).cast("date")
     view_null = F.when(F.col("event_type") == "view", F.lit(None)).otherwise(F.col("event_type"))
@@ -638,9 +617,6 @@ def _land_json(df: DataFrame, path: str, mode: str = "error") -> None:
 @register("stream_quake_bronze")
 def stream_quake_bronze(spark, sf_dir):
     """S2/S3, S14, T-1…T-3, T-5: JSON file stream, flattened, drained."""
-    from lakeforge.session import scratch_path
-    from lakeforge.streaming import drain, json_stream
-
     _prep(spark)
     root = scratch_path(spark, "quake-bronze")
     _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
@@ -653,29 +629,21 @@ def stream_quake_bronze(spark, sf_dir):
 def stream_quake_cdc_activity(spark, sf_dir):
     """File stream → flatten → table stream → stream dedup (D2) →
     sequenced CDC into a versioned table (M3, T-7) → hourly activity (A2)."""
-    from lakeforge.functions import hash_id
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import BucketedTable
-    from lakeforge.streaming import drain, json_stream, read_current, run_cdc_stream, stream_dedup, table_stream
-
     _prep(spark)
     root = scratch_path(spark, "quake-cdc")
     _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
     bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False))
     drain(bronze, f"{root}/bronze", f"{root}/_ckpt/bronze")
     silver = stream_dedup(table_stream(spark, f"{root}/bronze").select(*quakes.SILVER_COLUMNS))
-    silver = silver.withColumn("hash_id", hash_id("id", "time"))
-    table = BucketedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
+    silver = silver.withColumn("hash_id", lf.hash_id("id", "time"))
+    table = KeyedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
     run_cdc_stream(silver, table, f"{root}/_ckpt/silver", ["hash_id"], "updated").awaitTermination()
-    return rounded(quakes.seismic_activity(read_current(table)), {"avg_mag": 6})
+    return rounded(quakes.seismic_activity(table.read()), {"avg_mag": 6})
 
 
 @register("stream_variant_landing")
 def stream_variant_landing(spark, sf_dir):
     """JSON records into one VARIANT column, continuously loaded."""
-    from lakeforge.session import scratch_path
-    from lakeforge.streaming import drain, variant_stream
-
     root = scratch_path(spark, "landing")
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
     _land_json(ev, f"{root}/raw")
@@ -693,9 +661,6 @@ def stream_variant_landing(spark, sf_dir):
 @register("stream_events_dedup")
 def stream_events_dedup(spark, sf_dir):
     """D2/T-6: the same rows delivered twice; stream dedup keeps one copy."""
-    from lakeforge.session import scratch_path
-    from lakeforge.streaming import drain, stream_dedup, table_stream
-
     root = scratch_path(spark, "dedup")
     ev = read_table(spark, sf_dir, "events")
     ev.write.parquet(f"{root}/in/delivery=1")
@@ -712,18 +677,13 @@ def stream_customer_scd1(spark, sf_dir):
     """E5: CSV change files (two deliveries, then an empty drain) → change
     stream (M9) → run only with data (M10) → SCD1 MERGE (M2) → versioned,
     all-or-nothing publish (M11)."""
-    from lakeforge.plans import changes_jobs as cj
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import BucketedTable, CsvDialect, schemas
-    from lakeforge.streaming import csv_stream, read_current, run_scd1_stream
-
     root = scratch_path(spark, "customer-scd1")
     c = read_table(spark, sf_dir, "customer")
     schema = schemas.CUSTOMER_SOURCE  # positional CSV columns, as declared
     batch = cj.customer_batch(c).select(*schema.fieldNames())
     dialect = CsvDialect.with_null_tokens("NULL", "null")
     keys = ["contactfirstname", "contactlastname"]
-    table = BucketedTable(spark, f"{root}/customer", keys, buckets=16)
+    table = VersionedTable(spark, f"{root}/customer")
     for i, seg in enumerate(["MACHINERY", "BUILDING", None], start=1):
         if seg is not None:
             (batch.filter(F.col("territory") == seg).write.option("header", "true")
@@ -731,15 +691,12 @@ def stream_customer_scd1(spark, sf_dir):
         stream = csv_stream(spark, f"{root}/landing", schema, dialect)
         run_scd1_stream(stream, table, f"{root}/_ckpt", keys,
                         now=lambda: cj.CUSTOMER_T1, initial=cj.customer_target(c)).awaitTermination()
-    return read_current(table)
+    return table.read()
 
 
 @register("csv_reload_visits")
 def csv_reload_visits(spark, sf_dir):
     """Full reload of a bronze table from CSV (truncate + load)."""
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, VersionedTable, read_csv, replace_table, schemas
-
     root = scratch_path(spark, "reload")
     visits = _health_bronze(spark, sf_dir)["visits"]
     visits.write.option("header", "true").option("quoteAll", "true").csv(f"{root}/files")
@@ -755,10 +712,6 @@ def csv_reload_visits(spark, sf_dir):
 @register("csv_load_products")
 def csv_load_products(spark, sf_dir):
     """CSV with 'NULL' tokens loaded into a wider column list."""
-    from lakeforge.plans import changes_jobs as cj
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, load_csv, schemas
-
     root = scratch_path(spark, "products")
     schema = schemas.PRODUCT_FIELDS
     cj.product_fields(read_table(spark, sf_dir, "part"), 1).write.option("header", "true").option("nullValue", "NULL").csv(f"{root}/files")
@@ -769,10 +722,6 @@ def csv_load_products(spark, sf_dir):
 @register("csv_lineage_products")
 def csv_lineage_products(spark, sf_dir):
     """CSV rows with source file name and row number in the file."""
-    from lakeforge.plans import changes_jobs as cj
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, load_csv_with_lineage, schemas
-
     root = scratch_path(spark, "lineage")
     schema = schemas.PRODUCT_FIELDS
     cj.product_fields(read_table(spark, sf_dir, "part"), 1).repartition(4).write.option("header", "true").csv(f"{root}/files")
@@ -782,29 +731,25 @@ def csv_lineage_products(spark, sf_dir):
 @register("table_inventory_driver")
 def table_inventory_driver(spark, sf_dir):
     """Tables of the driver folder with row counts, ordered by name."""
-    from lakeforge.sources import parquet_tables, table_inventory
-
     return table_inventory(spark, parquet_tables(spark, sf_dir))
 
 
 @register("quake_gold_merge")
 def quake_gold_merge(spark, sf_dir):
-    """E1 end to end: two feed deliveries (the second repeats the first
-    half) → bronze drain (S14) → silver from the whole bronze table, merged
-    on hash_id (S15, M1) → hourly activity merged into gold (A2, M1, T15)."""
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import BucketedTable, VersionedTable
-    from lakeforge.streaming import drain, json_stream
-
+    """E1 end to end: two feed deliveries that overlap for five days → bronze
+    drain (S14) → silver of each delivery, merged on hash_id (S15, M1) →
+    hourly activity merged into gold (A2, M1, T15)."""
     root = scratch_path(spark, "quake-e1")
     ev = read_table(spark, sf_dir, "events")
-    silver_t = BucketedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
+    silver_t = KeyedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
     gold_t = VersionedTable(spark, f"{root}/gold")
-    deliveries = [ev.filter(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")), ev]
+    day = lambda d: F.lit(f"2024-01-{d} 00:00:00").cast("timestamp_ntz")
+    deliveries = [ev.filter(F.col("ts") < day(20)), ev.filter(F.col("ts") >= day(15))]
     for i, part in enumerate(deliveries):
-        _land_json(quakes.feed_from_events(part), f"{root}/raw", "error" if i == 0 else "append")
-        drain(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False), f"{root}/bronze", f"{root}/_ckpt")
-        silver_t.upsert(quakes.silver(spark.read.parquet(f"{root}/bronze")))
+        _land_json(quakes.feed_from_events(part), f"{root}/raw/{i}")
+        stream = json_stream(spark, f"{root}/raw/{i}", quakes.FEED_SCHEMA, multiline=False, max_files_per_trigger=4)
+        drain(stream, f"{root}/bronze/{i}", f"{root}/_ckpt/{i}")
+        silver_t.upsert(quakes.silver(spark.read.parquet(f"{root}/bronze/{i}")))
         gold_t.upsert(quakes.seismic_activity(silver_t.read()), ["hash_id"])
     return rounded(gold_t.read(), {"avg_mag": 6})
 
@@ -813,24 +758,19 @@ def quake_gold_merge(spark, sf_dir):
 @register("lineitem_dedup_rows")
 def lineitem_dedup_rows(spark, sf_dir):
     """Exact duplicate removal over all columns."""
-    from lakeforge.operators import dedup_rows
-
-    return dedup_rows(read_table(spark, sf_dir, "lineitem"))
+    rows = read_table(spark, sf_dir, "lineitem")
+    return dedup_rows(rows.unionByName(rows.filter(F.col("l_returnflag") == "R")))  # returns delivered twice
 
 
 @register("orders_lookup")
 def orders_lookup(spark, sf_dir):
     """conjunction of equality filters (pushed into the Parquet scan)."""
-    from lakeforge.operators import lookup
-
     return lookup(read_table(spark, sf_dir, "orders"), o_orderstatus="F", o_orderpriority="1-URGENT")
 
 
 @register("orders_distinct_priority")
 def orders_distinct_priority(spark, sf_dir):
     """DISTINCT values of a column."""
-    from lakeforge.operators import distinct_values
-
     return distinct_values(read_table(spark, sf_dir, "orders"), "o_orderpriority")
 
 
@@ -838,10 +778,6 @@ def orders_distinct_priority(spark, sf_dir):
 def country_from_landing(spark, sf_dir):
     """E3 from files: JSON array files → delete-then-load into a VARIANT
     table (S8) → flatten (G2) → continents × currencies (G3, G4)."""
-    from lakeforge.plans import countries
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import VersionedTable, reload_variant
-
     root = scratch_path(spark, "countries")
     docs = countries.documents_from_driver(*(read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")))
     docs.write.text(f"{root}/landing")
@@ -855,10 +791,6 @@ def country_from_landing(spark, sf_dir):
 def health_e4_from_csv(spark, sf_dir):
     """E4 end to end: five CSV files reloaded into all-string bronze tables
     (S7 ×5), silver star joins (F17, J1) and the hospital gold (A4)."""
-    from lakeforge.plans import health
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, VersionedTable, read_csv, replace_table, schemas
-
     root = scratch_path(spark, "healthcare")
     bronze = {}
     for name, df in _health_bronze(spark, sf_dir).items():
@@ -866,9 +798,7 @@ def health_e4_from_csv(spark, sf_dir):
         df.select(*schema.fieldNames()).write.option("header", "true").csv(f"{root}/landing/{name}")
         replace_table(spark, read_csv(spark, f"{root}/landing/{name}", schema, CsvDialect.simple()), f"{root}/bronze/{name}")
         bronze[name] = VersionedTable(spark, f"{root}/bronze/{name}").read()
-    tt = health.treatments_transform(bronze["treatments"], bronze["visits"], bronze["patients"],
-                                     bronze["doctors"], bronze["hospitals"])
-    return health.hospital_performance(tt)
+    return health.hospital_performance(*(bronze[n] for n in ("treatments", "visits", "patients", "doctors", "hospitals")))
 
 
 @register("product_e6_from_csv")
@@ -876,53 +806,13 @@ def product_e6_from_csv(spark, sf_dir):
     """E6 end to end: two product CSV loads with file name and row number
     (S9) → transform with audit columns (F10) → SCD2 snapshot per load into
     an append-only history table (M5) → versioned view (M7)."""
-    from lakeforge.operators import versioned_view
-    from lakeforge.plans import changes_jobs as cj
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import CsvDialect, Scd2Table, load_csv_with_lineage, schemas
-
     root = scratch_path(spark, "products-e6")
     part = read_table(spark, sf_dir, "part")
     keys, cols = ["product_id"], cj.PRODUCT_CHECK_COLS
-    history = Scd2Table(spark, f"{root}/product_snapshot")  # closed versions are append-only
+    history = HistoryTable(spark, f"{root}/product_snapshot", keys, buckets=8)  # closed versions are append-only
     for run, now in ((1, cj.PRODUCT_T1), (2, cj.PRODUCT_T2)):
         cj.product_fields(part, run).write.option("header", "true").option("nullValue", "NULL").csv(f"{root}/load{run}")
         copied = load_csv_with_lineage(spark, f"{root}/load{run}", schemas.PRODUCT_FIELDS,
                                        CsvDialect.with_null_tokens("NULL", "null"), now=now)
-        history.snapshot(cj.product_transform(copied, run), keys, cols, now, case_insensitive_cols=cols)
+        history.snapshot(cj.product_transform(copied, run), cols, now, case_insensitive_cols=cols)
     return versioned_view(history.read(), cj.PRODUCT_VIEW_KEEP)
-
-
-@register("orders_change_feed_bucketed")
-def orders_change_feed_bucketed(spark, sf_dir):
-    """M1 + M12 through stored tables: day-one orders in a key-bucketed
-    table, the batch upserted (only touched buckets rewritten), the change
-    feed read from the buckets that differ between the two versions."""
-    from lakeforge.plans import changes_jobs as cj
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import BucketedTable
-
-    o = read_table(spark, sf_dir, "orders")
-    table = BucketedTable(spark, scratch_path(spark, "orders-bucketed"), ["o_orderkey"], buckets=32)
-    first = table.upsert(cj.orders_day_one(o))
-    table.upsert(cj.orders_batch(o))
-    return table.change_feed(first)
-
-
-@register("retail_fact_history_table")
-def retail_fact_history_table(spark, sf_dir):
-    """M6 through a stored history: two snapshot runs into an append-only
-    SCD2 table (each run joins only the open versions with the source)."""
-    from lakeforge.plans import retail
-    from lakeforge.session import scratch_path
-    from lakeforge.sources import Scd2Table
-
-    combined = _retail(spark, sf_dir, history=False)["combined"]
-    changed = combined.withColumns({
-        "store_weekly_sales": F.when(F.col("dept_id") == 1, F.col("store_weekly_sales") + 100).otherwise(F.col("store_weekly_sales")),
-        "markdown1": F.when(F.col("dept_id") == 2, F.col("markdown1") + 5).otherwise(F.col("markdown1")),
-    })
-    table = Scd2Table(spark, scratch_path(spark, "retail-fact-snapshot"))
-    table.snapshot(retail.with_composite_key(combined), ["composite_key"], retail.CHECK_COLS, RETAIL_NOW1)
-    table.snapshot(retail.with_composite_key(changed), ["composite_key"], retail.CHECK_COLS, RETAIL_NOW2)
-    return table.read()

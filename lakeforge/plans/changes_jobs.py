@@ -3,14 +3,16 @@
 - Orders (M1, M12): day-one table = orders dated before 1999; the change
   batch = orders from 1998-07 on, some with a new status or price. The
   overlap half-year is the update set, later orders are inserts.
-- Customers (M2, E5): contact first/last name are the composite key; the
+- Customers (M2, E5): contact first/last name are the composite key (40
+  first names, each last name shared by 40 customers); the
   batch holds two market segments, one new to the target, one updated.
 - Products (M5, M7, E6): the product dimension from ``part``; the second
   load changes some prices, upper-cases some names (a case-only change,
   not a change under the source's case-insensitive collation) and omits
   one brand (no hard delete).
 - Events (M3): first batch = events before 2024-01-20, second batch =
-  events from 2024-01-15, sequenced by ``ts``.
+  events from 2024-01-15, of every fourth user only those before
+  2024-01-17 (older than what the first batch has), sequenced by ``ts``.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge.operators import add_audit
+from lakeforge.sources.schemas import PRODUCT_FIELDS
 
 ORDERS_SPLIT = "1999-01-01 00:00:00"
 ORDERS_BATCH_FROM = "1998-07-01 00:00:00"
@@ -28,15 +31,11 @@ PRODUCT_T1 = "2024-05-01 00:00:00"
 PRODUCT_T2 = "2024-05-02 00:00:00"
 EVENTS_FIRST_BEFORE = "2024-01-20 00:00:00"
 EVENTS_SECOND_FROM = "2024-01-15 00:00:00"
+EVENTS_LATE_BEFORE = "2024-01-17 00:00:00"
 
-PRODUCT_FIELD_NAMES = [
-    "product_id", "product_name", "category", "selling_price", "model_number", "about_product",
-    "product_specification", "technical_details", "shipping_weight", "product_dimensions",
-]
-PRODUCT_CHECK_COLS = [
-    "product_name", "category", "selling_price", "model_number", "about_product",
-    "product_specification", "technical_details", "shipping_weight", "product_dimensions",
-]
+PRODUCT_FIELD_NAMES = PRODUCT_FIELDS.fieldNames()
+# All but the key are checked.
+PRODUCT_CHECK_COLS = PRODUCT_FIELD_NAMES[1:]
 
 
 def _ts(s: str) -> F.Column:
@@ -59,8 +58,8 @@ def orders_batch(orders: DataFrame) -> DataFrame:
 def customer_rows(customer: DataFrame) -> DataFrame:
     """Customer change rows (the 11 positional CSV fields)."""
     return customer.select(
-        F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)).alias("contactfirstname"),
-        F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("contactlastname"),
+        F.concat(F.lit("First"), (F.col("c_custkey") % 40).cast("string")).alias("contactfirstname"),
+        F.concat(F.lit("Last"), F.floor(F.col("c_custkey") / 40).cast("string")).alias("contactlastname"),
         F.col("c_name").alias("customername"),
         F.concat(F.lit("+"), F.col("c_nationkey").cast("string"), F.lit("-"), F.col("c_custkey").cast("string")).alias("phone"),
         F.concat(F.col("c_custkey").cast("string"), F.lit(" Main St")).alias("addressline1"),
@@ -142,9 +141,9 @@ def product_load(part: DataFrame, run: int) -> DataFrame:
     return product_transform(copied, run)
 
 
+# The columns of the versioned product view.
 PRODUCT_VIEW_KEEP = [
-    "product_id", "product_name", "category", "selling_price", "model_number", "about_product",
-    "product_specification", "technical_details", "shipping_weight", "product_dimensions",
+    *PRODUCT_FIELD_NAMES,
     "time_zone", "source_sys_name", "instnc_st_nm", "process_id", "process_name", "insert_dts", "update_dts",
 ]
 
@@ -155,4 +154,5 @@ def events_first(events: DataFrame) -> DataFrame:
 
 
 def events_second(events: DataFrame) -> DataFrame:
-    return events.filter(F.col("ts") >= _ts(EVENTS_SECOND_FROM))
+    late = (F.col("user_id") % 4 != 0) | (F.col("ts") < _ts(EVENTS_LATE_BEFORE))
+    return events.filter((F.col("ts") >= _ts(EVENTS_SECOND_FROM)) & late)

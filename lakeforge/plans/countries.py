@@ -1,8 +1,9 @@
 """Country details on semi-structured data.
 
-Driver-table mapping: every customer (⋈ nation ⋈ region, both bounded
-dimensions) becomes one country document. The continent list holds the
-region name, plus 'Antarctica' for customers with a negative balance; the
+Driver-table mapping: every customer (⋈ nation ⋈ region) becomes one country document, and every tenth occurs twice in its array;
+every thirteenth has no common name. The continent list holds the region
+name (the two Americas by nation, and Oceania for the Middle East), plus
+'Antarctica' for customers with a negative balance; the
 currency object holds the market segment's code, plus 'EUR' for every
 fifth nation, and is empty for the HOUSEHOLD segment (such rows vanish in
 the flatten, trap T12). Documents are written as JSON text and parsed into
@@ -15,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge.operators import (
-    bounded_broadcast,
     continent_mart,
     explode_variant,
     explode_variant_object,
@@ -29,7 +29,7 @@ CONTINENTS = ["Africa", "Antarctica", "Asia", "Europe", "North America", "Oceani
 
 def documents_from_driver(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """One JSON array document (``data`` text) per customer."""
-    geo = bounded_broadcast(nation.join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
+    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     c = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     seg = F.col("c_mktsegment")
     money = F.create_map(F.substring(seg, 1, 3), F.struct(F.lower(seg).alias("name"), F.lit("$").alias("symbol")))
@@ -39,10 +39,16 @@ def documents_from_driver(customer: DataFrame, nation: DataFrame, region: DataFr
         .when(F.col("c_nationkey") % 5 == 0, F.map_concat(money, euro))
         .otherwise(money)
     )
+    continent = (
+        F.when(F.col("r_name") == "MIDDLE EAST", "Oceania")
+        .when((F.col("r_name") == "AMERICA") & (F.col("n_nationkey") % 2 == 0), "North America")
+        .when(F.col("r_name") == "AMERICA", "South America")
+        .otherwise(F.col("r_name"))
+    )
     doc = F.struct(
-        F.struct(F.col("c_name").alias("common"), F.concat(F.col("c_name"), F.lit(" Republic")).alias("official")).alias("name"),
+        F.struct(F.when(F.col("c_custkey") % 13 != 0, F.col("c_name")).alias("common"), F.concat(F.col("c_name"), F.lit(" Republic")).alias("official")).alias("name"),
         F.array(F.col("n_nationkey"), F.col("n_regionkey")).alias("latlng"),
-        F.when(F.col("c_acctbal") < 0, F.array(F.col("r_name"), F.lit("Antarctica"))).otherwise(F.array(F.col("r_name"))).alias("continents"),
+        F.when(F.col("c_acctbal") < 0, F.array(continent, F.lit("Antarctica"))).otherwise(F.array(continent)).alias("continents"),
         F.col("n_name").alias("region"),
         F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("Sub "), F.col("n_name"))).alias("subregion"),
         F.array(F.concat(F.lit("Capital "), F.col("c_custkey").cast("string"))).alias("capital"),
@@ -57,7 +63,8 @@ def documents_from_driver(customer: DataFrame, nation: DataFrame, region: DataFr
         (F.col("c_acctbal") > 0).alias("unMember"),
         F.struct(F.when(F.col("c_nationkey") % 4 == 0, "left").otherwise("right").alias("side")).alias("car"),
     )
-    return c.select(F.to_json(F.array(doc)).alias("data"))
+    docs = F.when(F.col("c_custkey") % 10 == 0, F.array(doc, doc)).otherwise(F.array(doc))
+    return c.select(F.to_json(docs).alias("data"))
 
 
 def country_raw(docs: DataFrame, now) -> DataFrame:

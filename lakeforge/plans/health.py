@@ -9,12 +9,14 @@ Bronze tables are all strings, as loaded from CSV. Driver-table mapping:
 | visits      | orders   | hospital = o_custkey mod 25, doctor = o_orderkey mod 100 |
 | treatments  | lineitem | outcome from l_returnflag, cost = price as text          |
 
-Money is summed as ``decimal(18,2)``: exact, so totals do not depend on
-how rows are partitioned, and rounding to cents is reproducible.
-
-Join plan (J1): visits ⋈ patients first (both large, one shuffle each),
-the bounded dimensions (doctors, hospitals) are broadcast after a size
-check, and the largest table (treatments) is shuffled once, on visit_id.
+Money is summed as a wide decimal and only totals are rounded: exact, so
+they do not depend on how rows are partitioned, and no digit of a single
+cost is lost.
+
+Join plan (J1): visits ⋈ patients first, then doctors and hospitals; the
+largest table (treatments) is shuffled once, on visit_id. The gold tables
+A4 and A6 sum up treatments per visit before that join, so it moves one row
+per visit, and a distinct count of visits becomes a plain count.
 """
 
 from __future__ import annotations
@@ -24,10 +26,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.functions import name_part, percent_where, ratio_or_null, year_boundaries
-from lakeforge.operators import bounded_broadcast
+from lakeforge.functions import name_part, ratio_or_null, year_boundaries
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,8)"
 
 
 def _s(c) -> F.Column:
@@ -102,8 +103,8 @@ def patients_transform(p: DataFrame, today: dt.date) -> DataFrame:
 def _visit_frame(v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
     """visits ⋈ patients ⋈ doctors ⋈ hospitals (inner), visit-level columns."""
     vp = v.join(p.select("patient_id", F.col("name").alias("p_name")), "patient_id")
-    d_ = bounded_broadcast(d.select("doctor_id", F.col("name").alias("d_name"), "specialization"))
-    h_ = bounded_broadcast(h.select("hospital_id", "hospital_name", F.col("city").alias("h_city")))
+    d_ = d.select("doctor_id", F.col("name").alias("d_name"), "specialization")
+    h_ = h.select("hospital_id", "hospital_name", F.col("city").alias("h_city"))
     return vp.join(d_, "doctor_id").join(h_, "hospital_id")
 
 
@@ -185,14 +186,25 @@ def _money(c: str) -> F.Column:
     return F.col(c).cast(MONEY)
 
 
-def hospital_performance(tt: DataFrame) -> DataFrame:
-    """A4: visits, treatments, average cost and success rate per hospital."""
-    n = F.count(F.lit(1))
-    return tt.groupBy("hospital_id", "hospital_name", "hospital_city").agg(
-        F.count_distinct("patient_visit_id").alias("total_visits"),
+def visit_costs(t: DataFrame) -> DataFrame:
+    """Treatments summed up per visit: all that A4 and A6 need of them."""
+    return t.groupBy("visit_id").agg(
+        F.count(F.lit(1)).alias("treatments"),
+        F.count("cost").alias("costs"),
+        F.sum(_money("cost")).alias("cost"),
+        F.sum(F.when(F.col("outcome") == "Successful", 1).otherwise(0)).alias("successes"),
+    )
+
+
+def hospital_performance(t: DataFrame, v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
+    """A4: visits, treatments, average cost and success rate per hospital. A visit id occurs once in ``v``."""
+    n = F.sum("treatments")
+    seen = _visit_frame(v, p, d, h).join(visit_costs(t), "visit_id")
+    return seen.groupBy("hospital_id", "hospital_name", F.col("h_city").alias("hospital_city")).agg(
+        F.count(F.lit(1)).alias("total_visits"),
         n.alias("total_treatments"),
-        F.round(F.sum(_money("treatment_cost")) / F.count("treatment_cost"), 2).cast("double").alias("avg_treatment_cost"),
-        F.round(percent_where(F.col("treatment_outcome") == "Successful", n), 2).alias("success_rate"),
+        F.round(F.sum("cost") / F.sum("costs"), 2).cast("double").alias("avg_treatment_cost"),
+        F.round(F.lit(100.0) * F.sum("successes") / n, 2).alias("success_rate"),
     )
 
 
@@ -208,12 +220,14 @@ def visit_summary(vt: DataFrame) -> DataFrame:
     )
 
 
-def patient_value(tt: DataFrame) -> DataFrame:
-    """Visits, treatments, total and average spend per patient."""
-    total = F.sum(_money("treatment_cost"))
-    return tt.groupBy("patient_id", "patient_first_name", "patient_last_name").agg(
-        F.count_distinct("patient_visit_id").alias("total_visits"),
-        F.count(F.lit(1)).alias("total_treatments"),
+def patient_value(t: DataFrame, v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
+    """Visits, treatments, total and average spend per patient. A visit id occurs once in ``v``."""
+    total = F.sum("cost")
+    seen = _visit_frame(v, p, d, h).join(visit_costs(t), "visit_id")
+    names = [name_part("p_name", i).alias(f"patient_{n}_name") for i, n in ((1, "first"), (2, "last"))]
+    return seen.groupBy("patient_id", *names).agg(
+        F.count(F.lit(1)).alias("total_visits"),
+        F.sum("treatments").alias("total_treatments"),
         F.round(total, 2).cast("double").alias("total_spent"),
-        F.round(total / F.count("treatment_cost"), 2).cast("double").alias("avg_cost_per_treatment"),
+        F.round(total / F.sum("costs"), 2).cast("double").alias("avg_cost_per_treatment"),
     )

@@ -13,11 +13,15 @@ ORACLE: dict[str, str] = {}
 # ---------------------------------------------------------------- earthquakes
 # Flat silver rows of the earthquake mapping (time fields lose milliseconds).
 QUAKE_FLAT = """
+WITH reports AS (
+  SELECT *, 0 AS later FROM events
+  UNION ALL SELECT *, 1 FROM events WHERE user_id % 5 = 0
+  UNION ALL SELECT *, 0 FROM events WHERE user_id % 7 = 0)
 SELECT 'ev' || CAST(event_id AS VARCHAR) AS id,
        date_trunc('second', ts) AS time,
        CAST(user_id % 360 AS DOUBLE) - 180.0 AS longitude,
        CAST(floor(value) % 180 AS DOUBLE) - 90.0 AS latitude,
-       value AS depth, value AS mag, 'ml' AS magType,
+       value AS depth, value + later AS mag, 'ml' AS magType,
        'zone ' || CAST(user_id AS VARCHAR) AS place,
        user_id AS gap, value / 100 AS dmin, value / 1000 AS rms,
        event_type AS net, CAST(event_id AS VARCHAR) AS code,
@@ -26,8 +30,8 @@ SELECT 'ev' || CAST(event_id AS VARCHAR) AS id,
        CAST(user_id AS DOUBLE) AS nst, 'event ' || CAST(event_id AS VARCHAR) AS title,
        'reviewed' AS status, CAST(0 AS DOUBLE) AS tsunami,
        CAST(user_id AS DOUBLE) AS sig, CAST(user_id AS DOUBLE) AS felt,
-       date_trunc('second', ts) AS updated
-FROM events
+       date_trunc('second', ts) + INTERVAL 1 HOUR * later AS updated
+FROM reports
 """
 
 QUAKE_SILVER = f"""
@@ -197,7 +201,7 @@ fact AS (
          CAST(MIN(l_quantity) + 100 AS VARCHAR) AS cpi,
          CASE WHEN MAX(l_quantity) > 45 THEN 'NA' ELSE CAST(MAX(l_quantity) / 10 AS VARCHAR) END AS unemployment,
          CASE WHEN bool_or(l_returnflag = 'R') THEN 'TRUE' ELSE 'FALSE' END AS isholiday
-  FROM lineitem GROUP BY 1, 2),
+  FROM lineitem WHERE l_suppkey % 10 <> 0 GROUP BY 1, 2),
 stage_dept AS (
   SELECT ROW_NUMBER() OVER (ORDER BY date, store, dept) AS row_num, strftime(date, '%Y-%m-%d') AS date_id,
          store AS store_id, dept AS dept_id, date AS store_date, weekly_sales AS store_weekly_sales,
@@ -262,7 +266,10 @@ SELECT store_id, store_type, store_size, TIMESTAMP '2024-03-02 00:00:00' AS upda
 ORACLE["retail_dim_department"] = _retail("SELECT dept_id FROM stage_dept")
 ORACLE["retail_sales_by_store_holiday"] = _retail("""
 SELECT f.store_id, d.isholiday, ROUND(SUM(f.store_weekly_sales), 2) AS total_sales
-FROM dim_date d LEFT JOIN final_fact f ON f.date_id = d.date_id
+FROM (SELECT date_id, isholiday FROM dim_date
+      UNION ALL
+      SELECT strftime(store_date + INTERVAL 120 MONTH, '%Y-%m-%d'), isholiday FROM stage_dept WHERE dept_id = 7) d
+LEFT JOIN final_fact f ON f.date_id = d.date_id
 GROUP BY 1, 2""")
 ORACLE["retail_sales_by_temperature_year"] = _retail("""
 SELECT f.temperature, CAST(YEAR(d.store_date) AS INTEGER) AS year, ROUND(SUM(f.store_weekly_sales), 2) AS total_sales
@@ -319,7 +326,8 @@ UNION ALL SELECT t.*, 'update_preimage' FROM t WHERE t.o_orderkey IN (SELECT o_o
 UNION ALL SELECT m.*, 'update_postimage' FROM merged m WHERE m.o_orderkey IN (SELECT o_orderkey FROM diff)"""
 
 CUSTOMER_ROWS = """
-SELECT split_part(c_name, '#', 1) AS contactfirstname, split_part(c_name, '#', 2) AS contactlastname,
+SELECT 'First' || CAST(c_custkey % 40 AS VARCHAR) AS contactfirstname,
+       'Last' || CAST(c_custkey // 40 AS VARCHAR) AS contactlastname,
        c_name AS customername, '+' || CAST(c_nationkey AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR) AS phone,
        CAST(c_custkey AS VARCHAR) || ' Main St' AS addressline1,
        CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Suite 1' END AS addressline2,
@@ -356,6 +364,7 @@ ORACLE["events_cdc_scd1"] = """
 WITH t AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00'
            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
 s AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
+        AND (user_id % 4 <> 0 OR ts < TIMESTAMP '2024-01-17 00:00:00')
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT s.* FROM s LEFT JOIN t ON s.user_id = t.user_id WHERE t.user_id IS NULL OR s.ts >= t.ts
 UNION ALL
@@ -425,8 +434,11 @@ WHERE date_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1""")
 # ------------------------------------------------------------------ countries
 COUNTRY_BASE = """
 base AS (
-  SELECT c.*, n.n_name, n.n_nationkey, n.n_regionkey, r.r_name
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+  SELECT c.*, n.n_name, n.n_nationkey, n.n_regionkey,
+         CASE WHEN r.r_name = 'MIDDLE EAST' THEN 'Oceania'
+              WHEN r.r_name = 'AMERICA' AND n.n_nationkey % 2 = 0 THEN 'North America'
+              WHEN r.r_name = 'AMERICA' THEN 'South America' ELSE r.r_name END AS r_name
+  FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 10 = 0) c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
 con AS (
   SELECT base.*, unnest(CASE WHEN c_acctbal < 0 THEN [r_name, 'Antarctica'] ELSE [r_name] END) AS continent FROM base),
 cur AS (
@@ -435,7 +447,7 @@ cur AS (
   UNION ALL
   SELECT c_custkey, 'EUR', 'Euro', '€' FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' AND c_nationkey % 5 = 0),
 transform AS (
-  SELECT c_name || ' Republic' AS country_official_name, c_name AS country_common_name,
+  SELECT c_name || ' Republic' AS country_official_name, CASE WHEN con.c_custkey % 13 <> 0 THEN c_name END AS country_common_name,
          '[' || CAST(n_nationkey AS VARCHAR) || ',' || CAST(n_regionkey AS VARCHAR) || ']' AS country_latlng,
          continent AS country_continent_name, n_name AS country_region_name,
          CASE WHEN c_nationkey % 2 = 0 THEN 'Sub ' || n_name END AS country_subregion_name,
@@ -463,7 +475,8 @@ for _c in ("Africa", "Antarctica", "Asia", "Europe", "North America", "Oceania",
     ORACLE["country_mart_" + _c.lower().replace(" ", "_")] = _country(
         f"SELECT * FROM transform WHERE upper(country_continent_name) = '{_c.upper()}'")
 ORACLE["dq_unique_country_raw"] = """
-SELECT c_name AS unique_field, COUNT(*) AS n_records FROM customer GROUP BY 1 HAVING COUNT(*) > 1"""
+SELECT CASE WHEN c_custkey % 13 <> 0 THEN c_name END AS unique_field, 2 :: BIGINT AS n_records
+FROM customer WHERE c_custkey % 10 = 0"""
 ORACLE["dq_unique_country_key"] = _country("""
 SELECT k AS unique_field, COUNT(*) AS n_records
 FROM (SELECT country_common_name || country_continent_name || country_currency_name AS k FROM transform)
@@ -524,11 +537,9 @@ ORACLE["table_inventory_driver"] = " UNION ALL ".join(
 ORACLE["quake_gold_merge"] = ORACLE["quake_seismic_activity"]
 
 # ------------------------------------------------------- small batch operators
-ORACLE["lineitem_dedup_rows"] = "SELECT DISTINCT * FROM lineitem"
+ORACLE["lineitem_dedup_rows"] = "SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_returnflag = 'R')"
 ORACLE["orders_lookup"] = "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
 ORACLE["orders_distinct_priority"] = "SELECT DISTINCT o_orderpriority FROM orders"
 ORACLE["country_from_landing"] = ORACLE["country_transform"]
 ORACLE["health_e4_from_csv"] = ORACLE["health_hospital_performance"]
 ORACLE["product_e6_from_csv"] = ORACLE["product_versions"]
-ORACLE["orders_change_feed_bucketed"] = ORACLE["orders_change_feed"]
-ORACLE["retail_fact_history_table"] = ORACLE["retail_fact_history"]

@@ -1,10 +1,12 @@
 """Earthquake lakehouse jobs.
 
-Driver-table mapping: every ``events`` row is one reported earthquake
-feature. ``event_id`` gives the id (``'ev' || event_id``), ``ts`` the
+Driver-table mapping: every ``events`` row is one feed document with one to
+three features. ``event_id`` gives the id (``'ev' || event_id``), ``ts`` the
 event and update times (epoch milliseconds, as in the feed), ``value`` the
 magnitude and the depth, ``event_type`` the network; the coordinates are
-derived from ``user_id`` (longitude) and ``value`` (latitude).
+derived from ``user_id`` (longitude) and ``value`` (latitude). Every fifth
+user's events are reported again an hour later with a magnitude one higher,
+and every seventh user's first report occurs twice.
 """
 
 from __future__ import annotations
@@ -47,6 +49,7 @@ FEED_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
 ])
 
+# The columns of the silver table.
 SILVER_COLUMNS = [
     "id", "time", "longitude", "latitude", "depth", "mag", "magType", "place",
     "gap", "dmin", "rms", "net", "code", "ids", "sources", "types", "nst",
@@ -59,9 +62,9 @@ def use_utc(spark) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def feed_from_events(events: DataFrame) -> DataFrame:
-    """Driver ``events`` → bronze feed rows (one feature per row, FEED_SCHEMA)."""
+def _feature(mag: F.Column, updated: F.Column) -> F.Column:
     ms = ts_to_epoch_ms("ts")
+    lon, lat = _position()
     props = F.struct(
         F.lit(None).cast("string").alias("alert"),
         F.lit(None).cast("double").alias("cdi"),
@@ -71,7 +74,7 @@ def feed_from_events(events: DataFrame) -> DataFrame:
         F.col("user_id").cast("bigint").alias("felt"),
         F.col("user_id").cast("bigint").alias("gap"),
         F.concat(F.lit(",ev"), F.col("event_id").cast("string"), F.lit(",")).alias("ids"),
-        F.col("value").alias("mag"),
+        mag.alias("mag"),
         F.lit("ml").alias("magType"),
         F.lit(None).cast("double").alias("mmi"),
         F.col("event_type").alias("net"),
@@ -87,25 +90,41 @@ def feed_from_events(events: DataFrame) -> DataFrame:
         F.lit("earthquake").alias("type"),
         F.lit(",origin,").alias("types"),
         F.lit(None).cast("string").alias("tz"),
-        ms.alias("updated"),
+        updated.alias("updated"),
         F.lit(None).cast("string").alias("url"),
     )
-    lon = (F.col("user_id") % 360).cast("double") - F.lit(180.0)
-    lat = (F.floor("value") % 180).cast("double") - F.lit(90.0)
-    feature = F.struct(
+    return F.struct(
         F.struct(F.array(lon, lat, F.col("value")).alias("coordinates"), F.lit("Point").alias("type")).alias("geometry"),
         F.concat(F.lit("ev"), F.col("event_id").cast("string")).alias("id"),
         props.alias("properties"),
         F.lit("Feature").alias("type"),
     )
+
+
+def _position() -> tuple[F.Column, F.Column]:
+    lon = (F.col("user_id") % 360).cast("double") - F.lit(180.0)
+    return lon, (F.floor("value") % 180).cast("double") - F.lit(90.0)
+
+
+def feed_from_events(events: DataFrame) -> DataFrame:
+    """Driver ``events`` → bronze feed documents (FEED_SCHEMA)."""
+    ms = ts_to_epoch_ms("ts")
+    lon, lat = _position()
+    first = _feature(F.col("value"), ms)
+    revised = _feature(F.col("value") + 1, ms + 3_600_000)
+    features = F.concat(
+        F.array(first),
+        F.when(F.col("user_id") % 5 == 0, F.array(revised)).otherwise(F.array()),
+        F.when(F.col("user_id") % 7 == 0, F.array(first)).otherwise(F.array()),
+    )
     meta = F.struct(
-        F.lit("1.10.3").alias("api"), F.lit(1).cast("bigint").alias("count"),
+        F.lit("1.10.3").alias("api"), F.size(features).cast("bigint").alias("count"),
         ms.alias("generated"), F.lit(200).cast("bigint").alias("status"),
         F.lit("feed").alias("title"), F.lit(None).cast("string").alias("url"),
     )
     return events.select(
         F.array(lon, lat, lon, lat).alias("bbox"),
-        F.array(feature).alias("features"),
+        features.alias("features"),
         meta.alias("metadata"),
         F.lit("FeatureCollection").alias("type"),
     )

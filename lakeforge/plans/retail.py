@@ -5,8 +5,9 @@ Driver-table mapping (bronze):
 | bronze      | driver                                                    |
 | department  | lineitem rolled up per (l_suppkey, l_linenumber, ship day) |
 | stores      | supplier: type and size from the nation key                |
-| fact        | lineitem rolled up per (l_suppkey, ship day): temperature, |
-|             | fuel price, markdowns (text, 'NA' tokens), cpi, unemployment |
+| fact        | lineitem rolled up per (l_suppkey, ship day), but for every |
+|             | tenth store: temperature, fuel price, markdowns (text, 'NA' |
+|             | tokens), cpi, unemployment                                 |
 
 Reports (R1, R2, R4, R6) join a date dimension holding one row per
 department row to the fact on DATE_ID: many-to-many (trap T2). The SQL
@@ -22,15 +23,15 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions import iso_date_text, na_to_zero, surrogate_key
 from lakeforge.operators import (
-    bounded_broadcast,
     current_rows,
     global_row_number,
-    scd2_snapshot,
+    scd2_open,
     sum_over_join,
     upsert,
 )
 
 MARKDOWNS = [f"markdown{i}" for i in range(1, 6)]
+# The measures that a snapshot compares.
 CHECK_COLS = ["store_weekly_sales", "fuel_price", "temperature", "cpi", "unemployment"]
 
 
@@ -70,7 +71,7 @@ def bronze_from_driver(lineitem: DataFrame, supplier: DataFrame) -> dict[str, Da
     )
     ln, n = F.col("dept"), F.sum("_n")
     min_q, max_q = F.min("_min_q"), F.max("_max_q")
-    fact = lines.groupBy("store", "date").agg(
+    fact = lines.filter(F.col("store") % 10 != 0).groupBy("store", "date").agg(
         max_q.alias("temperature"),
         F.min(ln).cast("double").alias("fuel_price"),
         F.when(F.min(ln) == 1, "NA").otherwise(_txt(min_q)).alias("markdown1"),
@@ -134,6 +135,7 @@ def stg_fact(fact: DataFrame, now) -> DataFrame:
     )
 
 
+# The columns of the joined fact.
 COMBINED_COLS = [
     "store_id", "dept_id", "date_id", "store_weekly_sales",
     "temperature", "fuel_price", "cpi", "unemployment", *MARKDOWNS, "store_size",
@@ -149,17 +151,27 @@ def combined_fact(d: DataFrame, s: DataFrame, st: DataFrame, keep: tuple[str, ..
     columns along (the staging row can then be read back from the result).
     """
     j = d.join(s.drop("isholiday", "insert_date", "vrsn_start_date", "vrsn_end_date"), ["store_id", "date_id"], "left")
-    j = j.join(bounded_broadcast(st.select("store_id", "store_size")), "store_id", "left")
+    j = j.join(st.select("store_id", "store_size"), "store_id", "left")
     return j.select(*COMBINED_COLS, *keep)
 
 
-def with_composite_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("composite_key", surrogate_key(["store_id", "dept_id", "date_id"]))
+FACT_KEY = ["store_id", "dept_id", "date_id"]
 
 
-def fact_snapshot(history: DataFrame | None, combined: DataFrame, now) -> DataFrame:
-    """M6: SCD2 on the composite surrogate key; five checked measures."""
-    return scd2_snapshot(history, with_composite_key(combined), ["composite_key"], CHECK_COLS, now)
+def _composite(prefix: str = "") -> F.Column:
+    return surrogate_key([F.col(f"{prefix}{c}") for c in FACT_KEY])
+
+
+def fact_snapshot(open_versions: DataFrame | None, combined: DataFrame, now, **options) -> DataFrame:
+    """M6: SCD2 on the fact's key over its open versions; five checked measures.
+
+    Rows meet on the three natural columns; the composite surrogate key, an
+    md5 of them, is computed on output and goes into the version id.
+    """
+    if open_versions is not None:
+        open_versions = open_versions.drop("composite_key")
+    rows = scd2_open(open_versions, combined, FACT_KEY, CHECK_COLS, now, id_key=_composite, **options)
+    return rows.withColumn("composite_key", _composite())
 
 
 def final_fact(history: DataFrame) -> DataFrame:
@@ -167,6 +179,12 @@ def final_fact(history: DataFrame) -> DataFrame:
     return current_rows(history)
 
 
+def planned_dates(stage: DataFrame) -> DataFrame:
+    """Staged dates ten years on: a date dimension reaches past the facts."""
+    later = F.add_months("store_date", 120)
+    return stage.filter(F.col("dept_id") == 7).withColumns({"store_date": later, "date_id": iso_date_text(later)})
+
+
 def dim_date(stage: DataFrame, now) -> DataFrame:
     key = ["row_num"] if "row_num" in stage.columns else []
     return stage.select(*key, "date_id", "store_date", "isholiday", F.lit(now).cast("timestamp_ntz").alias("update_date"))
@@ -222,11 +240,10 @@ def fuel_by_store_year(dd: DataFrame, ds: DataFrame, ff: DataFrame) -> DataFrame
     """Fact ⋈ date dim ⋈ store dim, fuel price by (store, year).
 
     The store join only repeats each fact row once per matching store-dim
-    row: that count (bounded by the number of stores) is broadcast after a
-    size check and applied as a weight.
+    row: that count is applied as a weight.
     """
     store_w = ds.groupBy("store_id").agg(F.count(F.lit(1)).alias("_sw"))
-    weighted = ff.join(bounded_broadcast(store_w), "store_id").withColumn(
+    weighted = ff.join(store_w, "store_id").withColumn(
         "_fuel", F.col("fuel_price") * F.col("_sw")
     )
     return sum_over_join(_year(dd), weighted, "date_id", "date_id", ["year"], ["store_id"],

@@ -9,8 +9,8 @@ from lakeforge.sources.files import (  # noqa: F401
     read_variant_json,
 )
 from lakeforge.sources.tables import (  # noqa: F401
-    BucketedTable,
-    Scd2Table,
+    HistoryTable,
+    KeyedTable,
     VersionedTable,
     parquet_tables,
     publish,

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeforge.operators.joins import bounded_broadcast
 from lakeforge.session import ensure_checkpoint_dir, materialize
 
 
@@ -147,8 +146,7 @@ def load_csv_with_lineage(
             F.lit(0),
         ),
     )
-    # One row per split: bounded by input size / split size; size-checked.
-    out = positioned.join(bounded_broadcast(blocks.select("_file", "_block", "_base", "_off")), ["_file", "_block"])
+    out = positioned.join(blocks.select("_file", "_block", "_base", "_off"), ["_file", "_block"])
     ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp_ntz")
     return out.select(
         *df.columns,

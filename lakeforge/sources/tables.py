@@ -1,12 +1,15 @@
-"""Table sinks: versioned Parquet tables with all-or-nothing publish
-(SURVEY S14–S17, S21, M11, M12).
-
-A ``VersionedTable`` is a folder of immutable version folders
-``v=000001``, ``v=000002``, … A version is visible only once Spark's job
-commit has written its ``_SUCCESS`` marker, so a failed or half-written
-job never becomes the current version (the transaction of the source
-system, re-aimed). Readers of an old version are never disturbed, and two
-versions can be compared for a change feed.
+"""Table sinks, as plain Parquet writes.
+
+- ``VersionedTable``: every write is a new folder ``v=000001``,
+  ``v=000002``, … which counts once Spark's job commit has written its
+  ``_SUCCESS`` marker: all or nothing, and two versions can be compared. A
+  version written by a stream carries the stream's id and batch number in
+  its folder name, so the mark is committed with the data.
+- ``KeyedTable``: one folder partitioned by a stored bucket of the key. A
+  merge reads the partitions of the batch's keys and replaces just those
+  (dynamic partition overwrite).
+- ``HistoryTable``: SCD2 versions; open ones partitioned by bucket and
+  replaced where they change, closed ones appended under their run.
 
 Folder listing uses the Hadoop FileSystem of the session, so the same code
 works on local disk, HDFS or object stores.
@@ -14,12 +17,17 @@ works on local disk, HDFS or object stores.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.operators.changes import change_feed, upsert
+from lakeforge.operators.changes import change_feed, scd2_open, upsert
+
+Step = Callable[[DataFrame | None, DataFrame], DataFrame]
+#: A stream's lasting id and the number of its micro-batch.
+Mark = tuple[str, int]
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,73 +37,179 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p, jvm
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none if it does not exist."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
+
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, bucket_by: Sequence[str] | None = None, buckets: int | None = None):
+    NAME = re.compile(r"v=(\d+)(?:\.([0-9a-f-]+)\.(\d+))?$")
+
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.bucket_by = list(bucket_by or [])
-        self.buckets = buckets
 
     # ------------------------------------------------------------ versions
-    def _version_dirs(self) -> list[tuple[int, bool]]:
-        """(version, committed) for every version folder, oldest first."""
-        fs, root, jvm = _fs(self.spark, self.root)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-                out.append((int(name[2:]), bool(done)))
-        return sorted(out)
+    def _all(self) -> list[tuple[int, str]]:
+        """(version, folder name) of every version folder, committed or not, oldest first."""
+        return sorted((int(m[1]), n) for n in _folders(self.spark, self.root) if (m := self.NAME.match(n)))
+
+    def _committed(self) -> dict[int, str]:
+        fs, _, jvm = _fs(self.spark, self.root)
+        return {v: n for v, n in self._all() if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{n}/_SUCCESS"))}
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
-        return [v for v, done in self._version_dirs() if done]
+        return sorted(self._committed())
 
     def exists(self) -> bool:
         return bool(self.versions())
 
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version:06d}"
+    def applied(self, stream: str) -> int:
+        """The last batch of a stream that a committed version holds, or -1."""
+        marks = (self.NAME.match(n) for n in self._committed().values())
+        return max((int(m[3]) for m in marks if m[2] == stream), default=-1)
 
     def read(self, version: int | None = None) -> DataFrame:
-        vs = self.versions()
-        if not vs:
+        names = self._committed()
+        if not names:
             raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.parquet(self.path(version if version is not None else vs[-1]))
+        return self.spark.read.parquet(f"{self.root}/{names[max(names) if version is None else version]}")
 
     # -------------------------------------------------------------- writes
-    def publish(self, df: DataFrame) -> int:
-        """Write the next version; visible only after job commit.
-
-        With ``bucket_by`` the rows are hash-partitioned on the key before
-        the write, so a later keyed merge reads co-partitioned files.
-        """
+    def publish(self, df: DataFrame, mark: Mark | None = None) -> int:
+        """Write the next version; visible only after job commit."""
         # Number past every folder, committed or not: an attempt that
         # failed mid-write is never reused and never becomes visible.
-        seen = self._version_dirs()
-        nxt = (seen[-1][0] + 1) if seen else 1
-        out = df
-        if self.bucket_by:
-            n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            out = df.repartition(n, *self.bucket_by)
-        out.write.mode("error").parquet(self.path(nxt))
-        return nxt
-
-    def upsert(self, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error") -> int:
+        version = max((v for v, _ in self._all()), default=0) + 1
+        name = f"v={version:06d}" + (f".{mark[0]}.{mark[1]}" if mark else "")
+        df.write.mode("error").parquet(f"{self.root}/{name}")
+        return version
+
+    def merge(self, batch: DataFrame, step: Step, mark: Mark | None = None) -> int | None:
+        """Publish ``step(current rows or None, batch)``; None if this batch of its stream is already in."""
+        if mark and self.applied(mark[0]) >= mark[1]:
+            return None
+        return self.publish(step(self.read() if self.exists() else None, batch), mark)
+
+    def upsert(self, source: DataFrame, keys: Sequence[str], **options) -> int:
         """Upsert into the current version, or create the table."""
-        if not self.exists():
-            return self.publish(source)
-        return self.publish(upsert(self.read(), source, keys, on_duplicate))
+        return self.merge(source, lambda current, b: b if current is None else upsert(current, b, keys, **options))
 
     def change_feed(self, keys: Sequence[str], start: int, end: int | None = None) -> DataFrame:
         """Row changes between two committed versions."""
-        end = end if end is not None else self.versions()[-1]
         return change_feed(self.read(start), self.read(end), keys)
 
 
+def bucket_of(keys: Sequence[str], buckets: int, folded: Sequence[str] = ()) -> Column:
+    """Bucket of a key; parts that are ``folded`` count whatever their case."""
+    parts = [F.lower(F.upper(F.col(k))) if k in folded else F.col(k) for k in keys]
+    return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
+
+
+class KeyedTable:
+    """Plain Parquet partitioned by a stored bucket of the key: ``<root>/_n=<buckets>/_b=<bucket>``.
+
+    ``buckets`` is the caller's choice (the table's size over what one task
+    should rewrite) and part of the layout; ``rebucket`` copies the table to
+    another count when it has outgrown it. A merge replaces the partitions
+    that its keys fall in. A merge that fails leaves them as they are;
+    repeating one is harmless for steps that give the same rows again, as
+    upsert and sequenced CDC do, so micro-batches need no marks.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int, folded: Sequence[str] = ()):
+        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+        self.bucket = bucket_of(self.keys, buckets, folded)
+        self.folded = list(folded)
+        stored = [n for n in _folders(spark, self.root) if n.startswith("_n=")]
+        if stored and stored != [f"_n={buckets}"]:
+            raise ValueError(f"the table has {stored[0][3:]} buckets; use them, or rebucket it")
+
+    @property
+    def path(self) -> str:
+        return f"{self.root}/_n={self.buckets}"
+
+    def exists(self) -> bool:
+        # A partition folder is moved here by the job commit; a failed first write leaves none.
+        return any(n.startswith("_b=") for n in _folders(self.spark, self.path))
+
+    def _stored(self) -> DataFrame:
+        # columns that later batches brought are in some files only
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().drop("_b")
+
+    def merge(self, batch: DataFrame, step: Step, mark: Mark | None = None) -> None:
+        """Replace the touched partitions by ``step(their rows or None, batch)``."""
+        current = None
+        if self.exists():
+            touched = [r[0] for r in batch.select(self.bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+            current = self._stored().filter(F.col("_b").isin(touched)).drop("_b")
+        self._replace(step(current, batch))
+
+    def _replace(self, rows: DataFrame) -> None:
+        placed = rows.withColumn("_b", self.bucket).repartition("_b")
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_b").parquet(self.path)
+
+    def upsert(self, source: DataFrame, **options) -> None:
+        self.merge(source, lambda current, b: b if current is None else upsert(current, b, self.keys, **options))
+
+    def rebucket(self, root: str, buckets: int) -> KeyedTable:
+        """A copy of the table with another number of buckets."""
+        out = KeyedTable(self.spark, root, self.keys, buckets, self.folded)
+        out._replace(self.read())
+        return out
+
+
+class HistoryTable:
+    """SCD2 history: ``open`` versions in a ``KeyedTable``, ``closed`` ones appended under a run column.
+
+    A run joins the source with the open versions only and writes the buckets
+    in which a version was opened or closed. Closed history is never read or
+    rewritten. Runs are numbered by their time, so repeating a run that
+    failed half-way replaces what it had written.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int, case_insensitive_keys: Sequence[str] = ()):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.open = KeyedTable(spark, f"{self.root}/open", keys, buckets, case_insensitive_keys)
+
+    def _closed(self) -> DataFrame | None:
+        folder = f"{self.root}/closed"
+        return self.spark.read.parquet(folder).drop("_run") if _folders(self.spark, folder) else None
+
+    def read(self) -> DataFrame:
+        closed, opened = self._closed(), self.open.read()
+        return opened if closed is None else opened.unionByName(closed)
+
+    def snapshot(self, source: DataFrame, check_cols: Sequence[str], now, **options) -> None:
+        keys, bucket = self.open.keys, self.open.bucket
+        options["case_insensitive_keys"] = self.open.folded
+        if not self.open.exists():
+            self.open._replace(scd2_open(None, source, keys, check_cols, now, **options))
+            return
+        now_c = F.lit(now).cast("timestamp_ntz")
+        versions = scd2_open(self.open.read(), source, keys, check_cols, now, **options).persist()
+        try:
+            ended = versions.filter(F.col("dbt_valid_to") == now_c)
+            run = F.date_format(now_c, "yyyyMMddHHmmssSSS")
+            # Closed first: if the run fails after this, its repetition closes the same versions again.
+            written = ended.withColumn("_run", run).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            written.partitionBy("_run").parquet(f"{self.root}/closed")
+            changed = versions.filter((F.col("dbt_valid_to") == now_c) | (F.col("dbt_valid_from") == now_c))
+            touched = [r[0] for r in changed.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+            still = versions.filter(F.col("dbt_valid_to").isNull() & bucket.isin(touched))
+            if touched:
+                self.open._replace(still)
+        finally:
+            versions.unpersist()
+
+
 def write_or_upsert(spark: SparkSession, df: DataFrame, root: str, keys: Sequence[str]) -> int:
     """The table-exists test, then upsert, or the first full write."""
     return VersionedTable(spark, root).upsert(df, keys)
@@ -158,203 +272,3 @@ def parquet_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return out
 
 
-class BucketedTable:
-    """Versioned table split into hash buckets of its key.
-
-    Layout: ``<root>/data/v=N/_b=<bucket>/*.parquet`` and one manifest per
-    version, ``<root>/_manifest/v=N.json``, mapping every bucket to the
-    version folder that holds it. A keyed merge touches only the buckets of
-    the batch's keys: it reads those buckets, merges, writes them as the
-    new version folder (``partitionBy('_b')``) and then commits by writing
-    the manifest (temp file + rename). Untouched buckets are carried over
-    by reference, never rewritten, so a small batch against a huge table
-    costs work in proportion to the buckets it hits. A failed write leaves
-    no manifest and stays invisible. Bucket ids collected to the driver are
-    at most ``buckets`` integers.
-    """
-
-    ROWS_PER_BUCKET = 1_000_000
-
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int | None = None):
-        self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
-        # The committed manifest is authoritative: a table keeps the bucket
-        # count it was created with, whatever a later caller passes.
-        m = self.manifest() if self.exists() else {}
-        self.buckets = m.get("bucket_count") or buckets
-
-    # ------------------------------------------------------------ manifest
-    def _bucket_col(self) -> F.Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def versions(self) -> list[int]:
-        fs, p, jvm = _fs(self.spark, f"{self.root}/_manifest")
-        if not fs.exists(p):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(p)]
-        return sorted(int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json"))
-
-    def exists(self) -> bool:
-        return bool(self.versions())
-
-    def manifest(self, version: int | None = None) -> dict:
-        import json
-
-        vs = self.versions()
-        if not vs:
-            return {"version": 0, "batch_id": None, "buckets": {}}
-        v = version if version is not None else vs[-1]
-        fs, p, jvm = _fs(self.spark, f"{self.root}/_manifest/v={v:06d}.json")
-        stream = fs.open(p)
-        try:
-            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
-
-    def _write_manifest(self, m: dict) -> None:
-        import json
-
-        fs, final, jvm = _fs(self.spark, f"{self.root}/_manifest/v={m['version']:06d}.json")
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest/_tmp-v={m['version']:06d}.json")
-        out = fs.create(tmp, True)
-        out.write(bytearray(json.dumps(m, sort_keys=True).encode("utf-8")))
-        out.close()
-        if not fs.rename(tmp, final):
-            raise RuntimeError(f"manifest v={m['version']} already committed")
-
-    def _paths(self, m: dict, only: set[int] | None = None) -> list[str]:
-        return [
-            f"{self.root}/data/v={ver:06d}/_b={b}"
-            for b, ver in sorted(m["buckets"].items(), key=lambda kv: int(kv[0]))
-            if only is None or int(b) in only
-        ]
-
-    def _next_version(self) -> int:
-        fs, p, _ = _fs(self.spark, f"{self.root}/data")
-        seen = [int(st.getPath().getName()[2:]) for st in fs.listStatus(p)] if fs.exists(p) else []
-        return max([0, *seen, *self.versions()]) + 1
-
-    # ---------------------------------------------------------------- read
-    def read(self, version: int | None = None, schema=None) -> DataFrame:
-        m = self.manifest(version)
-        paths = self._paths(m)
-        if not paths:
-            raise FileNotFoundError(f"no committed data under {self.root}")
-        return self.spark.read.parquet(*paths)
-
-    # --------------------------------------------------------------- write
-    def merge(self, batch: DataFrame, step, batch_id: int | None = None) -> int | None:
-        """Apply ``step(current_rows_of_touched_buckets | None, batch)``.
-
-        Returns the committed version, or None when the batch id was
-        already committed (a replayed micro-batch).
-        """
-        m = self.manifest()
-        if batch_id is not None and m.get("batch_id") is not None and m["batch_id"] >= batch_id:
-            return None
-        if m.get("bucket_count"):
-            self.buckets = m["bucket_count"]
-        elif not self.buckets:
-            # First write without a given count: about ROWS_PER_BUCKET rows
-            # per bucket (one count job), clamped to [8, 4096].
-            n = batch.count()
-            self.buckets = int(min(4096, max(8, -(-n // self.ROWS_PER_BUCKET))))
-        touched = {r[0] for r in batch.select(self._bucket_col().alias("_b")).distinct().collect()}
-        paths = self._paths(m, touched)
-        if paths:
-            current = self.spark.read.parquet(*paths)
-        elif m["buckets"]:  # only new buckets: an empty frame with the table's schema
-            current = self.spark.read.parquet(*self._paths(m)).limit(0)
-        else:
-            current = None
-        merged = step(current, batch)
-        version = self._next_version()
-        out = f"{self.root}/data/v={version:06d}"
-        merged.withColumn("_b", self._bucket_col()).write.partitionBy("_b").parquet(out)
-        fs, p, _ = _fs(self.spark, out)
-        written = {
-            int(st.getPath().getName()[3:])
-            for st in fs.listStatus(p)
-            if st.isDirectory() and st.getPath().getName().startswith("_b=")
-        }
-        buckets = {b: v for b, v in m["buckets"].items() if int(b) not in touched}
-        buckets.update({str(b): version for b in written})
-        self._write_manifest({"version": version, "batch_id": batch_id, "buckets": buckets,
-                              "bucket_count": self.buckets, "keys": self.keys})
-        return version
-
-    def upsert(self, source: DataFrame, on_duplicate: str = "error", batch_id: int | None = None):
-        return self.merge(source, lambda cur, b: b if cur is None else upsert(cur, b, self.keys, on_duplicate), batch_id)
-
-    def change_feed(self, start: int, end: int | None = None) -> DataFrame:
-        """M12 between two versions, comparing only the buckets that changed.
-
-        Buckets whose manifest entry is the same in both versions hold the
-        same files and cannot differ; they are not read at all.
-        """
-        a = self.manifest(start)["buckets"]
-        b = self.manifest(end)["buckets"]
-        changed = {int(k) for k in set(a) | set(b) if a.get(k) != b.get(k)}
-        schema = self.read(end).schema
-        empty = self.spark.createDataFrame([], schema)
-
-        def side(m, v):
-            paths = self._paths(m, changed)
-            return self.spark.read.schema(schema).parquet(*paths) if paths else empty
-
-        return change_feed(side(self.manifest(start), start), side(self.manifest(end), end), self.keys)
-
-
-class Scd2Table:
-    """SCD2 history stored so that a snapshot run never rewrites old history.
-
-    Layout: ``<root>/data/v=N/_open=true`` holds the open versions after
-    run N and ``<root>/data/v=N/_open=false`` the versions closed in run
-    N; ``<root>/_manifest/v=N.json`` (written last, temp file + rename)
-    names the current open folder and every closed folder. A run reads only
-    the open versions, joins them with the source (``scd2_snapshot``) and
-    writes one run folder; closed history is append-only, so the cost of a
-    run follows the size of the open set, not the depth of the history.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self._m = BucketedTable(spark, root, keys=["_unused"], buckets=1)  # manifest helpers
-
-    def runs(self) -> list[int]:
-        return self._m.versions()
-
-    def manifest(self) -> dict:
-        m = self._m.manifest()
-        return m if m.get("version") else {"version": 0, "open": None, "closed": []}
-
-    def read_open(self) -> DataFrame | None:
-        m = self.manifest()
-        return self.spark.read.parquet(f"{self.root}/{m['open']}") if m["open"] else None
-
-    def read(self) -> DataFrame:
-        m = self.manifest()
-        paths = ([m["open"]] if m["open"] else []) + m["closed"]
-        if not paths:
-            raise FileNotFoundError(f"no committed run under {self.root}")
-        return self.spark.read.parquet(*[f"{self.root}/{p}" for p in paths])
-
-    def snapshot(self, source: DataFrame, keys: Sequence[str], check_cols: Sequence[str], now, **kw) -> int:
-        from lakeforge.operators.changes import scd2_snapshot
-
-        m = self.manifest()
-        run = self._m._next_version()
-        hist = scd2_snapshot(self.read_open(), source, keys, check_cols, now, **kw)
-        out = f"{self.root}/data/v={run:06d}"
-        hist.withColumn("_open", F.col("dbt_valid_to").isNull()).write.partitionBy("_open").parquet(out)
-        fs, _, jvm = _fs(self.spark, out)
-        has = {flag: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{out}/_open={flag}")) for flag in ("true", "false")}
-        rel = f"data/v={run:06d}"
-        self._m._write_manifest({
-            "version": run,
-            "batch_id": None,
-            "buckets": {},
-            "open": f"{rel}/_open=true" if has["true"] else None,
-            "closed": m["closed"] + ([f"{rel}/_open=false"] if has["false"] else []),
-        })
-        return run

@@ -1,11 +1,12 @@
 from lakeforge.streaming.ingest import (  # noqa: F401
+    apply_batch,
     csv_stream,
     drain,
     json_stream,
-    read_current,
     run_cdc_stream,
     run_scd1_stream,
     stream_dedup,
+    stream_id,
     table_stream,
     variant_stream,
 )

@@ -8,10 +8,12 @@ S14, D2, M3, M9, M10, T-1…T-7, E2, E5, E8).
 - ``drain`` runs a query with ``availableNow``: everything present is
   processed in bounded micro-batches, then the query stops (T-3).
 - Change application runs in ``foreachBatch`` against a ``VersionedTable``
-  (whole-table versions) or a ``BucketedTable`` (only the key buckets hit
-  by the batch are rewritten): each micro-batch becomes one committed
-  version tagged with its batch id, so a replayed batch (after a failure
-  between the table commit and the checkpoint commit) is skipped.
+  (each micro-batch becomes one committed version, marked with the stream's
+  id and the batch's number) or a ``KeyedTable`` (only the partitions of
+  the batch's keys are rewritten). A batch that is replayed after a failure
+  between the table's commit and the checkpoint's is skipped by its mark,
+  or gives the same rows again. The stream's id lives in its checkpoint, so
+  a fresh checkpoint, or another stream, never looks like a replay.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from lakeforge.operators.changes import cdc_scd1, scd1_merge
 from lakeforge.sources.files import CsvDialect
-from lakeforge.sources.tables import BucketedTable, VersionedTable
+from lakeforge.sources.tables import KeyedTable, Mark, Step, VersionedTable
 
 
 # ------------------------------------------------------------------ sources
@@ -37,9 +39,13 @@ def json_stream(spark: SparkSession, path: str, schema: StructType, multiline: b
     return r.json(path)
 
 
-def variant_stream(spark: SparkSession, path: str, column: str = "data") -> DataFrame:
+def variant_stream(spark: SparkSession, path: str, column: str = "data",
+                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Continuous load of JSON records into one VARIANT column."""
-    return spark.readStream.format("json").option("singleVariantColumn", column).load(path)
+    r = spark.readStream.format("json").option("singleVariantColumn", column)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path)
 
 
 def csv_stream(spark: SparkSession, path: str, schema: StructType, dialect: CsvDialect = CsvDialect(),
@@ -51,10 +57,13 @@ def csv_stream(spark: SparkSession, path: str, schema: StructType, dialect: CsvD
     return dialect.apply_null_tokens(r.csv(path))
 
 
-def table_stream(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def table_stream(spark: SparkSession, path: str, schema: StructType | None = None,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream the files appended to a Parquet table folder."""
-    schema = schema or spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    r = spark.readStream.schema(schema or spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.option("recursiveFileLookup", "true").parquet(path)
 
 
 # -------------------------------------------------------------------- sinks
@@ -88,49 +97,42 @@ def stream_dedup(df: DataFrame, subset: Sequence[str] | None = None, watermark:
     return w.dropDuplicatesWithinWatermark(cols) if cols else w.dropDuplicatesWithinWatermark()
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps for the life of its checkpoint."""
+    return spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+
+
+def apply_batch(table: VersionedTable | KeyedTable, batch: DataFrame, step: Step, mark: Mark) -> None:
+    """Merge one micro-batch, if it holds data."""
+    # The batch is read several times (empty check, bucket ids, merge);
+    # persisting it avoids re-running the micro-batch plan (and its stateful
+    # operators) each time. Lost blocks are recomputed from the batch's
+    # fixed source offsets.
+    batch = batch.persist()
+    try:
+        if not batch.isEmpty():
+            table.merge(batch, step, mark)
+    finally:
+        batch.unpersist()
+
+
 def _apply_batches(
     stream_df: DataFrame,
-    table: VersionedTable,
+    table: VersionedTable | KeyedTable,
     checkpoint: str,
-    step: Callable[[DataFrame | None, DataFrame], DataFrame],
+    step: Step,
     trigger: dict | None = None,
 ):
-    """foreachBatch driver: one committed table version per non-empty batch."""
-    marker_col = "_batch_id"
-
+    """Start a stream that merges every micro-batch into a table."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read several times below (empty check, bucket ids,
-        # merge); persisting it avoids re-running the micro-batch plan (and
-        # its stateful operators) each time. Lost blocks are recomputed
-        # from the batch's fixed source offsets.
-        batch = batch.persist()
-        try:
-            # Run only when the change stream holds data.
-            if batch.isEmpty():
-                return
-            if isinstance(table, BucketedTable):
-                # Only the buckets hit by this batch are read and rewritten;
-                # the manifest records the batch id for replay detection.
-                table.merge(batch, step, batch_id)
-                return
-            if table.exists():
-                current = table.read()
-                if marker_col in current.columns and current.filter(F.col(marker_col) >= batch_id).limit(1).count():
-                    return  # replayed batch: already committed
-                current = current.drop(marker_col)
-            else:
-                current = None
-            merged = step(current, batch)
-            table.publish(merged.withColumn(marker_col, F.lit(batch_id).cast("bigint")))
-        finally:
-            batch.unpersist()
+        apply_batch(table, batch, step, (stream_id(batch.sparkSession, checkpoint), batch_id))
 
     w = stream_df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
 
-def run_cdc_stream(stream_df: DataFrame, table: VersionedTable, checkpoint: str, keys: Sequence[str],
+def run_cdc_stream(stream_df: DataFrame, table: VersionedTable | KeyedTable, checkpoint: str, keys: Sequence[str],
                    sequence_by: str, tiebreak: Sequence[str] | None = None, trigger: dict | None = None):
     """M3/T-7: sequenced SCD1 from a stream; late older rows are ignored."""
     def step(current, batch):
@@ -139,27 +141,18 @@ def run_cdc_stream(stream_df: DataFrame, table: VersionedTable, checkpoint: str,
     return _apply_batches(stream_df, table, checkpoint, step, trigger)
 
 
-def run_scd1_stream(stream_df: DataFrame, table: VersionedTable, checkpoint: str, keys: Sequence[str],
+def run_scd1_stream(stream_df: DataFrame, table: VersionedTable | KeyedTable, checkpoint: str, keys: Sequence[str],
                     now: Callable[[], object], initial: DataFrame | None = None, on_duplicate: str = "error",
-                    trigger: dict | None = None):
+                    order_by: Sequence[str] | None = None, trigger: dict | None = None):
     """E5 (M9, M10, M2, M11): change stream → SCD1 merge → versioned publish.
 
     ``trigger`` defaults to ``availableNow``; ``{"processingTime": "1 minute"}``
     gives the source system's minute schedule.
     """
     if initial is not None and not table.exists():
-        if isinstance(table, BucketedTable):
-            table.merge(initial, lambda cur, b: b, batch_id=-1)
-        else:
-            table.publish(initial.withColumn("_batch_id", F.lit(-1).cast("bigint")))
+        table.merge(initial, lambda current, b: b)
 
     def step(current, batch):
-        return scd1_merge(current, batch, keys, now(), on_duplicate=on_duplicate)
+        return scd1_merge(current, batch, keys, now(), on_duplicate=on_duplicate, order_by=order_by)
 
     return _apply_batches(stream_df, table, checkpoint, step, trigger)
-
-
-def read_current(table: VersionedTable | BucketedTable) -> DataFrame:
-    """Current version without the batch marker."""
-    df = table.read()
-    return df.drop("_batch_id") if "_batch_id" in df.columns else df

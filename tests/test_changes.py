@@ -110,6 +110,32 @@ def test_change_feed(spark):
     ], key=repr)
 
 
+def test_change_feed_compares_null_keys_as_a_multiset(spark):
+    before = spark.createDataFrame([(None, "a", 1), (None, "a", 1), (None, "b", 2), (1, "x", 1)], SCHEMA)
+    assert change_feed(before, before, ["k"]).count() == 0
+    after = spark.createDataFrame([(None, "a", 1), (None, "b", 2), (None, "b", 2), (None, "c", 3), (1, "x", 1)], SCHEMA)
+    assert rows(change_feed(before, after, ["k"])) == sorted(
+        [(None, "a", 1, "delete"), (None, "b", 2, "insert"), (None, "c", 3, "insert")], key=repr)
+
+
+def test_latest_needs_an_order(spark):
+    tgt = spark.createDataFrame([(1, "x", 1)], SCHEMA)
+    src = spark.createDataFrame([(1, "aaa", 10), (1, "zzz", 2)], SCHEMA)
+    with pytest.raises(ValueError, match="order_by"):
+        upsert(tgt, src, ["k"], on_duplicate="latest")
+    assert rows(upsert(tgt, src, ["k"], on_duplicate="latest", order_by=["b"])) == [(1, "aaa", 10)]
+
+
+def test_scd2_case_insensitive_keys(spark):
+    schema = "k string, a string"
+    h1 = scd2_snapshot(None, spark.createDataFrame([("P-a", "x"), ("q", "y")], schema), ["k"], ["a"], T0, case_insensitive_keys=["k"])
+    h2 = scd2_snapshot(h1, spark.createDataFrame([("p-A", "z"), ("Q", "y")], schema), ["k"], ["a"], T1, case_insensitive_keys=["k"])
+    got = rows(h2.select("k", "a", "dbt_valid_to"))
+    assert got == sorted([("P-a", "x", T1), ("p-A", "z", None), ("q", "y", None)], key=repr)
+    with pytest.raises(Exception, match="duplicate source key"):
+        scd2_snapshot(h1, spark.createDataFrame([("r", "1"), ("R", "2")], schema), ["k"], ["a"], T1, case_insensitive_keys=["k"]).collect()
+
+
 def test_quality_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "c"), (2, "zz")], "k int, v string")
     assert rows(check_unique(df, "k")) == [(1, 2)]  # NULLs ignored
@@ -183,17 +209,13 @@ def test_prop_sum_over_join_equals_pairwise(spark, left, right, how):
     assert rows(got.select("g", "s", "total")) == rows(ref)
 
 
-@pytest.mark.parametrize("broadcast_rows", [None, 1_000_000])
-def test_scd1_merge_plans_agree(spark, broadcast_rows):
+def test_scd1_merge_matches_brute_force(spark):
     tgt = spark.range(0, 300).selectExpr(
         "CAST(id % 30 AS STRING) AS f", "CAST(id AS STRING) AS l", "'old' AS v", "CAST(id AS INT) AS extra",
         "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS insert_dts", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS update_dts",
     )
     src = spark.range(250, 320).selectExpr("CAST(id % 30 AS STRING) AS f", "CAST(id AS STRING) AS l", "'new' AS v")
-    got = scd1_merge(tgt, src, ["f", "l"], T1, broadcast_rows=broadcast_rows)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    if broadcast_rows:
-        assert "FullOuter" not in plan
+    got = scd1_merge(tgt, src, ["f", "l"], T1)
     r = {(a, b): (v, e, i, u) for a, b, v, e, i, u in got.collect()}
     assert len(r) == 320
     assert r[("10", "10")] == ("old", 10, T0, T0)
@@ -202,12 +224,12 @@ def test_scd1_merge_plans_agree(spark, broadcast_rows):
 
 
 @PROP
-@given(tgt=rows_strategy, src=rows_strategy, small=st.booleans())
-def test_prop_scd1_merge_brute_force(spark, tgt, src, small):
+@given(tgt=rows_strategy, src=rows_strategy)
+def test_prop_scd1_merge_brute_force(spark, tgt, src):
     t_rows = [(k, a, b, T0, T0) for k, a, b in _unique_by_key(tgt)]
     t = spark.createDataFrame(t_rows, "k int, a string, b int, insert_dts timestamp_ntz, update_dts timestamp_ntz")
     s = spark.createDataFrame(_unique_by_key(src), SCHEMA)
-    got = scd1_merge(t, s, ["k"], T1, broadcast_rows=1000 if small else None)
+    got = scd1_merge(t, s, ["k"], T1)
     expect = {r[0]: r for r in t_rows}
     for k, a, b in _unique_by_key(src):
         expect[k] = (k, a, b, expect[k][3] if k in expect else T1, T1)

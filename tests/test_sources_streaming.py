@@ -10,17 +10,20 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from conftest import rows
 from lakeforge.sources import (
     CsvDialect,
+    HistoryTable,
+    KeyedTable,
     VersionedTable,
     list_files,
     load_csv,
     load_csv_with_lineage,
     table_inventory,
 )
+from lakeforge.operators import scd1_merge, scd2_snapshot, upsert
 from lakeforge.streaming import (
+    apply_batch,
     csv_stream,
     drain,
     json_stream,
-    read_current,
     run_cdc_stream,
     run_scd1_stream,
     stream_dedup,
@@ -140,7 +143,7 @@ def test_cdc_stream_late_rows_and_replay(spark, tmp_dir):
     # Empty drain: no new version (run only when the stream holds data).
     run_cdc_stream(spark.readStream.schema(schema).json(raw), table, ck, ["k"], "seq").awaitTermination()
     assert len(table.versions()) == n_versions
-    assert rows(read_current(table)) == [(1, 5, "a"), (2, 2, "newer")]
+    assert rows(table.read()) == [(1, 5, "a"), (2, 2, "newer")]
 
 
 def test_scd1_stream_from_csv(spark, tmp_dir):
@@ -152,7 +155,7 @@ def test_scd1_stream_from_csv(spark, tmp_dir):
     _write_csv(f"{landing}/d1.csv", ["f", "l", "phone"], [["a", "b", "2"], ["c", "d", '3,"x"']])
     run_scd1_stream(csv_stream(spark, landing, schema), table, ck, ["f", "l"], now=lambda: T1,
                     initial=tgt).awaitTermination()
-    got = rows(read_current(table))
+    got = rows(table.read())
     assert got == [("a", "b", "2", dt.datetime(2024, 1, 1), T1), ("c", "d", '3,"x"', T1, T1)]
 
 
@@ -184,84 +187,112 @@ def test_publish_kinds(spark, tmp_dir):
     assert rows(VersionedTable(spark, inc).read()) == [(1, "a"), (2, "B"), (3, "c")]
 
 
-def test_bucketed_table_rewrites_only_touched_buckets(spark, tmp_dir):
-    from lakeforge.sources import BucketedTable
+def files_of(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
 
-    t = BucketedTable(spark, f"{tmp_dir}/b", ["k"], buckets=8)
-    base = spark.range(0, 400).selectExpr("id AS k", "'v0' AS v")
-    assert t.upsert(base) == 1
-    assert len(t.manifest()["buckets"]) == 8
-    batch = spark.createDataFrame([(3, "new"), (1000, "ins")], "k bigint, v string")
-    v2 = t.upsert(batch, batch_id=7)
-    rewritten = {b for b, ver in t.manifest()["buckets"].items() if ver == v2}
-    assert 1 <= len(rewritten) <= 2  # only the buckets of keys 3 and 1000
-    got = {r[0]: r[1] for r in t.read().collect()}
-    assert len(got) == 401 and got[3] == "new" and got[1000] == "ins" and got[4] == "v0"
-    assert t.upsert(batch, batch_id=7) is None  # replayed batch is skipped
-    assert rows(t.read(version=1).filter("k = 3")) == [(3, "v0")]  # old version intact
 
+def test_keyed_table_replaces_touched_partitions_only(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/b", ["k"], buckets=64)
+    t.upsert(spark.range(0, 400).selectExpr("id AS k", "'v0' AS v"))
+    before = files_of(tmp_dir)
+    assert len(before) <= 64  # one file per partition, whatever the number of tasks
+    t.upsert(spark.createDataFrame([(3, "new", 1), (1000, "ins", 2)], "k bigint, v string, extra int"))
+    after = files_of(tmp_dir)
+    assert 1 <= len(set(after) - set(before)) <= 2 and len(set(before) - set(after)) <= 2
+    got = {r["k"]: (r["v"], r["extra"]) for r in t.read().collect()}  # the column that came later is there
+    assert len(got) == 401 and got[3] == ("new", 1) and got[1000] == ("ins", 2) and got[4] == ("v0", None)
 
-def test_bucketed_scd1_into_empty_buckets(spark, tmp_dir):
-    from lakeforge.operators import scd1_merge
-    from lakeforge.sources import BucketedTable
 
-    t = BucketedTable(spark, f"{tmp_dir}/c", ["k"], buckets=64)
+def test_keyed_table_failed_merge_leaves_it_as_it_was(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/b", ["k"], buckets=4)
+    t.upsert(spark.range(0, 40).selectExpr("id AS k", "0 AS v"))
+    bad = spark.range(0, 40).selectExpr("id AS k", "if(id = 39, raise_error('boom'), 1) AS v")
+    with pytest.raises(Exception, match="boom"):
+        t.upsert(bad)
+    assert {r["v"] for r in t.read().collect()} == {0}
+
+
+def test_keyed_table_bucket_count_is_part_of_the_layout(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/b", ["k"], buckets=4)
+    t.upsert(spark.range(0, 40).selectExpr("id AS k", "0 AS v"))
+    with pytest.raises(ValueError, match="4 buckets"):
+        KeyedTable(spark, f"{tmp_dir}/b", ["k"], buckets=8)
+    more = t.rebucket(f"{tmp_dir}/c", 16)
+    assert rows(more.read()) == rows(t.read())
+    more.upsert(spark.createDataFrame([(3, 9)], "k bigint, v int"))
+    assert {r["k"]: r["v"] for r in more.read().collect()}[3] == 9
+
+
+def test_keyed_scd1_into_empty_partitions(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/c", ["k"], buckets=64)
     first = spark.createDataFrame([(1, "a", T1, T1)], "k int, v string, insert_dts timestamp_ntz, update_dts timestamp_ntz")
-    t.merge(first, lambda cur, b: b, batch_id=0)
+    t.merge(first, lambda cur, b: b)
     later = dt.datetime(2024, 2, 1)
-    # Keys landing only in buckets that hold no rows yet.
     batch = spark.createDataFrame([(k, "n") for k in range(2, 40)], "k int, v string")
-    t.merge(batch, lambda cur, b: scd1_merge(cur, b, ["k"], later), batch_id=1)
+    t.merge(batch, lambda cur, b: scd1_merge(cur, b, ["k"], later))
     got = {r[0]: (r[1], r[2]) for r in t.read().collect()}
     assert got[1] == ("a", T1) and got[39] == ("n", later) and len(got) == 39
 
 
-def test_scd2_table_appends_closed_history(spark, tmp_dir):
-    from lakeforge.operators import scd2_snapshot
-    from lakeforge.sources import Scd2Table
-
-    schema = "k int, a string"
+def test_history_table_appends_closed_and_leaves_unchanged_open_versions(spark, tmp_dir):
+    schema = "k string, a string"
     loads = [
-        [(1, "x"), (2, "y"), (3, "z")],
-        [(1, "X"), (2, "y"), (4, "w")],
-        [(1, "x"), (2, "Y"), (4, "w")],
+        [("x1", "x"), ("y", "y"), *((f"z{i}", "z") for i in range(60))],
+        [("X1", "X"), ("y", "y"), ("w", "w")],  # the key's case changes with its value
+        [("x1", "x"), ("y", "Y"), ("w", "w")],
     ]
     times = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
-    t = Scd2Table(spark, f"{tmp_dir}/hist")
+    t = HistoryTable(spark, f"{tmp_dir}/hist", ["k"], buckets=32, case_insensitive_keys=["k"])
     ref = None
-    closed_before = []
     for load, now in zip(loads, times):
         src = spark.createDataFrame(load, schema)
-        t.snapshot(src, ["k"], ["a"], now)
-        ref = scd2_snapshot(ref, src, ["k"], ["a"], now)
-        m = t.manifest()
-        assert m["closed"][: len(closed_before)] == closed_before  # old closed folders untouched
-        closed_before = m["closed"]
+        before = files_of(f"{tmp_dir}/hist")
+        t.snapshot(src, ["a"], now)
+        if ref is not None:
+            after = files_of(f"{tmp_dir}/hist")
+            closed = {f for f in before if "/closed/" in f}
+            assert closed <= set(after) and all(after[f] == before[f] for f in closed)
+            assert len({f for f in set(after) - set(before) if "/open/" in f}) <= 3  # touched partitions
+            t.snapshot(src, ["a"], now)  # repeating a run changes nothing
+        ref = scd2_snapshot(ref, src, ["k"], ["a"], now, case_insensitive_keys=["k"])
     cols = ["k", "a", "dbt_valid_from", "dbt_valid_to", "dbt_scd_id"]
     assert rows(t.read().select(*cols)) == rows(ref.select(*cols))
-    assert t.read_open().count() == 4
-
+    assert t.open.read().count() == 63
 
-def test_bucketed_change_feed_reads_changed_buckets_only(spark, tmp_dir):
-    from lakeforge.sources import BucketedTable
 
-    t = BucketedTable(spark, f"{tmp_dir}/cf", ["k"], buckets=8)
-    t.upsert(spark.range(0, 200).selectExpr("id AS k", "'a' AS v"))
-    t.upsert(spark.createDataFrame([(5, "b"), (500, "n")], "k bigint, v string"))
-    feed = t.change_feed(1)
-    got = sorted((r["k"], r["v"], r["_change_type"]) for r in feed.collect())
-    assert got == [(5, "a", "update_preimage"), (5, "b", "update_postimage"), (500, "n", "insert")]
-    files = feed._jdf.queryExecution().executedPlan().toString()
-    assert "_b=" in files  # reads bucket folders, not whole versions
+BATCH = StructType([StructField("k", LongType()), StructField("seq", LongType()), StructField("v", StringType())])
 
 
-def test_bucketed_table_keeps_its_bucket_count(spark, tmp_dir):
-    from lakeforge.sources import BucketedTable
-
-    t = BucketedTable(spark, f"{tmp_dir}/bc", ["k"])  # count sized from the first load
-    t.upsert(spark.range(0, 50).selectExpr("id AS k", "'a' AS v"))
-    assert t.manifest()["bucket_count"] == 8
-    reopened = BucketedTable(spark, f"{tmp_dir}/bc", ["k"], buckets=64)  # ignored: the table has 8
-    reopened.upsert(spark.createDataFrame([(3, "b")], "k bigint, v string"))
-    got = {r[0]: r[1] for r in reopened.read().collect()}
-    assert len(got) == 50 and got[3] == "b"
+def _land_batch(path, name, recs):
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/{name}.json", "w") as f:
+        f.writelines('{"k":%d,"seq":%d,"v":"%s"}\n' % r for r in recs)
+
+
+@pytest.mark.parametrize("kind", ["versioned", "keyed"])
+def test_fresh_checkpoint_and_second_stream_lose_nothing(spark, tmp_dir, kind):
+    table = VersionedTable(spark, f"{tmp_dir}/t") if kind == "versioned" else KeyedTable(spark, f"{tmp_dir}/t", ["k"], 4)
+    run = lambda raw, ck: run_cdc_stream(spark.readStream.schema(BATCH).json(f"{tmp_dir}/{raw}"), table, f"{tmp_dir}/{ck}", ["k"], "seq").awaitTermination()
+    _land_batch(f"{tmp_dir}/raw", "1", [(1, 1, "a"), (2, 1, "b")])
+    run("raw", "ck1")
+    _land_batch(f"{tmp_dir}/raw", "2", [(1, 2, "newer"), (3, 1, "c")])
+    run("raw", "ck2")  # the checkpoint was reset: all files again, batch 0 again
+    assert rows(table.read()) == [(1, 2, "newer"), (2, 1, "b"), (3, 1, "c")]
+    _land_batch(f"{tmp_dir}/other", "1", [(4, 1, "d")])
+    run("other", "ck3")  # another stream into the same table, with its own batch 0
+    assert rows(table.read()) == [(1, 2, "newer"), (2, 1, "b"), (3, 1, "c"), (4, 1, "d")]
+
+
+@pytest.mark.parametrize("kind", ["versioned", "keyed"])
+def test_replayed_batch_changes_nothing(spark, tmp_dir, kind):
+    """A failure between the table's commit and the checkpoint's: the same batch comes again."""
+    table = VersionedTable(spark, f"{tmp_dir}/t") if kind == "versioned" else KeyedTable(spark, f"{tmp_dir}/t", ["k"], 4)
+    step = lambda cur, b: b if cur is None else upsert(cur, b, ["k"])
+    mark = ("0a1b2c3d-0000-4000-8000-000000000000", 0)
+    batch = spark.createDataFrame([(1, "a"), (None, "no key")], "k int, v string")
+    apply_batch(table, batch.filter("k IS NOT NULL") if kind == "keyed" else batch, step, mark)
+    before = rows(table.read())
+    apply_batch(table, batch.filter("k IS NOT NULL") if kind == "keyed" else batch, step, mark)
+    assert rows(table.read()) == before
+    apply_batch(table, spark.createDataFrame([(2, "b")], "k int, v string"), step, (mark[0], 1))
+    assert table.read().count() == len(before) + 1

@@ -9,9 +9,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.session import materialize, read_table, scratch_path
+from lakeforge.session import materialize as write_out
+from lakeforge.session import read_table, scratch_path
 
-__all__ = ["materialize", "scratch_path"]
+__all__ = ["scratch_path"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -20,6 +21,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back, which cuts its lineage.
+
+    The shuffle files of the finished write are of no more use, but Spark
+    deletes them only once the driver's JVM has collected what refers to
+    them. A chain of such steps asks for that at each one, so that disks
+    hold one step's shuffles and not all.
+    """
+    out = write_out(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

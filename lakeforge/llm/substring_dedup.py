@@ -241,36 +241,36 @@ def maximal_groups(left: list[bytes], right: list[bytes], length: int, gram: int
 
 
 def bucket_spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``(anchor, context, back, ahead)``: covered bytes from ``back`` before the anchor to ``ahead`` after it."""
+    """``(anchor, context, back, ahead)``: what repeats of ``length`` bytes or more cover around
+    each context's anchor. All of them hold the anchor's gram, so together they are one span."""
     dealt = contexts.repartition("anchor").sortWithinPartitions("anchor", "context")
 
-    def solve(bucket: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def solve(bucket: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         left, right = bucket.column("left").to_pylist(), bucket.column("right").to_pylist()
-        who, back, ahead = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        back, ahead = np.full(len(left), -1), np.zeros(len(left), np.int64)
         for depth, members, shared in repeats(left, right, length, gram):
             best = np.maximum(shared, np.append(shared[1:], 0))
             good = best + depth >= length
-            who.append(members[good]), back.append(best[good]), ahead.append(np.full(good.sum(), depth))
-        return np.concatenate(who), np.concatenate(back), np.concatenate(ahead)
+            who = members[good]
+            back[who] = np.maximum(back[who], best[good])
+            ahead[who] = np.maximum(ahead[who], depth)
+        return back, ahead
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # the bucket that the last batch ended in
 
-        def table(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            whole = pa.Table.from_batches(parts)
+        def table(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            whole = pa.concat_batches(parts)
             anchor = whole.column("anchor").to_numpy()
             cuts = [0, *(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1).tolist(), len(anchor)]
-            found: list[list[np.ndarray]] = [[], [], []]
+            back, ahead = np.full(len(anchor), -1), np.zeros(len(anchor), np.int64)
             for b, e in zip(cuts, cuts[1:]):
                 if e - b > 1:
-                    who, back, ahead = solve(whole.slice(b, e - b))
-                    found[0].append(who + b), found[1].append(back), found[2].append(ahead)
-            if found[0]:
-                who, back, ahead = map(np.concatenate, found)
-                context = whole.column("context").to_numpy()[who]
-                kinds = (np.int64, np.int64, np.int32, np.int32)
-                values = (anchor[who], context, back, ahead)
-                yield pa.record_batch([pa.array(v.astype(k)) for v, k in zip(values, kinds)], ["anchor", "context", "back", "ahead"])
+                    back[b:e], ahead[b:e] = solve(whole.slice(b, e - b))
+            found = back >= 0
+            columns = [whole.column(c).filter(pa.array(found)) for c in ("anchor", "context")]
+            spans = [pa.array(v[found].astype(np.int32)) for v in (back, ahead)]
+            return pa.record_batch([*columns, *spans], ["anchor", "context", "back", "ahead"])
 
         for batch in batches:
             if not len(batch):
@@ -278,23 +278,23 @@ def bucket_spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
             anchor = batch.column("anchor").to_numpy()
             cut = int(np.searchsorted(anchor, anchor[-1]))
             if cut or (held and held[-1].column("anchor")[0].as_py() != anchor[0]):
-                yield from table([*held, batch.slice(0, cut)])
+                yield table([*held, batch.slice(0, cut)])
                 held = []
             held.append(batch.slice(cut))
         if held:
-            yield from table(held)
+            yield table(held)
 
     return dealt.mapInArrow(run, "anchor long, context long, back int, ahead int")
 
 
 def window_spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """As ``bucket_spans``, by counting the hashes of all windows of the contexts."""
+    """As ``bucket_spans``, by counting the hashes of all windows of the contexts that hold the whole gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "right", 1 << 18):
             for anchor, context, left, right in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "left", "right"))):
                 whole = left[::-1] + right
-                starts = range(max(0, len(whole) - length + 1))
+                starts = range(min(len(left), len(whole) - length) + 1)
                 yield pa.record_batch(
                     [pa.array([v] * len(starts), pa.int64()) for v in (anchor, context)]
                     + [pa.array([len(left) - s for s in starts], pa.int32())]
@@ -325,12 +325,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int | None = Non
         if not part.isEmpty():
             wanted = part.groupBy("rk").agg(F.collect_list("p").alias("places"))
             spans = spans.unionByName(solve(fetch_contexts(rows, wanted, length, gram), length, gram))
-    # Of several spans of one context only the outlines matter: per reach ahead the longest way back.
-    spans = spans.groupBy("anchor", "context", "ahead").agg(F.max("back").alias("back"))
-    spans = spans.groupBy("anchor", "context").agg(F.collect_list(F.struct("back", "ahead")).alias("spans"))
+    spans = spans.groupBy("anchor", "context").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead"))
     covered = found.join(materialize(spans, "spans"), ["anchor", "context"])
-    span = F.explode("spans").alias("s")
-    return covered.select("rk", "place", span).select("rk", F.greatest(F.lit(0), F.col("place") - F.col("s.back")).alias("begin"), (F.col("place") + F.col("s.ahead")).alias("end"))
+    return covered.select("rk", F.greatest(F.lit(0), F.col("place") - F.col("back")).alias("begin"), (F.col("place") + F.col("ahead")).alias("end"))
 
 
 def cut_spans(rows: DataFrame, spans: DataFrame, keep_text: bool = False) -> DataFrame:

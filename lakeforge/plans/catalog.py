@@ -9,6 +9,7 @@ or averages are rounded in the last projection only, so the DuckDB oracle
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,10 +41,14 @@ from lakeforge.sources import (
     HistoryTable,
     KeyedTable,
     VersionedTable,
+    infer_json_schema,
+    list_files,
     load_csv,
     load_csv_with_lineage,
     parquet_tables,
+    publish,
     read_csv,
+    read_json,
     reload_variant,
     replace_table,
     schemas,
@@ -632,9 +637,10 @@ def stream_quake_cdc_activity(spark, sf_dir):
     _prep(spark)
     root = scratch_path(spark, "quake-cdc")
     _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
-    bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False))
+    bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_files_per_trigger=4))
     drain(bronze, f"{root}/bronze", f"{root}/_ckpt/bronze")
-    silver = stream_dedup(table_stream(spark, f"{root}/bronze").select(*quakes.SILVER_COLUMNS))
+    flat = table_stream(spark, f"{root}/bronze", max_files_per_trigger=4).select(*quakes.SILVER_COLUMNS)
+    silver = stream_dedup(flat, ["id", "updated"], watermark=("updated", "60 days"))
     silver = silver.withColumn("hash_id", lf.hash_id("id", "time"))
     table = KeyedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
     run_cdc_stream(silver, table, f"{root}/_ckpt/silver", ["hash_id"], "updated").awaitTermination()
@@ -647,7 +653,7 @@ def stream_variant_landing(spark, sf_dir):
     root = scratch_path(spark, "landing")
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
     _land_json(ev, f"{root}/raw")
-    drain(variant_stream(spark, f"{root}/raw"), f"{root}/landed", f"{root}/_ckpt")
+    drain(variant_stream(spark, f"{root}/raw", max_files_per_trigger=4), f"{root}/landed", f"{root}/_ckpt")
     landed = spark.read.parquet(f"{root}/landed")
     return landed.select(
         F.variant_get("data", "$.event_id", "bigint").alias("event_id"),
@@ -665,13 +671,60 @@ def stream_events_dedup(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     ev.write.parquet(f"{root}/in/delivery=1")
     ev.write.parquet(f"{root}/in/delivery=2")
-    stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
-    drain(stream_dedup(stream), f"{root}/out", f"{root}/_ckpt")
+    # The feed spans a month: within the watermark's delay every copy is recognised by its id.
+    stream = stream_dedup(table_stream(spark, f"{root}/in", ev.schema, 4), ["event_id"], watermark=("ts", "60 days"))
+    drain(stream, f"{root}/out", f"{root}/_ckpt")
     return spark.read.parquet(f"{root}/out")
 
 
 
 
+def _events_stream(spark, folder):
+    return table_stream(spark, folder, max_files_per_trigger=4)
+
+
+@register("stream_checkpoint_reset")
+def stream_checkpoint_reset(spark, sf_dir):
+    """T-2: a table stream drained, more files landed, and all drained again
+    with a fresh checkpoint into the same table (M3): no row is lost, none twice."""
+    root = scratch_path(spark, "reset")
+    ev = read_table(spark, sf_dir, "events")
+    table = VersionedTable(spark, f"{root}/latest")
+    for i, part in enumerate((cj.events_first(ev), cj.events_second(ev))):
+        part.write.mode("append").parquet(f"{root}/raw")
+        run_cdc_stream(_events_stream(spark, f"{root}/raw"), table, f"{root}/_ckpt{i}", ["user_id"], "ts", ["event_id"]).awaitTermination()
+    return table.read()
+
+
+@register("stream_two_sources")
+def stream_two_sources(spark, sf_dir):
+    """M3, T-7: two streams with their own checkpoints into one keyed table, in turns."""
+    root = scratch_path(spark, "two-streams")
+    ev = read_table(spark, sf_dir, "events")
+    table = KeyedTable(spark, f"{root}/latest", ["user_id"], buckets=16)
+    clicks = F.col("event_type") == "click"
+    for part in (cj.events_first(ev), cj.events_second(ev)):
+        for name, rows in (("clicks", part.filter(clicks)), ("others", part.filter(~clicks))):
+            rows.write.mode("append").parquet(f"{root}/{name}")
+            run_cdc_stream(_events_stream(spark, f"{root}/{name}"), table, f"{root}/_ckpt/{name}", ["user_id"], "ts", ["event_id"]).awaitTermination()
+    return table.read()
+
+
+@register("stream_minute_trigger")
+def stream_minute_trigger(spark, sf_dir):
+    """T-4: a stream on a one-minute schedule, stopped once what is there is committed."""
+    root = scratch_path(spark, "minute")
+    read_table(spark, sf_dir, "events").write.parquet(f"{root}/raw")
+    writer = table_stream(spark, f"{root}/raw").writeStream.format("parquet").option("checkpointLocation", f"{root}/_ckpt")
+    stream = writer.trigger(processingTime="1 minute").start(f"{root}/out")
+    try:
+        while stream.isActive and stream.lastProgress is None:
+            time.sleep(0.05)
+    finally:
+        stream.stop()
+    return spark.read.parquet(f"{root}/out")
+
+
 @register("stream_customer_scd1")
 def stream_customer_scd1(spark, sf_dir):
     """E5: CSV change files (two deliveries, then an empty drain) → change
@@ -688,7 +741,7 @@ def stream_customer_scd1(spark, sf_dir):
         if seg is not None:
             (batch.filter(F.col("territory") == seg).write.option("header", "true")
              .option("nullValue", "NULL").csv(f"{root}/landing/delivery={i}"))
-        stream = csv_stream(spark, f"{root}/landing", schema, dialect)
+        stream = csv_stream(spark, f"{root}/landing", schema, dialect, max_files_per_trigger=4)
         run_scd1_stream(stream, table, f"{root}/_ckpt", keys,
                         now=lambda: cj.CUSTOMER_T1, initial=cj.customer_target(c)).awaitTermination()
     return table.read()
@@ -721,11 +774,65 @@ def csv_load_products(spark, sf_dir):
 
 @register("csv_lineage_products")
 def csv_lineage_products(spark, sf_dir):
-    """CSV rows with source file name and row number in the file."""
+    """CSV rows with source file and row number in the file. Four files
+    by key, each sorted and read in several splits; the part number stands
+    for the file's name, which is random."""
     root = scratch_path(spark, "lineage")
-    schema = schemas.PRODUCT_FIELDS
-    cj.product_fields(read_table(spark, sf_dir, "part"), 1).repartition(4).write.option("header", "true").csv(f"{root}/files")
-    return load_csv_with_lineage(spark, f"{root}/files", schema, CsvDialect.simple(), now=cj.PRODUCT_T1)
+    fields = cj.product_fields(read_table(spark, sf_dir, "part"), 1)
+    number = F.col("product_id").cast("bigint")
+    placed = fields.withColumns({"file": number % 4, "number": number}).repartitionByRange(4, "file")
+    placed.sortWithinPartitions("file", "number").drop("file", "number").write.option("header", "true").csv(f"{root}/files")
+    split = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(split)
+    spark.conf.set(split, "8k")
+    try:
+        rows = load_csv_with_lineage(spark, f"{root}/files", schemas.PRODUCT_FIELDS, CsvDialect.simple(), now=cj.PRODUCT_T1)
+    finally:
+        spark.conf.set(split, old)
+    part = F.regexp_extract("source_file_name", r"part-(\d+)", 1).cast("int")
+    return rows.withColumn("source_file_part", part).drop("source_file_name")
+
+
+@register("json_inferred_events")
+def json_inferred_events(spark, sf_dir):
+    """Schema inferred from one delivered day, then fixed for all files."""
+    root = scratch_path(spark, "inferred")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props", "ts")
+    _land_json(ev.filter(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")), f"{root}/sample")
+    _land_json(ev, f"{root}/raw")
+    schema = infer_json_schema(spark, f"{root}/sample", multiline=False)
+    return read_json(spark, f"{root}/raw", schema, multiline=False).drop("ts")
+
+
+@register("publish_kinds_orders")
+def publish_kinds_orders(spark, sf_dir):
+    """One model published as table, view and incremental table (loaded twice)."""
+    root = scratch_path(spark, "publish")
+    o = read_table(spark, sf_dir, "orders")
+
+    def model(orders):
+        return orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+    publish(spark, model(o), "orders_by_priority", "table", root=f"{root}/table")
+    view = f"orders_by_priority_{root[-12:]}"
+    publish(spark, model(o), view, "view")
+    for orders in (cj.orders_day_one(o), o):
+        publish(spark, model(orders), "orders_by_priority", "incremental", root=f"{root}/inc", unique_key=["o_orderpriority"])
+    kinds = {"table": VersionedTable(spark, f"{root}/table").read(), "view": spark.table(view),
+             "incremental": VersionedTable(spark, f"{root}/inc").read()}
+    out = [df.select(F.lit(kind).alias("kind"), "o_orderpriority", "n") for kind, df in kinds.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@register("list_order_files")
+def list_order_files(spark, sf_dir):
+    """Files of a landing area that match a pattern, counted per folder."""
+    root = scratch_path(spark, "listing")
+    o = read_table(spark, sf_dir, "orders")
+    o.repartition("o_orderstatus").write.partitionBy("o_orderstatus").option("header", "true").csv(f"{root}/orders")
+    files = list_files(spark, f"{root}/orders", "part-*.csv")
+    folder = F.element_at(F.split("path", "/"), -2)
+    return files.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n_files"))
 
 
 @register("table_inventory_driver")
@@ -816,3 +923,24 @@ def product_e6_from_csv(spark, sf_dir):
                                        CsvDialect.with_null_tokens("NULL", "null"), now=now)
         history.snapshot(cj.product_transform(copied, run), cols, now, case_insensitive_cols=cols)
     return versioned_view(history.read(), cj.PRODUCT_VIEW_KEEP)
+
+
+@register("retail_e7_from_csv")
+def retail_e7_from_csv(spark, sf_dir):
+    """E7 end to end: three CSV files into their declared tables (S6, S12),
+    staging (F8), joined fact (J4), snapshot (M6), sales by temperature and
+    year (R2). The files have fractions, which the declared decimals without
+    a scale round away (trap T7)."""
+    root = scratch_path(spark, "retail-e7")
+    bronze = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
+    bronze["fact"] = bronze["fact"].withColumns({"temperature": F.col("temperature") + 0.5, "fuel_price": F.col("fuel_price") + 0.25})
+    tables = {"department": schemas.RETAIL_DEPARTMENT, "stores": schemas.RETAIL_STORES, "fact": schemas.retail_fact()}
+    loaded = {}
+    for name, schema in tables.items():
+        bronze[name].select(*schema.fieldNames()).write.option("header", "true").csv(f"{root}/{name}")
+        loaded[name] = load_csv(spark, f"{root}/{name}", schema, dialect=CsvDialect.simple())
+    stage = retail.stage_dept(loaded["department"], RETAIL_NOW1, numbered=False)
+    joined = retail.combined_fact(stage, retail.stg_fact(loaded["fact"], RETAIL_NOW1), retail.stage_store(loaded["stores"], RETAIL_NOW1))
+    facts = retail.final_fact(retail.fact_snapshot(None, joined, RETAIL_NOW1))
+    out = retail.sales_by_temperature_year(retail.dim_date(stage, RETAIL_NOW1), facts)
+    return rounded(out.withColumn("temperature", F.col("temperature").cast("double")), {"total_sales": 2})

@@ -543,3 +543,24 @@ ORACLE["orders_distinct_priority"] = "SELECT DISTINCT o_orderpriority FROM order
 ORACLE["country_from_landing"] = ORACLE["country_transform"]
 ORACLE["health_e4_from_csv"] = ORACLE["health_hospital_performance"]
 ORACLE["product_e6_from_csv"] = ORACLE["product_versions"]
+ORACLE["csv_lineage_products"] = f"""
+SELECT product_id, product_name, category, selling_price, model_number, about_product, product_specification,
+       technical_details, shipping_weight, product_dimensions,
+       TIMESTAMP '2024-05-01 00:00:00' AS insert_dts, TIMESTAMP '2024-05-01 00:00:00' AS update_dts,
+       CAST(CAST(product_id AS BIGINT) % 4 AS INTEGER) AS source_file_part,
+       row_number() OVER (PARTITION BY CAST(product_id AS BIGINT) % 4 ORDER BY CAST(product_id AS BIGINT)) AS source_file_row_number
+FROM ({_product_load(1)})"""
+ORACLE["json_inferred_events"] = ORACLE["stream_variant_landing"]
+ORACLE["publish_kinds_orders"] = """
+SELECT kind, o_orderpriority, count(*) AS n
+FROM orders, (VALUES ('table'), ('view'), ('incremental')) k(kind) GROUP BY 1, 2"""
+ORACLE["list_order_files"] = """
+SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS folder, 1 :: BIGINT AS n_files FROM orders"""
+ORACLE["stream_checkpoint_reset"] = ORACLE["events_cdc_scd1"]
+ORACLE["stream_two_sources"] = ORACLE["events_cdc_scd1"]
+ORACLE["stream_minute_trigger"] = "SELECT * FROM events"
+ORACLE["retail_e7_from_csv"] = _retail("""
+SELECT CAST(f.temperature + 1 AS DOUBLE) AS temperature, CAST(YEAR(d.store_date) AS INTEGER) AS year,
+       ROUND(SUM(f.store_weekly_sales), 2) AS total_sales
+FROM combined f JOIN dim_date d ON d.date_id = f.date_id
+GROUP BY 1, 2""")

@@ -9,11 +9,13 @@ session has none (local tests).
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Used only when the session does not name a checkpoint folder (local runs).
+# Used only in local mode, where every task sees the same disk, and only when
+# the session names no checkpoint folder.
 LOCAL_CHECKPOINT_DEFAULT = "/tmp/lakeforge-checkpoints"
 
 
@@ -40,6 +42,9 @@ def build_session(
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.files.maxPartitionBytes": "128m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Streaming state on disk, not on the heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -54,9 +59,16 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir`` (set if unset)."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Without one, a local session gets a default; a cluster, where a local
+    folder would be another one on each machine, is refused.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
         root = LOCAL_CHECKPOINT_DEFAULT
         spark.conf.set("spark.checkpoint.dir", root)
     return root

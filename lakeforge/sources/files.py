@@ -68,9 +68,9 @@ class CsvDialect:
         return df.withColumns({c: F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)) for c in cols})
 
 
-def infer_json_schema(spark: SparkSession, sample_path: str) -> StructType:
+def infer_json_schema(spark: SparkSession, sample_path: str, multiline: bool = True) -> StructType:
     """Infer the schema once from a sample file; store it as a constant."""
-    return spark.read.option("multiLine", "true").json(sample_path).schema
+    return spark.read.option("multiLine", str(multiline).lower()).json(sample_path).schema
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType, multiline: bool = True) -> DataFrame:

@@ -93,8 +93,9 @@ def stream_dedup(df: DataFrame, subset: Sequence[str] | None = None, watermark:
     if watermark is None:
         return df.dropDuplicates(cols) if cols else df.dropDuplicates()
     ts, delay = watermark
-    w = df.withWatermark(ts, delay)
-    return w.dropDuplicatesWithinWatermark(cols) if cols else w.dropDuplicatesWithinWatermark()
+    # A watermark wants an instant; zone-free times are read in the session's zone.
+    w = df.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", delay)
+    return w.dropDuplicatesWithinWatermark(cols or df.columns).drop("_event_time")
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:

@@ -1,3 +1,5 @@
+"""Fixtures shared by the tests of this folder."""
+
 import pytest
 
 

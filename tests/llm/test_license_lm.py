@@ -9,6 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from odd_cases import odd_rows, odd_texts  # noqa: F401
+
 from lakeforge.llm import license_scan, maxent_lm
 from lakeforge.llm.common import documents
 
@@ -106,8 +108,8 @@ def test_probabilities_of_a_history_add_up_to_one():
 def test_histories_do_not_cross_texts():
     v = maxent_lm.Vocabulary([b"a", b"b", b""], np.array([3, 2, 1]), 6, 3)
     v.set_clusters(np.zeros(3), np.ones((1, maxent_lm.CLUSTERS)))
-    ids, classes, ends = v.code(["A b new", "", "b a"])
-    assert ids.tolist() == [0, 1, 3, 2, 2, 1, 0, 2] and ends.tolist() == [4, 5, 8]
+    ids, classes, ends, others = v.code(["A b new", "", "b a"])
+    assert ids.tolist() == [0, 1, 3, 2, 2, 1, 0, 2] and ends.tolist() == [4, 5, 8] and others == [b"new"]
     together = maxent_lm.histories(ids, classes, ends, 3)
     apart = [maxent_lm.histories(ids[b:e], classes[b:e], np.array([e - b]), 3) for b, e in ((0, 4), (4, 5), (5, 8))]
     assert (together == np.concatenate(apart, axis=1)).all()
@@ -121,7 +123,7 @@ def test_gradient_sums_match_plain_sums(spark):
     shared = spark.sparkContext.broadcast(v)
     weights = np.random.default_rng(1).normal(size=(maxent_lm.ROWS + 1, maxent_lm.CLASSES)).astype(np.float32)
     seen, model = np.zeros((2, maxent_lm.ROWS, maxent_lm.CLASSES))
-    ids, classes, ends = v.code(texts)
+    ids, classes, ends, _ = v.code(texts)
     rows = maxent_lm.histories(ids, classes, ends, 4)
     p = maxent_lm.class_probabilities(weights, rows)
     for kind in rows:

@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from odd_cases import odd_rows, odd_texts  # noqa: F401
+
 from lakeforge.llm import components, ngram_join
 from lakeforge.llm.common import documents
 
@@ -109,3 +111,25 @@ def test_keeps_one_of_each_component(spark):
     docs = documents(spark, SF)
     want = {c for _, _, c in brute([(r["doc_id"], r["text"]) for r in docs.collect()])}
     assert sorted(r["doc_id"] for r in ngram_join.drop_near_copies(docs).collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("limit", [2, 3, 16])
+def test_candidates_over_batch_borders(spark, limit):
+    """Buckets of all sizes, cut by small Arrow batches: pairs of small ones, rows of large ones."""
+    rng = np.random.default_rng(limit)
+    rows = [(int(t), 0, int(r), 40, 0) for t in range(60) for r in rng.choice(500, int(rng.integers(1, 25)), replace=False)]
+    rows += [(100 + t, 1 + r % 3, r, 40, 0) for t in range(3) for r in range(10)]
+    df = spark.createDataFrame(rows, "token long, part int, rk long, n int, place int")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = ngram_join.candidates(df, limit).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    by_token = {}
+    for t, part, r, _, _ in rows:
+        by_token.setdefault((t, part > 0), []).append(r)
+    pairs = {(min(a, b), max(a, b)) for (_, hot), g in by_token.items() if not hot and len(g) <= limit for a in g for b in g if a != b}
+    assert {(r["rk"], r["other"]) for r in out if r["other"] is not None} == pairs
+    want = Counter((t, r) for (t, hot), g in by_token.items() if hot or len(g) > limit for r in g)
+    assert Counter((r["token"], r["rk"]) for r in out if r["other"] is None) == want

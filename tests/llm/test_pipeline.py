@@ -6,6 +6,8 @@ from test_substring_dedup import covered
 from test_text_scores import lowered
 from test_tokens import check_packing
 
+from odd_cases import odd_rows, odd_texts  # noqa: F401
+
 from lakeforge.llm import toxicity
 from lakeforge.llm.common import documents
 from lakeforge.session import read_table

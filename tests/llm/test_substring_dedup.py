@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from odd_cases import odd_rows, odd_texts  # noqa: F401
+
 from lakeforge.llm import substring_dedup as sd
 from lakeforge.llm.common import documents
 

@@ -6,8 +6,8 @@ word (n-gram), the one before it (skip), and the classes of the previous
 three words. Within its class a word is predicted by its bias alone, the
 logarithm of its count.
 
-Words get classes by how often they are used (three bands of the most
-frequent words, and the rest) and by a cluster, which keeps words of one
+Words get classes by how often they are used (the most frequent ones, the
+frequent ones, and the rest) and by a cluster, which keeps words of one
 language or kind together: the most frequent words are clustered by the
 very frequent words that come before them, all others follow the byte
 trigrams of those. A class of rest words keeps room for one unseen word,
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,18 @@ from lakeforge.llm.common import documents, keyed_texts, materialize, text_slice
 
 #: Most words that every task gets with their counts.
 HEAD = 1 << 18
-CLUSTERS, BANDS = 7, (64, 1024)
-#: Classes: three bands of head words and the rest, per cluster; one for the end.
-CLASSES = 32
-END_CLASS = CLASSES - 1
+CLUSTERS, BANDS = 5, (64,)
+REST = (len(BANDS) + 1) * CLUSTERS
+#: Classes: two bands of head words and the rest, per cluster; one for the end.
+END_CLASS = REST + CLUSTERS
+CLASSES = END_CLASS + 1
 SEEDS, SIGNED = 64, 4096
 #: Hashed rows per kind of feature; ids of all kinds fit in 16 bits.
 KINDS = (1 << 15, 1 << 14, 1 << 14)
 ROWS = sum(KINDS)
-BLOCK = 1 << 10
+BLOCK = 1 << 11
+#: Tokens worked on at a time: their scores fit in a processor's cache.
+CHUNK = 1 << 14
 #: Step of each update, and the count that damps rare features.
 STEPS, DAMPING = (2.0, 1.0), 4.0
 #: Every document whose crc32(id) leaves this remainder is held out.
@@ -60,27 +64,6 @@ def trigram_sums(words: list[bytes], table: np.ndarray) -> np.ndarray:
     return np.add.reduceat(table[np.append(key, (0, 0)) % len(table)], begin, axis=0)
 
 
-class Index(dict):
-    """Numbers of words; new ones are numbered on, and forgotten by ``trim``."""
-
-    def __init__(self, head: list[bytes]):
-        super().__init__(zip(head, range(len(head))))
-        self.head, self.words = len(head), []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = self.head + len(self.words)
-        self.words.append(word)
-        return n
-
-    def trim(self, limit: int = 400_000) -> bool:
-        if len(self.words) <= limit:
-            return False
-        for word in self.words:
-            del self[word]
-        self.words = []
-        return True
-
-
 class Vocabulary:
     """What tasks know of words: numbers, counts and classes. The end is the empty word."""
 
@@ -89,7 +72,7 @@ class Vocabulary:
         self.cluster = np.zeros(len(words), np.int8)
         self.trigrams = np.zeros((1, CLUSTERS), np.float32)
         self.rest = np.zeros((CLUSTERS, 2), np.int64)  # tokens and types of the other words
-        self.index: Index | None = None
+        self.index: dict[bytes, int] | None = None
 
     def __getstate__(self):
         return {**self.__dict__, "index": None}
@@ -106,26 +89,31 @@ class Vocabulary:
         out[[i for i, w in enumerate(self.words) if not w]] = END_CLASS
         return out.astype(np.int8)
 
-    def code(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers of all texts in a row, each with its end, their classes, and where each text ends."""
-        if self.index is None:
-            self.index, self.classes = Index(self.words), self.head_classes()
-            self.end = self.index[b""]
-        if self.index.trim():
-            self.classes = self.classes[: len(self.words)]
-            self.end = self.index[b""]
-        look, ids = self.index.__getitem__, []
+    def code(self, texts: list[str], head: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """All tokens in a row, each text's end included: word numbers (of a word
+        outside the head: the head's size), classes, where each text ends, and the
+        words outside the head. With ``head``, numbers from there on are of no interest
+        and neither are classes."""
+        size = len(self.words) if head is None else min(head, len(self.words))
+        if self.index is None or len(self.index) != size:
+            self.index = dict(zip(self.words[:size], range(size)))
+            # after the head: other words, and an end that no training text has
+            self.classes = np.append(self.head_classes()[:size], np.array([0, END_CLASS], np.int8))
+            self.end = self.index.get(b"", size + 1)
+        look, ids, others = self.index.get, [], []
+        end = np.array([self.end], np.int32)
         for text in texts:
             tokens = text.encode().lower().split()
-            ids.append(np.fromiter(map(look, tokens), np.int32, len(tokens)))
-            ids.append(np.array([self.end], np.int32))
-        new = self.index.words[len(self.classes) - len(self.words) :]
-        if new:
-            classes = 3 * CLUSTERS + self.cluster_of(new)
-            classes[[i for i, w in enumerate(new) if not w]] = END_CLASS
-            self.classes = np.concatenate((self.classes, classes.astype(np.int8)))
+            code = np.fromiter(map(look, tokens, repeat(size)), np.int32, len(tokens))
+            if head is None:
+                others += [tokens[i] for i in np.flatnonzero(code == size).tolist()]
+            ids += [code, end]
         flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        return flat, self.classes[flat], np.cumsum([len(a) + 1 for a in ids[::2]], dtype=np.int64)
+        ends = np.cumsum([len(a) + 1 for a in ids[::2]], dtype=np.int64)
+        classes = self.classes[flat]
+        if others:
+            classes[flat == size] = REST + self.cluster_of(others)
+        return flat, classes, ends, others
 
 
 def histories(ids: np.ndarray, classes: np.ndarray, ends: np.ndarray, head: int) -> np.ndarray:
@@ -227,7 +215,7 @@ def signatures(train: DataFrame, shared: Broadcast) -> np.ndarray:
         vocabulary, total = shared.value, np.zeros(SIGNED * SEEDS)
         signed, seeds = (min(n, len(vocabulary.words)) for n in (SIGNED, SEEDS))
         for batch in text_slices(batches, "text"):
-            ids, _, ends = vocabulary.code(batch.column("text").to_pylist())
+            ids, _, ends, _ = vocabulary.code(batch.column("text").to_pylist(), SIGNED)
             place = np.arange(len(ids))
             seed = np.where((ids < seeds) & (ids != vocabulary.end), place, -1)
             last = np.concatenate(([-1], np.maximum.accumulate(seed)[:-1])) if len(ids) else seed
@@ -278,7 +266,7 @@ def observed(train: DataFrame, shared: Broadcast) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, total = shared.value, np.zeros(ROWS * CLASSES)
         for batch in text_slices(batches, "text"):
-            ids, classes, ends = vocabulary.code(batch.column("text").to_pylist())
+            ids, classes, ends, _ = vocabulary.code(batch.column("text").to_pylist())
             for rows in histories(ids, classes, ends, len(vocabulary.words)):
                 total += np.bincount(rows.astype(np.int64) * CLASSES + classes, minlength=ROWS * CLASSES)
         yield from blocks_of(total, task_salt())
@@ -291,16 +279,17 @@ def expected(train: DataFrame, shared: Broadcast, weights: Broadcast) -> np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, total, w = shared.value, np.zeros((ROWS, CLASSES)), weights.value
-        for batch in text_slices(batches, "text", 1 << 20):
-            ids, classes, ends = vocabulary.code(batch.column("text").to_pylist())
+        for batch in text_slices(batches, "text"):
+            ids, classes, ends, _ = vocabulary.code(batch.column("text").to_pylist())
             every = histories(ids, classes, ends, len(vocabulary.words))
-            p = class_probabilities(w, every)
-            for rows in every:
-                order = np.argsort(rows, kind="stable")
-                sorted_rows = rows[order]
-                first = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1]))) if len(order) else order
-                if len(first):
-                    total[sorted_rows[first]] += np.add.reduceat(p[order], first, axis=0)
+            for begin in range(0, len(ids), CHUNK):
+                part = every[:, begin : begin + CHUNK]
+                p = class_probabilities(w, part)
+                for rows in part:
+                    order = np.argsort(rows, kind="stable")
+                    in_order = rows[order]
+                    first = np.flatnonzero(np.concatenate(([True], in_order[1:] != in_order[:-1])))
+                    total[in_order[first]] += np.add.reduceat(p[order], first, axis=0)
         yield from blocks_of(total.ravel(), task_salt())
 
     return add_up(train.select("text").mapInArrow(run, SUMS), ROWS // BLOCK).reshape(ROWS, CLASSES)
@@ -409,23 +398,26 @@ def score_known(rows: DataFrame, shared: Broadcast, weights: Broadcast) -> DataF
         base = np.log10(vocabulary.counts + 1.0)
         # Of a rest word only the denominator is known here; in the class of the end there is no other word.
         room = np.zeros(CLASSES)
-        room[3 * CLUSTERS : 4 * CLUSTERS] = -np.log10(vocabulary.rest.sum(1) + 1.0)
+        room[REST : REST + CLUSTERS] = -np.log10(vocabulary.rest.sum(1) + 1.0)
         whole = np.log10(vocabulary.tokens + 1.0 * (vocabulary.types + 1))
-        for batch in text_slices(batches, "text", 1 << 20):
-            ids, kinds, ends = vocabulary.code(batch.column("text").to_pylist())
+        for batch in text_slices(batches, "text"):
+            ids, kinds, ends, rare = vocabulary.code(batch.column("text").to_pylist())
             every = histories(ids, kinds, ends, head)
-            p = class_probabilities(w, every)[np.arange(len(ids)), kinds] if trained else np.ones(len(ids))
+            p = np.ones(len(ids), np.float32)
+            for at in range(0, len(ids) if trained else 0, CHUNK):
+                part = class_probabilities(w, every[:, at : at + CHUNK])
+                p[at : at + CHUNK] = part[np.arange(len(part)), kinds[at : at + CHUNK]]
             known = ids < head
             safe = np.where(known, ids, 0)
             own = np.where(known, inside[safe], room[kinds]) if head else room[kinds] * trained
             score = np.log10(p.astype(np.float64)) + own
             plain = (np.where(known, base[safe], 0.0) if head else np.zeros(len(ids))) - whole
             begin = np.concatenate(([0], ends[:-1]))
-            others, times = [], []
-            for b, e in zip(begin.tolist(), ends.tolist()):
-                rare, n = np.unique(ids[b:e][~known[b:e]], return_counts=True)
-                others.append([vocabulary.index.words[i - head] for i in rare.tolist()])
-                times.append(n)
+            others, times, at = [], [], 0
+            for n in np.add.reduceat(ids == head, begin, dtype=np.int64).tolist():
+                found = Counter(rare[at : at + n])
+                others.append(list(found.keys())), times.append(list(found.values()))
+                at += n
             sums = [np.add.reduceat(v, begin) for v in (known.astype(np.int64), plain, score if trained else plain)]
             columns = [batch.column("rk"), pa.array(ends - begin), *map(pa.array, sums), pa.array(others, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))]
             yield pa.record_batch(columns, ["rk", "n_tokens", "n_known", "base", "score", "others", "times"])

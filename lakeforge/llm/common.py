@@ -34,6 +34,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` as a table in the shared folder, bucketed by ``key``: joins on it, again and
+    again, shuffle the other side only."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"{name}_{path[-12:]}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(parts, key)
+    dealt.write.bucketBy(parts, key).sortBy(key).option("path", path).saveAsTable(table)
+    spark.sparkContext._jvm.System.gc()
+    return spark.table(table)
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

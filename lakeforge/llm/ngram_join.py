@@ -8,14 +8,17 @@ the same result; this one keeps frequent shingles out of the prefixes).
 Two sets of enough likeness share a shingle among their first
 ``n - ceil(3n/4) + 1``.
 
-Documents that share a prefix shingle form a bucket. Buckets are worked
-off in rounds: a few members of each are its pivots and are paired with
-all members of *other components* that pass the length and positional
-filters; each new pair is verified once, links merge components, pivots
+Documents that share a prefix shingle form a bucket. Of a bucket of up to
+``SMALL`` rows all pairs that pass the length and positional filters are
+candidates. Larger ones are worked off in rounds: some members of each, of
+any component but the bucket's largest, are its pivots and are paired with
+all members of *other components* that pass the length, positional and
+suffix filters; each new pair is verified once, links merge components, pivots
 leave. A bucket whose members are all of one component is closed. Pivots
-double every round, so rounds grow with the logarithm of the largest
-bucket, while a bucket of near copies closes after one or two: no link
-between components is missed and no group is expanded into all its pairs.
+grow by a factor every round, so rounds grow with the logarithm of the
+largest bucket, while a bucket of near copies closes after one or two: no
+link between components is missed and no group is expanded into all its
+pairs.
 """
 
 from __future__ import annotations
@@ -29,14 +32,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import documents, keyed_texts, materialize, text_slices, with_key
+from lakeforge.llm.common import bucketed, documents, keyed_texts, materialize, text_slices, with_key
 from lakeforge.llm.components import connected
 
 WIDTH = 5
 #: Entries of the list of frequent shingles that every task gets.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 20
 #: Parts that a frequent shingle's bucket is dealt to.
 SPLIT = 64
+#: Rows of the largest bucket whose pairs are listed at once.
+SMALL = 16
+#: How many times more pivots a bucket gets in each round.
+GROWTH = 64
+#: Least and most ranges of hashes whose counts bound an overlap; a set has one for about four of its shingles.
+RANGES = (64, 4096)
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -81,8 +90,33 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def range_counts(tokens: np.ndarray) -> np.ndarray:
+    """How many of the sorted hashes lie in each of a power of two of equal ranges, up to 255."""
+    bits = int(np.clip(len(tokens) // 4, *RANGES)).bit_length() - 1
+    where = (tokens >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(where, minlength=1 << bits), 255).astype(np.uint8)
+
+
+def common_bound(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """The most shingles that each pair of sets can share, by their range counts: those in
+    different ranges cannot meet, so the smaller count of each range bounds the overlap.
+    Unbounded where a count is full. Of unlike numbers of ranges the larger is folded."""
+    sizes = np.array([[len(x), len(y)] for x, y in zip(left, right)]).reshape(-1, 2)
+    out = np.zeros(len(sizes), np.int64)
+    for m, n in np.unique(sizes, axis=0).tolist():
+        here = np.flatnonzero((sizes == (m, n)).all(1))
+        sides = []
+        for values, size in ((left, m), (right, n)):
+            counts = np.frombuffer(b"".join(values[i] for i in here.tolist()), np.uint8).reshape(len(here), size)
+            full = (counts == 255).any(1)
+            sides.append((counts.reshape(len(here), min(m, n), -1).sum(2, dtype=np.int32), full))
+        (x, full_x), (y, full_y) = sides
+        out[here] = np.where(full_x | full_y, 1 << 40, np.minimum(x, y).sum(1))
+    return out
+
+
 def shingle_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``rk, doc_id, n, digest, run`` per row; and rows without ``digest`` that list, for
+    """``rk, doc_id, n, digest, ranges, run`` per row; and rows without ``digest`` that list, for
     their task, the shingles that several of its documents have, with counts."""
     id_type = dict(rows.dtypes)["doc_id"]
 
@@ -90,17 +124,17 @@ def shingle_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
         words, task, held, size = WordHashes(), TaskContext.get().partitionId(), [], 0
         kinds: list = []
 
-        def table(rk, doc_id, n, digest, often, counts) -> pa.RecordBatch:
-            values = (rk, doc_id, n, digest, [task] * len(rk), often, counts)
-            types = (pa.int64(), kinds[0], pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            return pa.record_batch([pa.array(v, t) for v, t in zip(values, types)], ["rk", "doc_id", "n", "digest", "run", "often", "counts"])
+        def table(rk, doc_id, n, digest, ranges, often, counts) -> pa.RecordBatch:
+            values = (rk, doc_id, n, digest, ranges, [task] * len(rk), often, counts)
+            types = (pa.int64(), kinds[0], pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            return pa.record_batch([pa.array(v, t) for v, t in zip(values, types)], ["rk", "doc_id", "n", "digest", "ranges", "run", "often", "counts"])
 
         def frequent() -> pa.RecordBatch:
             nonlocal held, size
             value, count = np.unique(np.concatenate(held), return_counts=True)
             often = count > 2
             held, size = [], 0
-            return table([None], [None], [None], [None], [_signed(value[often])], [count[often]])
+            return table(*[[None]] * 5, [_signed(value[often])], [count[often]])
 
         for batch in text_slices(batches, "text"):
             kinds[:] = [batch.schema.field("doc_id").type]
@@ -108,7 +142,7 @@ def shingle_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
             sets = [shingles(t, words, width) for t in batch.column("text").to_pylist()]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             blank = [None] * len(sets)
-            yield table(batch.column("rk").to_pylist(), batch.column("doc_id").to_pylist(), [len(s) for s in sets], digests, blank, blank)
+            yield table(batch.column("rk").to_pylist(), batch.column("doc_id").to_pylist(), [len(s) for s in sets], digests, [range_counts(s).tobytes() for s in sets], blank, blank)
             held += sets
             size += sum(map(len, sets))
             if size > 4 << 20:
@@ -116,7 +150,7 @@ def shingle_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
         if size:
             yield frequent()
 
-    schema = f"rk long, doc_id {id_type}, n long, digest binary, run int, often array<long>, counts array<long>"
+    schema = f"rk long, doc_id {id_type}, n long, digest binary, ranges binary, run int, often array<long>, counts array<long>"
     return rows.mapInArrow(run, schema)
 
 
@@ -134,7 +168,9 @@ def prefix_rows(rows: DataFrame, often: np.ndarray, rank: np.ndarray, width: int
                 if len(often) and n:
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
                     weight = np.where(often[at] == s, rank[at], 0)
-                    order = np.lexsort((s, weight))
+                    listed = np.flatnonzero(weight)
+                    listed = listed[np.argsort(weight[listed], kind="stable")]
+                    order = np.concatenate((np.flatnonzero(weight == 0), listed))
                     s, weight = s[order], weight[order]
                 else:
                     weight = np.zeros(n, np.int64)
@@ -149,32 +185,78 @@ def prefix_rows(rows: DataFrame, often: np.ndarray, rank: np.ndarray, width: int
     return rows.select("rk", "text").mapInArrow(run, "token long, part int, rk long, n int, place int")
 
 
-def shared_only(prefixes: DataFrame) -> DataFrame:
-    """The rows whose shingle another document's prefix has too; frequent ones stay in any case."""
+def candidates(prefixes: DataFrame, limit: int = SMALL) -> DataFrame:
+    """``(token, rk, n, place, other)``: what the buckets of the prefixes hold.
+
+    A bucket of one row is dropped. One of up to ``limit`` gives its pairs
+    that pass the filters, as ``rk < other``, each pair once per task. The
+    rows of larger ones, and of frequent shingles, come out as members
+    (``other`` is null). No more than ``limit`` rows and a bounded number of
+    pairs are held at a time.
+    """
     dealt = prefixes.repartition("token", "part").sortWithinPartitions("token", "part")
+    names, kinds = ["token", "rk", "n", "place", "other"], (np.int64, np.int64, np.int32, np.int32, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, not yet decided
-        same = False  # whether the row before it has its shingle
-
-        def keep(token: np.ndarray, part: np.ndarray, before: bool) -> np.ndarray:
-            equal = token[1:] == token[:-1]
-            return (np.append(before, equal[: len(token) - 1]) | np.append(equal, False) | (part > 0)).astype(bool)
+        held = [np.zeros(0, k) for k in (np.int64, np.int32, np.int64, np.int32, np.int32)]  # the last bucket, not yet whole
+        large = None  # the token of a bucket that is known to be large and still goes on
+        pairs: list[np.ndarray] = []
+
+        def members(token, rk, n, place) -> pa.RecordBatch:
+            values = [pa.array(v.astype(k)) for v, k in zip((token, rk, n, place), kinds)]
+            return pa.record_batch([*values, pa.nulls(len(token), pa.int64())], names)
+
+        def paired() -> pa.RecordBatch:
+            both = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+            pairs.clear()
+            blank = pa.nulls(len(both), pa.int64()), pa.nulls(len(both), pa.int32())
+            return pa.record_batch([blank[0], pa.array(both[:, 0]), blank[1], blank[1], pa.array(both[:, 1])], names)
+
+        def whole(token, part, rk, n, place) -> Iterator[pa.RecordBatch]:
+            """Rows of complete buckets."""
+            first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.zeros(0, np.int64)
+            size = np.repeat(np.diff(np.append(first, len(token))), np.diff(np.append(first, len(token))))
+            small = (part == 0) & (size <= limit)
+            for d in range(1, limit):
+                i = np.flatnonzero(small[:-d] & (token[:-d] == token[d:])) if len(token) > d else np.zeros(0, np.int64)
+                if not len(i):
+                    break
+                i = i[passes(n[i], place[i], n[i + d], place[i + d], np.minimum, np.maximum)]
+                pairs.append(np.unique(np.sort(np.stack([rk[i], rk[i + d]], 1), axis=1), axis=0))
+            if sum(map(len, pairs)) > 1 << 20:
+                yield paired()
+            rest = ~small
+            yield members(token[rest], rk[rest], n[rest], place[rest])
 
         for batch in batches:
-            if not len(batch):
+            columns = [batch.column(c).to_numpy() for c in ("token", "part", "rk", "n", "place")]
+            if large is not None and len(batch):
+                more = int(np.searchsorted(columns[0], large, "right"))
+                token, _, rk, n, place = (c[:more] for c in columns)
+                yield members(token, rk, n, place)
+                columns = [c[more:] for c in columns]
+                large = large if not len(columns[0]) else None
+            if not len(columns[0]):
                 continue
-            joined = pa.concat_batches([held, batch]) if held is not None else batch
-            token, part = joined.column("token").to_numpy(), joined.column("part").to_numpy()
-            mask = keep(token, part, same)
-            # the last row waits for its successor
-            same = bool(token[-1] == token[-2]) if len(token) > 1 else same
-            held = joined.slice(len(joined) - 1)
-            yield joined.slice(0, len(joined) - 1).filter(pa.array(mask[:-1]))
-        if held is not None:
-            yield held.filter(pa.array(np.array([same or held.column("part")[0].as_py() > 0])))
+            columns = [np.concatenate(v) for v in zip(held, columns)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            yield from whole(*(c[:cut] for c in columns))
+            held = [c[cut:] for c in columns]
+            if len(held[0]) > limit or held[1][0] > 0:
+                large = held[0][0]
+                token, _, rk, n, place = held
+                yield members(token, rk, n, place)
+                held = [c[:0] for c in held]
+        yield from whole(*held)
+        yield paired()
+
+    return dealt.mapInArrow(run, "token long, rk long, n int, place int, other long")
 
-    return dealt.mapInArrow(run, "token long, part int, rk long, n int, place int").drop("part")
+
+def passes(n, place, m, at, least=F.least, greatest=F.greatest):
+    """Length filter, and positional filter: were this their first common shingle, as many
+    could follow as the shorter rest holds. Of columns, or with numpy's functions of arrays."""
+    return (4 * least(n, m) >= 3 * greatest(n, m)) & (7 * least(n - place, m - at) >= 3 * (n + m))
 
 
 def token_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -190,16 +272,23 @@ def token_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     return rows.select("rk", "text").mapInArrow(run, "rk long, tokens binary")
 
 
+def screened(pairs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The ``(a, b)`` pairs that the suffix filter lets through; ``ranges`` has ``rk, n, ranges``."""
+    for c, n, side in (("a", "n", "left"), ("b", "m", "right")):
+        pairs = pairs.join(ranges.select(F.col("rk").alias(c), F.col("n").alias(n), F.col("ranges").alias(side)), c)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            need = 3 * (batch.column("n").to_numpy() + batch.column("m").to_numpy())
+            good = 7 * common_bound(batch.column("left").to_pylist(), batch.column("right").to_pylist()) >= need
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.select("a", "b", "n", "m", "left", "right").mapInArrow(run, "a long, b long")
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """100 * intersection >= 75 * union, after a suffix filter: shingles in different
-    ranges of hashes cannot meet, so the smaller count of each range bounds the overlap."""
-    need = 3 * (len(a) + len(b))
-    cuts = (np.arange(1, 8, dtype=np.uint64)) << np.uint64(61)
-    in_a = np.diff(np.concatenate(([0], np.searchsorted(a, cuts), [len(a)])))
-    in_b = np.diff(np.concatenate(([0], np.searchsorted(b, cuts), [len(b)])))
-    if 7 * int(np.minimum(in_a, in_b).sum()) < need:
-        return False
-    return 7 * len(np.intersect1d(a, b, assume_unique=True)) >= need
+    """100 * intersection >= 75 * union, of sorted hashes without repeats."""
+    return 7 * len(np.intersect1d(a, b, assume_unique=True)) >= 3 * (len(a) + len(b))
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -216,45 +305,49 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def link_classes(members: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """``(node, root)`` of the linked classes, from the buckets ``(token, rk, n, place)``."""
-    roots = tested = None
+def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """``(node, root)`` of the components after more ``(a, b)`` links."""
+    if links.isEmpty():
+        return roots
+    if roots is None:
+        return connected(links)
+    for c in ("a", "b"):  # links between components
+        side = roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        links = links.join(side, c, "left").withColumn(c, F.coalesce(f"{c}_root", c)).drop(f"{c}_root")
+    found = connected(links)
+    moved = found.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    old = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    new = found.join(roots.select("node"), "node", "left_anti")
+    return materialize(old.unionByName(new), "components")
+
+
+def link_classes(members: DataFrame, tested: DataFrame, sets: DataFrame, ranges: DataFrame) -> DataFrame | None:
+    """``(node, root)`` of the linked classes, from the members of large buckets and the
+    screened pairs of small ones; None if no two link."""
+    roots = merged(None, materialize(verify(tested, sets), "links"))
     pivots_per_bucket = 1
     while True:
-        labelled = members.withColumn("root", F.col("rk"))
-        if roots is not None:
+        if roots is None:
+            labelled = members.withColumn("root", F.col("rk"))
+        else:
             labelled = members.join(roots.select(F.col("node").alias("rk"), "root"), "rk", "left").withColumn("root", F.coalesce("root", "rk"))
-        opened = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-        labelled = materialize(labelled.join(opened, "token", "left_semi"), "members")
+        parts = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("size"))
+        opened = parts.groupBy("token").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("parts"))
+        opened = opened.where("parts > 1").select("token", F.col("top.root").alias("main"))
+        labelled = materialize(labelled.join(opened, "token"), "members")
         if labelled.isEmpty():
             return roots
         slot = F.pmod(F.xxhash64("rk"), F.lit(pivots_per_bucket))
-        pivots = labelled.groupBy("token", slot.alias("slot")).agg(F.min(F.struct("rk", "n", "place", "root")).alias("p"))
+        pivots = labelled.where("root <> main").groupBy("token", slot.alias("slot")).agg(F.min(F.struct("rk", "n", "place", "root")).alias("p"))
         pivots = materialize(pivots.select("token", "p.*").toDF("token", "p_rk", "p_n", "p_place", "p_root"), "pivots")
-        # Length filter; and were this their first common shingle, as many could follow.
-        overlap = 1 + F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place")) - 1
-        good = (F.col("root") != F.col("p_root")) & (4 * F.least("n", "p_n") >= 3 * F.greatest("n", "p_n")) & (7 * overlap >= 3 * (F.col("n") + F.col("p_n")))
-        pairs = labelled.join(pivots, "token").where(good).select(F.least("rk", "p_rk").alias("a"), F.greatest("rk", "p_rk").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = materialize(verify(pairs, sets), "links")
-        if not links.isEmpty():
-            if roots is not None:  # links between components
-                side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-                links = links.join(side("a"), "a", "left").join(side("b"), "b", "left")
-                links = links.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
-            found = connected(links)
-            if roots is None:
-                roots = found
-            else:
-                moved = found.select(F.col("node").alias("root"), F.col("root").alias("to"))
-                old = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-                new = found.join(roots.select("node"), "node", "left_anti")
-                roots = materialize(old.unionByName(new), "components")
-        members = labelled.join(pivots.select("token", F.col("p_rk").alias("rk")), ["token", "rk"], "left_anti").drop("root")
-        pivots_per_bucket *= 2
+        good = (F.col("root") != F.col("p_root")) & passes(F.col("n"), F.col("place"), F.col("p_n"), F.col("p_place"))
+        ends = F.least("rk", "p_rk").alias("a"), F.greatest("rk", "p_rk").alias("b")
+        pairs = labelled.join(pivots, "token").where(good).select(*ends).distinct()
+        pairs = materialize(screened(pairs.join(tested, ["a", "b"], "left_anti"), ranges), "pairs")
+        tested = tested.unionByName(pairs)
+        roots = merged(roots, materialize(verify(pairs, sets), "links"))
+        members = labelled.join(pivots.select("token", F.col("p_rk").alias("rk")), ["token", "rk"], "left_anti").drop("root", "main")
+        pivots_per_bucket *= GROWTH
 
 
 def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -269,7 +362,7 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = keyed_texts(df, id_col, text_col)
     found = materialize(shingle_sets(rows, width), "shingle_sets")
-    docs = found.where("digest IS NOT NULL").select("rk", "doc_id", "n", "digest", "run")
+    docs = found.where("digest IS NOT NULL").select("rk", "doc_id", "n", "digest", "ranges", "run")
     # Classes of equal sets, per task first: neither the sums nor the way back meet a large class in one task.
     filled = docs.where("n > 0")
     best = [F.min("rk").alias("rep"), F.min("doc_id").alias("low")]
@@ -282,10 +375,17 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order = np.argsort(often)
     often, rank = often[order], listed.column("count").to_numpy()[order]
 
-    reps = rows.join(classes.select(F.col("rep").alias("rk")), "rk", "left_semi")
-    members = materialize(shared_only(prefix_rows(reps, often, rank, width)), "buckets")
-    sets = materialize(token_sets(rows.join(members.select("rk").distinct(), "rk", "left_semi"), width), "token_sets")
-    roots = link_classes(members, sets)
+    # Texts are shuffled to their few keys whatever their size: "merge" keeps the plan of a small table that of a large one.
+    one = classes.select(F.col("rep").alias("rk"))
+    reps = rows.join(one.hint("merge"), "rk", "left_semi")
+    ranges = bucketed(docs.join(one.hint("merge"), "rk", "left_semi").select("rk", "n", "ranges"), "range_counts", "rk")
+    buckets = materialize(candidates(prefix_rows(reps, often, rank, width)), "buckets")
+    listed = buckets.where("other IS NOT NULL").select(F.col("rk").alias("a"), F.col("other").alias("b")).distinct()
+    tested = materialize(screened(listed, ranges), "pairs")
+    members = buckets.where("other IS NULL").drop("other")
+    ends = tested.select(F.explode(F.array("a", "b")).alias("rk")).unionByName(members.select("rk")).distinct()
+    sets = bucketed(token_sets(rows.join(ends.hint("merge"), "rk", "left_semi"), width), "token_sets", "rk")
+    roots = link_classes(members, tested, sets, ranges)
     if roots is not None:
         placed = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))

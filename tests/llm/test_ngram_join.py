@@ -133,3 +133,16 @@ def test_candidates_over_batch_borders(spark, limit):
     assert {(r["rk"], r["other"]) for r in out if r["other"] is not None} == pairs
     want = Counter((t, r) for (t, hot), g in by_token.items() if hot or len(g) > limit for r in g)
     assert Counter((r["token"], r["rk"]) for r in out if r["other"] is None) == want
+
+
+def test_range_counts_bound_every_overlap():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 63, int(n), dtype=np.uint64) * np.uint64(2)) for n in (1, 40, 300, 330, 5000, 6000)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 3 // 4], sets[0]])) for s in sets]
+    a, b = [x for x in sets for _ in sets], sets * len(sets)
+    bound = ngram_join.common_bound([ngram_join.range_counts(x).tobytes() for x in a], [ngram_join.range_counts(x).tobytes() for x in b])
+    for most, x, y in zip(bound.tolist(), a, b):
+        assert most >= len(np.intersect1d(x, y))
+    assert 7 * bound[2 * len(sets) + 3] < 3 * (300 + 330)  # unrelated sets are told apart
+    crowded = np.arange(1000, dtype=np.uint64)
+    assert ngram_join.common_bound([ngram_join.range_counts(crowded).tobytes()], [ngram_join.range_counts(crowded).tobytes()])[0] >= 1000

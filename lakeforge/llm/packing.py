@@ -73,9 +73,10 @@ class PieceEncoder:
     """Token ids of texts, remembering the ids of each white-space-free chunk.
 
     The tokenizer's rules drop white space and never look across it, so a
-    text's ids are its chunks' ids in order. The memory is bounded: it is
-    emptied between slices once it holds ``limit`` chunks, and texts with
-    chunks of more than ``long_chunk`` characters are encoded whole.
+    text's ids are its chunks' ids in order. The memory is bounded: once it
+    holds ``limit`` chunks, those that came only once are forgotten (or all,
+    if that frees too little), and texts with chunks of more than
+    ``long_chunk`` characters are encoded whole.
     """
 
     #: Python's split() takes these as white space, the tokenizer does not.
@@ -93,6 +94,20 @@ class PieceEncoder:
     def _reset(self) -> None:
         self.index, self.words = _Index(), WordIds(self.tokenizer)
         self.flat, self.begin, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.used = np.zeros(0, np.int64)
+
+    def _trim(self) -> None:
+        keep = np.flatnonzero(self.used > 1)
+        if 2 * len(keep) > self.limit:
+            self._reset()
+            return
+        chunks = list(self.index)
+        self.index = _Index(zip((chunks[i] for i in keep.tolist()), range(len(keep))))
+        count = self.count[keep]
+        ends = np.cumsum(count, dtype=np.int32)
+        self.flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[keep] - ends + count, count)]
+        self.begin, self.count, self.used = ends - count, count, self.used[keep] // 2
+        self.words.clear()
 
     def _learn(self) -> None:
         new = self.index.take_new()
@@ -105,7 +120,7 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens added."""
         if len(self.index) > self.limit:
-            self._reset()
+            self._trim()
         whole: dict[int, np.ndarray] = {}
         codes = []
         for i, text in enumerate(texts):
@@ -115,6 +130,9 @@ class PieceEncoder:
                 chunks = []
             codes.append(np.fromiter(map(self.index.__getitem__, chunks), np.int32, len(chunks)))
         self._learn()
+        used = np.bincount(np.concatenate(codes), minlength=len(self.index)) if codes else self.used
+        used[: len(self.used)] += self.used[: len(used)]
+        self.used = used
         out = []
         for i, code in enumerate(codes):
             count = self.count[code]
@@ -127,8 +145,8 @@ class PieceEncoder:
 class _Index(dict):
     """Numbers for chunks in order of first sight."""
 
-    def __init__(self):
-        super().__init__()
+    def __init__(self, known=()):
+        super().__init__(known)
         self.new: list[str] = []
 
     def __missing__(self, chunk: str) -> int:

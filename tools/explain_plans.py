@@ -2,6 +2,9 @@
 
 Usage: python tools/explain_plans.py [sf_dir] > PLANS.md
 
+Two tables: plans as they run at this size, and with broadcast joins off,
+which is how joins of large tables run.
+
 For each query: Parquet scans and how many carry pushed filters, shuffle
 exchanges, broadcast / sort-merge joins, sort-based aggregates, whether a
 single-partition exchange or a Python UDF node appears, and the number of
@@ -36,17 +39,27 @@ def facts(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from lakeforge.plans.catalog import REGISTRY
     from lakeforge.session import build_session
 
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     print("# Physical plan audit\n")
     print(f"Generated by `tools/explain_plans.py` on `{sf_dir}` (local[8]).\n")
+    for title, threshold in (("As run", None), ("Broadcast joins off", "-1")):
+        if threshold:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+        print(f"## {title}\n")
+        table(spark, sf_dir, REGISTRY)
+        print()
+
+
+def table(spark, sf_dir: str, queries: dict) -> None:
     print("| query | scans | scans w/ pushed filters | exchanges | broadcast joins | sort-merge joins "
           "| sort aggregates | single-partition exchange | Python UDF | codegen stages |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, q in sorted(E.queries().items()):
+    for name, q in sorted(queries.items()):
         df = q(spark, sf_dir)
         df.collect()  # runs the plan, so the adaptive plan below is the final one
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -15,8 +15,8 @@ any component but the bucket's largest, are its pivots and are paired with
 all members of *other components* that pass the length, positional and
 suffix filters; each new pair is verified once, links merge components, pivots
 leave. A bucket whose members are all of one component is closed. Pivots
-grow by a factor every round, so rounds grow with the logarithm of the
-largest bucket, while a bucket of near copies closes after one or two: no
+grow by a rising factor every round, so rounds grow slower than the logarithm
+of the largest bucket, while a bucket of near copies closes after one or two: no
 link between components is missed and no group is expanded into all its
 pairs.
 """
@@ -42,8 +42,8 @@ FREQUENT = 1 << 20
 SPLIT = 64
 #: Rows of the largest bucket whose pairs are listed at once.
 SMALL = 16
-#: How many times more pivots a bucket gets in each round.
-GROWTH = 64
+#: How many times more pivots a bucket gets in the second round; each later round's factor is as many times larger.
+GROWTH = 8
 #: Least and most ranges of hashes whose counts bound an overlap; a set has one for about four of its shingles.
 RANGES = (64, 4096)
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -325,7 +325,7 @@ def link_classes(members: DataFrame, tested: DataFrame, sets: DataFrame, ranges:
     """``(node, root)`` of the linked classes, from the members of large buckets and the
     screened pairs of small ones; None if no two link."""
     roots = merged(None, materialize(verify(tested, sets), "links"))
-    pivots_per_bucket = 1
+    pivots_per_bucket, factor = 1, GROWTH
     while True:
         if roots is None:
             labelled = members.withColumn("root", F.col("rk"))
@@ -347,7 +347,7 @@ def link_classes(members: DataFrame, tested: DataFrame, sets: DataFrame, ranges:
         tested = tested.unionByName(pairs)
         roots = merged(roots, materialize(verify(pairs, sets), "links"))
         members = labelled.join(pivots.select("token", F.col("p_rk").alias("rk")), ["token", "rk"], "left_anti").drop("root", "main")
-        pivots_per_bucket *= GROWTH
+        pivots_per_bucket, factor = pivots_per_bucket * factor, factor * GROWTH
 
 
 def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:

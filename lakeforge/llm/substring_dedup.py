@@ -16,8 +16,8 @@ windows that can have picked it.
   backwards; where they part, the repeat is left-diverse and so maximal,
   and all members on either side of a neighbouring pair are occurrences.
 * A bucket of more than ``bucket_limit`` different contexts is not
-  gathered: each of its windows is hashed and counted instead, which is
-  exact for single windows and needs partial sums only.
+  gathered: each of its windows is hashed and counted instead, aligned at
+  the anchor, which is exact for single windows and needs partial sums only.
 """
 
 from __future__ import annotations
@@ -288,7 +288,11 @@ def bucket_spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def window_spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """As ``bucket_spans``, by counting the hashes of all windows of the contexts that hold the whole gram."""
+    """As ``bucket_spans``, by counting the hashes of all windows of the contexts that hold the whole gram.
+
+    A gram may be an anchor at several places of one window, which then lies
+    in several contexts: only windows as far before the anchor are compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "right", 1 << 18):
@@ -304,8 +308,9 @@ def window_spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
     windows = contexts.mapInArrow(run, "anchor long, context long, back int, window binary")
     windows = materialize(windows, "windows")
-    often = windows.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    found = windows.join(often, ["anchor", "window"], "left_semi")
+    aligned = ["anchor", "back", "window"]
+    often = windows.groupBy(*aligned).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    found = windows.join(often, aligned, "left_semi")
     return found.select("anchor", "context", "back", (F.lit(length) - F.col("back")).alias("ahead"))
 
 

@@ -65,6 +65,17 @@ def test_random_strings_and_large_buckets(spark, seed, limit):
     assert removed(df, length=40, bucket_limit=limit) == brute(rows, 40)
 
 
+@pytest.mark.parametrize("limit", [100_000, 2])
+def test_runs_shorter_than_a_window_between_unique_texts(spark, limit):
+    """One window may hold its anchor's gram several times, and still occur once."""
+    rng = np.random.default_rng(6)
+    unique = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 60))
+    runs = [(c * 30)[:30] for c in ("-", "=", " ", "0", "*", "_", "#", "+", "-=", "xyz", "~", ".", "/", "1", "2", "3")]
+    rows = list(enumerate(unique() + run + unique() for run in runs for _ in range(3)))
+    assert brute(rows, 40) == Counter((i, len(t), 0, 0, hashlib.sha256(t.encode()).hexdigest()) for i, t in rows)
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string"), length=40, bucket_limit=limit) == brute(rows, 40)
+
+
 def test_odd_rows(spark, odd_rows):
     rows = [(r["doc_id"], r["text"]) for r in odd_rows.collect()]
     assert removed(odd_rows) == brute(rows, 200)

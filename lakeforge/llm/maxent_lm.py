@@ -6,8 +6,8 @@ word (n-gram), the one before it (skip), and the classes of the previous
 three words. Within its class a word is predicted by its bias alone, the
 logarithm of its count.
 
-Words get classes by how often they are used (the most frequent ones, the
-frequent ones, and the rest) and by a cluster, which keeps words of one
+Words get classes by how often they are used (three bands of the most
+frequent words, and the rest) and by a cluster, which keeps words of one
 language or kind together: the most frequent words are clustered by the
 very frequent words that come before them, all others follow the byte
 trigrams of those. A class of rest words keeps room for one unseen word,
@@ -18,7 +18,8 @@ most) are known to every task; the others' counts are joined by shuffle.
 Each update of the weights is one pass over all training texts: tasks
 sum what the model expects of every feature and class, the sums are added
 up in a tree, and the driver moves the weights (``ROWS`` x ``CLASSES``,
-whatever the corpus) along the gradient.
+whatever the corpus) along the gradient, until the likelihood of the
+training texts settles.
 """
 
 from __future__ import annotations
@@ -37,20 +38,22 @@ from lakeforge.llm.common import documents, keyed_texts, materialize, text_slice
 
 #: Most words that every task gets with their counts.
 HEAD = 1 << 18
-CLUSTERS, BANDS = 5, (64,)
+CLUSTERS, BANDS = 7, (64, 1024)
 REST = (len(BANDS) + 1) * CLUSTERS
-#: Classes: two bands of head words and the rest, per cluster; one for the end.
-END_CLASS = REST + CLUSTERS
-CLASSES = END_CLASS + 1
+#: Classes: three bands of head words and the rest, per cluster; the last for the end.
+CLASSES = 32
+END_CLASS = CLASSES - 1
 SEEDS, SIGNED = 64, 4096
 #: Hashed rows per kind of feature; ids of all kinds fit in 16 bits.
 KINDS = (1 << 15, 1 << 14, 1 << 14)
 ROWS = sum(KINDS)
-BLOCK = 1 << 11
+BLOCK = 1 << 10
 #: Tokens worked on at a time: their scores fit in a processor's cache.
 CHUNK = 1 << 14
-#: Step of each update, and the count that damps rare features.
+#: Steps of the first update and of the others, and the count that damps rare features.
 STEPS, DAMPING = (2.0, 1.0), 4.0
+#: The likelihood has settled once an update adds less to a token's mean log probability (natural logarithm).
+SETTLED = 0.01
 #: Every document whose crc32(id) leaves this remainder is held out.
 FOLDS, HELD_OUT = 7, 2
 
@@ -173,7 +176,11 @@ def count_words(train: DataFrame) -> DataFrame:
 
 
 def add_up(sums: DataFrame, size: int) -> np.ndarray:
-    """The total of ``(block, values)`` rows of 64-bit floats, by two rounds of partial sums; ``size`` blocks."""
+    """The total of ``(block, values)`` rows of 64-bit floats, by two rounds of partial sums; ``size`` blocks.
+
+    The driver's JVM is asked to collect what refers to the shuffles, as in
+    ``materialize``: updates do not pile up on disks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -187,6 +194,7 @@ def add_up(sums: DataFrame, size: int) -> np.ndarray:
     schema = "block int, values binary"
     once = sums.repartition("block", "salt").drop("salt").mapInArrow(run, schema)
     rows = once.repartition("block").mapInArrow(run, schema).collect()  # a fixed number of blocks
+    sums.sparkSession.sparkContext._jvm.System.gc()
     total = {r["block"]: np.frombuffer(r["values"], np.float64) for r in rows}
     width = max(map(len, total.values()), default=0)
     return np.concatenate([total.get(b, np.zeros(width)) for b in range(size)])
@@ -274,41 +282,63 @@ def observed(train: DataFrame, shared: Broadcast) -> np.ndarray:
     return add_up(train.select("text").mapInArrow(run, SUMS), ROWS // BLOCK).reshape(ROWS, CLASSES)
 
 
-def expected(train: DataFrame, shared: Broadcast, weights: Broadcast) -> np.ndarray:
-    """What the model expects of ``observed``."""
+def model_sums(train: DataFrame, shared: Broadcast, weights: Broadcast) -> tuple[np.ndarray, float]:
+    """What the model expects of ``observed``, and the log probability that it gives to all classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, total, w = shared.value, np.zeros((ROWS, CLASSES)), weights.value
+        vocabulary, total, w, likelihood = shared.value, np.zeros((ROWS, CLASSES)), weights.value, 0.0
         for batch in text_slices(batches, "text"):
             ids, classes, ends, _ = vocabulary.code(batch.column("text").to_pylist())
             every = histories(ids, classes, ends, len(vocabulary.words))
             for begin in range(0, len(ids), CHUNK):
                 part = every[:, begin : begin + CHUNK]
                 p = class_probabilities(w, part)
+                own = p[np.arange(len(p)), classes[begin : begin + CHUNK]]
+                likelihood += float(np.log(np.maximum(own, 1e-30)).sum(dtype=np.float64))
                 for rows in part:
                     order = np.argsort(rows, kind="stable")
                     in_order = rows[order]
                     first = np.flatnonzero(np.concatenate(([True], in_order[1:] != in_order[:-1])))
                     total[in_order[first]] += np.add.reduceat(p[order], first, axis=0)
-        yield from blocks_of(total.ravel(), task_salt())
+        salt = task_salt()
+        yield from blocks_of(total.ravel(), salt)
+        last = np.array([likelihood])
+        yield pa.record_batch([pa.array([ROWS // BLOCK], pa.int32()), pa.array([salt], pa.int32()), pa.array([last.tobytes()], pa.binary())], ["block", "salt", "values"])
 
-    return add_up(train.select("text").mapInArrow(run, SUMS), ROWS // BLOCK).reshape(ROWS, CLASSES)
+    sums = add_up(train.select("text").mapInArrow(run, SUMS), ROWS // BLOCK + 1)
+    return sums[: ROWS * CLASSES].reshape(ROWS, CLASSES), float(sums[ROWS * CLASSES])
+
+
+def expected(train: DataFrame, shared: Broadcast, weights: Broadcast) -> np.ndarray:
+    """What the model expects of ``observed``."""
+    return model_sums(train, shared, weights)[0]
 
 
 def train_weights(train: DataFrame, shared: Broadcast) -> np.ndarray:
-    """Class weights per feature row, and the bias in the last row."""
+    """Class weights per feature row, and the bias in the last row.
+
+    Updates go on until one gains less than ``SETTLED`` a token. One that
+    loses likelihood is taken back and tried with half the step, so the
+    updates end.
+    """
     seen = observed(train, shared)
     tokens = seen[: KINDS[0]].sum(0)  # every token has one row of each kind
     prior = (tokens + 0.5) / (tokens.sum() + 0.5 * CLASSES)
     weights = np.zeros((ROWS + 1, CLASSES))
     weights[-1] = np.log(prior)
-    for i, step in enumerate(STEPS):
-        if i:
-            told = train.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
-            model = expected(train, shared, told)
-        else:  # the bias alone expects the prior everywhere
-            model = seen.sum(1, keepdims=True) * prior
-        weights[:-1] += step * (seen - model) / (np.maximum(seen, model) + DAMPING)
+    # The bias alone expects the prior everywhere.
+    model, likelihood = seen.sum(1, keepdims=True) * prior, float(tokens @ np.log(prior))
+    step, gain = STEPS[0], np.inf
+    while gain >= SETTLED or (gain < 0 and step > STEPS[1] / 1024):
+        tried = weights.copy()
+        tried[:-1] += step * (seen - model) / (np.maximum(seen, model) + DAMPING)
+        told = train.sparkSession.sparkContext.broadcast(tried.astype(np.float32))
+        model_there, there = model_sums(train, shared, told)
+        told.unpersist()
+        gain = (there - likelihood) / tokens.sum()
+        if gain >= 0:
+            weights, model, likelihood = tried, model_there, there
+        step = min(step, STEPS[1]) if gain >= 0 else step / 2
     return weights.astype(np.float32)
 
 

@@ -132,3 +132,23 @@ def test_gradient_sums_match_plain_sums(spark):
             model[r] += q
     assert (maxent_lm.observed(df, shared) == seen).all()
     assert np.allclose(maxent_lm.expected(df, shared, spark.sparkContext.broadcast(weights)), model, atol=1e-3)
+
+
+def test_three_bands_and_updates_until_the_likelihood_settles(spark, monkeypatch):
+    docs = documents(spark, "/root/testdata/sf0.001").select("text").where("text IS NOT NULL").limit(200)
+    words = Counter(w for r in docs.collect() for w in [*r["text"].encode().lower().split(), b""])
+    listed = sorted(words, key=lambda w: (-words[w], w))
+    v = maxent_lm.Vocabulary(listed, np.array([words[w] for w in listed]), sum(words.values()), len(words))
+    v.set_clusters(np.zeros(len(listed)), np.ones((1, maxent_lm.CLUSTERS)))
+    assert len({int(c) for w, c in zip(listed, v.head_classes()) if w}) == 1 + sum(len(listed) > b for b in (64, 1024))
+    told, sums = [], maxent_lm.model_sums
+    monkeypatch.setattr(maxent_lm, "model_sums", lambda *a: told.append(sums(*a)) or told[-1])
+    shared = spark.sparkContext.broadcast(v)
+    weights = maxent_lm.train_weights(docs, shared)
+    ids, classes, ends, _ = v.code([r["text"] for r in docs.collect()])
+    p = maxent_lm.class_probabilities(weights, maxent_lm.histories(ids, classes, ends, len(listed)))
+    reached = float(np.log(p[np.arange(len(p)), classes].astype(np.float64)).sum())
+    likelihoods = [one for _, one in told]
+    assert math.isclose(reached, max(likelihoods), rel_tol=1e-4)
+    assert len(told) > 2 and reached > likelihoods[1]
+    assert 0 <= (likelihoods[-1] - max(likelihoods[:-1])) / len(ids) < maxent_lm.SETTLED

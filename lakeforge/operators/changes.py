@@ -3,15 +3,17 @@
 All operators are lazy DataFrame → DataFrame functions; none collects rows.
 
 Scale notes
-- Each operator reads target and source once and meets them in one full
-  outer join; whether a side is broadcast or sorted is Spark's choice.
-- Rows whose key has a NULL part never match (trap T17), but an outer join
-  would still hash them all to one partition. The join therefore has one
-  more column, which is 0 for complete keys and a hash of the row for the
-  others, so a flood of NULL keys is spread over all partitions.
+- A merge meets target and source in one join; whether a side is broadcast
+  or sorted is Spark's choice. An upsert of rows with the target's columns
+  is an anti join on the batch's keys alone, which a small batch broadcasts;
+  its change images are a left join from the batch. Where rows and images
+  are both wanted, one full outer join emits both.
+- Rows whose key has a NULL part never match (trap T17), but a join would
+  still hash them all to one partition. The join therefore has one more
+  column, which is 0 for complete keys and a hash of the row for the others,
+  so a flood of NULL keys is spread over all partitions.
 - Duplicate source keys are detected with a count over a window
-  partitioned by the join columns: the join needs the same partitioning
-  and order, so the check costs no extra exchange.
+  partitioned by the key, on the branch that carries the source rows.
 - SCD2 emits closed and new versions from one pass over the join.
 """
 
@@ -21,7 +23,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from lakeforge.functions import open_end
 from lakeforge.operators.clean import latest_per_key
@@ -31,6 +33,10 @@ from lakeforge.operators.clean import latest_per_key
 # read the last two).
 SCD2_META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 SPREAD = "_spread"
+#: The column of a change image that says what it is; NULL in a row that is no image.
+CHANGE = "_change_type"
+#: Equal rows that come out of one input row at a time.
+REPEATS = 65_536
 
 
 def _any_null(keys: Sequence[str], prefix: str = "") -> Column:
@@ -40,9 +46,31 @@ def _any_null(keys: Sequence[str], prefix: str = "") -> Column:
     return cond
 
 
+def _has(dtype: DataType, *kinds) -> bool:
+    """Whether a type is one of ``kinds`` or holds one."""
+    if isinstance(dtype, kinds):
+        return True
+    if isinstance(dtype, ArrayType):
+        return _has(dtype.elementType, *kinds)
+    if isinstance(dtype, MapType):
+        return _has(dtype.keyType, *kinds) or _has(dtype.valueType, *kinds)
+    return isinstance(dtype, StructType) and any(_has(f.dataType, *kinds) for f in dtype.fields)
+
+
+def comparable(df: DataFrame, name: str, prefix: str = "") -> Column:
+    """A column in a form that Spark can compare and group: maps and variants have none of
+    their own, so their JSON text stands for them (a map's with its keys in order)."""
+    dtype, c = df.schema[name].dataType, F.col(f"{prefix}{name}")
+    if isinstance(dtype, MapType) and not _has(dtype.keyType, MapType, VariantType):
+        keys = F.array_sort(F.map_keys(c))
+        c = F.when(c.isNotNull(), F.struct(keys.alias("k"), F.transform(keys, lambda k: c[k]).alias("v")))
+        return F.to_json(c) if _has(dtype.valueType, MapType, VariantType) else c
+    return F.to_json(F.struct(c.alias("v"))) if _has(dtype, MapType, VariantType) else c
+
+
 def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` with the join column that spreads rows whose key has a NULL part."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    plain = [f.name for f in df.schema.fields if not _has(f.dataType, MapType, VariantType)]
     return df.withColumn(SPREAD, F.when(_any_null(keys), F.xxhash64(*plain)).otherwise(F.lit(0)))
 
 
@@ -79,10 +107,16 @@ def unique_source(
 
 def _outer(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join on complete keys: ``t_*`` and ``s_*`` columns, and ``_t`` / ``_s`` where a side is present."""
+    return _join(target, source, keys, "full_outer")
+
+
+def _join(target: DataFrame, source: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """As ``_outer``; ``how`` is "full_outer", or "left" to keep the source's rows only."""
     t, s = _spread(target, keys), _spread(source, keys)
     t = t.select(*[F.col(c).alias(f"t_{c}") for c in t.columns], F.lit(True).alias("_t"))
     s = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns], F.lit(True).alias("_s"))
-    return t.join(s, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in [*keys, SPREAD]], "full_outer")
+    same = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in [*keys, SPREAD]]
+    return s.join(t, same, "left") if how == "left" else t.join(s, same, how)
 
 
 def upsert(
@@ -98,10 +132,17 @@ def upsert(
     source-only columns appear as new columns (NULL for untouched rows).
     NULL-key source rows are always inserted; NULL-key target rows stay.
     """
+    if set(source.columns) == set(target.columns):
+        complete = source.filter(~_any_null(keys)).select(*keys, F.lit(0).cast("bigint").alias(SPREAD))
+        kept = _spread(target, keys).join(complete, [*keys, SPREAD], "left_anti").drop(SPREAD)
+        return kept.select(*target.columns).unionByName(unique_source(source, keys, on_duplicate, order_by))
     source = unique_source(source, keys, on_duplicate, order_by)
-    joined = _outer(target, source, keys)
-    hit = F.col("_s").isNotNull()
-    columns = []
+    return _outer(target, source, keys).select(*_merged(target, source))
+
+
+def _merged(target: DataFrame, source: DataFrame) -> list[Column]:
+    """The row that an upsert leaves, from the joined ``t_*`` and ``s_*`` columns."""
+    hit, columns = F.col("_s").isNotNull(), []
     for c in [*target.columns, *(c for c in source.columns if c not in target.columns)]:
         if c not in source.columns:
             columns.append(F.col(f"t_{c}").alias(c))
@@ -109,7 +150,77 @@ def upsert(
             columns.append(F.col(f"s_{c}").alias(c))
         else:
             columns.append(F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
-    return joined.select(*columns)
+    return columns
+
+
+def _image(columns: Sequence[Column], kind: str | None) -> Column:
+    return F.struct(*columns, F.lit(kind).cast("string").alias(CHANGE))
+
+
+def _images(target: DataFrame, source: DataFrame) -> Column:
+    """The change images of one joined row of an upsert, as an array: none if it changes nothing."""
+    new = _merged(target, source)
+    before = [F.col(f"t_{c}") if c in target.columns else F.lit(None) for c in _names(target, source)]
+    old = [b.cast(source.schema[c].dataType if c not in target.columns else target.schema[c].dataType).alias(c) for b, c in zip(before, _names(target, source))]
+    shared = [c for c in source.columns if c in target.columns]
+    differs = F.lit(False)
+    for c in shared:
+        differs = differs | ~comparable(target, c, "t_").eqNullSafe(comparable(source, c, "s_"))
+    for c in source.columns:  # a column that the target lacks changes where it brings a value
+        if c not in shared:
+            differs = differs | F.col(f"s_{c}").isNotNull()
+    has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
+    return (
+        F.when(has_s & ~has_t, F.array(_image(new, "insert")))
+        .when(has_s & has_t & differs, F.array(_image(old, "update_preimage"), _image(new, "update_postimage")))
+        .otherwise(F.array())
+    )
+
+
+def _names(target: DataFrame, source: DataFrame) -> list[str]:
+    return [*target.columns, *(c for c in source.columns if c not in target.columns)]
+
+
+def upsert_images(target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error",
+                  order_by: Sequence[str] | None = None) -> DataFrame:
+    """The change images of ``upsert(target, source, keys)``, without building its result.
+
+    Only keys of the batch can change, so the batch is left-joined to the
+    target: neither version is read as a whole for comparison. The images
+    are those of ``change_feed``.
+    """
+    source = unique_source(source, keys, on_duplicate, order_by)
+    joined = _join(target, source, keys, "left")
+    return joined.select(F.explode(_images(target, source)).alias("_c")).select("_c.*")
+
+
+def upsert_with_images(target: DataFrame | None, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error",
+                       order_by: Sequence[str] | None = None) -> DataFrame:
+    """M1 + M12 from one join: the merged rows (``_change_type`` NULL) and the change images beside them.
+
+    Without a target every source row is a row and an insert.
+    """
+    source = unique_source(source, keys, on_duplicate, order_by)
+    if target is None:
+        own = [F.col(c) for c in source.columns]
+        pair = F.array(_image(own, None), _image(own, "insert"))
+        return source.select(F.explode(pair).alias("_c")).select("_c.*")
+    row = F.array(_image(_merged(target, source), None))
+    rows = F.concat(row, _images(target, source))
+    return _outer(target, source, keys).select(F.explode(rows).alias("_c")).select("_c.*")
+
+
+def insert_absent(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source rows whose key the target does not hold, one per key; NULL parts are equal to each other.
+
+    Of source rows with one key, any one stays (they are copies of each other
+    where the key is the whole row or its identity).
+    """
+    fresh = source.dropDuplicates(list(keys))
+    if target is None:
+        return fresh
+    seen = target.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+    return fresh.join(seen, [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys], "left_anti")
 
 
 def scd1_merge(
@@ -284,26 +395,45 @@ def change_feed(
     ``_change_type`` column; unchanged rows emit nothing. Complete keys are
     unique in each version. Rows whose key has a NULL part are compared as a
     multiset: as many as one version has more of come out as inserts or
-    deletes.
+    deletes. Columns may be of any type, maps and variants included.
+    ``upsert_images`` gives an upsert's changes without a second version.
     """
     cols = before.columns
     compare = [c for c in (compare or cols) if c not in keys]
     has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
+    differs = F.lit(False)
+    for c in compare:
+        differs = differs | ~comparable(before, c, "t_").eqNullSafe(comparable(after, c, "s_"))
 
     def image(prefix: str, kind: str) -> Column:
-        return F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in cols], F.lit(kind).alias("_change_type"))
+        return _image([F.col(f"{prefix}{c}").alias(c) for c in cols], kind)
 
     # No branch taken (unchanged row) → NULL array → explode emits nothing.
     images = (
         F.when(has_t & ~has_s, F.array(image("t_", "delete")))
         .when(~has_t & has_s, F.array(image("s_", "insert")))
-        .when(_changed(compare), F.array(image("t_", "update_preimage"), image("s_", "update_postimage")))
+        .when(differs, F.array(image("t_", "update_preimage"), image("s_", "update_postimage")))
     )
-    rows = _outer(before, after, keys).select(F.explode(images).alias("_c")).select("_c.*")
-    # Rows without a complete key have met nobody: equal ones cancel out, one by one.
-    sign = F.when(F.col("_change_type") == "insert", 1).otherwise(-1)
-    net = F.sum(sign).over(Window.partitionBy(*cols))
-    number = F.row_number().over(Window.partitionBy(*cols, "_change_type").orderBy(F.lit(1)))
-    rows = rows.withColumns({"_net": net, "_number": number})
-    stays = ~_any_null(keys) | (F.col("_number") <= F.when(F.col("_change_type") == "insert", F.col("_net")).otherwise(-F.col("_net")))
-    return rows.filter(stays).drop("_net", "_number")
+    complete = ~_any_null(keys)
+    rows = _outer(before.filter(complete), after.filter(complete), keys).select(F.explode(images).alias("_c")).select("_c.*")
+    return rows.unionByName(_net_changes(before.filter(~complete), after.filter(~complete)))
+
+
+def _net_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Inserts and deletes between two multisets of rows.
+
+    Equal rows are counted, with a partial count per task, and never meet; a
+    count turns back into rows ``REPEATS`` at a time.
+    """
+    cols = before.columns
+    both = before.withColumn("_sign", F.lit(-1)).unionByName(after.select(*cols).withColumn("_sign", F.lit(1)))
+    whole = F.struct(*[F.col(c) for c in cols]).alias("_row")
+    forms = [comparable(before, c).alias(f"_form{i}") for i, c in enumerate(cols)]
+    net = both.select(whole, "_sign", *forms).groupBy(*[f"_form{i}" for i in range(len(cols))])
+    net = net.agg(F.sum("_sign").alias("_net"), F.any_value("_row").alias("_row")).filter("_net <> 0")
+    kind = F.when(F.col("_net") > 0, "insert").otherwise("delete").alias(CHANGE)
+    n = F.abs("_net")
+    parts = net.select("_row", kind, n.alias("_n"), F.explode(F.sequence(F.lit(0), F.floor((n - 1) / REPEATS))).alias("_part"))
+    size = F.least(F.col("_n") - F.col("_part") * REPEATS, F.lit(REPEATS))
+    rows = parts.select("_row", CHANGE, F.explode(F.sequence(F.lit(1), size)).alias("_i"))
+    return rows.select("_row.*", CHANGE)

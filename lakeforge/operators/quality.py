@@ -2,7 +2,9 @@
 
 Each check returns the *failing* rows as a DataFrame; an empty result is a
 pass. All are grouped aggregates with map-side combine, so a hot value is
-counted per task before the shuffle.
+counted per task before the shuffle. Rules on single rows also come as
+conditions, which a publishing job counts while it writes
+(``VersionedTable.publish(checks=...)``).
 """
 
 from __future__ import annotations
@@ -60,6 +62,20 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def failures(check: DataFrame) -> int:
-    """Number of failing rows (an action; for tests and job gates)."""
-    return check.count()
+class CheckFailed(Exception):
+    """A load that its checks have stopped; ``counts`` has the failing rows by check."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(", ".join(f"{n}: {k} rows" for n, k in sorted(counts.items())))
+        self.counts = counts
+
+
+def is_null(expr) -> Column:
+    """Q2 as a row condition, for checks that a load counts while it writes."""
+    return (expr if isinstance(expr, Column) else F.col(expr)).isNull()
+
+
+def not_accepted(expr, values: Sequence) -> Column:
+    """Q3 as a row condition; NULL is not a value outside the list."""
+    e = expr if isinstance(expr, Column) else F.col(expr)
+    return e.isNotNull() & ~e.isin(list(values))

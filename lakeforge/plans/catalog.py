@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lakeforge import functions as lf
 from lakeforge.operators import (
+    CheckFailed,
     cdc_scd1,
     change_feed,
     check_accepted,
@@ -25,17 +26,20 @@ from lakeforge.operators import (
     dedup_rows,
     distinct_values,
     duplicate_keys,
+    is_null,
     latest_per_key,
     lookup,
+    not_accepted,
     scd1_merge,
     scd2_open,
     scd2_snapshot,
     upsert,
+    upsert_images,
     versioned_view,
 )
 from lakeforge.plans import changes_jobs as cj
 from lakeforge.plans import countries, health, quakes, retail
-from lakeforge.session import ensure_checkpoint_dir, materialize, read_table, scratch_path
+from lakeforge.session import ensure_checkpoint_dir, materialize, read_table, scratch_path, table_path
 from lakeforge.sources import (
     CsvDialect,
     HistoryTable,
@@ -49,9 +53,11 @@ from lakeforge.sources import (
     publish,
     read_csv,
     read_json,
+    read_json_rescued,
     reload_variant,
     replace_table,
     schemas,
+    stored_model,
     table_inventory,
 )
 from lakeforge.streaming import (
@@ -59,8 +65,8 @@ from lakeforge.streaming import (
     drain,
     json_stream,
     run_cdc_stream,
+    run_dedup_stream,
     run_scd1_stream,
-    stream_dedup,
     table_stream,
     variant_stream,
 )
@@ -262,18 +268,20 @@ def _retail(spark, sf_dir, history: bool = True):
     r["combined"] = combined
     r["stage_dept_unnumbered"] = joined.select(*retail.STAGE_DEPT_COLS)
     if history:
-        # Second load: sales of department 1 move (new versions); markdown1
-        # of department 2 moves too, not a checked column (trap T13).
-        changed = combined.withColumns({
-            "store_weekly_sales": F.when(F.col("dept_id") == 1, F.col("store_weekly_sales") + 100).otherwise(F.col("store_weekly_sales")),
-            "markdown1": F.when(F.col("dept_id") == 2, F.col("markdown1") + 5).otherwise(F.col("markdown1")),
-        })
         # The second load has the first one's keys and is checked; once is enough.
         h1 = retail.fact_snapshot(None, combined, RETAIL_NOW1, on_duplicate="keep")
-        r["history"] = retail.fact_snapshot(h1, changed, RETAIL_NOW2)
+        r["history"] = retail.fact_snapshot(h1, _second_load(combined), RETAIL_NOW2)
     return r
 
 
+def _second_load(combined: DataFrame) -> DataFrame:
+    """Sales of department 1 move (new versions); markdown1 of department 2 moves too, not a checked column (trap T13)."""
+    return combined.withColumns({
+        "store_weekly_sales": F.when(F.col("dept_id") == 1, F.col("store_weekly_sales") + 100).otherwise(F.col("store_weekly_sales")),
+        "markdown1": F.when(F.col("dept_id") == 2, F.col("markdown1") + 5).otherwise(F.col("markdown1")),
+    })
+
+
 def _retail_stage_dept(spark, sf_dir, numbered: bool = True):
 
     b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
@@ -306,8 +314,8 @@ def retail_fact_history(spark, sf_dir):
 
 @register("retail_final_fact")
 def retail_final_fact(spark, sf_dir):
-    """M8: current versions of the fact."""
-    return retail.final_fact(_retail(spark, sf_dir)["history"])
+    """M8: current versions of the fact, as the history table keeps them apart."""
+    return _retail_tables(spark, sf_dir)[1].open.read().withColumn("composite_key", retail.composite())
 
 
 @register("retail_dim_date")
@@ -331,14 +339,37 @@ def retail_dim_department(spark, sf_dir):
     return retail.dim_department(_retail_stage_dept(spark, sf_dir, numbered=False))
 
 
+def _retail_tables(spark, sf_dir) -> tuple[DataFrame, HistoryTable]:
+    """The department staging rows and the fact's history table, both stored and built once for all
+    queries that read them: open versions lie apart from closed ones."""
+    buckets = 16
+
+    def build(folder: str) -> None:
+        r = _retail(spark, sf_dir, history=False)
+        r["stage_dept_unnumbered"].write.parquet(f"{folder}/stage_dept")
+        table = HistoryTable(spark, f"{folder}/fact", retail.FACT_KEY, buckets)
+        table.snapshot(r["combined"], retail.CHECK_COLS, RETAIL_NOW1, id_key=retail.composite, on_duplicate="keep")
+        table.snapshot(_second_load(r["combined"]), retail.CHECK_COLS, RETAIL_NOW2, id_key=retail.composite)
+
+    inputs = [table_path(sf_dir, t) for t in ("lineitem", "supplier")]
+    root = stored_model(spark, "retail", inputs, build)
+    return spark.read.parquet(f"{root}/stage_dept"), HistoryTable(spark, f"{root}/fact", retail.FACT_KEY, buckets)
+
+
+@register("retail_fact_history_table")
+def retail_fact_history_table(spark, sf_dir):
+    """M6: the two loads as a stored history, closed versions appended to."""
+    return _retail_tables(spark, sf_dir)[1].read().withColumn("composite_key", retail.composite())
+
+
 def _reports(spark, sf_dir):
 
-    r = _retail(spark, sf_dir)
-    ff = retail.final_fact(r["history"])
+    stage, history = _retail_tables(spark, sf_dir)
+    ff = history.open.read()
     # The reports read DATE_ID, STORE_DATE and ISHOLIDAY only: no ROW_NUM.
-    stage = r["stage_dept_unnumbered"]
     dd = retail.dim_date(stage.unionByName(retail.planned_dates(stage)), RETAIL_NOW1)
-    return retail, dd, retail.dim_store(r["stage_store"], RETAIL_NOW1), ff
+    stores = retail.stores_from_driver(read_table(spark, sf_dir, "supplier"))
+    return retail, dd, retail.dim_store(retail.stage_store(stores, RETAIL_NOW1), RETAIL_NOW1), ff
 
 
 @register("retail_sales_by_store_holiday")
@@ -400,12 +431,30 @@ def orders_upsert(spark, sf_dir):
 
 @register("orders_change_feed")
 def orders_change_feed(spark, sf_dir):
-    """Row-level change feed between the two versions of orders."""
+    """The row changes that a merge makes to orders, out of the merge's own join."""
+    o = read_table(spark, sf_dir, "orders")
+    return upsert_images(cj.orders_day_one(o), cj.orders_batch(o), ["o_orderkey"])
+
+
+@register("orders_change_feed_versions")
+def orders_change_feed_versions(spark, sf_dir):
+    """The same changes by comparing two versions of orders."""
     o = read_table(spark, sf_dir, "orders")
     before = cj.orders_day_one(o)
     return change_feed(before, upsert(before, cj.orders_batch(o), ["o_orderkey"]), ["o_orderkey"])
 
 
+@register("orders_change_feed_bucketed")
+def orders_change_feed_bucketed(spark, sf_dir):
+    """Two merges into a stored table that keeps its feed; the second one's images are read by commit."""
+    o = read_table(spark, sf_dir, "orders")
+    table = KeyedTable(spark, scratch_path(spark, "orders-feed"), ["o_orderkey"], buckets=16, feed=True)
+    table.upsert(cj.orders_day_one(o))
+    before = table.last_commit()
+    table.upsert(cj.orders_batch(o))
+    return table.changes(after=before).drop("_commit")
+
+
 @register("customer_scd1_merge")
 def customer_scd1_merge(spark, sf_dir):
     """M2: SCD1 MERGE on (first, last name); insert time kept on update."""
@@ -614,9 +663,9 @@ for _name in FN_NAMES:
 
 # ------------------------------------------------- sources, sinks and streams
 def _land_json(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Write rows as JSON-lines files (the landed feed); ``append`` adds a
-    later delivery as new files next to the earlier ones."""
-    df.write.mode(mode).json(path)
+    """Write rows as JSON-lines files (the landed feed), times to the microsecond;
+    ``append`` adds a later delivery as new files next to the earlier ones."""
+    df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
 
 
 @register("stream_quake_bronze")
@@ -625,7 +674,7 @@ def stream_quake_bronze(spark, sf_dir):
     _prep(spark)
     root = scratch_path(spark, "quake-bronze")
     _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
-    stream = json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_files_per_trigger=4)
+    stream = json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_bytes_per_trigger="64m")
     drain(quakes.silver_transform(stream).select(*quakes.SILVER_COLUMNS), f"{root}/bronze", f"{root}/_ckpt/bronze")
     return spark.read.parquet(f"{root}/bronze")
 
@@ -640,7 +689,9 @@ def stream_quake_cdc_activity(spark, sf_dir):
     bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_files_per_trigger=4))
     drain(bronze, f"{root}/bronze", f"{root}/_ckpt/bronze")
     flat = table_stream(spark, f"{root}/bronze", max_files_per_trigger=4).select(*quakes.SILVER_COLUMNS)
-    silver = stream_dedup(flat, ["id", "updated"], watermark=("updated", "60 days"))
+    distinct = KeyedTable(spark, f"{root}/distinct", ["id", "updated"], buckets=16)
+    run_dedup_stream(flat, distinct, f"{root}/_ckpt/distinct").awaitTermination()
+    silver = table_stream(spark, distinct.path, flat.schema, max_files_per_trigger=64)
     silver = silver.withColumn("hash_id", lf.hash_id("id", "time"))
     table = KeyedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
     run_cdc_stream(silver, table, f"{root}/_ckpt/silver", ["hash_id"], "updated").awaitTermination()
@@ -666,17 +717,16 @@ def stream_variant_landing(spark, sf_dir):
 
 @register("stream_events_dedup")
 def stream_events_dedup(spark, sf_dir):
-    """D2/T-6: the same rows delivered twice; stream dedup keeps one copy."""
+    """D2/T-6: the same rows delivered twice, old ones last; one copy of each stays, however late it comes."""
     root = scratch_path(spark, "dedup")
     ev = read_table(spark, sf_dir, "events")
-    ev.write.parquet(f"{root}/in/delivery=1")
+    old = F.col("ts") < F.lit(cj.EVENTS_SECOND_FROM).cast("timestamp_ntz")
+    ev.filter(~old).write.parquet(f"{root}/in/delivery=1")
     ev.write.parquet(f"{root}/in/delivery=2")
-    # The feed spans a month: within the watermark's delay every copy is recognised by its id.
-    stream = stream_dedup(table_stream(spark, f"{root}/in", ev.schema, 4), ["event_id"], watermark=("ts", "60 days"))
-    drain(stream, f"{root}/out", f"{root}/_ckpt")
-    return spark.read.parquet(f"{root}/out")
-
-
+    ev.filter(old).write.parquet(f"{root}/in/delivery=3")
+    table = KeyedTable(spark, f"{root}/out", ["event_id"], buckets=16)
+    run_dedup_stream(table_stream(spark, f"{root}/in", ev.schema, 4), table, f"{root}/_ckpt").awaitTermination()
+    return table.read()
 
 
 def _events_stream(spark, folder):
@@ -728,15 +778,15 @@ def stream_minute_trigger(spark, sf_dir):
 @register("stream_customer_scd1")
 def stream_customer_scd1(spark, sf_dir):
     """E5: CSV change files (two deliveries, then an empty drain) → change
-    stream (M9) → run only with data (M10) → SCD1 MERGE (M2) → versioned,
-    all-or-nothing publish (M11)."""
+    stream (M9) → run only with data (M10) → SCD1 MERGE (M2) → committed
+    by the partitions that a batch touches."""
     root = scratch_path(spark, "customer-scd1")
     c = read_table(spark, sf_dir, "customer")
     schema = schemas.CUSTOMER_SOURCE  # positional CSV columns, as declared
     batch = cj.customer_batch(c).select(*schema.fieldNames())
     dialect = CsvDialect.with_null_tokens("NULL", "null")
     keys = ["contactfirstname", "contactlastname"]
-    table = VersionedTable(spark, f"{root}/customer")
+    table = KeyedTable(spark, f"{root}/customer", keys, buckets=16)  # a merge rewrites what its batch touches
     for i, seg in enumerate(["MACHINERY", "BUILDING", None], start=1):
         if seg is not None:
             (batch.filter(F.col("territory") == seg).write.option("header", "true")
@@ -775,21 +825,23 @@ def csv_load_products(spark, sf_dir):
 @register("csv_lineage_products")
 def csv_lineage_products(spark, sf_dir):
     """CSV rows with source file and row number in the file. Four files
-    by key, each sorted and read in several splits; the part number stands
+    by key, each sorted and read in several splits; the folder's number stands
     for the file's name, which is random."""
     root = scratch_path(spark, "lineage")
     fields = cj.product_fields(read_table(spark, sf_dir, "part"), 1)
     number = F.col("product_id").cast("bigint")
-    placed = fields.withColumns({"file": number % 4, "number": number}).repartitionByRange(4, "file")
-    placed.sortWithinPartitions("file", "number").drop("file", "number").write.option("header", "true").csv(f"{root}/files")
+    # one file to a folder, whatever the size: rows of a folder go to one task
+    placed = fields.withColumns({"file": number % 4, "number": number}).repartition("file")
+    placed = placed.sortWithinPartitions("file", "number").drop("number")
+    placed.write.partitionBy("file").option("header", "true").csv(f"{root}/files")
     split = "spark.sql.files.maxPartitionBytes"
     old = spark.conf.get(split)
     spark.conf.set(split, "8k")
     try:
-        rows = load_csv_with_lineage(spark, f"{root}/files", schemas.PRODUCT_FIELDS, CsvDialect.simple(), now=cj.PRODUCT_T1)
+        rows = load_csv_with_lineage(spark, f"{root}/files", schemas.PRODUCT_FIELDS, CsvDialect.simple(), now=cj.PRODUCT_T1, folder=True)
     finally:
         spark.conf.set(split, old)
-    part = F.regexp_extract("source_file_name", r"part-(\d+)", 1).cast("int")
+    part = F.regexp_extract("source_file_name", r"file=(\d+)/", 1).cast("int")
     return rows.withColumn("source_file_part", part).drop("source_file_name")
 
 
@@ -801,7 +853,58 @@ def json_inferred_events(spark, sf_dir):
     _land_json(ev.filter(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")), f"{root}/sample")
     _land_json(ev, f"{root}/raw")
     schema = infer_json_schema(spark, f"{root}/sample", multiline=False)
-    return read_json(spark, f"{root}/raw", schema, multiline=False).drop("ts")
+    return read_json(spark, f"{root}/raw", schema, multiline=False).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("json_rescued_events")
+def json_rescued_events(spark, sf_dir):
+    """The schema inferred from a first delivery stays frozen; a later one brings a new field and,
+    in some rows, text where a number was. What does not fit is kept beside the columns."""
+    root = scratch_path(spark, "rescued")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    early = F.col("event_type") == "view"
+    _land_json(ev.filter(early), f"{root}/raw")
+    schema = infer_json_schema(spark, f"{root}/raw", multiline=False)
+    text = F.when(F.col("user_id") % 5 == 0, F.lit("n/a")).otherwise(F.lit("?"))
+    _land_json(ev.filter(~early & (F.col("event_type") != "click")).withColumn("channel", F.concat(F.lit("c"), F.col("user_id") % 3)), f"{root}/raw", "append")
+    _land_json(ev.filter(F.col("event_type") == "click").withColumn("value", text), f"{root}/raw", "append")
+    rows = read_json_rescued(spark, f"{root}/raw", schema)
+    return rows.select("event_id", "user_id", "event_type", "value", F.col("_rescued")["channel"].alias("new_channel"), F.col("_rescued")["value"].alias("odd_value"))
+
+
+@register("retail_checked_publish")
+def retail_checked_publish(spark, sf_dir):
+    """Q2, Q3 inside a load (E7): the joined fact is published under checks that the writing job counts.
+    The second publish asks for a temperature, which rows without a store fact lack, and is stopped."""
+    joined = _retail(spark, sf_dir, history=False)["combined"]
+    table = VersionedTable(spark, f"{scratch_path(spark, 'checked')}/fact")
+    first = {f"{c}_present": is_null(c) for c in retail.FACT_KEY} | {"dept_known": not_accepted("dept_id", range(1, 8))}
+    second = first | {"temperature_present": is_null("temperature")}
+    out = []
+    for load, checks in enumerate((first, second), 1):
+        counts: dict[str, int] = {}
+        try:
+            table.publish(joined, checks=checks)
+        except CheckFailed as e:
+            counts = e.counts
+        out += [(load, n, counts.get(n, 0), not counts) for n in checks]
+    found = spark.createDataFrame(out, "load int, check_name string, failing_rows long, published boolean")
+    return found.withColumn("stored_rows", F.lit(table.read().count()).cast("bigint"))  # of the version that passed
+
+
+@register("country_checked_publish")
+def country_checked_publish(spark, sf_dir):
+    """Q2, Q3 inside a load (E3): the transform published under its checks; a load that fails them leaves the table as it is."""
+    table = VersionedTable(spark, f"{scratch_path(spark, 'checked')}/countries")
+    rows = _country_transform(spark, sf_dir)
+    names = [c.upper() for c in countries.CONTINENTS]
+    checks = {"region_present": is_null("country_region_name"), "continent_known": not_accepted(F.upper("country_continent_name"), names)}
+    table.publish(rows, checks=checks)
+    try:
+        table.publish(rows.withColumn("country_continent_name", F.lit("Atlantis")), checks=checks)
+    except CheckFailed:
+        return table.read()
+    raise AssertionError("a load with unknown continents was published")
 
 
 @register("publish_kinds_orders")

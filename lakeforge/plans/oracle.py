@@ -550,7 +550,23 @@ SELECT product_id, product_name, category, selling_price, model_number, about_pr
        CAST(CAST(product_id AS BIGINT) % 4 AS INTEGER) AS source_file_part,
        row_number() OVER (PARTITION BY CAST(product_id AS BIGINT) % 4 ORDER BY CAST(product_id AS BIGINT)) AS source_file_row_number
 FROM ({_product_load(1)})"""
-ORACLE["json_inferred_events"] = ORACLE["stream_variant_landing"]
+ORACLE["json_inferred_events"] = "SELECT event_id, user_id, event_type, value, props, ts FROM events"
+ORACLE["json_rescued_events"] = """
+SELECT event_id, user_id, event_type, CASE WHEN event_type <> 'click' THEN value END AS value,
+       CASE WHEN event_type NOT IN ('view', 'click') THEN 'c' || CAST(user_id % 3 AS VARCHAR) END AS new_channel,
+       CASE WHEN event_type = 'click' THEN CASE WHEN user_id % 5 = 0 THEN 'n/a' ELSE '?' END END AS odd_value
+FROM events"""
+ORACLE["orders_change_feed_versions"] = ORACLE["orders_change_feed_bucketed"] = ORACLE["orders_change_feed"]
+ORACLE["retail_fact_history_table"] = ORACLE["retail_fact_history"]
+ORACLE["country_checked_publish"] = ORACLE["country_transform"]
+ORACLE["retail_checked_publish"] = _retail("""
+SELECT load, check_name, failing_rows, load = 1 AS published, (SELECT count(*) FROM combined) AS stored_rows
+FROM (SELECT CAST(unnest([1, 2]) AS INTEGER) AS load, count(*) FILTER (store_id IS NULL) AS store_id_present,
+             count(*) FILTER (dept_id IS NULL) AS dept_id_present, count(*) FILTER (date_id IS NULL) AS date_id_present,
+             count(*) FILTER (dept_id NOT BETWEEN 1 AND 7) AS dept_known FROM combined)
+UNPIVOT (failing_rows FOR check_name IN (store_id_present, dept_id_present, date_id_present, dept_known))
+UNION ALL
+SELECT 2, 'temperature_present', count(*) FILTER (temperature IS NULL), FALSE, count(*) FROM combined""")
 ORACLE["publish_kinds_orders"] = """
 SELECT kind, o_orderpriority, count(*) AS n
 FROM orders, (VALUES ('table'), ('view'), ('incremental')) k(kind) GROUP BY 1, 2"""

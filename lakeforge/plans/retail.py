@@ -39,6 +39,14 @@ def _txt(c) -> F.Column:
     return c.cast("string")
 
 
+def stores_from_driver(supplier: DataFrame) -> DataFrame:
+    return supplier.select(
+        F.col("s_suppkey").alias("store"),
+        F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("s_nationkey") % 3 + 1).cast("int")).alias("type"),
+        (F.lit(100000) + F.col("s_nationkey") * 1000).cast("int").alias("size"),
+    )
+
+
 def bronze_from_driver(lineitem: DataFrame, supplier: DataFrame) -> dict[str, DataFrame]:
     """Bronze tables from one pass over ``lineitem``.
 
@@ -64,11 +72,7 @@ def bronze_from_driver(lineitem: DataFrame, supplier: DataFrame) -> dict[str, Da
         F.col("_sales").cast("double").alias("weekly_sales"),
         F.when(F.col("_holiday"), "TRUE").otherwise("FALSE").alias("isholiday"),
     )
-    stores = supplier.select(
-        F.col("s_suppkey").alias("store"),
-        F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("s_nationkey") % 3 + 1).cast("int")).alias("type"),
-        (F.lit(100000) + F.col("s_nationkey") * 1000).cast("int").alias("size"),
-    )
+    stores = stores_from_driver(supplier)
     ln, n = F.col("dept"), F.sum("_n")
     min_q, max_q = F.min("_min_q"), F.max("_max_q")
     fact = lines.filter(F.col("store") % 10 != 0).groupBy("store", "date").agg(
@@ -158,7 +162,8 @@ def combined_fact(d: DataFrame, s: DataFrame, st: DataFrame, keep: tuple[str, ..
 FACT_KEY = ["store_id", "dept_id", "date_id"]
 
 
-def _composite(prefix: str = "") -> F.Column:
+def composite(prefix: str = "") -> F.Column:
+    """The fact's surrogate key, from columns with a prefix."""
     return surrogate_key([F.col(f"{prefix}{c}") for c in FACT_KEY])
 
 
@@ -170,8 +175,8 @@ def fact_snapshot(open_versions: DataFrame | None, combined: DataFrame, now, **o
     """
     if open_versions is not None:
         open_versions = open_versions.drop("composite_key")
-    rows = scd2_open(open_versions, combined, FACT_KEY, CHECK_COLS, now, id_key=_composite, **options)
-    return rows.withColumn("composite_key", _composite())
+    rows = scd2_open(open_versions, combined, FACT_KEY, CHECK_COLS, now, id_key=composite, **options)
+    return rows.withColumn("composite_key", composite())
 
 
 def final_fact(history: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from lakeforge.sources.files import (  # noqa: F401
     load_csv_with_lineage,
     read_csv,
     read_json,
+    read_json_rescued,
     read_variant_json,
 )
 from lakeforge.sources.tables import (  # noqa: F401
@@ -16,6 +17,7 @@ from lakeforge.sources.tables import (  # noqa: F401
     publish,
     reload_variant,
     replace_table,
+    stored_model,
     table_inventory,
     write_or_upsert,
 )

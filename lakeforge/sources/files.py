@@ -78,6 +78,25 @@ def read_json(spark: SparkSession, path: str, schema: StructType, multiline: boo
     return spark.read.schema(schema).option("multiLine", str(multiline).lower()).json(path)
 
 
+def read_json_rescued(spark: SparkSession, path: str, schema: StructType, rescued: str = "_rescued", whole_files: bool = False) -> DataFrame:
+    """JSON read with a frozen schema that loses nothing when files change.
+
+    ``rescued`` maps the name of each top-level field that the schema lacks,
+    or whose value does not fit its type, to the value's JSON text; NULL
+    where all fitted. A record that is no JSON object is rescued whole, under
+    the empty name. One record to a line, or (``whole_files``) to a file.
+    """
+    lines = spark.read.option("wholetext", whole_files).text(path)
+    raw = F.from_json("value", "map<string,string>")
+    rows = lines.select("value", raw.alias("raw"), F.from_json("value", schema).alias("row"))
+    fields = schema.fieldNames()
+    # the names of the fields that came out empty, to look up what was there
+    empty = F.filter(F.array(*[F.when(F.col(f"row.`{n}`").isNull(), F.lit(n)) for n in fields]), lambda n: n.isNotNull())
+    lost = F.map_filter("raw", lambda k, v: v.isNotNull() & (~k.isin(fields) | F.array_contains(empty, k)))
+    lost = F.when(F.col("raw").isNull() & F.col("value").isNotNull(), F.create_map(F.lit(""), F.col("value"))).when(F.size(lost) > 0, lost)
+    return rows.select(*[F.col(f"row.`{n}`").alias(n) for n in fields], lost.alias(rescued))
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, dialect: CsvDialect = CsvDialect()) -> DataFrame:
     """Positional CSV read (S5/S11 batch form)."""
     df = spark.read.schema(schema).options(**dialect.options()).csv(path)
@@ -113,6 +132,7 @@ def load_csv_with_lineage(
     schema: StructType,
     dialect: CsvDialect = CsvDialect(),
     now=None,
+    folder: bool = False,
 ) -> DataFrame:
     """CSV rows plus load times, source file name and row number in file.
 
@@ -123,10 +143,13 @@ def load_csv_with_lineage(
     index inside its block. Per-block row counts (one row per block) give
     each block's offset inside its file. The positioned rows are
     materialised so both passes see the same numbering. The first data
-    row of a file is row 1 (a skipped header is not counted).
+    row of a file is row 1 (a skipped header is not counted). With
+    ``folder`` a file's name includes that of its folder, for files that are
+    told apart by it.
     """
     ensure_checkpoint_dir(spark)
     df = read_csv(spark, path, schema, dialect)
+    df = df.select(*schema.fieldNames())  # no columns from folder names
     positioned = (
         df.select(
             "*",
@@ -152,7 +175,7 @@ def load_csv_with_lineage(
         *df.columns,
         ts.alias("insert_dts"),
         ts.alias("update_dts"),
-        F.element_at(F.split(F.col("_file"), "/"), -1).alias("source_file_name"),
+        F.substring_index("_file", "/", -2 if folder else -1).alias("source_file_name"),
         (F.col("_off") + F.col("_pos") - F.col("_base") + 1).cast("bigint").alias("source_file_row_number"),
     )
 

@@ -4,6 +4,7 @@ from lakeforge.streaming.ingest import (  # noqa: F401
     drain,
     json_stream,
     run_cdc_stream,
+    run_dedup_stream,
     run_scd1_stream,
     stream_dedup,
     stream_id,

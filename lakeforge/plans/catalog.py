@@ -674,7 +674,7 @@ def stream_quake_bronze(spark, sf_dir):
     _prep(spark)
     root = scratch_path(spark, "quake-bronze")
     _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
-    stream = json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_bytes_per_trigger="64m")
+    stream = json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_bytes_per_trigger=64 << 20)
     drain(quakes.silver_transform(stream).select(*quakes.SILVER_COLUMNS), f"{root}/bronze", f"{root}/_ckpt/bronze")
     return spark.read.parquet(f"{root}/bronze")
 

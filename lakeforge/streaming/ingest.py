@@ -31,7 +31,7 @@ from lakeforge.sources.tables import KeyedTable, Mark, Step, VersionedTable
 
 
 # ------------------------------------------------------------------ sources
-def _intake(reader: DataStreamReader, max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | int | None = None,
+def _intake(reader: DataStreamReader, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None,
             archive: str | None = None) -> DataStreamReader:
     """How a file stream takes its files: oldest first, and so many files or bytes to a micro-batch.
 

@@ -78,45 +78,39 @@ def global_row_number(
     order_by: Sequence,
     name: str = "row_num",
     num_partitions: int | None = None,
+    rows_per_partition: int = 250_000,
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order_by)`` without one-partition sort.
 
-    1. range-partition on the ordering and sort inside each partition;
-    2. give each row its in-partition position
-       (``monotonically_increasing_id`` = partition << 33 | position);
-    3. materialise (Parquet in the shared checkpoint folder), so both
-       passes read the same numbered rows;
+    1. materialise the rows, so that counting them, sampling them for range
+       bounds and sorting them compute the input once;
+    2. range-partition on the whole ordering, into as many partitions as the
+       row count asks for (``rows_per_partition``, or ``num_partitions``; the
+       session's setting has no part in it), and sort inside each. Bounds lie on the whole
+       ordering, so a date that holds a third of all rows is cut by the
+       columns after it like any other stretch of rows;
+    3. give each row its in-partition position
+       (``monotonically_increasing_id`` = partition << 33 | position) and
+       materialise again, so both passes read the same numbered rows;
     4. count rows per partition (one row per partition), prefix-sum the
-       counts into offsets and add them back with a broadcast join whose
-       size is bounded by the partition count.
+       counts into offsets and add them back with a broadcast join of as
+       many rows as there are partitions.
 
     The ordering should be total (add tie-break columns); rows that tie on
-    the whole ordering get consecutive numbers in an unspecified order.
+    the whole ordering get consecutive numbers in an unspecified order, and
+    stay in one partition.
     """
     ensure_checkpoint_dir(df.sparkSession)
     order_cols = _cols(order_by)
-    ranged = (
-        df.repartitionByRange(*([num_partitions] if num_partitions else []), *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    ranged = materialize(ranged, "row-number")
-    ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
-        "_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
-    )
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_off"),
-    )
-    out = ranged.join(F.broadcast(offsets), "_pid").withColumn(
-        name, (F.col("_off") + F.col("_pos") + 1).cast("bigint")
-    )
+    rows = materialize(df, "to-number")
+    parts = num_partitions or max(1, -(-rows.count() // rows_per_partition))
+    ranged = rows.repartitionByRange(parts, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()), "row-number")
+    ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33))
+    runs = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select("_pid", (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    out = ranged.join(F.broadcast(runs), "_pid").withColumn(name, (F.col("_mid") + F.col("_shift")).cast("bigint"))
     return out.select(name, *df.columns)
 
 

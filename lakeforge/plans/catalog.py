@@ -57,6 +57,7 @@ from lakeforge.sources import (
     reload_variant,
     replace_table,
     schemas,
+    stored_buckets,
     stored_model,
     table_inventory,
 )
@@ -185,13 +186,14 @@ def _health_visits(spark, sf_dir):
     return health.visits_transform(b["visits"], b["patients"], b["doctors"], b["hospitals"])
 
 
-def _health_star(spark, sf_dir):
+def _health_facts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Treatments, and visits with what their patient, doctor and hospital add, stored in buckets of the visit id."""
+    names = ("customer", "supplier", "nation", "orders", "lineitem")
+    inputs, buckets = [table_path(sf_dir, n) for n in names], 16
     b = _health_bronze(spark, sf_dir)
-    return [b[n] for n in ("treatments", "visits", "patients", "doctors", "hospitals")]
-
-
-def _health_treatments(spark, sf_dir):
-    return health.treatments_transform(*_health_star(spark, sf_dir))
+    treatments = stored_buckets(spark, "health_treatments", inputs, "visit_id", buckets, lambda: b["treatments"])
+    star = [b[n] for n in ("visits", "patients", "doctors", "hospitals")]
+    return treatments, stored_buckets(spark, "health_visits", inputs, "visit_id", buckets, lambda: health.visit_frame(*star))
 
 
 @register("health_visits")
@@ -203,7 +205,7 @@ def health_visits(spark, sf_dir):
 @register("health_treatments")
 def health_treatments(spark, sf_dir):
     """Treatment ⋈ visit ⋈ patient ⋈ doctor ⋈ hospital."""
-    return _health_treatments(spark, sf_dir)
+    return health.framed_treatments(*_health_facts(spark, sf_dir))
 
 
 @register("health_city_access")
@@ -216,7 +218,7 @@ def health_city_access(spark, sf_dir):
 @register("health_hospital_performance")
 def health_hospital_performance(spark, sf_dir):
     """A4: hospital performance."""
-    return health.hospital_performance(*_health_star(spark, sf_dir))
+    return health.framed_performance(*_health_facts(spark, sf_dir))
 
 
 @register("health_visit_summary")
@@ -228,7 +230,7 @@ def health_visit_summary(spark, sf_dir):
 @register("health_patient_value")
 def health_patient_value(spark, sf_dir):
     """Patient value."""
-    return health.patient_value(*_health_star(spark, sf_dir))
+    return health.framed_value(*_health_facts(spark, sf_dir))
 
 
 # --------------------------------------------------------------------- retail

@@ -14,7 +14,8 @@ they do not depend on how rows are partitioned, and no digit of a single
 cost is lost.
 
 Join plan (J1): visits ⋈ patients first, then doctors and hospitals; the
-largest table (treatments) is shuffled once, on visit_id. The gold tables
+largest table (treatments) is shuffled once, on visit_id, or not at all where
+both are stored in buckets of it (the ``framed_*`` functions). The gold tables
 A4 and A6 sum up treatments per visit before that join, so it moves one row
 per visit, and a distinct count of visits becomes a plain count.
 """
@@ -100,8 +101,12 @@ def patients_transform(p: DataFrame, today: dt.date) -> DataFrame:
     )
 
 
-def _visit_frame(v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
-    """visits ⋈ patients ⋈ doctors ⋈ hospitals (inner), visit-level columns."""
+def visit_frame(v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
+    """visits ⋈ patients ⋈ doctors ⋈ hospitals (inner), visit-level columns.
+
+    What every later step reads: stored in buckets of the visit id, beside
+    treatments in the same buckets, no join or sum per visit moves a row.
+    """
     vp = v.join(p.select("patient_id", F.col("name").alias("p_name")), "patient_id")
     d_ = d.select("doctor_id", F.col("name").alias("d_name"), "specialization")
     h_ = h.select("hospital_id", "hospital_name", F.col("city").alias("h_city"))
@@ -110,7 +115,7 @@ def _visit_frame(v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> Data
 
 def visits_transform(v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
     """Four-table inner star join."""
-    j = _visit_frame(v, p, d, h)
+    j = visit_frame(v, p, d, h)
     return j.select(
         F.col("visit_id").alias("patient_visit_id"),
         F.col("visit_date").cast("date").alias("patient_visit_date"),
@@ -130,8 +135,12 @@ def visits_transform(v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) ->
 
 def treatments_transform(t: DataFrame, v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
     """Five-table inner star join, one row per treatment."""
-    vx = _visit_frame(v, p, d, h)
-    j = t.join(vx, "visit_id")
+    return framed_treatments(t, visit_frame(v, p, d, h))
+
+
+def framed_treatments(t: DataFrame, frame: DataFrame) -> DataFrame:
+    """J1 over the visit frame."""
+    j = t.join(frame, "visit_id")
     return j.select(
         F.col("treatment_id").alias("patient_treatment_id"),
         F.col("visit_id").alias("patient_visit_id"),
@@ -198,8 +207,13 @@ def visit_costs(t: DataFrame) -> DataFrame:
 
 def hospital_performance(t: DataFrame, v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
     """A4: visits, treatments, average cost and success rate per hospital. A visit id occurs once in ``v``."""
+    return framed_performance(t, visit_frame(v, p, d, h))
+
+
+def framed_performance(t: DataFrame, frame: DataFrame) -> DataFrame:
+    """A4 over the visit frame."""
     n = F.sum("treatments")
-    seen = _visit_frame(v, p, d, h).join(visit_costs(t), "visit_id")
+    seen = frame.join(visit_costs(t), "visit_id")
     return seen.groupBy("hospital_id", "hospital_name", F.col("h_city").alias("hospital_city")).agg(
         F.count(F.lit(1)).alias("total_visits"),
         n.alias("total_treatments"),
@@ -222,8 +236,13 @@ def visit_summary(vt: DataFrame) -> DataFrame:
 
 def patient_value(t: DataFrame, v: DataFrame, p: DataFrame, d: DataFrame, h: DataFrame) -> DataFrame:
     """Visits, treatments, total and average spend per patient. A visit id occurs once in ``v``."""
+    return framed_value(t, visit_frame(v, p, d, h))
+
+
+def framed_value(t: DataFrame, frame: DataFrame) -> DataFrame:
+    """A6 over the visit frame."""
     total = F.sum("cost")
-    seen = _visit_frame(v, p, d, h).join(visit_costs(t), "visit_id")
+    seen = frame.join(visit_costs(t), "visit_id")
     names = [name_part("p_name", i).alias(f"patient_{n}_name") for i, n in ((1, "first"), (2, "last"))]
     return seen.groupBy("patient_id", *names).agg(
         F.count(F.lit(1)).alias("total_visits"),

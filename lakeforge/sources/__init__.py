@@ -17,6 +17,7 @@ from lakeforge.sources.tables import (  # noqa: F401
     publish,
     reload_variant,
     replace_table,
+    stored_buckets,
     stored_model,
     table_inventory,
     write_or_upsert,

@@ -345,15 +345,8 @@ class HistoryTable:
             versions.unpersist()
 
 
-def stored_model(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[str], None]) -> str:
-    """The folder of a model that is built once and then read by every query that needs it.
-
-    ``build(folder)`` writes the model's tables. The folder, in the shared
-    one, is named after the files of ``inputs`` (paths, sizes, times), so a
-    changed input builds anew, and after the application, so that no other
-    program's model is taken. It appears, complete, by a rename; of two
-    builders at the same time one is kept.
-    """
+def _seen(spark: SparkSession, inputs: Sequence[str]) -> str:
+    """A name for this application and the files of ``inputs`` (paths, sizes, times)."""
     seen = [spark.sparkContext.applicationId]
     for path in inputs:
         fs, p, _ = _fs(spark, path)
@@ -361,8 +354,19 @@ def stored_model(spark: SparkSession, name: str, inputs: Sequence[str], build: C
         while files.hasNext():
             st = files.next()
             seen.append(f"{st.getPath()} {st.getLen()} {st.getModificationTime()}")
-    digest = hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:16]
-    root = f"{checkpoint_root(spark).rstrip('/')}/lakeforge/models/{name}-{digest}"
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:16]
+
+
+def stored_model(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[str], None]) -> str:
+    """The folder of a model that is built once and then read by every query that needs it.
+
+    ``build(folder)`` writes the model's tables. The folder, in the shared
+    one, is named after the files of ``inputs``, so a changed input builds
+    anew, and after the application, so that no other program's model is
+    taken. It appears, complete, by a rename; of two builders at the same
+    time one is kept.
+    """
+    root = f"{checkpoint_root(spark).rstrip('/')}/lakeforge/models/{name}-{_seen(spark, inputs)}"
     fs, folder, jvm = _fs(spark, root)
     if not fs.exists(folder):
         attempt = f"{root}.{uuid.uuid4().hex[:12]}"
@@ -372,6 +376,22 @@ def stored_model(spark: SparkSession, name: str, inputs: Sequence[str], build: C
     return root
 
 
+def stored_buckets(spark: SparkSession, name: str, inputs: Sequence[str], key: str, buckets: int, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` as a table stored in buckets of ``key``, sorted within them; built once, as ``stored_model``.
+
+    Tables with the same key and number of buckets join, and sum up per key,
+    without an exchange. The catalog of the application knows the table; its
+    files are in the shared folder. The number of buckets is the table's
+    size over what one task should read, and the caller's to choose.
+    """
+    table = f"{name}_{_seen(spark, inputs)}"
+    if not spark.catalog.tableExists(table):
+        path = f"{checkpoint_root(spark).rstrip('/')}/lakeforge/models/{table}"
+        dealt = build().repartition(buckets, key)  # one file per bucket
+        dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def write_or_upsert(spark: SparkSession, df: DataFrame, root: str, keys: Sequence[str]) -> int:
     """The table-exists test, then upsert, or the first full write."""
     return VersionedTable(spark, root).upsert(df, keys)

@@ -12,13 +12,21 @@ Documents that share a prefix shingle form a bucket. Of a bucket of up to
 ``SMALL`` rows all pairs that pass the length and positional filters are
 candidates. Larger ones are worked off in rounds: some members of each, of
 any component but the bucket's largest, are its pivots and are paired with
-all members of *other components* that pass the length, positional and
-suffix filters; each new pair is verified once, links merge components, pivots
-leave. A bucket whose members are all of one component is closed. Pivots
+all members of *other components* that pass the length, positional, parity
+and suffix filters; each new pair is verified once, links merge components,
+pivots leave. A bucket whose members are all of one component is closed. Pivots
 grow by a rising factor every round, so rounds grow slower than the logarithm
 of the largest bucket, while a bucket of near copies closes after one or two: no
 link between components is missed and no group is expanded into all its
 pairs.
+
+The parity filter is part of that pairing's join condition: every set has a
+bitmap in which each shingle flips one bit. Common shingles cancel out, so
+two bitmaps differ in no more bits than the sets do in shingles, and of a
+link that is a seventh of both sizes at most. Texts that share passages but
+are no copies, or fall short of the bound, hardly ever become a row. Nor does
+a pair become one in every bucket that it shares: it meets in that of its
+first common shingle, the only one whose positional filter is its own.
 """
 
 from __future__ import annotations
@@ -46,6 +54,8 @@ SMALL = 16
 GROWTH = 8
 #: Least and most ranges of hashes whose counts bound an overlap; a set has one for about four of its shingles.
 RANGES = (64, 4096)
+#: 64-bit words of a parity bitmap.
+PARITY = 16
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -97,6 +107,12 @@ def range_counts(tokens: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(where, minlength=1 << bits), 255).astype(np.uint8)
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """A bitmap, as ``PARITY`` 64-bit words, in which every hash flips one bit."""
+    bits = np.bincount(((tokens >> np.uint64(16)) % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def common_bound(left: list[bytes], right: list[bytes]) -> np.ndarray:
     """The most shingles that each pair of sets can share, by their range counts: those in
     different ranges cannot meet, so the smaller count of each range bounds the overlap.
@@ -116,7 +132,7 @@ def common_bound(left: list[bytes], right: list[bytes]) -> np.ndarray:
 
 
 def shingle_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``rk, doc_id, n, digest, ranges, run`` per row; and rows without ``digest`` that list, for
+    """``rk, doc_id, n, digest, ranges, parity, run`` per row; and rows without ``digest`` that list, for
     their task, the shingles that several of its documents have, with counts."""
     id_type = dict(rows.dtypes)["doc_id"]
 
@@ -124,17 +140,18 @@ def shingle_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
         words, task, held, size = WordHashes(), TaskContext.get().partitionId(), [], 0
         kinds: list = []
 
-        def table(rk, doc_id, n, digest, ranges, often, counts) -> pa.RecordBatch:
-            values = (rk, doc_id, n, digest, ranges, [task] * len(rk), often, counts)
-            types = (pa.int64(), kinds[0], pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            return pa.record_batch([pa.array(v, t) for v, t in zip(values, types)], ["rk", "doc_id", "n", "digest", "ranges", "run", "often", "counts"])
+        def table(rk, doc_id, n, digest, ranges, parities, often, counts) -> pa.RecordBatch:
+            values = (rk, doc_id, n, digest, ranges, parities, [task] * len(rk), often, counts)
+            longs = pa.list_(pa.int64())
+            types = (pa.int64(), kinds[0], pa.int64(), pa.binary(), pa.binary(), longs, pa.int32(), longs, longs)
+            return pa.record_batch([pa.array(v, t) for v, t in zip(values, types)], ["rk", "doc_id", "n", "digest", "ranges", "parity", "run", "often", "counts"])
 
         def frequent() -> pa.RecordBatch:
             nonlocal held, size
             value, count = np.unique(np.concatenate(held), return_counts=True)
             often = count > 2
             held, size = [], 0
-            return table(*[[None]] * 5, [_signed(value[often])], [count[often]])
+            return table(*[[None]] * 6, [_signed(value[often])], [count[often]])
 
         for batch in text_slices(batches, "text"):
             kinds[:] = [batch.schema.field("doc_id").type]
@@ -142,7 +159,7 @@ def shingle_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
             sets = [shingles(t, words, width) for t in batch.column("text").to_pylist()]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             blank = [None] * len(sets)
-            yield table(batch.column("rk").to_pylist(), batch.column("doc_id").to_pylist(), [len(s) for s in sets], digests, [range_counts(s).tobytes() for s in sets], blank, blank)
+            yield table(batch.column("rk").to_pylist(), batch.column("doc_id").to_pylist(), [len(s) for s in sets], digests, [range_counts(s).tobytes() for s in sets], [parity(s) for s in sets], blank, blank)
             held += sets
             size += sum(map(len, sets))
             if size > 4 << 20:
@@ -150,7 +167,7 @@ def shingle_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
         if size:
             yield frequent()
 
-    schema = f"rk long, doc_id {id_type}, n long, digest binary, ranges binary, run int, often array<long>, counts array<long>"
+    schema = f"rk long, doc_id {id_type}, n long, digest binary, ranges binary, parity array<long>, run int, often array<long>, counts array<long>"
     return rows.mapInArrow(run, schema)
 
 
@@ -259,6 +276,12 @@ def passes(n, place, m, at, least=F.least, greatest=F.greatest):
     return (4 * least(n, m) >= 3 * greatest(n, m)) & (7 * least(n - place, m - at) >= 3 * (n + m))
 
 
+def alike(left: list[str], right: list[str]):
+    """Parity filter, of columns: the sets that the bitmaps are of may link."""
+    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(left, right)), F.lit(0))
+    return 7 * differ <= F.col("n") + F.col("p_n")
+
+
 def token_sets(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(rk, tokens)``: sorted 64-bit hashes, as bytes."""
 
@@ -323,7 +346,10 @@ def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
 
 def link_classes(members: DataFrame, tested: DataFrame, sets: DataFrame, ranges: DataFrame) -> DataFrame | None:
     """``(node, root)`` of the linked classes, from the members of large buckets and the
-    screened pairs of small ones; None if no two link."""
+    screened pairs of small ones; None if no two link. Members have their bitmap's words
+    ``w0``, ``w1``, ... and ``listed``, their shingles of large buckets by place."""
+    words = [f"w{i}" for i in range(PARITY)]
+    theirs = [f"p_{w}" for w in words]
     roots = merged(None, materialize(verify(tested, sets), "links"))
     pivots_per_bucket, factor = 1, GROWTH
     while True:
@@ -338,9 +364,11 @@ def link_classes(members: DataFrame, tested: DataFrame, sets: DataFrame, ranges:
         if labelled.isEmpty():
             return roots
         slot = F.pmod(F.xxhash64("rk"), F.lit(pivots_per_bucket))
-        pivots = labelled.where("root <> main").groupBy("token", slot.alias("slot")).agg(F.min(F.struct("rk", "n", "place", "root")).alias("p"))
-        pivots = materialize(pivots.select("token", "p.*").toDF("token", "p_rk", "p_n", "p_place", "p_root"), "pivots")
-        good = (F.col("root") != F.col("p_root")) & passes(F.col("n"), F.col("place"), F.col("p_n"), F.col("p_place"))
+        pivots = labelled.where("root <> main").groupBy("token", slot.alias("slot")).agg(F.min(F.struct("rk", "n", "place", "root", *words, "listed")).alias("p"))
+        pivots = materialize(pivots.select("token", "p.*").toDF("token", "p_rk", "p_n", "p_place", "p_root", *theirs, "p_listed"), "pivots")
+        good = (F.col("root") != F.col("p_root")) & passes(F.col("n"), F.col("place"), F.col("p_n"), F.col("p_place")) & alike(words, theirs)
+        # all sets are ordered alike, so this is the first common shingle of both
+        good = good & (F.get(F.array_intersect("listed", "p_listed"), F.lit(0)) == F.col("token"))
         ends = F.least("rk", "p_rk").alias("a"), F.greatest("rk", "p_rk").alias("b")
         pairs = labelled.join(pivots, "token").where(good).select(*ends).distinct()
         pairs = materialize(screened(pairs.join(tested, ["a", "b"], "left_anti"), ranges), "pairs")
@@ -362,7 +390,7 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = keyed_texts(df, id_col, text_col)
     found = materialize(shingle_sets(rows, width), "shingle_sets")
-    docs = found.where("digest IS NOT NULL").select("rk", "doc_id", "n", "digest", "ranges", "run")
+    docs = found.where("digest IS NOT NULL").select("rk", "doc_id", "n", "digest", "ranges", "parity", "run")
     # Classes of equal sets, per task first: neither the sums nor the way back meet a large class in one task.
     filled = docs.where("n > 0")
     best = [F.min("rk").alias("rep"), F.min("doc_id").alias("low")]
@@ -382,7 +410,11 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = materialize(candidates(prefix_rows(reps, often, rank, width)), "buckets")
     listed = buckets.where("other IS NOT NULL").select(F.col("rk").alias("a"), F.col("other").alias("b")).distinct()
     tested = materialize(screened(listed, ranges), "pairs")
+    maps = docs.select("rk", *[F.col("parity")[i].alias(f"w{i}") for i in range(PARITY)])
     members = buckets.where("other IS NULL").drop("other")
+    placed = F.sort_array(F.collect_list(F.struct("place", "token")))  # no longer than a prefix
+    own = members.groupBy("rk").agg(F.transform(placed, lambda p: p["token"]).alias("listed"))
+    members = materialize(members.join(maps.hint("merge"), "rk").join(own, "rk"), "members")
     ends = tested.select(F.explode(F.array("a", "b")).alias("rk")).unionByName(members.select("rk")).distinct()
     sets = bucketed(token_sets(rows.join(ends.hint("merge"), "rk", "left_semi"), width), "token_sets", "rk")
     roots = link_classes(members, tested, sets, ranges)

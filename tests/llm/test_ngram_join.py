@@ -146,3 +146,14 @@ def test_range_counts_bound_every_overlap():
     assert 7 * bound[2 * len(sets) + 3] < 3 * (300 + 330)  # unrelated sets are told apart
     crowded = np.arange(1000, dtype=np.uint64)
     assert ngram_join.common_bound([ngram_join.range_counts(crowded).tobytes()], [ngram_join.range_counts(crowded).tobytes()])[0] >= 1000
+
+
+def test_parity_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 146, 3000):
+        for changed in (0, 1, n // 10, n // 2):
+            a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            b = np.concatenate((a[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)))
+            differ = int(np.bitwise_count(ngram_join.parity(a) ^ ngram_join.parity(b)).sum())
+            assert differ <= 2 * changed and (differ == 0) == (changed == 0)
+            assert len(ngram_join.parity(a)) == ngram_join.PARITY

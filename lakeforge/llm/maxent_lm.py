@@ -15,11 +15,14 @@ so that the probabilities of a history add up to one.
 
 All counts are over all training texts. The frequent words (``HEAD`` at
 most) are known to every task; the others' counts are joined by shuffle.
-Each update of the weights is one pass over all training texts: tasks
-sum what the model expects of every feature and class, the sums are added
-up in a tree, and the driver moves the weights (``ROWS`` x ``CLASSES``,
-whatever the corpus) along the gradient, until the likelihood of the
-training texts settles.
+
+Training texts are dealt to ``SLICES`` slices by hash. An update passes over
+one slice: tasks sum what every feature saw of each class, and what the
+model expected, the sums are added up in a tree, and the driver moves the
+weights (``ROWS`` x ``CLASSES``, whatever the corpus) along the gradient by
+falling steps. All slices have their turn, and again, until the likelihood
+of texts that the model has not just been fitted to settles; a large corpus
+settles while it is read for the first time.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import documents, keyed_texts, materialize, text_slices
+from lakeforge.llm.common import documents, keyed_texts, materialize, scratch_path, text_slices
 
 #: Most words that every task gets with their counts.
 HEAD = 1 << 18
@@ -49,9 +52,11 @@ KINDS = (1 << 15, 1 << 14, 1 << 14)
 ROWS = sum(KINDS)
 BLOCK = 1 << 10
 #: Tokens worked on at a time: their scores fit in a processor's cache.
-CHUNK = 1 << 14
-#: Steps of the first update and of the others, and the count that damps rare features.
-STEPS, DAMPING = (2.0, 1.0), 4.0
+CHUNK = 1 << 13
+#: Slices of the training texts; an update reads one.
+SLICES = 8
+#: The first updates' steps; those of later ones fall as 2 / (number of the update - 1). The count that damps rare features.
+STEPS, DAMPING = (2.0, 1.0, 1.0), 4.0
 #: The likelihood has settled once an update adds less to a token's mean log probability (natural logarithm).
 SETTLED = 0.01
 #: Every document whose crc32(id) leaves this remainder is held out.
@@ -176,33 +181,35 @@ def count_words(train: DataFrame) -> DataFrame:
 
 
 def add_up(sums: DataFrame, size: int) -> np.ndarray:
-    """The total of ``(block, values)`` rows of 64-bit floats, by two rounds of partial sums; ``size`` blocks.
+    """The total of ``(block, values)`` rows of 32-bit floats, by two rounds of partial sums; ``size`` blocks of one length.
 
     The driver's JVM is asked to collect what refers to the shuffles, as in
     ``materialize``: updates do not pile up on disks.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, values in zip(batch.column("block").to_pylist(), batch.column("values")):
-                part = np.frombuffer(values.as_buffer(), np.float64)
-                total[block] = total[block] + part if block in total else part.copy()
-        for block, values in sorted(total.items()):
-            yield pa.record_batch([pa.array([block], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["block", "values"])
+    def adder(kind):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for block, values in zip(batch.column("block").to_pylist(), batch.column("values")):
+                    part = np.frombuffer(values.as_buffer(), kind).astype(np.float64)
+                    total[block] = total[block] + part if block in total else part
+            for block, values in sorted(total.items()):
+                yield pa.record_batch([pa.array([block], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["block", "values"])
+
+        return run
 
     schema = "block int, values binary"
-    once = sums.repartition("block", "salt").drop("salt").mapInArrow(run, schema)
-    rows = once.repartition("block").mapInArrow(run, schema).collect()  # a fixed number of blocks
+    once = sums.repartition("block", "salt").drop("salt").mapInArrow(adder(np.float32), schema)
+    rows = once.repartition("block").mapInArrow(adder(np.float64), schema).collect()  # a fixed number of blocks
     sums.sparkSession.sparkContext._jvm.System.gc()
     total = {r["block"]: np.frombuffer(r["values"], np.float64) for r in rows}
-    width = max(map(len, total.values()), default=0)
-    return np.concatenate([total.get(b, np.zeros(width)) for b in range(size)])
+    return np.concatenate([total.get(b, np.zeros(BLOCK * CLASSES)) for b in range(size)])
 
 
 def blocks_of(values: np.ndarray, salt: int) -> Iterator[pa.RecordBatch]:
     """A task's sums as rows for ``add_up``; blocks of zeros are left out."""
-    for b, part in enumerate(values.reshape(-1, BLOCK * CLASSES)):
+    for b, part in enumerate(values.astype(np.float32, copy=False).reshape(-1, BLOCK * CLASSES)):
         if part.any():
             yield pa.record_batch([pa.array([b], pa.int32()), pa.array([salt], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "salt", "values"])
 
@@ -270,76 +277,105 @@ def cluster_words(words: list[bytes], counts: np.ndarray, after: np.ndarray) ->
 
 def observed(train: DataFrame, shared: Broadcast) -> np.ndarray:
     """Counts of every feature row with every class."""
+    return sums_of(train, shared, None)[0]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, total = shared.value, np.zeros(ROWS * CLASSES)
-        for batch in text_slices(batches, "text"):
-            ids, classes, ends, _ = vocabulary.code(batch.column("text").to_pylist())
-            for rows in histories(ids, classes, ends, len(vocabulary.words)):
-                total += np.bincount(rows.astype(np.int64) * CLASSES + classes, minlength=ROWS * CLASSES)
-        yield from blocks_of(total, task_salt())
 
-    return add_up(train.select("text").mapInArrow(run, SUMS), ROWS // BLOCK).reshape(ROWS, CLASSES)
+def expected(train: DataFrame, shared: Broadcast, weights: Broadcast) -> np.ndarray:
+    """What the model expects of ``observed``."""
+    return sums_of(train, shared, weights)[1]
 
 
-def model_sums(train: DataFrame, shared: Broadcast, weights: Broadcast) -> tuple[np.ndarray, float]:
-    """What the model expects of ``observed``, and the log probability that it gives to all classes."""
+def sums_of(train: DataFrame, shared: Broadcast, weights: Broadcast | None) -> tuple[np.ndarray, np.ndarray, float, float, float]:
+    """``observed``; what the model expects of it (zeros without ``weights``); the log probability that
+    the model, and its bias alone, give to all classes; and the number of tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, total, w, likelihood = shared.value, np.zeros((ROWS, CLASSES)), weights.value, 0.0
+        vocabulary, w = shared.value, weights.value if weights else None
+        seen, model, told = np.zeros(ROWS * CLASSES, np.float32), np.zeros((ROWS, CLASSES), np.float32), np.zeros(3)
         for batch in text_slices(batches, "text"):
             ids, classes, ends, _ = vocabulary.code(batch.column("text").to_pylist())
             every = histories(ids, classes, ends, len(vocabulary.words))
-            for begin in range(0, len(ids), CHUNK):
-                part = every[:, begin : begin + CHUNK]
+            for rows in every:
+                at, count = np.unique(rows.astype(np.int32) * CLASSES + classes, return_counts=True)
+                seen[at] += count
+            told[2] += len(ids)
+            for begin in range(0, len(ids) if weights else 0, CHUNK):
+                part, own = every[:, begin : begin + CHUNK], classes[begin : begin + CHUNK]
                 p = class_probabilities(w, part)
-                own = p[np.arange(len(p)), classes[begin : begin + CHUNK]]
-                likelihood += float(np.log(np.maximum(own, 1e-30)).sum(dtype=np.float64))
+                told[0] += np.log(np.maximum(p[np.arange(len(p)), own], 1e-30)).sum(dtype=np.float64)
+                told[1] += w[-1][own].sum(dtype=np.float64)
                 for rows in part:
                     order = np.argsort(rows, kind="stable")
                     in_order = rows[order]
                     first = np.flatnonzero(np.concatenate(([True], in_order[1:] != in_order[:-1])))
-                    total[in_order[first]] += np.add.reduceat(p[order], first, axis=0)
+                    model[in_order[first]] += np.add.reduceat(p[order], first, axis=0)
         salt = task_salt()
-        yield from blocks_of(total.ravel(), salt)
-        last = np.array([likelihood])
-        yield pa.record_batch([pa.array([ROWS // BLOCK], pa.int32()), pa.array([salt], pa.int32()), pa.array([last.tobytes()], pa.binary())], ["block", "salt", "values"])
-
-    sums = add_up(train.select("text").mapInArrow(run, SUMS), ROWS // BLOCK + 1)
-    return sums[: ROWS * CLASSES].reshape(ROWS, CLASSES), float(sums[ROWS * CLASSES])
-
-
-def expected(train: DataFrame, shared: Broadcast, weights: Broadcast) -> np.ndarray:
-    """What the model expects of ``observed``."""
-    return model_sums(train, shared, weights)[0]
+        yield from blocks_of(seen, salt)
+        for batch in blocks_of(model.ravel(), salt):
+            yield batch.set_column(0, "block", pa.array([batch.column("block")[0].as_py() + ROWS // BLOCK], pa.int32()))
+        last = np.zeros(BLOCK * CLASSES, np.float32)
+        last[:9] = _parts(told)
+        yield pa.record_batch([pa.array([2 * ROWS // BLOCK], pa.int32()), pa.array([salt], pa.int32()), pa.array([last.tobytes()], pa.binary())], ["block", "salt", "values"])
+
+    # A task's sums are as large as the weights: as many tasks as there are cores, and not as splits of the texts.
+    tasks = train.sparkSession.sparkContext.defaultParallelism
+    sums = add_up(train.select("text").coalesce(tasks).mapInArrow(run, SUMS), 2 * ROWS // BLOCK + 1)
+    seen, model = sums[: 2 * ROWS * CLASSES].reshape(2, ROWS, CLASSES)
+    told = sums[2 * ROWS * CLASSES :][:9].reshape(3, 3).sum(0)
+    return seen, model, *map(float, told)
+
+
+def _parts(values: np.ndarray) -> np.ndarray:
+    """64-bit floats as sums of three 32-bit ones, one row each."""
+    out = np.zeros((3, len(values)), np.float32)
+    for row in out:
+        row[:] = values
+        values = values - row
+    return out.ravel()
 
 
 def train_weights(train: DataFrame, shared: Broadcast) -> np.ndarray:
-    """Class weights per feature row, and the bias in the last row.
-
-    Updates go on until one gains less than ``SETTLED`` a token. One that
-    loses likelihood is taken back and tried with half the step, so the
-    updates end.
+    """Class weights per feature row, and the bias in the last row, from texts with a row key ``rk``.
+
+    Every slice is read at least once. After a round over all slices the
+    training ends if its second half rose by less than ``SETTLED`` a token
+    and update (the slope of a line through it), or the round as a whole
+    gained less on the one before; gains are over the bias alone on the same
+    texts, so that slices compare. Steps fall, so the gains do and the
+    rounds end.
     """
-    seen = observed(train, shared)
-    tokens = seen[: KINDS[0]].sum(0)  # every token has one row of each kind
-    prior = (tokens + 0.5) / (tokens.sum() + 0.5 * CLASSES)
+    spark = train.sparkSession
+    path = scratch_path(spark, "slices")
+    train.withColumn("slice", F.pmod(F.xxhash64("rk"), F.lit(SLICES))).select("text", "slice").write.partitionBy("slice").parquet(path)
+    texts = spark.read.schema("text string, slice int").parquet(path)
+    mass = class_mass(shared.value)
     weights = np.zeros((ROWS + 1, CLASSES))
-    weights[-1] = np.log(prior)
-    # The bias alone expects the prior everywhere.
-    model, likelihood = seen.sum(1, keepdims=True) * prior, float(tokens @ np.log(prior))
-    step, gain = STEPS[0], np.inf
-    while gain >= SETTLED or (gain < 0 and step > STEPS[1] / 1024):
-        tried = weights.copy()
-        tried[:-1] += step * (seen - model) / (np.maximum(seen, model) + DAMPING)
-        told = train.sparkSession.sparkContext.broadcast(tried.astype(np.float32))
-        model_there, there = model_sums(train, shared, told)
-        told.unpersist()
-        gain = (there - likelihood) / tokens.sum()
-        if gain >= 0:
-            weights, model, likelihood = tried, model_there, there
-        step = min(step, STEPS[1]) if gain >= 0 else step / 2
-    return weights.astype(np.float32)
+    weights[-1] = np.log((mass + 0.5) / (mass.sum() + 0.5 * CLASSES))
+    gains: list[float] = []
+    updates = 0
+    while True:
+        round_ = []
+        for i in range(SLICES):
+            told = spark.sparkContext.broadcast(weights.astype(np.float32))
+            seen, model, there, bias, tokens = sums_of(texts.where(F.col("slice") == i), shared, told)
+            told.unpersist()
+            if not tokens:
+                continue
+            round_.append((there - bias) / tokens)
+            updates += 1
+            step = STEPS[updates - 1] if updates <= len(STEPS) else 2 / (updates - 1)
+            weights[:-1] += step * (seen - model) / (np.maximum(seen, model) + DAMPING)
+        gains.append(float(np.mean(round_)) if round_ else 0.0)
+        late = round_[len(round_) // 2 :]
+        if len(late) < 2 or np.polyfit(range(len(late)), late, 1)[0] < SETTLED or (len(gains) > 1 and gains[-1] - gains[-2] < SETTLED):
+            return weights.astype(np.float32)
+
+
+def class_mass(vocabulary: Vocabulary) -> np.ndarray:
+    """Training tokens of each class."""
+    mass = np.bincount(vocabulary.head_classes(), vocabulary.counts, CLASSES).astype(np.float64)
+    mass[REST : REST + CLUSTERS] += vocabulary.rest[:, 0]
+    return mass
 
 
 def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", train=None, head: int = HEAD) -> DataFrame:

@@ -135,20 +135,57 @@ def test_gradient_sums_match_plain_sums(spark):
 
 
 def test_three_bands_and_updates_until_the_likelihood_settles(spark, monkeypatch):
-    docs = documents(spark, "/root/testdata/sf0.001").select("text").where("text IS NOT NULL").limit(200)
+    docs = documents(spark, "/root/testdata/sf0.001").selectExpr("doc_id AS rk", "text").where("text IS NOT NULL").limit(200)
     words = Counter(w for r in docs.collect() for w in [*r["text"].encode().lower().split(), b""])
     listed = sorted(words, key=lambda w: (-words[w], w))
     v = maxent_lm.Vocabulary(listed, np.array([words[w] for w in listed]), sum(words.values()), len(words))
     v.set_clusters(np.zeros(len(listed)), np.ones((1, maxent_lm.CLUSTERS)))
     assert len({int(c) for w, c in zip(listed, v.head_classes()) if w}) == 1 + sum(len(listed) > b for b in (64, 1024))
-    told, sums = [], maxent_lm.model_sums
-    monkeypatch.setattr(maxent_lm, "model_sums", lambda *a: told.append(sums(*a)) or told[-1])
+    told, sums = [], maxent_lm.sums_of
+    monkeypatch.setattr(maxent_lm, "sums_of", lambda *a: told.append(sums(*a)) or told[-1])
     shared = spark.sparkContext.broadcast(v)
     weights = maxent_lm.train_weights(docs, shared)
     ids, classes, ends, _ = v.code([r["text"] for r in docs.collect()])
     p = maxent_lm.class_probabilities(weights, maxent_lm.histories(ids, classes, ends, len(listed)))
-    reached = float(np.log(p[np.arange(len(p)), classes].astype(np.float64)).sum())
-    likelihoods = [one for _, one in told]
-    assert math.isclose(reached, max(likelihoods), rel_tol=1e-4)
-    assert len(told) > 2 and reached > likelihoods[1]
-    assert 0 <= (likelihoods[-1] - max(likelihoods[:-1])) / len(ids) < maxent_lm.SETTLED
+    reached = np.log(p[np.arange(len(p)), classes].astype(np.float64)).mean()
+    # every slice in every round, and all tokens in a round
+    n = maxent_lm.SLICES
+    assert len(told) % n == 0
+    for r in range(0, len(told), n):
+        assert sum(t[4] for t in told[r : r + n]) == len(ids)
+    bias = np.log((maxent_lm.class_mass(v) + 0.5) / (len(ids) + 0.5 * maxent_lm.CLASSES))[classes].mean()
+    assert sum(t[3] for t in told[:n]) / len(ids) == pytest.approx(bias, rel=1e-4)
+    rounds = [np.mean([(t[2] - t[3]) / t[4] for t in told[r : r + n]]) for r in range(0, len(told), n)]
+    assert rounds == sorted(rounds) and reached - bias > rounds[-1] > 0
+
+
+def test_scores_match_a_plain_recomputation(spark):
+    """Token by token from the weights: class softmax, share of the word in its class, counts of other words."""
+    texts = ["A b a  c", "", "new b a Newer new", None, "c " * 50 + "other"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "rk long, text string").selectExpr("rk", "coalesce(text, '') AS text")
+    listed, counts = [b"a", b"b", b"", b"c"], [40, 30, 9, 20]
+    v = maxent_lm.Vocabulary(listed, np.array(counts), 120, 11)
+    v.set_clusters(np.arange(4), np.random.default_rng(2).normal(size=(64, maxent_lm.CLUSTERS)))
+    v.rest = np.arange(2 * maxent_lm.CLUSTERS).reshape(-1, 2) + 3
+    weights = np.random.default_rng(1).normal(size=(maxent_lm.ROWS + 1, maxent_lm.CLASSES)).astype(np.float32)
+    context = spark.sparkContext
+    got = {r["rk"]: r for r in maxent_lm.score_known(rows, context.broadcast(v), context.broadcast(weights)).collect()}
+    kinds = v.head_classes().tolist()
+    for rk, text in enumerate(texts):
+        tokens = (text or "").lower().encode().split() + [b""]
+        classes = [kinds[listed.index(t)] if t in listed else maxent_lm.REST + int(v.cluster_of([t])[0]) for t in tokens]
+        ids = np.array([listed.index(t) if t in listed else 4 for t in tokens])
+        features = maxent_lm.histories(ids, np.array(classes, np.int8), np.array([len(ids)]), 4)
+        score = base = 0.0
+        for t, c, f in zip(tokens, classes, features.T):
+            z = [float(sum(weights[r, k] for r in f) + weights[-1, k]) for k in range(maxent_lm.CLASSES)]
+            score += math.log10(math.exp(z[c]) / sum(map(math.exp, z)))
+            base -= math.log10(120 + 11 + 1)
+            if t in listed:
+                i = listed.index(t)
+                score += math.log10(counts[i] / sum(n for n, k in zip(counts, kinds) if k == c))
+                base += math.log10(counts[i] + 1)
+            else:
+                score -= math.log10(v.rest[c - maxent_lm.REST].sum() + 1)
+        assert got[rk]["score"] == pytest.approx(score, rel=1e-4) and got[rk]["base"] == pytest.approx(base, rel=1e-9)
+        assert Counter(dict(zip(got[rk]["others"], got[rk]["times"]))) == Counter(t for t in tokens if t not in listed)

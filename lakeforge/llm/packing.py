@@ -18,6 +18,7 @@ sums of the tasks' counts, so no length is gathered in one task.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
 from collections import Counter
@@ -35,6 +36,14 @@ from pyspark.sql import functions as F
 from lakeforge.llm.common import documents, materialize, text_slices, vocabulary, with_key
 
 CAPACITY = 4096
+#: Fixed values of the vocabulary file: the rules that ``WordIds`` knows by heart.
+KNOWN_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 PIECE_SCHEMA = "rk long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
@@ -76,7 +85,8 @@ class PieceEncoder:
     text's ids are its chunks' ids in order. The memory is bounded: once it
     holds ``limit`` chunks, those that came only once are forgotten (or all,
     if that frees too little), and texts with chunks of more than
-    ``long_chunk`` characters are encoded whole.
+    ``long_chunk`` characters are encoded whole. A vocabulary file with other
+    rules than ``KNOWN_RULES`` encodes every text whole.
     """
 
     #: Python's split() takes these as white space, the tokenizer does not.
@@ -88,6 +98,8 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        rules = json.loads(self.tokenizer.to_str())
+        self.known = all(rules[k] == v for k, v in KNOWN_RULES.items())
         self.limit, self.long_chunk = limit, long_chunk
         self._reset()
 
@@ -119,6 +131,8 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens added."""
+        if not self.known:
+            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         if len(self.index) > self.limit:
             self._trim()
         whole: dict[int, np.ndarray] = {}

@@ -195,3 +195,14 @@ def test_chunk_rules_equal_the_tokenizer():
         part = texts[begin : begin + 400]
         for text, ids in zip(part, encoder.encode(part)):
             assert encoder.tokenizer.encode(text, add_special_tokens=False).ids == ids.tolist(), text
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_packing_ids_with_other_tokenizers(name):
+    """A file with other rules than the known ones is encoded by its library."""
+    from tokenizers import Tokenizer
+
+    texts = ["Hello World, it's ME\n\n and 12 déjà-vu 漢字", "", " a  B\tc", "x" * 900, "I I I"]
+    library = Tokenizer.from_file(vocabulary(name))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in packing.PieceEncoder(vocabulary(name)).encode(texts)] == want

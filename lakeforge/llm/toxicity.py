@@ -134,6 +134,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     The sample takes the smallest hashes of the ids. A row with several
     labels counts as toxic if any says so; null labels and ids don't count.
+    Of several texts under one id the smallest is taken.
     """
     marks = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -148,8 +149,8 @@ def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             found = pa.array([np.array(sorted(f), np.int32) for f in found], pa.list_(pa.int32()))
             yield pa.record_batch([batch.column("place"), batch.column("toxic"), found], ["place", "toxic", "found"])
 
-    sampled = short.join(F.broadcast(chosen), "id").select("place", F.col("toxic").cast("int").alias("toxic"), "text")
-    table = sampled.mapInArrow(run, "place long, toxic int, found array<int>").limit(4 * sample).toArrow()
+    sampled = short.join(F.broadcast(chosen), "id").groupBy("id", "place", F.col("toxic").cast("int").alias("toxic")).agg(F.min("text").alias("text"))
+    table = sampled.drop("id").mapInArrow(run, "place long, toxic int, found array<int>").toArrow()  # a row per chosen id
     table = table.sort_by("place").combine_chunks()  # the sums below don't depend on the tasks' order
     if not len(table):
         return fit_ordinal(*np.zeros((3, 0), np.int64))

@@ -140,3 +140,42 @@ def test_toxicity_odd_rows(spark, odd_rows):
     assert kept.columns == odd_rows.columns and kept.count() <= odd_rows.count()
     assert toxicity.drop_toxic(odd_rows, labels.limit(0)).count() == odd_rows.count()
     assert toxicity.drop_toxic(odd_rows.limit(0), labels).count() == 0
+
+
+def test_toxicity_of_repeated_ids_does_not_depend_on_order(spark):
+    """More rows under one id than the sample holds: the smallest text stands for it, whatever the tasks' order."""
+    rows = [(1, f"good words {i}") for i in range(60)] + [(2, f"vile filth {i}") for i in range(60)] + [(i, "vile filth" if i % 2 else "good words") for i in range(3, 40)]
+    labels = spark.createDataFrame([(i, 1 if i == 2 or (i > 2 and i % 2) else 0) for i in range(1, 40)], "doc_id long, toxic int")
+    models = [toxicity.fit_severity(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels, sample=10) for r, n in ((rows, 1), (rows[::-1], 7))]
+    assert (models[0].features == models[1].features).all() and (models[0].weights == models[1].weights).all()
+    assert (models[0].thresholds == models[1].thresholds).all()
+
+
+def test_severity_matches_a_plain_recomputation(spark, odd_rows):
+    """Every output column, word by word from the fitted weights, over a whole table and the odd rows."""
+    import math
+    import zlib
+
+    docs = documents(spark, SF).select("doc_id", "text").unionByName(odd_rows.select("doc_id", "text"))
+    model = toxicity.fit_severity(docs, read_table(spark, SF, "labels"))
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    rows = docs.collect()
+    got = sorted((tuple(r) for r in toxicity.severity(docs, model).collect()), key=repr)
+    want = []
+    for doc_id, text in rows:
+        score = 0.0
+        for word in set((text or "").lower().split()):
+            word = word.strip(toxicity.EDGE)
+            if any(c.isalpha() for c in word):
+                names = [f"w {word}"] + [f"{n} {word[:n]}" for n in (4, 5, 6) if len(word) > n]
+                score += sum(weight.get(zlib.crc32(x.encode()) % 2**20, 0.0) for x in names)
+        above = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        share = [1 - above[0], *(a - b for a, b in zip(above, above[1:])), above[-1]]
+        severity = sum(k * p for k, p in enumerate(share))
+        want.append((doc_id, severity, above[0], above[-1], share.index(max(share)), severity >= 0.5))
+    assert len(got) == len(want) and any(r[5] for r in want) and not all(r[5] for r in want)
+    by = defaultdict(list)
+    for r in want:
+        by[r[0]].append(r)
+    for r in got:
+        assert any(r[1:4] == pytest.approx(w[1:4], abs=1e-9) and r[4:] == w[4:] for w in by[r[0]])

@@ -344,12 +344,14 @@ def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return materialize(old.unionByName(new), "components")
 
 
-def link_classes(members: DataFrame, tested: DataFrame, sets: DataFrame, ranges: DataFrame) -> DataFrame | None:
+def link_classes(members: DataFrame, tested: DataFrame, sets: DataFrame, ranges: DataFrame, maps: DataFrame) -> DataFrame | None:
     """``(node, root)`` of the linked classes, from the members of large buckets and the
-    screened pairs of small ones; None if no two link. Members have their bitmap's words
-    ``w0``, ``w1``, ... and ``listed``, their shingles of large buckets by place."""
+    screened pairs of small ones; None if no two link. ``maps`` has, by ``rk``, the words
+    ``w0``, ``w1``, ... of a member's bitmap and ``listed``, its shingles of large buckets by
+    place: they join the narrow rows of the rounds for the pairing alone."""
     words = [f"w{i}" for i in range(PARITY)]
     theirs = [f"p_{w}" for w in words]
+    p_maps = maps.toDF("p_rk", *theirs, "p_listed")
     roots = merged(None, materialize(verify(tested, sets), "links"))
     pivots_per_bucket, factor = 1, GROWTH
     while True:
@@ -364,13 +366,13 @@ def link_classes(members: DataFrame, tested: DataFrame, sets: DataFrame, ranges:
         if labelled.isEmpty():
             return roots
         slot = F.pmod(F.xxhash64("rk"), F.lit(pivots_per_bucket))
-        pivots = labelled.where("root <> main").groupBy("token", slot.alias("slot")).agg(F.min(F.struct("rk", "n", "place", "root", *words, "listed")).alias("p"))
-        pivots = materialize(pivots.select("token", "p.*").toDF("token", "p_rk", "p_n", "p_place", "p_root", *theirs, "p_listed"), "pivots")
+        pivots = labelled.where("root <> main").groupBy("token", slot.alias("slot")).agg(F.min(F.struct("rk", "n", "place", "root")).alias("p"))
+        pivots = materialize(pivots.select("token", "p.*").toDF("token", "p_rk", "p_n", "p_place", "p_root"), "pivots")
         good = (F.col("root") != F.col("p_root")) & passes(F.col("n"), F.col("place"), F.col("p_n"), F.col("p_place")) & alike(words, theirs)
         # all sets are ordered alike, so this is the first common shingle of both
         good = good & (F.get(F.array_intersect("listed", "p_listed"), F.lit(0)) == F.col("token"))
         ends = F.least("rk", "p_rk").alias("a"), F.greatest("rk", "p_rk").alias("b")
-        pairs = labelled.join(pivots, "token").where(good).select(*ends).distinct()
+        pairs = labelled.join(maps, "rk").join(pivots.join(p_maps, "p_rk"), "token").where(good).select(*ends).distinct()
         pairs = materialize(screened(pairs.join(tested, ["a", "b"], "left_anti"), ranges), "pairs")
         tested = tested.unionByName(pairs)
         roots = merged(roots, materialize(verify(pairs, sets), "links"))
@@ -410,14 +412,14 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = materialize(candidates(prefix_rows(reps, often, rank, width)), "buckets")
     listed = buckets.where("other IS NOT NULL").select(F.col("rk").alias("a"), F.col("other").alias("b")).distinct()
     tested = materialize(screened(listed, ranges), "pairs")
-    maps = docs.select("rk", *[F.col("parity")[i].alias(f"w{i}") for i in range(PARITY)])
     members = buckets.where("other IS NULL").drop("other")
     placed = F.sort_array(F.collect_list(F.struct("place", "token")))  # no longer than a prefix
     own = members.groupBy("rk").agg(F.transform(placed, lambda p: p["token"]).alias("listed"))
-    members = materialize(members.join(maps.hint("merge"), "rk").join(own, "rk"), "members")
+    words = [F.col("parity")[i].alias(f"w{i}") for i in range(PARITY)]
+    maps = bucketed(docs.join(own.hint("merge"), "rk").select("rk", *words, "listed"), "bitmaps", "rk")
     ends = tested.select(F.explode(F.array("a", "b")).alias("rk")).unionByName(members.select("rk")).distinct()
     sets = bucketed(token_sets(rows.join(ends.hint("merge"), "rk", "left_semi"), width), "token_sets", "rk")
-    roots = link_classes(members, tested, sets, ranges)
+    roots = link_classes(members, tested, sets, ranges, maps)
     if roots is not None:
         placed = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -169,7 +169,6 @@ HEALTH_TODAY = dt.date(2025, 6, 30)
 
 
 def _health_bronze(spark, sf_dir):
-
     names = ("customer", "supplier", "nation", "orders", "lineitem")
     return health.bronze_from_driver({n: read_table(spark, sf_dir, n) for n in names})
 
@@ -181,7 +180,6 @@ def health_patients(spark, sf_dir):
 
 
 def _health_visits(spark, sf_dir):
-
     b = _health_bronze(spark, sf_dir)
     return health.visits_transform(b["visits"], b["patients"], b["doctors"], b["hospitals"])
 
@@ -285,7 +283,6 @@ def _second_load(combined: DataFrame) -> DataFrame:
 
 
 def _retail_stage_dept(spark, sf_dir, numbered: bool = True):
-
     b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
     return retail.stage_dept(b["department"], RETAIL_NOW1, numbered=numbered)
 
@@ -365,7 +362,6 @@ def retail_fact_history_table(spark, sf_dir):
 
 
 def _reports(spark, sf_dir):
-
     stage, history = _retail_tables(spark, sf_dir)
     ff = history.open.read()
     # The reports read DATE_ID, STORE_DATE and ISHOLIDAY only: no ROW_NUM.
@@ -474,7 +470,6 @@ def events_cdc_scd1(spark, sf_dir):
 
 
 def _product_history(spark, sf_dir):
-
     part = read_table(spark, sf_dir, "part")
     keys, cols = ["product_id"], cj.PRODUCT_CHECK_COLS
     h1 = scd2_snapshot(None, cj.product_load(part, 1), keys, cols, cj.PRODUCT_T1, case_insensitive_cols=cols)
@@ -532,7 +527,6 @@ COUNTRY_NOW = "2024-04-01 00:00:00"
 
 
 def _country_transform(spark, sf_dir):
-
     docs = countries.documents_from_driver(*(read_table(spark, sf_dir, t) for t in ("customer", "nation", "region")))
     return countries.country_transform(countries.country_raw(docs, COUNTRY_NOW), COUNTRY_NOW)
 
@@ -545,7 +539,6 @@ def country_transform(spark, sf_dir):
 
 def _mart_query(continent):
     def q(spark, sf_dir):
-
         return countries.mart(_country_transform(spark, sf_dir), continent)
 
     q.__doc__ = f"F6: continent mart for {continent}."
@@ -600,7 +593,6 @@ def _fn(name: str):
 
 
 def _fns():
-
     today = F.lit(FN_TODAY).cast("date")
     view_null = F.when(F.col("event_type") == "view", F.lit(None)).otherwise(F.col("event_type"))
     return {
@@ -676,7 +668,18 @@ def stream_quake_bronze(spark, sf_dir):
     _prep(spark)
     root = scratch_path(spark, "quake-bronze")
     _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
-    stream = json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_bytes_per_trigger=64 << 20)
+    stream = json_stream(spark, f"{root}/raw", schemas.QUAKE_FEED, multiline=False, max_bytes_per_trigger=64 << 20)
+    drain(quakes.silver_transform(stream).select(*quakes.SILVER_COLUMNS), f"{root}/bronze", f"{root}/_ckpt/bronze")
+    return spark.read.parquet(f"{root}/bronze")
+
+
+@register("stream_quake_whole_files")
+def stream_quake_whole_files(spark, sf_dir):
+    """S2, S3 as the real feed comes: a file is one JSON object over many lines, with many features."""
+    root = scratch_path(spark, "quake-files")
+    files = quakes.feed_files(quakes.feed_from_events(read_table(spark, sf_dir, "events")))
+    files.repartition("file").write.partitionBy("file").text(f"{root}/raw")  # one object to a file
+    stream = json_stream(spark, f"{root}/raw", schemas.QUAKE_FEED, max_bytes_per_trigger=64 << 20)
     drain(quakes.silver_transform(stream).select(*quakes.SILVER_COLUMNS), f"{root}/bronze", f"{root}/_ckpt/bronze")
     return spark.read.parquet(f"{root}/bronze")
 
@@ -688,7 +691,7 @@ def stream_quake_cdc_activity(spark, sf_dir):
     _prep(spark)
     root = scratch_path(spark, "quake-cdc")
     _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
-    bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", quakes.FEED_SCHEMA, multiline=False, max_files_per_trigger=4))
+    bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", schemas.QUAKE_FEED, multiline=False, max_files_per_trigger=4))
     drain(bronze, f"{root}/bronze", f"{root}/_ckpt/bronze")
     flat = table_stream(spark, f"{root}/bronze", max_files_per_trigger=4).select(*quakes.SILVER_COLUMNS)
     distinct = KeyedTable(spark, f"{root}/distinct", ["id", "updated"], buckets=16)
@@ -812,8 +815,6 @@ def csv_reload_visits(spark, sf_dir):
     return VersionedTable(spark, f"{root}/visits_raw").read()
 
 
-
-
 @register("csv_load_products")
 def csv_load_products(spark, sf_dir):
     """CSV with 'NULL' tokens loaded into a wider column list."""
@@ -959,7 +960,7 @@ def quake_gold_merge(spark, sf_dir):
     deliveries = [ev.filter(F.col("ts") < day(20)), ev.filter(F.col("ts") >= day(15))]
     for i, part in enumerate(deliveries):
         _land_json(quakes.feed_from_events(part), f"{root}/raw/{i}")
-        stream = json_stream(spark, f"{root}/raw/{i}", quakes.FEED_SCHEMA, multiline=False, max_files_per_trigger=4)
+        stream = json_stream(spark, f"{root}/raw/{i}", schemas.QUAKE_FEED, multiline=False, max_files_per_trigger=4)
         drain(stream, f"{root}/bronze/{i}", f"{root}/_ckpt/{i}")
         silver_t.upsert(quakes.silver(spark.read.parquet(f"{root}/bronze/{i}")))
         gold_t.upsert(quakes.seismic_activity(silver_t.read()), ["hash_id"])

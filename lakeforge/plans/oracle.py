@@ -521,6 +521,7 @@ FROM lineitem""",
 
 # ------------------------------------------------- sources, sinks and streams
 ORACLE["stream_quake_bronze"] = QUAKE_FLAT
+ORACLE["stream_quake_whole_files"] = QUAKE_FLAT
 ORACLE["stream_quake_cdc_activity"] = ORACLE["quake_seismic_activity"]
 ORACLE["stream_variant_landing"] = "SELECT event_id, user_id, event_type, value, props FROM events"
 ORACLE["stream_events_dedup"] = "SELECT DISTINCT * FROM events"

@@ -13,42 +13,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeforge.functions import epoch_ms_to_ts, hash_id, ts_to_epoch_ms
 from lakeforge.operators import dedup_rows, flatten_features, latest_per_key
 
-# Feed schema (bronze), fixed: one JSON object per file.
-PROPERTY_FIELDS = [
-    ("alert", T.StringType()), ("cdi", T.DoubleType()), ("code", T.StringType()),
-    ("detail", T.StringType()), ("dmin", T.DoubleType()), ("felt", T.LongType()),
-    ("gap", T.LongType()), ("ids", T.StringType()), ("mag", T.DoubleType()),
-    ("magType", T.StringType()), ("mmi", T.DoubleType()), ("net", T.StringType()),
-    ("nst", T.LongType()), ("place", T.StringType()), ("rms", T.DoubleType()),
-    ("sig", T.LongType()), ("sources", T.StringType()), ("status", T.StringType()),
-    ("time", T.LongType()), ("title", T.StringType()), ("tsunami", T.LongType()),
-    ("type", T.StringType()), ("types", T.StringType()), ("tz", T.StringType()),
-    ("updated", T.LongType()), ("url", T.StringType()),
-]
-FEED_SCHEMA = T.StructType([
-    T.StructField("bbox", T.ArrayType(T.DoubleType())),
-    T.StructField("features", T.ArrayType(T.StructType([
-        T.StructField("geometry", T.StructType([
-            T.StructField("coordinates", T.ArrayType(T.DoubleType())),
-            T.StructField("type", T.StringType()),
-        ])),
-        T.StructField("id", T.StringType()),
-        T.StructField("properties", T.StructType([T.StructField(n, t) for n, t in PROPERTY_FIELDS])),
-        T.StructField("type", T.StringType()),
-    ]))),
-    T.StructField("metadata", T.StructType([
-        T.StructField("api", T.StringType()), T.StructField("count", T.LongType()),
-        T.StructField("generated", T.LongType()), T.StructField("status", T.LongType()),
-        T.StructField("title", T.StringType()), T.StructField("url", T.StringType()),
-    ])),
-    T.StructField("type", T.StringType()),
-])
-
 # The columns of the silver table.
 SILVER_COLUMNS = [
     "id", "time", "longitude", "latitude", "depth", "mag", "magType", "place",
@@ -57,6 +25,11 @@ SILVER_COLUMNS = [
 ]
 
 
+# What the flattened feed holds as epoch milliseconds, and the counts that become doubles.
+EPOCH_COLUMNS = ["time", "updated"]
+COUNT_COLUMNS = ["nst", "sig", "tsunami", "felt"]
+
+
 def use_utc(spark) -> None:
     """Epoch ↔ timestamp conversions below are defined in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -107,7 +80,7 @@ def _position() -> tuple[F.Column, F.Column]:
 
 
 def feed_from_events(events: DataFrame) -> DataFrame:
-    """Driver ``events`` → bronze feed documents (FEED_SCHEMA)."""
+    """Driver ``events`` → bronze feed documents (``schemas.QUAKE_FEED``)."""
     ms = ts_to_epoch_ms("ts")
     lon, lat = _position()
     first = _feature(F.col("value"), ms)
@@ -133,14 +106,8 @@ def feed_from_events(events: DataFrame) -> DataFrame:
 def silver_transform(bronze: DataFrame) -> DataFrame:
     """Flatten + casts (time columns from epoch ms; counts to double)."""
     flat = flatten_features(bronze)
-    return flat.withColumns({
-        "time": epoch_ms_to_ts("time"),
-        "updated": epoch_ms_to_ts("updated"),
-        "nst": F.col("nst").cast("double"),
-        "sig": F.col("sig").cast("double"),
-        "tsunami": F.col("tsunami").cast("double"),
-        "felt": F.col("felt").cast("double"),
-    })
+    typed = {c: epoch_ms_to_ts(c) for c in EPOCH_COLUMNS} | {c: F.col(c).cast("double") for c in COUNT_COLUMNS}
+    return flat.withColumns(typed)
 
 
 def silver(bronze: DataFrame, exact_dedup_first: bool = False) -> DataFrame:
@@ -158,34 +125,35 @@ def silver(bronze: DataFrame, exact_dedup_first: bool = False) -> DataFrame:
     return latest.withColumn("hash_id", hash_id("id", "time"))
 
 
+def _magnitudes(silver_df: DataFrame, by: dict[str, F.Column], count: str) -> DataFrame:
+    """Rows, mean and greatest magnitude per group, and a 15-character id hashed from the group."""
+    summary = [F.count(F.lit(1)).alias(count), F.avg("mag").alias("avg_mag"), F.max("mag").alias("max_mag")]
+    grouped = silver_df.groupBy(*[c.alias(name) for name, c in by.items()]).agg(*summary)
+    return grouped.withColumn("hash_id", hash_id(*by, length=15))
+
+
 def seismic_activity(silver_df: DataFrame) -> DataFrame:
-    """A2: events per hour and network, avg / max magnitude, 15-char hash id."""
-    return (
-        silver_df.withColumn("activity_hour", F.date_trunc("hour", F.col("time")).cast("timestamp_ntz"))
-        .groupBy("activity_hour", "net")
-        .agg(
-            F.count("hash_id").alias("total_event"),
-            F.avg("mag").alias("avg_mag"),
-            F.max("mag").alias("max_mag"),
-        )
-        .withColumn("hash_id", hash_id("activity_hour", "net", length=15))
-    )
+    """A2: events per hour and network."""
+    hour = F.date_trunc("hour", "time").cast("timestamp_ntz")
+    return _magnitudes(silver_df, {"activity_hour": hour, "net": F.col("net")}, "total_event")
 
 
 def geo_hotspot(silver_df: DataFrame) -> DataFrame:
-    """A1: events per 0.1° cell, avg / max magnitude, 15-char hash id."""
-    return (
-        silver_df.groupBy(
-            F.round(F.col("latitude"), 1).alias("avg_latitude"),
-            F.round(F.col("longitude"), 1).alias("avg_longitude"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("event_density"),
-            F.avg("mag").alias("avg_mag"),
-            F.max("mag").alias("max_mag"),
-        )
-        .withColumn("hash_id", hash_id("avg_latitude", "avg_longitude", length=15))
-    )
+    """A1: events per 0.1° cell."""
+    cell = {f"avg_{c}": F.round(c, 1) for c in ("latitude", "longitude")}
+    return _magnitudes(silver_df, cell, "event_density")
+
+
+def feed_files(feed: DataFrame, rows_per_file: int = 500) -> DataFrame:
+    """``(file, value)``: feed rows put together as the real feed comes, one pretty-printed JSON object to a file.
+
+    A file holds the features of neighbouring events, a bounded number of them.
+    """
+    number = F.substring(F.col("features")[0]["id"], 3, 20).cast("bigint")
+    files = feed.groupBy(F.floor(number / rows_per_file).alias("file")).agg(
+        F.first("bbox").alias("bbox"), F.flatten(F.collect_list("features")).alias("features"),
+        F.first("metadata").alias("metadata"), F.first("type").alias("type"))
+    return files.select("file", F.to_json(F.struct("bbox", "features", "metadata", "type"), {"pretty": "true"}).alias("value"))
 
 
 def daily_events(silver_df: DataFrame) -> DataFrame:

@@ -9,10 +9,12 @@ Decimal columns declared without a scale keep scale 0 by default
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     DateType,
     DecimalType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -106,3 +108,30 @@ TABLES = {
 def table_schema(name: str) -> StructType:
     """Declared schema of a table by name."""
     return TABLES[name.lower()]
+
+
+# Earthquake feed: the properties of a feature, then the GeoJSON feature collection.
+QUAKE_PROPERTIES = (
+    "alert string, cdi double, code string, detail string, dmin double, felt bigint, gap bigint, ids string, mag double, "
+    "magType string, mmi double, net string, nst bigint, place string, rms double, sig bigint, sources string, status string, "
+    "time bigint, title string, tsunami bigint, type string, types string, tz string, updated bigint, url string"
+)
+_PLAIN = {"string": StringType(), "double": DoubleType(), "bigint": LongType()}
+
+
+def _typed(fields: str) -> StructType:
+    """Plain fields from ``name type, name type, ...``."""
+    return StructType([StructField(name, _PLAIN[kind]) for name, kind in map(str.split, fields.split(","))])
+
+
+QUAKE_FEED = StructType([
+    StructField("bbox", ArrayType(DoubleType())),
+    StructField("features", ArrayType(StructType([
+        StructField("geometry", StructType([StructField("coordinates", ArrayType(DoubleType())), *_typed("type string")])),
+        *_typed("id string"),
+        StructField("properties", _typed(QUAKE_PROPERTIES)),
+        *_typed("type string"),
+    ]))),
+    StructField("metadata", _typed("api string, count bigint, generated bigint, status bigint, title string, url string")),
+    *_typed("type string"),
+])

@@ -30,6 +30,7 @@ def define_quake_pipeline(spark: SparkSession, raw_path: str, prefix: str = "qua
     from lakeforge.functions import hash_id
     from lakeforge.operators import latest_per_key
     from lakeforge.plans import quakes
+    from lakeforge.sources import schemas
     from lakeforge.streaming.ingest import json_stream, stream_dedup
 
     names = {
@@ -42,7 +43,7 @@ def define_quake_pipeline(spark: SparkSession, raw_path: str, prefix: str = "qua
 
     @dp.table(name=names["bronze"], comment="feed files, flattened (streaming)")
     def bronze() -> DataFrame:
-        return quakes.silver_transform(json_stream(spark, raw_path, quakes.FEED_SCHEMA, multiline=False))
+        return quakes.silver_transform(json_stream(spark, raw_path, schemas.QUAKE_FEED, multiline=False))
 
     @dp.table(name=names["silver_stream"], comment="deduplicated events with hash id (streaming)")
     def silver_stream() -> DataFrame:

@@ -58,7 +58,9 @@ SLICES = 8
 #: The first updates' steps; those of later ones fall as 2 / (number of the update - 1). The count that damps rare features.
 STEPS, DAMPING = (2.0, 1.0, 1.0), 4.0
 #: The likelihood has settled once an update adds less to a token's mean log probability (natural logarithm).
-SETTLED = 0.01
+SETTLED = 0.02
+#: Tasks whose sums meet first.
+FAN_IN = 16
 #: Every document whose crc32(id) leaves this remainder is held out.
 FOLDS, HELD_OUT = 7, 2
 
@@ -180,8 +182,11 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def add_up(sums: DataFrame, size: int) -> np.ndarray:
-    """The total of ``(block, values)`` rows of 32-bit floats, by two rounds of partial sums; ``size`` blocks of one length.
+def add_up(sums: DataFrame, size: int, tasks: int | None = None) -> np.ndarray:
+    """The total of ``(block, values)`` rows of 32-bit floats; ``size`` blocks of one length.
+
+    The sums of ``FAN_IN`` tasks are added up first, and these then; of so
+    many tasks at most, all at once.
 
     The driver's JVM is asked to collect what refers to the shuffles, as in
     ``materialize``: updates do not pile up on disks.
@@ -200,8 +205,9 @@ def add_up(sums: DataFrame, size: int) -> np.ndarray:
         return run
 
     schema = "block int, values binary"
-    once = sums.repartition("block", "salt").drop("salt").mapInArrow(adder(np.float32), schema)
-    rows = once.repartition("block").mapInArrow(adder(np.float64), schema).collect()  # a fixed number of blocks
+    few = tasks is not None and tasks <= FAN_IN
+    once = sums.repartition("block", *[] if few else ["salt"]).drop("salt").mapInArrow(adder(np.float32), schema)
+    rows = (once if few else once.repartition("block").mapInArrow(adder(np.float64), schema)).collect()  # a fixed number of blocks
     sums.sparkSession.sparkContext._jvm.System.gc()
     total = {r["block"]: np.frombuffer(r["values"], np.float64) for r in rows}
     return np.concatenate([total.get(b, np.zeros(BLOCK * CLASSES)) for b in range(size)])
@@ -220,7 +226,7 @@ SUMS = "block int, salt int, values binary"
 def task_salt() -> int:
     from pyspark import TaskContext
 
-    return TaskContext.get().partitionId() % 16
+    return TaskContext.get().partitionId() // FAN_IN
 
 
 def signatures(train: DataFrame, shared: Broadcast) -> np.ndarray:
@@ -319,7 +325,7 @@ def sums_of(train: DataFrame, shared: Broadcast, weights: Broadcast | None) -> t
 
     # A task's sums are as large as the weights: as many tasks as there are cores, and not as splits of the texts.
     tasks = train.sparkSession.sparkContext.defaultParallelism
-    sums = add_up(train.select("text").coalesce(tasks).mapInArrow(run, SUMS), 2 * ROWS // BLOCK + 1)
+    sums = add_up(train.select("text").coalesce(tasks).mapInArrow(run, SUMS), 2 * ROWS // BLOCK + 1, tasks)
     seen, model = sums[: 2 * ROWS * CLASSES].reshape(2, ROWS, CLASSES)
     told = sums[2 * ROWS * CLASSES :][:9].reshape(3, 3).sum(0)
     return seen, model, *map(float, told)

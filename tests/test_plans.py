@@ -54,16 +54,21 @@ def no_broadcast(spark):
 T0, T1 = (f"2024-01-0{d} 00:00:00" for d in (1, 2))
 
 
-@pytest.mark.parametrize("operator", ["upsert", "scd1", "cdc", "scd2", "feed"])
+@pytest.mark.parametrize("operator", ["upsert", "upsert_more", "images", "both", "scd1", "cdc", "scd2", "feed"])
 def test_change_operators_read_each_input_once_and_join_once(spark, tmp_dir, no_broadcast, operator):
+    """Whole rows are read once and joined once. An upsert of equal columns reads its batch's keys
+    besides; a feed reads the rows without a key apart, by a filter that reaches the scan."""
     rows = spark.range(50).selectExpr("id AS k", "id % 7 AS seq", "cast(id AS string) AS v")
     stamped = rows.selectExpr("*", *(f"timestamp_ntz'{T0}' AS {c}" for c in ("insert_dts", "update_dts")))
-    first = {"scd1": stamped, "scd2": ops.scd2_open(None, rows, ["k"], ["v"], T0)}.get(operator, rows)
+    first = {"scd1": stamped, "scd2": ops.scd2_open(None, rows, ["k"], ["v"], T0), "upsert_more": rows.drop("v")}.get(operator, rows)
     first.write.parquet(f"{tmp_dir}/target")
     rows.withColumn("v", F.concat("v", F.lit("!"))).write.parquet(f"{tmp_dir}/source")
     target, source = (spark.read.parquet(f"{tmp_dir}/{n}") for n in ("target", "source"))
     out = {
         "upsert": lambda: ops.upsert(target, source, ["k"]),
+        "upsert_more": lambda: ops.upsert(target, source, ["k"]),
+        "images": lambda: ops.upsert_images(target, source, ["k"]),
+        "both": lambda: ops.upsert_with_images(target, source, ["k"]),
         "scd1": lambda: ops.scd1_merge(target, source, ["k"], T1),
         "cdc": lambda: ops.cdc_scd1(target, source, ["k"], "seq"),
         "scd2": lambda: ops.scd2_open(target, source, ["k"], ["v"], T1),
@@ -71,5 +76,9 @@ def test_change_operators_read_each_input_once_and_join_once(spark, tmp_dir, no_
     }[operator]()
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("FileScan parquet") == 2
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    keys_only = [line for line in scans if "ReadSchema: struct<k:bigint>" in line]
+    without_key = [line for line in scans if "PushedFilters: [IsNull(k)]" in line]
+    assert len(scans) - len(keys_only) - len(without_key) == 2
+    assert len(keys_only) == (operator == "upsert") and len(without_key) == 2 * (operator == "feed")
     assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1

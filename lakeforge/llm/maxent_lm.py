@@ -192,25 +192,27 @@ def add_up(sums: DataFrame, size: int, tasks: int | None = None) -> np.ndarray:
     ``materialize``: updates do not pile up on disks.
     """
 
-    def adder(kind):
+    def adder():
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[int, np.ndarray] = {}
             for batch in batches:
                 for block, values in zip(batch.column("block").to_pylist(), batch.column("values")):
-                    part = np.frombuffer(values.as_buffer(), kind).astype(np.float64)
+                    part = np.frombuffer(values.as_buffer(), np.float32).astype(np.float64)
                     total[block] = total[block] + part if block in total else part
             for block, values in sorted(total.items()):
-                yield pa.record_batch([pa.array([block], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["block", "values"])
+                yield pa.record_batch([pa.array([block], pa.int32()), pa.array([values.astype(np.float32).tobytes()], pa.binary())], ["block", "values"])
 
         return run
 
     schema = "block int, values binary"
     few = tasks is not None and tasks <= FAN_IN
-    once = sums.repartition("block", *[] if few else ["salt"]).drop("salt").mapInArrow(adder(np.float32), schema)
-    rows = (once if few else once.repartition("block").mapInArrow(adder(np.float64), schema)).collect()  # a fixed number of blocks
+    once = sums.repartition("block", *[] if few else ["salt"]).drop("salt").mapInArrow(adder(), schema)
+    rows = (once if few else once.repartition("block").mapInArrow(adder(), schema)).collect()  # a fixed number of blocks
     sums.sparkSession.sparkContext._jvm.System.gc()
-    total = {r["block"]: np.frombuffer(r["values"], np.float64) for r in rows}
-    return np.concatenate([total.get(b, np.zeros(BLOCK * CLASSES)) for b in range(size)])
+    total = np.zeros((size, BLOCK * CLASSES), np.float32)
+    for r in rows:
+        total[r["block"]] = np.frombuffer(r["values"], np.float32)
+    return total.ravel()
 
 
 def blocks_of(values: np.ndarray, salt: int) -> Iterator[pa.RecordBatch]:

@@ -87,22 +87,26 @@ def unique_source(
     row with the greatest ``order_by``, which must be given; ``keep``
     trusts the caller.
     """
+    return _unique(source, keys, on_duplicate, order_by).drop(SPREAD)
+
+
+def _unique(source: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Sequence[str] | None) -> DataFrame:
+    """``unique_source`` with the spreading column: a join on the keys and that column then takes the rows where they are."""
+    spread = source if SPREAD in source.columns else _spread(source, keys)
     if on_duplicate == "keep":
-        return source
+        return spread
     if on_duplicate == "latest":
         if not order_by:
             raise ValueError("on_duplicate='latest' needs order_by")
-        spread = _spread(source, keys)
-        return latest_per_key(spread, [*keys, SPREAD], order_by).drop(SPREAD)
+        return latest_per_key(spread, [*keys, SPREAD], order_by)
     if on_duplicate != "error":
         raise ValueError(on_duplicate)
-    spread = _spread(source, keys)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys, SPREAD))
     repeated = (F.col("_n") > 1) & (F.col(SPREAD) == 0)
     checked = spread.withColumn("_n", n).filter(
         F.when(repeated, F.raise_error(F.lit("duplicate source key in merge"))).otherwise(F.lit(True))
     )
-    return checked.drop("_n", SPREAD)
+    return checked.drop("_n")
 
 
 def _outer(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -112,7 +116,7 @@ def _outer(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 
 def _join(target: DataFrame, source: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """As ``_outer``; ``how`` is "full_outer", or "left" to keep the source's rows only."""
-    t, s = _spread(target, keys), _spread(source, keys)
+    t, s = (df if SPREAD in df.columns else _spread(df, keys) for df in (target, source))
     t = t.select(*[F.col(c).alias(f"t_{c}") for c in t.columns], F.lit(True).alias("_t"))
     s = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns], F.lit(True).alias("_s"))
     same = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in [*keys, SPREAD]]
@@ -136,8 +140,8 @@ def upsert(
         complete = source.filter(~_any_null(keys)).select(*keys, F.lit(0).cast("bigint").alias(SPREAD))
         kept = _spread(target, keys).join(complete, [*keys, SPREAD], "left_anti").drop(SPREAD)
         return kept.select(*target.columns).unionByName(unique_source(source, keys, on_duplicate, order_by))
-    source = unique_source(source, keys, on_duplicate, order_by)
-    return _outer(target, source, keys).select(*_merged(target, source))
+    checked = _unique(source, keys, on_duplicate, order_by)
+    return _outer(target, checked, keys).select(*_merged(target, source))
 
 
 def _merged(target: DataFrame, source: DataFrame) -> list[Column]:
@@ -189,8 +193,7 @@ def upsert_images(target: DataFrame, source: DataFrame, keys: Sequence[str], on_
     target: neither version is read as a whole for comparison. The images
     are those of ``change_feed``.
     """
-    source = unique_source(source, keys, on_duplicate, order_by)
-    joined = _join(target, source, keys, "left")
+    joined = _join(target, _unique(source, keys, on_duplicate, order_by), keys, "left")
     return joined.select(F.explode(_images(target, source)).alias("_c")).select("_c.*")
 
 
@@ -200,14 +203,14 @@ def upsert_with_images(target: DataFrame | None, source: DataFrame, keys: Sequen
 
     Without a target every source row is a row and an insert.
     """
-    source = unique_source(source, keys, on_duplicate, order_by)
+    checked = _unique(source, keys, on_duplicate, order_by)
     if target is None:
         own = [F.col(c) for c in source.columns]
         pair = F.array(_image(own, None), _image(own, "insert"))
-        return source.select(F.explode(pair).alias("_c")).select("_c.*")
+        return checked.select(F.explode(pair).alias("_c")).select("_c.*")
     row = F.array(_image(_merged(target, source), None))
     rows = F.concat(row, _images(target, source))
-    return _outer(target, source, keys).select(F.explode(rows).alias("_c")).select("_c.*")
+    return _outer(target, checked, keys).select(F.explode(rows).alias("_c")).select("_c.*")
 
 
 def insert_absent(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -240,7 +243,7 @@ def scd1_merge(
     times = ``now``. Source rows need not carry the two time columns.
     """
     now_c = now if isinstance(now, Column) else F.lit(now).cast(target.schema[update_col].dataType)
-    source = unique_source(source.drop(insert_col, update_col), keys, on_duplicate, order_by)
+    source = _unique(source.drop(insert_col, update_col), keys, on_duplicate, order_by)
     hit = F.col("_s").isNotNull()
     columns = []
     for c in target.columns:
@@ -315,6 +318,7 @@ def scd2_open(
     on_duplicate: str = "error",
     order_by: Sequence[str] | None = None,
     id_key: Callable[[str], Column] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """M5/M6 on the open versions alone: open, newly closed and new versions.
 
@@ -323,7 +327,13 @@ def scd2_open(
     from the source stay open (no hard deletes). Keys listed as
     case-insensitive meet, and count as repeated, whatever their case.
     ``id_key`` gives the key that goes into the version id, from columns with
-    a prefix; by default the key's parts joined by '|'.
+    a prefix; by default the key's parts joined by '|'. A stored id that is
+    the one computed from its row does not travel to the join: it is computed
+    again behind it.
+
+    With ``partitions``, rows meet in so many, dealt by the key, and the
+    result stays there: a table stored in buckets that follow the same
+    dealing is written without another exchange.
     """
     now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
     columns = source.columns
@@ -331,9 +341,10 @@ def scd2_open(
     match = [fold.get(k, k) for k in keys]
 
     def with_folds(df: DataFrame) -> DataFrame:
-        return df.withColumns({f: folded(k) for k, f in fold.items()}) if fold else df
+        df = df.withColumns({f: folded(k) for k, f in fold.items()}) if fold else df
+        return _spread(df, match).repartition(partitions, *match, SPREAD) if partitions else df
 
-    source = unique_source(with_folds(source), match, on_duplicate, order_by)
+    source = _unique(with_folds(source), match, on_duplicate, order_by)
 
     def version(prefix: str = "") -> list[Column]:
         return [
@@ -347,7 +358,10 @@ def scd2_open(
     if open_versions is None:
         return source.select(*version())
     out = open_versions.columns
-    joined = _outer(with_folds(open_versions), source, match)
+    derived = F.col("dbt_scd_id").eqNullSafe(scd_id(keys, F.col("dbt_valid_from"), id_key=id_key))
+    kept = open_versions.withColumn("_derived", derived).withColumn("dbt_scd_id", F.when(~F.col("_derived"), F.col("dbt_scd_id")))
+    joined = _outer(with_folds(kept), source, match)
+    joined = joined.withColumn("t_dbt_scd_id", F.when(F.col("t__derived"), scd_id(keys, F.col("t_dbt_valid_from"), "t_", id_key)).otherwise(F.col("t_dbt_scd_id")))
     both = F.col("_t").isNotNull() & F.col("_s").isNotNull()
     changed = both & _changed(check_cols, case_insensitive_cols)
     new = dict(zip([*columns, *SCD2_META], version("s_")))

@@ -234,19 +234,20 @@ def health_patient_value(spark, sf_dir):
 # --------------------------------------------------------------------- retail
 RETAIL_NOW1 = "2024-03-01 00:00:00"
 RETAIL_NOW2 = "2024-03-02 00:00:00"
+RETAIL_BUCKET_ROWS = 500_000
 
 
-def _retail_silver(spark, sf_dir):
+def _retail_silver(spark, sf_dir, dated: bool = False):
     """Bronze and silver models (lazy; nothing is materialised here)."""
     b = retail.bronze_from_driver(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"))
     return {
         "stage_dept_unnumbered": retail.stage_dept(b["department"], RETAIL_NOW1, numbered=False),
         "stage_store": retail.stage_store(b["stores"], RETAIL_NOW1),
-        "stg_fact": retail.stg_fact(b["fact"], RETAIL_NOW1),
+        "stg_fact": retail.stg_fact(b["fact"], RETAIL_NOW1, dated),
     }
 
 
-def _retail(spark, sf_dir, history: bool = True):
+def _retail(spark, sf_dir, history: bool = True, folder: str | None = None):
     """Joined fact and the two-load fact history of the retail model.
 
     The joined fact (the intermediate model every later step reads: both
@@ -255,15 +256,18 @@ def _retail(spark, sf_dir, history: bool = True):
     materialises its models as tables; the lineitem roll-ups behind it are
     then computed once. The first snapshot is a projection of it and is
     not written (measured: writing it costs more than re-deriving it).
+    A ``folder`` keeps the joined fact, with the staging columns.
     """
-    r = _retail_silver(spark, sf_dir)
+    r = _retail_silver(spark, sf_dir, dated=True)
     # One row per department row: the staging columns ride along, so the
     # date dimension reads this table too and lineitem is rolled up once.
-    joined = materialize(
-        retail.combined_fact(r["stage_dept_unnumbered"], r["stg_fact"], r["stage_store"],
-                             keep=("store_date", "isholiday", "insert_date")),
-        "retail-combined",
-    )
+    joined = retail.combined_fact(r["stage_dept_unnumbered"], r["stg_fact"], r["stage_store"],
+                                  keep=("store_date", "isholiday", "insert_date"))
+    if folder:
+        joined.write.parquet(folder)
+        joined = spark.read.parquet(folder)
+    else:
+        joined = materialize(joined, "retail-combined")
     combined = joined.select(*retail.COMBINED_COLS)
     r["combined"] = combined
     r["stage_dept_unnumbered"] = joined.select(*retail.STAGE_DEPT_COLS)
@@ -340,19 +344,20 @@ def retail_dim_department(spark, sf_dir):
 
 def _retail_tables(spark, sf_dir) -> tuple[DataFrame, HistoryTable]:
     """The department staging rows and the fact's history table, both stored and built once for all
-    queries that read them: open versions lie apart from closed ones."""
-    buckets = 16
+    queries that read them: open versions lie apart from closed ones. A bucket is what one task
+    rewrites, so their number follows the rows (counted in the files' footers)."""
+    buckets = max(16, -(-read_table(spark, sf_dir, "lineitem").count() // RETAIL_BUCKET_ROWS))
 
     def build(folder: str) -> None:
-        r = _retail(spark, sf_dir, history=False)
-        r["stage_dept_unnumbered"].write.parquet(f"{folder}/stage_dept")
-        table = HistoryTable(spark, f"{folder}/fact", retail.FACT_KEY, buckets)
+        r = _retail(spark, sf_dir, history=False, folder=f"{folder}/joined")
+        table = HistoryTable(spark, f"{folder}/fact", retail.FACT_KEY, buckets, joined=True)
         table.snapshot(r["combined"], retail.CHECK_COLS, RETAIL_NOW1, id_key=retail.composite, on_duplicate="keep")
         table.snapshot(_second_load(r["combined"]), retail.CHECK_COLS, RETAIL_NOW2, id_key=retail.composite)
 
     inputs = [table_path(sf_dir, t) for t in ("lineitem", "supplier")]
     root = stored_model(spark, "retail", inputs, build)
-    return spark.read.parquet(f"{root}/stage_dept"), HistoryTable(spark, f"{root}/fact", retail.FACT_KEY, buckets)
+    stage = spark.read.parquet(f"{root}/joined").select(*retail.STAGE_DEPT_COLS)
+    return stage, HistoryTable(spark, f"{root}/fact", retail.FACT_KEY, buckets, joined=True)
 
 
 @register("retail_fact_history_table")

@@ -31,6 +31,8 @@ from lakeforge.operators.quality import CheckFailed
 from lakeforge.session import checkpoint_root
 
 Step = Callable[[DataFrame | None, DataFrame], DataFrame]
+#: Of stored tables: ids are hex texts, which a codec without entropy coding leaves at their length.
+CODEC = "zstd"
 #: A stream's lasting id and the number of its micro-batch.
 Mark = tuple[str, int]
 
@@ -131,9 +133,15 @@ class VersionedTable:
         return change_feed(self.read(start), self.read(end), keys)
 
 
-def bucket_of(keys: Sequence[str], buckets: int, folded: Sequence[str] = ()) -> Column:
-    """Bucket of a key; parts that are ``folded`` count whatever their case."""
+def bucket_of(keys: Sequence[str], buckets: int, folded: Sequence[str] = (), joined: bool = False) -> Column:
+    """Bucket of a key; parts that are ``folded`` count whatever their case.
+
+    ``joined`` buckets are the partitions to which the change operators deal
+    complete keys, so what a join leaves in one partition is one bucket.
+    """
     parts = [F.lower(F.upper(F.col(k))) if k in folded else F.col(k) for k in keys]
+    if joined:
+        return F.pmod(F.hash(*parts, F.lit(0).cast("bigint")), F.lit(buckets)).cast("int")
     return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
 
 
@@ -160,9 +168,9 @@ class KeyedTable:
 
     COMMIT = re.compile(r"c=(\d+)(?:\.([0-9a-f-]+)\.(\d+))?$")
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int, folded: Sequence[str] = (), feed: bool = False):
-        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
-        self.bucket = bucket_of(self.keys, buckets, folded)
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int, folded: Sequence[str] = (), feed: bool = False, joined: bool = False):
+        self.spark, self.root, self.keys, self.buckets, self.joined = spark, root.rstrip("/"), list(keys), buckets, joined
+        self.bucket = bucket_of(self.keys, buckets, folded, joined)
         self.folded, self.feed = list(folded), feed
         stored = [n for n in _folders(spark, self.root) if n.startswith("_n=")]
         if stored and stored != [f"_n={buckets}"]:
@@ -215,12 +223,13 @@ class KeyedTable:
         fs.mkdirs(path(f"{self.root}/_commits"))
         move(folder, path(f"{self.root}/_commits/{name}"))
 
-    def _stage(self, rows: DataFrame, kind: Column, mark: Mark | None) -> str:
-        """Write a pending commit; its name."""
+    def _stage(self, rows: DataFrame, kind: Column, mark: Mark | None, placed: bool = False) -> str:
+        """Write a pending commit; its name. ``placed`` rows lie by bucket already, one bucket in one partition."""
         done = self._commits()
         name = f"c={max((c[0] for c in done), default=0) + 1:09d}" + (f".{mark[0]}.{mark[1]}" if mark else "")
-        placed = rows.withColumns({"_kind": kind, "_b": self.bucket}).repartition("_kind", "_b")
-        placed.write.partitionBy("_kind", "_b").parquet(f"{self.root}/_pending/{name}")
+        dealt = rows.withColumns({"_kind": kind, "_b": self.bucket})
+        dealt = dealt if placed else dealt.repartition("_kind", "_b")
+        dealt.write.partitionBy("_kind", "_b").parquet(f"{self.root}/_pending/{name}", compression=CODEC)
         if not self.feed:  # of each stream, the last mark is enough
             last = {stream: n for _, stream, _, n in done}
             for *_, old in done:
@@ -229,10 +238,10 @@ class KeyedTable:
                     fs.delete(folder, True)
         return name
 
-    def _replace(self, rows: DataFrame, mark: Mark | None = None) -> None:
+    def _replace(self, rows: DataFrame, mark: Mark | None = None, placed: bool = False) -> None:
         """Replace the partitions that rows fall in; rows with a ``_change_type`` are images and go beside them."""
         image = F.col(CHANGE).isNotNull() if CHANGE in rows.columns else F.lit(False)
-        self._finish(self._stage(rows, F.when(image, "changes").otherwise("rows"), mark))
+        self._finish(self._stage(rows, F.when(image, "changes").otherwise("rows"), mark, placed))
 
     # -------------------------------------------------------------- reading
     def exists(self) -> bool:
@@ -296,7 +305,7 @@ class KeyedTable:
 
     def rebucket(self, root: str, buckets: int) -> KeyedTable:
         """A copy of the table with another number of buckets."""
-        out = KeyedTable(self.spark, root, self.keys, buckets, self.folded, self.feed)
+        out = KeyedTable(self.spark, root, self.keys, buckets, self.folded, self.feed, self.joined)
         out._replace(self.read())
         return out
 
@@ -308,11 +317,14 @@ class HistoryTable:
     in which a version was opened or closed. Closed history is never read or
     rewritten. Runs are numbered by their time, so repeating a run that
     failed half-way replaces what it had written.
+
+    With ``joined`` buckets (part of the layout, see ``bucket_of``) a run
+    writes its rows where the join has left them.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int, case_insensitive_keys: Sequence[str] = ()):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int, case_insensitive_keys: Sequence[str] = (), joined: bool = False):
         self.spark, self.root = spark, root.rstrip("/")
-        self.open = KeyedTable(spark, f"{self.root}/open", keys, buckets, case_insensitive_keys)
+        self.open = KeyedTable(spark, f"{self.root}/open", keys, buckets, case_insensitive_keys, joined=joined)
 
     def _closed(self) -> DataFrame | None:
         folder = f"{self.root}/closed"
@@ -324,9 +336,10 @@ class HistoryTable:
 
     def snapshot(self, source: DataFrame, check_cols: Sequence[str], now, **options) -> None:
         keys, bucket = self.open.keys, self.open.bucket
-        options["case_insensitive_keys"] = self.open.folded
+        placed = self.open.joined
+        options |= {"case_insensitive_keys": self.open.folded, "partitions": self.open.buckets if placed else None}
         if not self.open.exists():
-            self.open._replace(scd2_open(None, source, keys, check_cols, now, **options))
+            self.open._replace(scd2_open(None, source, keys, check_cols, now, **options), placed=placed)
             return
         now_c = F.lit(now).cast("timestamp_ntz")
         versions = scd2_open(self.open.read(), source, keys, check_cols, now, **options).persist()
@@ -335,12 +348,12 @@ class HistoryTable:
             run = F.date_format(now_c, "yyyyMMddHHmmssSSS")
             # Closed first: if the run fails after this, its repetition closes the same versions again.
             written = ended.withColumn("_run", run).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            written.partitionBy("_run").parquet(f"{self.root}/closed")
+            written.partitionBy("_run").parquet(f"{self.root}/closed", compression=CODEC)
             changed = versions.filter((F.col("dbt_valid_to") == now_c) | (F.col("dbt_valid_from") == now_c))
             touched = [r[0] for r in changed.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
             still = versions.filter(F.col("dbt_valid_to").isNull() & bucket.isin(touched))
             if touched:
-                self.open._replace(still)
+                self.open._replace(still, placed=placed)
         finally:
             versions.unpersist()
 

@@ -62,6 +62,7 @@ from lakeforge.sources import (
     table_inventory,
 )
 from lakeforge.streaming import (
+    backlog,
     csv_stream,
     drain,
     json_stream,
@@ -661,10 +662,17 @@ for _name in FN_NAMES:
 
 
 # ------------------------------------------------- sources, sinks and streams
+#: Rows of a landed file.
+LANDED_ROWS = 50_000
+
+
 def _land_json(df: DataFrame, path: str, mode: str = "error") -> None:
     """Write rows as JSON-lines files (the landed feed), times to the microsecond;
-    ``append`` adds a later delivery as new files next to the earlier ones."""
-    df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    ``append`` adds a later delivery as new files next to the earlier ones. Files are
+    gzipped, which takes a tenth of the text, and as a gzipped file is read by one task
+    they hold a bounded number of rows."""
+    landed = df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", LANDED_ROWS)
+    landed.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
 
 
 @register("stream_quake_bronze")
@@ -692,16 +700,21 @@ def stream_quake_whole_files(spark, sf_dir):
 @register("stream_quake_cdc_activity")
 def stream_quake_cdc_activity(spark, sf_dir):
     """File stream → flatten → table stream → stream dedup (D2) →
-    sequenced CDC into a versioned table (M3, T-7) → hourly activity (A2)."""
+    sequenced CDC into a versioned table (M3, T-7) → hourly activity (A2).
+
+    Ids are spread over all buckets, so each micro-batch of the dedup reads
+    the stored keys and each of the CDC rewrites the table: a backlog comes
+    in a bounded number of them, whatever its size.
+    """
     _prep(spark)
     root = scratch_path(spark, "quake-cdc")
     _land_json(quakes.feed_from_events(read_table(spark, sf_dir, "events")), f"{root}/raw")
-    bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", schemas.QUAKE_FEED, multiline=False, max_files_per_trigger=4))
+    bronze = quakes.silver_transform(json_stream(spark, f"{root}/raw", schemas.QUAKE_FEED, multiline=False, **backlog(spark, f"{root}/raw")))
     drain(bronze, f"{root}/bronze", f"{root}/_ckpt/bronze")
-    flat = table_stream(spark, f"{root}/bronze", max_files_per_trigger=4).select(*quakes.SILVER_COLUMNS)
+    flat = table_stream(spark, f"{root}/bronze", **backlog(spark, f"{root}/bronze")).select(*quakes.SILVER_COLUMNS)
     distinct = KeyedTable(spark, f"{root}/distinct", ["id", "updated"], buckets=16)
     run_dedup_stream(flat, distinct, f"{root}/_ckpt/distinct").awaitTermination()
-    silver = table_stream(spark, distinct.path, flat.schema, max_files_per_trigger=64)
+    silver = table_stream(spark, distinct.path, flat.schema, **backlog(spark, distinct.path))
     silver = silver.withColumn("hash_id", lf.hash_id("id", "time"))
     table = KeyedTable(spark, f"{root}/silver", ["hash_id"], buckets=16)
     run_cdc_stream(silver, table, f"{root}/_ckpt/silver", ["hash_id"], "updated").awaitTermination()
@@ -714,7 +727,7 @@ def stream_variant_landing(spark, sf_dir):
     root = scratch_path(spark, "landing")
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
     _land_json(ev, f"{root}/raw")
-    drain(variant_stream(spark, f"{root}/raw", max_files_per_trigger=4), f"{root}/landed", f"{root}/_ckpt")
+    drain(variant_stream(spark, f"{root}/raw", **backlog(spark, f"{root}/raw")), f"{root}/landed", f"{root}/_ckpt")
     landed = spark.read.parquet(f"{root}/landed")
     return landed.select(
         F.variant_get("data", "$.event_id", "bigint").alias("event_id"),
@@ -965,7 +978,7 @@ def quake_gold_merge(spark, sf_dir):
     deliveries = [ev.filter(F.col("ts") < day(20)), ev.filter(F.col("ts") >= day(15))]
     for i, part in enumerate(deliveries):
         _land_json(quakes.feed_from_events(part), f"{root}/raw/{i}")
-        stream = json_stream(spark, f"{root}/raw/{i}", schemas.QUAKE_FEED, multiline=False, max_files_per_trigger=4)
+        stream = json_stream(spark, f"{root}/raw/{i}", schemas.QUAKE_FEED, multiline=False, **backlog(spark, f"{root}/raw/{i}"))
         drain(stream, f"{root}/bronze/{i}", f"{root}/_ckpt/{i}")
         silver_t.upsert(quakes.silver(spark.read.parquet(f"{root}/bronze/{i}")))
         gold_t.upsert(quakes.seismic_activity(silver_t.read()), ["hash_id"])

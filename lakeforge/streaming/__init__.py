@@ -1,5 +1,6 @@
 from lakeforge.streaming.ingest import (  # noqa: F401
     apply_batch,
+    backlog,
     csv_stream,
     drain,
     json_stream,

@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 
 from lakeforge.operators.changes import cdc_scd1, insert_absent, scd1_merge
 from lakeforge.sources.files import CsvDialect
-from lakeforge.sources.tables import KeyedTable, Mark, Step, VersionedTable
+from lakeforge.sources.tables import KeyedTable, Mark, Step, VersionedTable, _fs
 
 
 # ------------------------------------------------------------------ sources
@@ -51,6 +51,21 @@ def _intake(reader: DataStreamReader, max_files_per_trigger: int | None = None,
     return reader
 
 
+#: A backlog of less than so many bytes is one micro-batch.
+BATCH_BYTES = 1 << 30
+
+
+def backlog(spark: SparkSession, path: str, batches: int = 4, least: int = BATCH_BYTES) -> dict[str, int]:
+    """How to take what lies in a folder in at most about ``batches`` micro-batches (``intake`` of a stream).
+
+    A merge of a micro-batch whose keys fall everywhere costs as much as the
+    table, so with micro-batches of a fixed size the cost of a backlog grows
+    as its square. What one micro-batch holds is Spark's to shuffle and spill.
+    """
+    fs, folder, _ = _fs(spark, path)
+    return {"max_bytes_per_trigger": max(least, -(-fs.getContentSummary(folder).getLength() // batches))}
+
+
 def json_stream(spark: SparkSession, path: str, schema: StructType, multiline: bool = True, **intake) -> DataFrame:
     """Stream of JSON files with a fixed schema (``intake``: see ``_intake``)."""
     r = spark.readStream.schema(schema).option("multiLine", str(multiline).lower())

@@ -1,6 +1,7 @@
 """Nearest neighbours, hard negatives and the Merkle manifest against brute force."""
 
 import hashlib
+import time
 import zlib
 from collections import defaultdict
 
@@ -100,6 +101,75 @@ def test_nearest_recall(spark, sf):
     assert recall(got, want) >= 0.95
 
 
+def shard_of(vectors):
+    keys, largest = np.arange(len(vectors)), np.sqrt((vectors * vectors).sum(1).max())
+    axes = nearest.directions(vectors.shape[1] + 1, nearest.PROJECTIONS)
+    return nearest.RankedProjections(keys, keys, vectors, largest, axes)
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 1000])
+def test_windows_are_counted_row_by_row(n):
+    rng = np.random.default_rng(n)
+    vectors = rng.normal(size=(n, 8))
+    vectors[n // 2 :] = vectors[0]  # equal rows fill many levels
+    shard = shard_of(vectors)
+    at, half = rng.normal(size=(5, nearest.PROJECTIONS)) / 3, np.array([0.0, 0.01, 0.1, 0.3, 5.0])
+    inside = [np.unpackbits(w.view(np.uint8), axis=1, count=n, bitorder="little") for w in shard.windows(at, half)]
+    counts = np.sum(inside, axis=0)
+    unit = vectors / shard.largest
+    values = np.concatenate([unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(1)))[:, None]], axis=1) @ shard.axes
+    for q in range(5):
+        for j in range(nearest.PROJECTIONS):  # a window holds all rows it should, and those up to the next level
+            assert inside[j][q][np.abs(values[:, j] - at[q, j]) <= half[q] - 1e-12].all()
+    assert (counts[4] == nearest.PROJECTIONS).all()
+    for least in (0, 1, 2, 40, 64, 127, 128, 129, 300):
+        got = nearest.at_least(shard.windows(at, half), least)
+        assert (np.unpackbits(got.view(np.uint8), axis=1, count=n, bitorder="little") == (counts >= least)).all()
+
+
+def test_windows_cost_less_than_counting_each_row():
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(8192, 64))
+    shard, queries = shard_of(vectors), vectors[:64] / np.linalg.norm(vectors[:64], axis=1)[:, None]
+    at, half = queries @ shard.axes[:-1], np.full(64, 1.1 / np.sqrt(65))
+    values = np.concatenate([vectors / shard.largest, np.zeros((8192, 1))], axis=1) @ shard.axes
+    order = np.argsort(values, axis=0)
+    values = np.take_along_axis(values, order, axis=0)
+
+    def row_by_row():
+        for q in range(64):
+            ends = [np.searchsorted(values[:, j], [at[q, j] - half[q], at[q, j] + half[q]]) for j in range(len(shard.axes.T))]
+            np.bincount(np.concatenate([order[a:b, j] for j, (a, b) in enumerate(ends)]), minlength=8192)
+
+    def took(f):
+        began = time.process_time()
+        f()
+        return time.process_time() - began
+
+    least = min(took(row_by_row) for _ in range(3))
+    assert min(took(lambda: nearest.at_least(shard.windows(at, half), 79)) for _ in range(3)) < 0.5 * least
+
+
+def test_nearest_within_a_shard():
+    """Random, clustered and copied rows, unequal norms, squares that underflow: a shard's nearest against all products."""
+    rng = np.random.default_rng(4)
+    far = rng.normal(size=(3000, 32))
+    near = far[rng.integers(0, 5, 1500)] + 0.01 * rng.normal(size=(1500, 32))
+    vectors = np.concatenate([far, near, np.repeat(far[:1], 300, axis=0), 3 * far[:50], 1e-9 * far[:50], 1e-200 * far[:5]])
+    shard, n = shard_of(vectors), len(vectors)
+    asked = np.concatenate([np.arange(0, n, 90), np.arange(n - 60, n)])
+    hits = 0
+    for begin in range(0, len(asked), 64):
+        own = asked[begin : begin + 64]
+        for a, rows, scores in shard.nearest(vectors[own], own, 20, nearest.threshold()):
+            true = (vectors * vectors[own[a]]).sum(1)
+            assert (scores == true[rows]).all() and own[a] not in rows and len(set(rows)) == 20
+            assert sorted(zip(-scores, rows)) == list(zip(-scores, rows))
+            true[own[a]] = -np.inf
+            hits += (scores >= np.sort(true)[-20]).sum()
+    assert hits >= 0.99 * 20 * len(asked)
+
+
 def brute_negatives(rows):
     rows = [(i, [int(np.floor(256 * x)) for x in v], label) for i, v, label in rows if i is not None and label is not None and whole(v) and len(v) == 6]
     out = []
